@@ -63,9 +63,15 @@ def log_floor(c: str | Column, floor: float = 1.0) -> Column:
 
 
 def log1p_clipped(c: str | Column) -> Column:
-    """``log1p(max(x, 0))`` keeping NULL."""
+    """``log(1 + max(x, 0))`` keeping NULL.
+
+    Written as ``ln(1 + x)`` rather than ``log1p``: the inputs are counts and
+    rates (x >= 0, never tiny), where both agree to an ulp, and ``ln`` gives
+    the same bits on every engine, so equal values (ties, which drive the
+    rank statistics downstream) stay equal everywhere.
+    """
     x = col(c)
-    return F.when(x.isNotNull(), F.log1p(F.greatest(x.cast("double"), F.lit(0.0))))
+    return F.when(x.isNotNull(), F.ln(F.lit(1.0) + F.greatest(x.cast("double"), F.lit(0.0))))
 
 
 def clip(c: str | Column, lo: Column | float | None, hi: Column | float | None) -> Column:

@@ -122,12 +122,15 @@ def category_minutes(c: str | Column = "minutes") -> Column:
             .otherwise(MINUTES_LABELS[2]))
 
 
-def prepare_recipes(recipes: DataFrame, *, max_minutes: float = 360, as_of=None) -> DataFrame:
+def prepare_recipes(recipes: DataFrame, *, max_minutes: float = 360, materialize: bool = True) -> DataFrame:
     """The pipeline's recipe cleaning and derived columns, in its order.
 
-    Cheap range filters run before the list parse; the parsed ``steps`` list
-    is computed once per row.  The min-max statistics of D5 are one
-    aggregate joined back as a one-row broadcast.
+    Cheap range filters run before the list parse.  The min-max scaling of
+    D5 needs a second pass over the parsed rows; with ``materialize`` the
+    parsed, filtered rows are written once to the shared checkpoint folder
+    (S6) so the text is parsed once and a lost executor never re-parses it.
+    The min-max statistics are one aggregate joined back as a one-row
+    broadcast.
     """
     from ratelens.operators.derive import minmax_scale, weighted_score
 
@@ -149,6 +152,9 @@ def prepare_recipes(recipes: DataFrame, *, max_minutes: float = 360, as_of=None)
                         bucketize("n_ingredients", INGR_BOUNDS, INGR_LABELS, closed="right"))
             .withColumn("log_n_ingredients", log_floor("n_ingredients", 1.0))
             .drop("_steps_arr"))
+    if materialize:
+        from ratelens.sources.sinks import stage
+        df = stage(df, "recipes-clean")
     df = minmax_scale(df, list(EFFORT_WEIGHTS))
     df = weighted_score(df, EFFORT_WEIGHTS, scale=100.0, out="effort_score", suffix="_scaled")
     return df.withColumn("effort_category",

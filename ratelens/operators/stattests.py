@@ -126,8 +126,10 @@ def spearman_grid(df: DataFrame, effort_vars: Sequence[str] = DEFAULT_EFFORT_VAR
                            F.lit(None).cast("long").alias("n"))
     else:
         rx, ry = _weighted_offsets(w, "x"), _weighted_offsets(w, "y")
-        j = (w.join(rx, (w.pair == rx.pair) & (w.x == rx._xv)).drop(rx.pair)
-              .join(ry, (w.pair == ry.pair) & (w.y == ry._yv)).drop(ry.pair))
+        rx = rx.withColumnRenamed("pair", "_px")
+        ry = ry.withColumnRenamed("pair", "_py")
+        j = (w.join(rx, (F.col("pair") == F.col("_px")) & (F.col("x") == F.col("_xv")))
+              .join(ry, (F.col("pair") == F.col("_py")) & (F.col("y") == F.col("_yv"))))
         c = (F.col("_Nx") + 1) / 2.0
         dx, dy = F.col("rx") - c, F.col("ry") - c
         s = j.groupBy("pair").agg(

@@ -908,10 +908,10 @@ def q_corr_li(spark, sf):
 
 
 @register("w4_top_abs_corr", "x:s, y:s, coef:d",
-          f"SELECT x, y, coef FROM ({_corr_sql('analysis', T1_COLS)}) WHERE x <> y "
+          f"SELECT x, y, coef FROM ({_corr_sql('analysis', T1_COLS)}) WHERE x < y "
           "ORDER BY abs(coef) DESC NULLS LAST, x, y LIMIT 5", ("analysis",))
 def q_top_abs(spark, sf):
-    m = T.corr_matrix(analysis(spark, sf), T1_COLS).where(F.col("x") != F.col("y"))
+    m = T.corr_matrix(analysis(spark, sf), T1_COLS).where(F.col("x") < F.col("y"))
     return m.orderBy(F.abs("coef").desc_nulls_last(), "x", "y").limit(5).select("x", "y", "coef")
 
 

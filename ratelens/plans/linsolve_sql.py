@@ -30,12 +30,14 @@ def ols_sql(src: str, features: Sequence[str], target: str, prefix: str = "ls")
         cols = ["*"]
         for i in range(k + 1, p):
             for j in range(k + 1, p):
-                cols.append(f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS n{i}_{j}")
-            cols.append(f"b{i} - a{i}_{k} * b{k} / a{k}_{k} AS nb{i}")
-        ren = ", ".join([f"n{i}_{j} AS a{i}_{j}" for i in range(k + 1, p) for j in range(k + 1, p)]
-                        + [f"nb{i} AS b{i}" for i in range(k + 1, p)])
+                cols.append(f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS n{k}x{i}_{j}")
+            cols.append(f"b{i} - a{i}_{k} * b{k} / a{k}_{k} AS n{k}b{i}")
+        ren = ", ".join([f"n{k}x{i}_{j} AS a{i}_{j}" for i in range(k + 1, p) for j in range(k + 1, p)]
+                        + [f"n{k}b{i} AS b{i}" for i in range(k + 1, p)])
         excl = ", ".join([f"a{i}_{j}" for i in range(k + 1, p) for j in range(k + 1, p)]
-                         + [f"b{i}" for i in range(k + 1, p)])
+                         + [f"b{i}" for i in range(k + 1, p)]
+                         + [f"n{k}x{i}_{j}" for i in range(k + 1, p) for j in range(k + 1, p)]
+                         + [f"n{k}b{i}" for i in range(k + 1, p)])
         ctes.append(f"{prefix}_e{k} AS (SELECT * EXCLUDE ({excl}), {ren} FROM "
                     f"(SELECT {', '.join(cols)} FROM {prefix}_{'s0' if k == 0 else f'b{k - 1}'}))")
         ctes.append(f"{prefix}_b{k} AS (SELECT * FROM {prefix}_e{k})")

@@ -244,9 +244,9 @@ an1 AS (
 ),
 an2 AS (
   SELECT *,
-    CASE WHEN n_interactions IS NOT NULL THEN ln(1 + greatest(CAST(n_interactions AS DOUBLE), 0.0)) END AS log1p_n_interactions,
-    CASE WHEN interactions_per_month IS NOT NULL THEN ln(1 + greatest(CAST(interactions_per_month AS DOUBLE), 0.0)) END AS log1p_interactions_per_month,
-    CASE WHEN n_unique_users IS NOT NULL THEN ln(1 + greatest(CAST(n_unique_users AS DOUBLE), 0.0)) END AS log1p_n_unique_users
+    CASE WHEN n_interactions IS NOT NULL THEN ln(1.0 + greatest(CAST(n_interactions AS DOUBLE), 0.0)) END AS log1p_n_interactions,
+    CASE WHEN interactions_per_month IS NOT NULL THEN ln(1.0 + greatest(CAST(interactions_per_month AS DOUBLE), 0.0)) END AS log1p_interactions_per_month,
+    CASE WHEN n_unique_users IS NOT NULL THEN ln(1.0 + greatest(CAST(n_unique_users AS DOUBLE), 0.0)) END AS log1p_n_unique_users
   FROM an1
 ),
 an_q AS (
