@@ -1,0 +1,5 @@
+"""No streaming operators: the reference is batch-only (no watermark, window,
+state or trigger anywhere).  The pure aggregations (rating metrics, frequency
+tables, fixed-edge histograms) are plain ``groupBy`` plans and can be applied
+to a streaming DataFrame unchanged; quantile-, rank- and min-max-based
+operators need the whole table and stay batch."""
