@@ -111,7 +111,7 @@ def q_recipe_metrics(spark, sf):
 
 @register("e1_analysis", ANALYSIS_SPEC, f"SELECT {_cols(ANALYSIS_SPEC)} FROM analysis", ("analysis",))
 def q_analysis(spark, sf):
-    return analysis(spark, sf)
+    return stages(spark, sf)[2]
 
 
 @register("c13_prepare_recipes", RC_SPEC, f"SELECT {_cols(RC_SPEC)} FROM rc", ("rc",))
