@@ -1256,6 +1256,66 @@ def q_rank_li(spark, sf):
     return average_rank(FX.table(spark, sf, "lineitem"), "l_quantity")
 
 
+
+# --- composed studies ------------------------------------------------------------
+
+E7_SPEC = ("id:i, category_minutes_balanced:s, steps_complexity:s, n_ingredients_category:s, avg_words_per_step:d, "
+           "effort_score:d, effort_category:s")
+
+
+def _e7_sql() -> str:
+    from ratelens.operators.clean import EFFORT_BOUNDS, EFFORT_LABELS
+    from ratelens.plans.pipelines import INGR_TERCILES, MINUTES_TERCILES, WORDS_TERCILES
+
+    def terc(x, labels, src):
+        return (f"CASE WHEN {x} < (SELECT quantile_cont({x}, 0.33) FROM {src}) THEN '{labels[0]}' "
+                f"WHEN {x} < (SELECT quantile_cont({x}, 0.67) FROM {src}) THEN '{labels[1]}' ELSE '{labels[2]}' END")
+    s1 = ("(SELECT * FROM raw_r WHERE minutes > 0 AND minutes <= 1440 AND minutes <= 360)")
+    s2 = (f"(SELECT *, {terc('minutes', MINUTES_TERCILES, s1)} AS category_minutes_balanced FROM {s1} a "
+          f"WHERE n_steps IS NULL OR n_steps <> 0)")
+    s3 = (f"(SELECT *, {O.avg_words_sql(O.list_sql('steps'), False)} AS avg_words_per_step, "
+          f"ln(CAST(minutes AS DOUBLE)) AS log_minutes, CASE WHEN n_ingredients IS NOT NULL THEN "
+          f"ln(greatest(CAST(n_ingredients AS DOUBLE), 1.0)) END AS log_n_ingredients FROM {s2} b)")
+    mm = ", ".join(f"min(CAST({c} AS DOUBLE)) AS mn_{c}, max(CAST({c} AS DOUBLE)) AS mx_{c}"
+                   for c in ("log_minutes", "n_steps", "avg_words_per_step", "log_n_ingredients"))
+    sc = {c: f"CASE WHEN mn_{c} IS NULL OR mx_{c} IS NULL OR mx_{c} = mn_{c} THEN 0.0 ELSE "
+             f"(CAST({c} AS DOUBLE) - mn_{c}) / (mx_{c} - mn_{c}) END"
+          for c in ("log_minutes", "n_steps", "avg_words_per_step", "log_n_ingredients")}
+    score = (f"(0.3::DOUBLE * {sc['log_minutes']} + 0.25::DOUBLE * {sc['n_steps']} + 0.2::DOUBLE * "
+             f"{sc['avg_words_per_step']} + 0.25::DOUBLE * {sc['log_n_ingredients']}) * 100.0::DOUBLE")
+    s4 = (f"(SELECT *, {terc('avg_words_per_step', WORDS_TERCILES, s3)} AS steps_complexity, "
+          f"{terc('n_ingredients', INGR_TERCILES, s3)} AS n_ingredients_category, {score} AS effort_score "
+          f"FROM {s3} c, (SELECT {mm} FROM {s3} d) m)")
+    return (f"SELECT {_cols(E7_SPEC).replace(chr(34) + 'effort_category' + chr(34), '')}"
+            f"{O.bucket_sql_esc('effort_score', EFFORT_BOUNDS, EFFORT_LABELS)} AS effort_category FROM {s4} e")
+
+
+@register("e7_effort_study", E7_SPEC, _e7_sql(), ("raw_r",))
+def q_effort_study(spark, sf):
+    from ratelens.plans.pipelines import effort_study
+    return effort_study(raw_recipes(spark, sf))
+
+
+@register("e7_effort_frequency", "effort_category:s, n:i, pct:d",
+          f"SELECT effort_category, count(*) AS n, count(*) * 100.0 / (SELECT count(*) FROM ({_e7_sql()}) z) AS pct "
+          f"FROM ({_e7_sql()}) y GROUP BY 1", ("raw_r",))
+def q_effort_freq(spark, sf):
+    from ratelens.plans.pipelines import effort_study
+    return G.frequency(effort_study(raw_recipes(spark, sf)), "effort_category")
+
+
+@register("e4_group_study_summary", STRATA_SPEC)
+def q_group_study(spark, sf):
+    from ratelens.plans.pipelines import group_study
+    return group_study(analysis(spark, sf))["summary"]
+
+
+@register("e2_complete_profile_counts", "column:s, mean:d, median:d, min:d, max:d, mode:d")
+def q_complete_profile(spark, sf):
+    from ratelens.plans.pipelines import complete_profile
+    return complete_profile(raw_recipes(spark, sf))["counts"]
+
+
 # --- registry access -------------------------------------------------------------
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

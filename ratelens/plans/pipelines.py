@@ -71,3 +71,35 @@ def group_study(analysis: DataFrame, score: str = "effort_score",
     assigned, summary, edges = G.strata_summary(analysis, score, metrics)
     tests = T.group_tests(assigned, "stratum", list(metrics), na="per_metric")
     return {"summary": summary, "edges": edges, "tests": tests}
+
+
+# fixed values: tercile labels of the effort study
+MINUTES_TERCILES = ("Rapide", "Moyenne", "Longue")
+WORDS_TERCILES = ("Simple", "Moyennement complexe", "Complexe")
+INGR_TERCILES = ("Petit", "Moyen", "Grand")
+
+
+def effort_study(recipes: DataFrame) -> DataFrame:
+    """The staged effort study as one plan.
+
+    C6 (0, 1440] then <= 360 -> minutes terciles -> C7 (``n_steps != 0``, NULL
+    kept) -> A3b words per step -> words and ingredient terciles -> D1/D3 logs
+    -> D5 min-max -> D6 score -> D4 effort category.  The parsed rows are
+    staged once (S6) before the passes that need global statistics.
+    """
+    from ratelens.functions.expr import bucketize, log_floor
+    from ratelens.functions.lists import avg_words_per_step, list_or_empty
+    from ratelens.sources.sinks import stage
+    df = C.range_filter(recipes, "minutes", 0, 1440)
+    df = C.range_filter(df, "minutes", None, 360)
+    df = D.tercile_category(df, "minutes", MINUTES_TERCILES, "category_minutes_balanced")
+    df = df.where(F.col("n_steps").isNull() | (F.col("n_steps") != 0))
+    df = df.withColumn("avg_words_per_step", avg_words_per_step(list_or_empty(df, "steps"), skip_empty=False))
+    df = (df.withColumn("log_minutes", F.ln(F.col("minutes").cast("double")))
+            .withColumn("log_n_ingredients", log_floor("n_ingredients", 1.0)))
+    df = stage(df.drop("steps", "tags", "ingredients", "nutrition", "description"), "effort-study")
+    df = D.tercile_category(df, "avg_words_per_step", WORDS_TERCILES, "steps_complexity")
+    df = D.tercile_category(df, "n_ingredients", INGR_TERCILES, "n_ingredients_category")
+    df = D.minmax_scale(df, list(C.EFFORT_WEIGHTS))
+    df = D.weighted_score(df, C.EFFORT_WEIGHTS, 100.0, "effort_score")
+    return df.withColumn("effort_category", bucketize("effort_score", C.EFFORT_BOUNDS, C.EFFORT_LABELS))
