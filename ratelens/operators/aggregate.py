@@ -64,15 +64,19 @@ def bayes_mean(avg: Column, n: Column, prior_mean: Column, prior_count: float =
 def recipe_metrics(interactions: DataFrame, *, key: str = "recipe_id", rating: str = "rating",
                    user: str = "user_id", review: str = "review", prior_count: float = 10,
                    confidence: float = 0.95, positive_threshold: float = 4,
-                   bayes_digits: int | None = None) -> DataFrame:
+                   bayes_digits: int | None = None, materialize: bool = True) -> DataFrame:
     """G1 + G2 + G3 in one grouping (one shuffle) plus one global mean.
 
     G2 uses the already rounded ``avg_rating`` and the mean of all non-NULL
     ratings of ``interactions``; G3 counts ``rating >= 4`` as positive.
     """
-    base = interactions.where(F.col(key).isNotNull())
+    # NULL keys form one group here: they feed the global mean (as in the
+    # reference) and are dropped from the output afterwards.  The global mean
+    # comes from the grouped rows (sum / count); with ``materialize`` the
+    # grouped table (one row per key) is written once to the shared folder,
+    # so the interactions — the largest input — are scanned once.
     r = F.col(rating).cast("double")
-    g = base.groupBy(key).agg(
+    g = interactions.groupBy(key).agg(
         F.count(F.col(rating)).alias("n_interactions"),
         round_half_even(F.avg(r), 3).alias("avg_rating"),
         round_half_even(F.median(r), 3).alias("median_rating"),
@@ -80,8 +84,13 @@ def recipe_metrics(interactions: DataFrame, *, key: str = "recipe_id", rating: s
         F.count_distinct(F.col(user)).alias("n_unique_users"),
         F.count(F.col(review)).alias("n_reviews_text"),
         F.count_if(r >= F.lit(float(positive_threshold))).alias("_pos"),
+        F.sum(r).alias("_sum"),
     )
-    gm = interactions.agg(F.avg(r).alias("_gm"))
+    if materialize:
+        from ratelens.sources.sinks import stage
+        g = stage(g, "key-metrics")
+    gm = g.agg((F.sum("_sum") / F.sum("n_interactions")).alias("_gm"))
+    g = g.where(F.col(key).isNotNull())
     j = g.crossJoin(F.broadcast(gm))
     bm = bayes_mean(F.col("avg_rating"), F.col("n_interactions"), F.col("_gm"), prior_count)
     if bayes_digits is not None:
@@ -89,7 +98,7 @@ def recipe_metrics(interactions: DataFrame, *, key: str = "recipe_id", rating: s
     return (j.withColumn("bayes_mean", bm)
              .withColumn("wilson_lb", wilson_lower_bound(F.col("_pos"), F.col("n_interactions"),
                                                          confidence))
-             .drop("_pos", "_gm"))
+             .drop("_pos", "_gm", "_sum"))
 
 
 def mean_by(df: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:
