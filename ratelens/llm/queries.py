@@ -9,18 +9,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import pii, quality, sharding, urlfilter
+from ratelens.llm import bpe, packing, pii, quality, sharding, simhash, urlfilter
 from ratelens.llm.common import table
 
 
+def vocabulary() -> str:
+    """The public vocabulary file of the contracts; another path is a parameter of the operators."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary()).drop("ids")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), vocabulary()).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 # --- op8: captures are the pages at a day told by their id; the lists are dated by their hosts' hashes
 
 _DAY0 = "DATE'2024-01-01'"
@@ -83,6 +98,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=2).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 _OP9_SQL = """
 WITH RECURSIVE crc(i, c, k) AS (
   SELECT i, i::BIGINT, 0 FROM range(256) t(i) UNION ALL
@@ -99,9 +119,12 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, place - min(place) OVER
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op7_bpe": op7_bpe,
     "op8_url_filters": op8_url_filters,
     "op9_sharding": op9_sharding,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL = {
