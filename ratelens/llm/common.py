@@ -34,6 +34,11 @@ def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def text_hash(text: Column) -> Column:
+    """64 bits of a text (null: empty); with the id it finds a row's result again."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def once(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row.
 

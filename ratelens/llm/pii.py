@@ -157,24 +157,27 @@ def find(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS, id_col: str = "doc_id
     return id_text(docs, id_col, text_col).select("doc_id", "text", _spans(F.col("text"), kinds).alias("spans"))
 
 
-def redact(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ``spans`` and ``redacted``: each span replaced by its kind in brackets.
+def redact(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS, text_col: str = "text") -> DataFrame:
+    """All rows and columns of ``docs``, each span in ``text_col`` replaced by its kind in brackets.
 
     Spans that overlap are replaced together by the kind of the first (by
-    start, then the longer one).  A text without spans comes back unchanged.
+    start, then the longer one).  A text without spans - null and empty ones
+    among them - comes back unchanged.
     """
     def step(acc, x):
-        fresh = x["start"] >= acc["at"]
         gap = F.array(F.col("text").substr(acc["at"] + 1, x["start"] - acc["at"]), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"),
-                        F.when(fresh, F.concat(acc["out"], gap)).otherwise(acc["out"]).alias("out"))
+                        F.when(x["start"] >= acc["at"], F.concat(acc["out"], gap)).otherwise(acc["out"]).alias("out"))
     placed = F.array_sort(F.transform("spans", lambda x: F.struct(
         x["start"].alias("start"), (-x["end"]).alias("neg"), x["kind"].alias("kind"), x["end"].alias("end"))))
     done = F.aggregate(placed, F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out")), step,
                        lambda acc: F.concat(F.array_join(acc["out"], ""),
                                             F.col("text").substr(acc["at"] + 1, F.length("text"))))
-    return find(docs, kinds, id_col, text_col).select(
-        "doc_id", "spans", F.when(F.size("spans") == 0, F.col("text")).otherwise(done).alias("redacted"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    found = rows.select("row", "text", _spans(F.col("text"), kinds).alias("spans"))
+    return found.select(*[F.when(F.size("spans") == 0, F.col("row").getField(c)).otherwise(done).alias(c) if c == text_col
+                          else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def digest(found: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:

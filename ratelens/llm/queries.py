@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import bpe, packing, pii, quality, sharding, simhash, urlfilter
+from ratelens.llm import bpe, packing, pii, quality, sharding, simhash, substring, topk, toxicity, urlfilter
 from ratelens.llm.common import table
 
 
@@ -27,10 +27,44 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary()).drop("ids")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.search(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
+
+
+_OP5_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), min_words=20).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+_OP6_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS n FROM p) WHERE n > 1),
+g AS (SELECT DISTINCT doc_id, i + o.o AS i FROM r, range(20) o(o)),
+x AS (SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda y, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN x USING (doc_id)"""
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), vocabulary()).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -120,7 +154,10 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, place - min(place) OVER
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
+    "op5_exact_topk": op5_exact_topk,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_bpe": op7_bpe,
     "op8_url_filters": op8_url_filters,
     "op9_sharding": op9_sharding,
@@ -130,6 +167,8 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_pii": pii.oracle(),
     "op4_quality_rules": quality.oracle(),
+    "op5_exact_topk": _OP5_SQL,
+    "op6_substring_dedup": _OP6_SQL,
     "op8_url_filters": _OP8_SQL,
     "op9_sharding": _OP9_SQL,
 }

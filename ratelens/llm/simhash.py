@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.llm.common import id_text, staged
+from ratelens.llm.common import id_text, staged, text_hash
 
 SEED = 42
 BITS = 64
@@ -52,15 +52,16 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ``fp`` (the 64 bits as a signed bigint), one row a document, without an exchange."""
+    """doc_id, text_hash and ``fp`` (the 64 bits as a signed bigint), one row a document, without an exchange."""
     if width < 1:
         raise ValueError("width must be at least 1")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py() or "", width) for t in b["text"]), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
-    return id_text(docs, id_col, text_col).mapInArrow(each, "doc_id bigint, fp bigint")
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_hash"], pa.array(fps.view(np.int64))], names=["doc_id", "text_hash", "fp"])
+    return id_text(docs, id_col, text_col).withColumn("text_hash", text_hash(F.col("text"))).mapInArrow(
+        each, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def _edges() -> np.ndarray:
@@ -184,7 +185,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ``fp`` and ``component_id``, one row a document.
+    """doc_id, ``fp``, ``component_id``, ``component`` (a fingerprint that names it) and ``text_hash``, one row a document.
 
     ``component_id`` is the smallest doc_id of all documents that can be
     reached over fingerprints ``radius`` bits apart or less, itself included.
@@ -198,5 +199,5 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, id_col: st
     linked = components(links(own, radius))
     nodes = own.join(linked, own["fp"] == linked["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = nodes.join(smallest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = nodes.join(smallest, "root").select("fp", "component_id", F.col("root").alias("component"))
+    return rows.join(named, "fp").select("doc_id", "fp", "component_id", "component", "text_hash")
