@@ -189,7 +189,7 @@ def _unpack(blob: bytes, min_words: int) -> Words:
     return Words(zstandard.ZstdDecompressor().decompress(blob), min_words)
 
 
-def _slices(chunks: DataFrame, min_words: int) -> DataFrame:
+def _slices(chunks: DataFrame, min_words: int, shared_from: int) -> DataFrame:
     """One row an anchor (and part of its windows): the suffixes that start there as one slice of words."""
     width = _anchor_width(min_words)
 
@@ -208,7 +208,7 @@ def _slices(chunks: DataFrame, min_words: int) -> DataFrame:
                 hashes = words.grams(min_words)[words.windows]
                 want &= ~words.later(hashes)
                 # the windows of an anchor stand together; a shared anchor's are dealt by the whole window
-                parts = -(-ns[place[want]] // SHARED)
+                parts = -(-ns[place[want]] // shared_from)
                 part = (hashes[want] % parts.astype(np.uint64)).astype(np.int64)
                 window, anchor = words.windows[want], at[want]
                 order = np.lexsort((window, part, anchor))
@@ -311,7 +311,8 @@ def _result(chunks: DataFrame, min_words: int) -> DataFrame:
     return chunks.mapInArrow(each, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, removed array<struct<start:bigint,end:bigint>>, text_hash bigint")
 
 
-def remove_repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK,
+                   shared_from: int = SHARED) -> DataFrame:
     """doc_id, ``n_words``, ``n_removed``, ``kept_text``, ``removed`` and ``text_hash``, one row a document.
 
     A word goes if a window of ``min_words`` consecutive words covers it whose
@@ -322,6 +323,7 @@ def remove_repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id",
     without an id come after all others; rows that share an id count as
     documents of their own, of which the one read first is the earlier, so of
     repeated rows all but one lose their windows.  An empty table gives no rows.
+    ``chunk_bytes`` and ``shared_from`` bound memory and change no result.
     """
     if min_words < 1:
         raise ValueError("min_words must be at least 1")
@@ -336,6 +338,6 @@ def remove_repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id",
     shared = grams.withColumn("n", F.count("*").over(Window.partitionBy("h"))).where("n > 1")
     asked = shared.groupBy("chunk").agg(F.collect_list("h").alias("hs"), F.collect_list("n").alias("ns")).hint("merge")
     sent = chunks.select("chunk", "doc_ids", "blob").join(asked, "chunk")
-    found = _repeats(_slices(sent, min_words), min_words)
+    found = _repeats(_slices(sent, min_words, shared_from), min_words)
     back = staged(found, "repeats").groupBy("chunk").agg(F.collect_list("lead").alias("leads"), F.collect_list("mask").alias("masks")).hint("merge")
     return _result(chunks.select("chunk", "doc_ids", "text_hashes", "blob").join(back, "chunk", "left"), min_words)
