@@ -1,53 +1,50 @@
 """Tail probabilities of the t, F and chi-square distributions.
 
-Scalar special functions (regularised incomplete beta by its continued
-fraction, regularised incomplete gamma by series / continued fraction),
-``math.lgamma`` only.  They are applied to already aggregated rows through
-one Arrow UDF, so the operators stay lazy and nothing but a handful of
-statistics is ever evaluated in Python.
+Incomplete beta and gamma functions by their continued fractions, evaluated
+from the tail with a number of terms that is doubled until the value stands
+still; for very many degrees of freedom, where logarithms of gamma functions
+lose their digits against each other, by the limit distributions with their
+first corrections.  Applied to already aggregated rows through Arrow UDFs, so
+the operators stay lazy and only a handful of statistics meets Python.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-_EPS = 1e-15
-_TINY = 1e-300
-_MAXIT = 500
-
-
-def _beta_cf(a: float, b: float, x: float) -> float:
-    # modified Lentz evaluation of the incomplete-beta continued fraction
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = _TINY if abs(d) < _TINY else d
-    d = 1.0 / d
-    h = d
-    for m in range(1, _MAXIT + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = _TINY if abs(d) < _TINY else d
-        c = 1.0 + aa / c
-        c = _TINY if abs(c) < _TINY else c
-        d = 1.0 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = _TINY if abs(d) < _TINY else d
-        c = 1.0 + aa / c
-        c = _TINY if abs(c) < _TINY else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return h
+#: Degrees of freedom from which the limit forms are used.
+MANY = 1e6
+_MOST_TERMS = 1 << 20
+
+
+def _settled(value: Callable[[int], float]) -> float:
+    """``value(terms)`` with terms doubled until two results agree to 14 digits."""
+    terms, last = 64, value(32)
+    while terms <= _MOST_TERMS:
+        now = value(terms)
+        if abs(now - last) <= 1e-14 * abs(now):
+            return now
+        terms, last = 2 * terms, now
+    raise ArithmeticError("the continued fraction does not settle")
+
+
+def _beta_fraction(a: float, b: float, x: float, terms: int) -> float:
+    """1 / (1 + d1 / (1 + d2 / ...)) of the incomplete beta function, from the last term back."""
+    tail = 1.0
+    for j in range(terms, 0, -1):
+        m = j // 2
+        if j % 2:
+            d = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        else:
+            d = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        tail = 1.0 + d / tail
+    return 1.0 / tail
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -56,43 +53,44 @@ def betainc(a: float, b: float, x: float) -> float:
         return 0.0
     if x >= 1.0:
         return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    bt = math.exp(lbt)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return bt * _beta_cf(a, b, x) / a
-    return 1.0 - bt * _beta_cf(b, a, 1.0 - x) / b
+    if x > (a + 1.0) / (a + b + 2.0):  # the fraction settles fast below the mean
+        return 1.0 - betainc(b, a, 1.0 - x)
+    log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    return math.exp(log_front) / a * _settled(lambda n: _beta_fraction(a, b, x, n))
+
+
+def _gamma_fraction(a: float, x: float, terms: int) -> float:
+    """1 / (x + 1 - a - 1 (1 - a) / (x + 3 - a - ...)), from the last term back."""
+    tail = x + 2 * terms + 1 - a
+    for j in range(terms, 0, -1):
+        tail = x + 2 * j - 1 - a - j * (j - a) / tail
+    return 1.0 / tail
 
 
 def gammaincc(a: float, x: float) -> float:
     """Regularised upper incomplete gamma Q(a, x)."""
     if x <= 0.0:
         return 1.0
-    lg = math.lgamma(a)
+    if a >= MANY / 2:  # uniform expansion about x = a: normal tail and its first correction
+        ratio = x / a
+        if abs(ratio - 1) < 1e-4:
+            r = ratio - 1
+            half = r * r / 2 - r ** 3 / 3 + r ** 4 / 4  # ratio - 1 - log(ratio), without cancellation
+        else:
+            half = ratio - 1 - math.log(ratio)
+        eta = math.copysign(math.sqrt(2 * max(half, 0.0)), ratio - 1)
+        first = 1 / (ratio - 1) - 1 / eta if abs(eta) > 1e-3 else -1 / 3 + eta / 12
+        return 0.5 * math.erfc(eta * math.sqrt(a / 2)) + math.exp(-a * half) * first / math.sqrt(2 * math.pi * a)
+    log_front = a * math.log(x) - x - math.lgamma(a)
     if x < a + 1.0:
-        ap, s, d = a, 1.0 / a, 1.0 / a
-        for _ in range(_MAXIT):
-            ap += 1.0
-            d *= x / ap
-            s += d
-            if abs(d) < abs(s) * _EPS:
-                break
-        return 1.0 - s * math.exp(-x + a * math.log(x) - lg)
-    b = x + 1.0 - a
-    c, d = 1.0 / _TINY, 1.0 / b
-    h = d
-    for i in range(1, _MAXIT + 1):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = _TINY if abs(d) < _TINY else d
-        c = b + an / c
-        c = _TINY if abs(c) < _TINY else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - lg) * h
+        term = total = 1.0 / a
+        n = a
+        while term > total * 1e-16:
+            n += 1.0
+            term *= x / n
+            total += term
+        return 1.0 - math.exp(log_front) * total
+    return math.exp(log_front) * _settled(lambda n: _gamma_fraction(a, x, n))
 
 
 def t_two_sided(t: float, df: float) -> float:
@@ -100,6 +98,8 @@ def t_two_sided(t: float, df: float) -> float:
         return float("nan")
     if math.isinf(t):
         return 0.0
+    if df >= MANY:  # normal tail at the corrected point
+        return math.erfc(abs(t) * (1 - 1 / (4 * df)) / math.sqrt(1 + t * t / (2 * df)) / math.sqrt(2))
     return betainc(df / 2.0, 0.5, df / (df + t * t))
 
 
@@ -110,6 +110,9 @@ def f_sf(f: float, d1: float, d2: float) -> float:
         return 0.0
     if f <= 0:
         return 1.0
+    if d2 >= 10 * MANY:  # d1 f follows chi-square; first correction in 1 / d2
+        x = d1 * f
+        return chi2_sf(x - x * (x - d1 + 2) / (2 * d2), d1)
     return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
 
@@ -130,8 +133,7 @@ def pearson_p(r: float, n: float) -> float:
 
 
 def _vec(fn, *series: pd.Series) -> pd.Series:
-    out = [fn(*[None if pd.isna(v) else float(v) for v in vals]) if not any(pd.isna(v) for v in vals)
-           else float("nan") for vals in zip(*series)]
+    out = [fn(*map(float, vals)) if not any(pd.isna(v) for v in vals) else float("nan") for vals in zip(*series)]
     return pd.Series(out, dtype="float64")
 
 
@@ -150,11 +152,6 @@ def _chi2_sf_udf(x: pd.Series, k: pd.Series) -> pd.Series:
     return _vec(chi2_sf, x, k)
 
 
-@F.pandas_udf(DoubleType())
-def _t_two_sided_udf(t: pd.Series, df: pd.Series) -> pd.Series:
-    return _vec(t_two_sided, t, df)
-
-
 def _nan_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
@@ -169,7 +166,3 @@ def f_sf_col(f: Column, d1: Column, d2: Column) -> Column:
 
 def chi2_sf_col(x: Column, k: Column) -> Column:
     return _nan_null(_chi2_sf_udf(x.cast("double"), k.cast("double")))
-
-
-def t_two_sided_col(t: Column, df: Column) -> Column:
-    return _nan_null(_t_two_sided_udf(t.cast("double"), df.cast("double")))

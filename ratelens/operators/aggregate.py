@@ -21,26 +21,36 @@ from ratelens.operators.derive import cut as cut_bins
 
 def rating_metrics(interactions: DataFrame, *, key: str = "recipe_id", rating: str = "rating",
                    user: str = "user_id", review: str = "review", digits: int | None = 3,
-                   extra_rows: bool = False) -> DataFrame:
-    """G1: per-key engagement and rating metrics.
+                   positive_threshold: float = 4) -> DataFrame:
+    """G1: per-key engagement and rating metrics, and ``_pos`` (ratings from the threshold on).
 
     ``n_interactions`` counts non-NULL ratings (not rows); ``n_unique_users``
     counts distinct users over all rows.  Keys whose ratings are all NULL
     stay, with count 0 and NULL averages.  Values are rounded half-even.
+
+    Rows collapse map-side to (key, rating) counts, of which a key has as many
+    as ratings have values; mean, deviation and median come from those.  The
+    distinct users are a two-step count of their own, so no buffer ever hangs
+    on a (key, user) pair.
     """
-    r = F.col(rating).cast("double")
     rnd = (lambda c: round_half_even(c, digits)) if digits is not None else (lambda c: c)
-    aggs = [
-        F.count(F.col(rating)).alias("n_interactions"),
-        rnd(F.avg(r)).alias("avg_rating"),
-        rnd(F.median(r)).alias("median_rating"),
-        rnd(F.stddev_samp(r)).alias("std_rating"),
-        F.count_distinct(F.col(user)).alias("n_unique_users"),
-        F.count(F.col(review)).alias("n_reviews_text"),
-    ]
-    if extra_rows:
-        aggs.append(F.count(F.lit(1)).alias("n_rows"))
-    return interactions.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    rows = interactions.where(F.col(key).isNotNull())
+    per = rows.groupBy(key, F.col(rating).cast("double").alias("_r")).agg(
+        F.count(F.lit(1)).alias("_w"), F.count(F.col(review)).alias("_reviews"))
+    w = F.when(F.col("_r").isNotNull(), F.col("_w"))
+    n, mean = F.sum(w), F.try_divide(F.sum(w * F.col("_r")), F.sum(w))
+    stats = per.groupBy(key).agg(
+        F.coalesce(n, F.lit(0)).alias("n_interactions"), mean.alias("_mean"), F.sum(w * F.col("_r") * F.col("_r")).alias("_ss"),
+        F.percentile("_r", 0.5, F.coalesce(w, F.lit(0))).alias("_median"), F.sum("_reviews").alias("n_reviews_text"),
+        F.coalesce(F.sum(F.when(F.col("_r") >= F.lit(float(positive_threshold)), F.col("_w"))), F.lit(0)).alias("_pos"))
+    users = (rows.where(F.col(user).isNotNull()).select(F.col(key).alias("_uk"), user).distinct()
+             .groupBy("_uk").agg(F.count(F.lit(1)).alias("_users")))
+    m = F.col("n_interactions")
+    var = F.try_divide(F.greatest(F.col("_ss") - m * F.col("_mean") * F.col("_mean"), F.lit(0.0)), m - 1)
+    return stats.join(users, F.col(key) == F.col("_uk"), "left").select(
+        key, "n_interactions", rnd(F.col("_mean")).alias("avg_rating"), rnd(F.col("_median")).alias("median_rating"),
+        rnd(F.sqrt(F.when(m > 1, var))).alias("std_rating"), F.coalesce("_users", F.lit(0)).alias("n_unique_users"),
+        "n_reviews_text", "_pos")
 
 
 def wilson_lower_bound(positives: Column, total: Column, confidence: float = 0.95) -> Column:
@@ -64,41 +74,22 @@ def bayes_mean(avg: Column, n: Column, prior_mean: Column, prior_count: float =
 def recipe_metrics(interactions: DataFrame, *, key: str = "recipe_id", rating: str = "rating",
                    user: str = "user_id", review: str = "review", prior_count: float = 10,
                    confidence: float = 0.95, positive_threshold: float = 4,
-                   bayes_digits: int | None = None, materialize: bool = True) -> DataFrame:
-    """G1 + G2 + G3 in one grouping (one shuffle) plus one global mean.
+                   bayes_digits: int | None = None) -> DataFrame:
+    """G1 + G2 + G3: per-key metrics and one global mean, as one lazy plan.
 
     G2 uses the already rounded ``avg_rating`` and the mean of all non-NULL
-    ratings of ``interactions``; G3 counts ``rating >= 4`` as positive.
+    ratings of ``interactions`` (rows without a key included, as in the
+    reference; a scan of that one column); G3 counts ``rating >= 4`` as
+    positive.
     """
-    # NULL keys form one group here: they feed the global mean (as in the
-    # reference) and are dropped from the output afterwards.  The global mean
-    # comes from the grouped rows (sum / count); with ``materialize`` the
-    # grouped table (one row per key) is written once to the shared folder,
-    # so the interactions — the largest input — are scanned once.
-    r = F.col(rating).cast("double")
-    g = interactions.groupBy(key).agg(
-        F.count(F.col(rating)).alias("n_interactions"),
-        round_half_even(F.avg(r), 3).alias("avg_rating"),
-        round_half_even(F.median(r), 3).alias("median_rating"),
-        round_half_even(F.stddev_samp(r), 3).alias("std_rating"),
-        F.count_distinct(F.col(user)).alias("n_unique_users"),
-        F.count(F.col(review)).alias("n_reviews_text"),
-        F.count_if(r >= F.lit(float(positive_threshold))).alias("_pos"),
-        F.sum(r).alias("_sum"),
-    )
-    if materialize:
-        from ratelens.sources.sinks import stage
-        g = stage(g, "key-metrics")
-    gm = g.agg((F.sum("_sum") / F.sum("n_interactions")).alias("_gm"))
-    g = g.where(F.col(key).isNotNull())
-    j = g.crossJoin(F.broadcast(gm))
+    g = rating_metrics(interactions, key=key, rating=rating, user=user, review=review, positive_threshold=positive_threshold)
+    gm = interactions.agg(F.avg(F.col(rating).cast("double")).alias("_gm"))
     bm = bayes_mean(F.col("avg_rating"), F.col("n_interactions"), F.col("_gm"), prior_count)
     if bayes_digits is not None:
         bm = round_half_even(bm, bayes_digits)
-    return (j.withColumn("bayes_mean", bm)
-             .withColumn("wilson_lb", wilson_lower_bound(F.col("_pos"), F.col("n_interactions"),
-                                                         confidence))
-             .drop("_pos", "_gm", "_sum"))
+    return (g.crossJoin(F.broadcast(gm)).withColumn("bayes_mean", bm)
+             .withColumn("wilson_lb", wilson_lower_bound(F.col("_pos"), F.col("n_interactions"), confidence))
+             .drop("_pos", "_gm"))
 
 
 def mean_by(df: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:

@@ -94,14 +94,17 @@ def predicate(df: DataFrame, condition: str | Column) -> DataFrame:
     return df.where(condition)
 
 
-def coerce_timestamp(c: str | Column, fmt: str | None = None) -> Column:
-    """C11: unparseable text -> NULL (``to_datetime(errors='coerce')``)."""
+def coerce_timestamp(c: str | Column, fmt: str | None = None, strict: bool = False) -> Column:
+    """C11: unparseable text -> NULL (``to_datetime(errors='coerce')``); with
+    ``strict`` it fails the job (``errors='raise'``)."""
     x = col(c)
+    if strict:
+        return F.to_timestamp(x, fmt) if fmt else F.to_timestamp(x)
     return F.try_to_timestamp(x, F.lit(fmt)) if fmt else F.try_to_timestamp(x)
 
 
-def coerce_date(c: str | Column, fmt: str | None = None) -> Column:
-    return coerce_timestamp(c, fmt).cast("date")
+def coerce_date(c: str | Column, fmt: str | None = None, strict: bool = False) -> Column:
+    return coerce_timestamp(c, fmt, strict).cast("date")
 
 
 # fixed values: category labels and bounds of the pipeline's rule-based categorisers
@@ -109,7 +112,6 @@ MINUTES_LABELS = ("Rapide", "Moyenne", "Longue")
 STEPS_BOUNDS, STEPS_LABELS = (5, 10, 20), ("Simple", "Modéré", "Complexe", "Très complexe")
 WORDS_BOUNDS, WORDS_LABELS = (10, 20), ("Étapes courtes", "Étapes moyennes", "Étapes longues")
 INGR_BOUNDS, INGR_LABELS = (5, 10), ("Peu d'ingrédients", "Ingrédients modérés", "Beaucoup d'ingrédients")
-INGR_STUDY_LABELS = ("Petit", "Moyen", "Grand")
 EFFORT_BOUNDS, EFFORT_LABELS = (15, 20, 25, 30), ("Très Facile", "Facile", "Modéré", "Difficile", "Très Difficile")
 EFFORT_WEIGHTS = {"log_minutes": 0.30, "n_steps": 0.25, "avg_words_per_step": 0.20,
                   "log_n_ingredients": 0.25}
@@ -122,25 +124,31 @@ def category_minutes(c: str | Column = "minutes") -> Column:
             .otherwise(MINUTES_LABELS[2]))
 
 
-def prepare_recipes(recipes: DataFrame, *, max_minutes: float = 360, materialize: bool = True) -> DataFrame:
-    """The pipeline's recipe cleaning and derived columns, in its order.
+def filter_recipes(recipes: DataFrame, *, max_minutes: float = 360) -> DataFrame:
+    """The row filters of C13; cheap range filters run before the list parse.
 
-    Cheap range filters run before the list parse.  The min-max scaling of
-    D5 needs a second pass over the parsed rows; with ``materialize`` the
-    parsed, filtered rows are written once to the shared checkpoint folder
-    (S6) so the text is parsed once and a lost executor never re-parses it.
-    The min-max statistics are one aggregate joined back as a one-row
-    broadcast.
+    Adds ``_steps_arr``, the parsed step list.  Who needs the kept ids alone
+    stops here: no statistics, no further parsing.
     """
-    from ratelens.operators.derive import minmax_scale, weighted_score
-
     df = sentinel_to_null(recipes, "minutes")
     df = df.where(F.col("minutes").isNotNull())
     df = range_filter(df, "minutes", 0, max_minutes)
     df = positive_filter(df, "n_steps")
     df = df.where(F.col("steps").isNotNull())
     df = df.withColumn("_steps_arr", list_or_empty(df, "steps"))
-    df = df.where(F.size("_steps_arr") > 0)
+    return df.where(F.size("_steps_arr") > 0)
+
+
+def prepare_recipes(recipes: DataFrame, *, max_minutes: float = 360) -> DataFrame:
+    """The pipeline's recipe cleaning and derived columns, in its order.
+
+    One lazy plan.  The min-max statistics of D5 are one aggregate over the
+    filtered rows (its scan reads the scaled columns and the step text only),
+    joined back as a one-row broadcast; no text is written anywhere.
+    """
+    from ratelens.operators.derive import minmax_scale, weighted_score
+
+    df = filter_recipes(recipes, max_minutes=max_minutes)
     df = df.withColumn("submitted", coerce_date("submitted"))
     df = (df.withColumn("log_minutes", F.ln(F.col("minutes").cast("double")))
             .withColumn("category_minutes", category_minutes("minutes"))
@@ -152,9 +160,6 @@ def prepare_recipes(recipes: DataFrame, *, max_minutes: float = 360, materialize
                         bucketize("n_ingredients", INGR_BOUNDS, INGR_LABELS, closed="right"))
             .withColumn("log_n_ingredients", log_floor("n_ingredients", 1.0))
             .drop("_steps_arr"))
-    if materialize:
-        from ratelens.sources.sinks import stage
-        df = stage(df, "recipes-clean")
     df = minmax_scale(df, list(EFFORT_WEIGHTS))
     df = weighted_score(df, EFFORT_WEIGHTS, scale=100.0, out="effort_score", suffix="_scaled")
     return df.withColumn("effort_category",

@@ -49,12 +49,13 @@ def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 
 def winsorize(df: DataFrame, cols: Sequence[str], lower: float = 0.05, upper: float = 0.99,
-              suffix: str = "_w", method: str = "auto") -> DataFrame:
+              suffix: str = "_w", method: str = "auto", values: DataFrame | None = None) -> DataFrame:
     """Clip each column to its own [lower, upper] quantiles; NULLs stay.
 
-    An all-NULL column has NULL bounds and is returned unchanged.
+    An all-NULL column has NULL bounds and is returned unchanged.  ``values``
+    are the same rows' columns where they are cheaper to read (a stage).
     """
-    qs = quantile_row(df, cols, [lower, upper], method)
+    qs = quantile_row(df if values is None else values, cols, [lower, upper], method)
     j = df.crossJoin(F.broadcast(qs))
     outs = [clip(c, F.col(f"{c}__q0"), F.col(f"{c}__q1")).alias(f"{c}{suffix}") for c in cols]
     keep = [F.col(c) for c in df.columns if c not in {f"{x}{suffix}" for x in cols}]
@@ -239,7 +240,8 @@ def standardized_product(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     st = df.agg(F.avg(a).alias("_am"), F.stddev_samp(a).alias("_as"),
                 F.avg(b).alias("_bm"), F.stddev_samp(b).alias("_bs"))
     j = df.crossJoin(F.broadcast(st))
-    v = ((F.col(a) - F.col("_am")) / F.col("_as")) * ((F.col(b) - F.col("_bm")) / F.col("_bs"))
+    # a constant column has no standardised value: NULL
+    v = F.try_divide(F.col(a) - F.col("_am"), F.col("_as")) * F.try_divide(F.col(b) - F.col("_bm"), F.col("_bs"))
     return j.withColumn(out, v).drop("_am", "_as", "_bm", "_bs")
 
 
@@ -248,7 +250,11 @@ def enrich_analysis(recipes_clean: DataFrame, metrics: DataFrame, *, as_of: str,
     """J1 -> D12 -> D13 -> C9 -> D1 -> D2 -> D7 -> D11.
 
     The join keeps only recipes that have interactions (inner, on purpose).
+    The four columns of D7 are written once to the shared folder, and their
+    quantiles read from there: a job when the plan is built, but the joined
+    rows and their texts are not computed again for each quantile pass.
     """
+    from ratelens.sources.sinks import stage
     m = metrics.withColumnRenamed("recipe_id", "_mid")
     df = recipes_clean.join(m, recipes_clean["id"] == m["_mid"], "inner").drop("_mid")
     df = df.withColumn("age_months", age_months("submitted", as_of))
@@ -257,6 +263,6 @@ def enrich_analysis(recipes_clean: DataFrame, metrics: DataFrame, *, as_of: str,
     df = df.withColumn("log_minutes", F.ln(F.col("minutes").cast("double")))
     for v in ("n_interactions", "interactions_per_month", "n_unique_users"):
         df = df.withColumn(f"log1p_{v}", log1p_clipped(v))
-    df = winsorize(df, ["log_minutes", "log1p_n_interactions", "log1p_interactions_per_month",
-                        "log1p_n_unique_users"], 0.05, 0.99, method=method)
+    cols = ["log_minutes", "log1p_n_interactions", "log1p_interactions_per_month", "log1p_n_unique_users"]
+    df = winsorize(df, cols, 0.05, 0.99, method=method, values=stage(df.select(*cols), "winsorized-columns"))
     return gap_columns(df)

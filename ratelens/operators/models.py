@@ -79,7 +79,7 @@ def _quad_sql() -> list[str]:
     cs = []
     for k in range(3):
         mk = [[T[r] if col == k else M[r][col] for col in range(3)] for r in range(3)]
-        cs.append(f"({_det3(mk)})/({det})")
+        cs.append(f"try_divide({_det3(mk)}, {det})")  # fewer than three distinct x: NULL
     c0, c1, c2 = cs
     return [f"{c2} AS a2", f"({c1}) - 2.0*({c2})*mx AS a1",
             f"({c0}) - ({c1})*mx + ({c2})*mx*mx AS a0", "CAST(s0 AS BIGINT) AS n"]
@@ -171,30 +171,87 @@ def ols(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
-    """MSE, RMSE, MAE, R^2 (``1 - SSE/SST`` about the mean of y)."""
+    """MSE, RMSE, MAE, R^2 (``1 - SSE/SST`` about the mean of y; NULL for a constant y)."""
     e = F.col(y).cast("double") - F.col(pred).cast("double")
     d = df.where(F.col(y).isNotNull() & F.col(pred).isNotNull())
     a = d.agg(F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
               F.var_pop(F.col(y).cast("double")).alias("_vy"), F.count(F.lit(1)).alias("n"))
     return a.select("mse", F.sqrt("mse").alias("rmse"), "mae",
-                    (F.lit(1.0) - F.col("mse") / F.col("_vy")).alias("r2"), "n")
+                    (F.lit(1.0) - F.try_divide("mse", "_vy")).alias("r2"), "n")
+
+
+def _linear_on_train(df: DataFrame, features: Sequence[str], target: str, key: str, seed: int, test_size: float):
+    """Complete rows with ``is_test`` and ``<f>_z`` (train moments, ddof 0), and the model fitted on the train rows."""
+    from ratelens.operators.derive import add_feature_columns, apply_standardization
+    d = df.select(key, *features, target).na.drop().withColumn("is_test", split_flag(key, seed, test_size))
+    _, meta = add_feature_columns(d.where(~F.col("is_test")), interaction=False, columns_to_standardize=features)
+    z = apply_standardization(d, meta, "_z")
+    model, _ = fit_linear(z.where(~F.col("is_test")), [f"{f}_z" for f in features], target)
+    return z, model
+
+
+def _linear_prediction(model, features: Sequence[str]) -> Column:
+    out = F.lit(float(model.intercept))
+    for f, c in zip(features, model.coefficients.toArray()):
+        out = out + F.lit(float(c)) * F.col(f"{f}_z")
+    return out
+
+
+def _fit_forest(df: DataFrame, features: Sequence[str], target: str, seed: int, rf_params: Mapping | None):
+    params = {"numTrees": 100, "maxDepth": 10, "featureSubsetStrategy": "all", "maxBins": 64}
+    params.update(rf_params or {})
+    return RandomForestRegressor(featuresCol="_features", labelCol=target, seed=seed, **params).fit(_assemble(df, features, target))
+
+
+def holdout_predictions(df: DataFrame, features: Sequence[str], target: str, key: str, seed: int = 42,
+                        test_size: float = 0.2, rf_params: Mapping | None = None, forest: bool = True) -> DataFrame:
+    """The test rows with what either model says of them: ``key, actual,
+    pred_linear, pred_forest`` (NULL without ``forest``) and the features.
+
+    T15's and T16's models, fitted on the same train rows; the extracts of
+    T18, T19, T20 and T22 all come from this one table.
+    """
+    z, model = _linear_on_train(df, features, target, key, seed, test_size)
+    test = z.where("is_test").select(key, F.col(target).alias("actual"),
+                                     _linear_prediction(model, features).alias("pred_linear"), *features)
+    if not forest:
+        return test.withColumn("pred_forest", F.lit(None).cast("double"))
+    rf = _fit_forest(z.where(~F.col("is_test")), features, target, seed, rf_params)
+    ready = VectorAssembler(inputCols=list(features), outputCol="_features").transform(
+        test.select(*[c if c not in features else F.col(c).cast("double").alias(c) for c in test.columns]))
+    return rf.transform(ready).withColumnRenamed("prediction", "pred_forest").drop("_features")
+
+
+def prediction_metrics(preds: DataFrame, target: str = "target") -> DataFrame:
+    """T17 for both models of :func:`holdout_predictions`: ``target, model, rmse, mae, r2, n_test``."""
+    out = None
+    for model, c in (("linear_regression", "pred_linear"), ("random_forest", "pred_forest")):
+        m = regression_metrics(preds, "actual", c).where("n > 0").select(
+            F.lit(target).alias("target"), F.lit(model).alias("model"), "rmse", "mae", "r2", F.col("n").alias("n_test"))
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+def prediction_residuals(preds: DataFrame, key: str, x: str) -> DataFrame:
+    """T18 / T22 extracts, all test rows: ``key, model, x, actual, prediction, residual``."""
+    return preds.selectExpr(f"`{key}`", f"`{x}` as x", "actual", "stack(2, 'linear_regression', pred_linear, "
+                            "'random_forest', pred_forest) as (model, prediction)") \
+        .where("prediction IS NOT NULL").withColumn("residual", F.col("actual") - F.col("prediction")) \
+        .select(key, "model", "x", "actual", "prediction", "residual")
+
+
+def prediction_examples(preds: DataFrame, key: str, n: int = 5, seed: int = 7) -> DataFrame:
+    """``n`` test rows with the real value, both predictions and the features."""
+    return seeded_sample(preds, n, key, seed)
 
 
 def holdout_linear(df: DataFrame, features: Sequence[str], target: str, key: str,
                    seed: int = 42, test_size: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """Z-scores fitted on train only (ddof 0), OLS on the scaled train
     rows, metrics on the test rows.  Returns ``(metrics, coefficients)``."""
-    from ratelens.operators.derive import add_feature_columns, apply_standardization
-    d = df.select(key, *features, target).na.drop()
-    train, test = train_test_split(d, key, seed, test_size)
-    _, meta = add_feature_columns(train, interaction=False, columns_to_standardize=features)
-    tr = apply_standardization(train, meta, "_z")
-    te = apply_standardization(test, meta, "_z")
-    zf = [f"{f}_z" for f in features]
-    model, _ = fit_linear(tr, zf, target)
-    pred = model.transform(_assemble(te, zf, target)).withColumnRenamed("prediction", "pred")
-    m = regression_metrics(pred, target, "pred")
-    ntr = train.agg(F.count(F.lit(1)).alias("n_train"))
+    z, model = _linear_on_train(df, features, target, key, seed, test_size)
+    m = regression_metrics(z.where("is_test").withColumn("pred", _linear_prediction(model, features)), target, "pred")
+    ntr = z.where(~F.col("is_test")).agg(F.count(F.lit(1)).alias("n_train"))
     metrics = m.crossJoin(ntr).select(F.lit(target).alias("target"), F.lit("linear_regression").alias("model"),
                                       "rmse", "mae", "r2", F.col("n").alias("n_test"), "n_train",
                                       F.lit(float(model.intercept)).alias("intercept"))
@@ -209,16 +266,14 @@ def holdout_forest(df: DataFrame, features: Sequence[str], target: str, key: str
                    ) -> tuple[DataFrame, DataFrame]:
     """Random forest on unscaled features; test metrics and importances
     (sorted descending).  MLlib bins continuous features and caps depth at 30."""
-    params = {"numTrees": 100, "maxDepth": 10, "featureSubsetStrategy": "all", "maxBins": 64}
-    params.update(rf_params or {})
     d = df.select(key, *features, target).na.drop()
     train, test = train_test_split(d, key, seed, test_size)
-    rf = RandomForestRegressor(featuresCol="_features", labelCol=target, seed=seed, **params)
-    model = rf.fit(_assemble(train, features, target))
+    model = _fit_forest(train, features, target, seed, rf_params)
     pred = model.transform(_assemble(test, features, target)).withColumnRenamed("prediction", "pred")
     m = regression_metrics(pred, target, "pred")
-    metrics = m.select(F.lit(target).alias("target"), F.lit("random_forest").alias("model"),
-                       "rmse", "mae", "r2", F.col("n").alias("n_test"))
+    ntr = train.agg(F.count(F.lit(1)).alias("n_train"))
+    metrics = m.crossJoin(ntr).select(F.lit(target).alias("target"), F.lit("random_forest").alias("model"),
+                                      "rmse", "mae", "r2", F.col("n").alias("n_test"), "n_train")
     imp = df.sparkSession.createDataFrame(
         [(target, f, float(v)) for f, v in zip(features, model.featureImportances.toArray())],
         "target string, feature string, importance double").orderBy(F.desc("importance"), "feature")
@@ -239,47 +294,51 @@ def qq_points(df: DataFrame, c: str, points: int = 100, method: str = "auto") ->
 
 
 def compare_models(metrics: DataFrame, by: str = "target") -> DataFrame:
-    """Best model per target by R^2."""
-    return metrics.groupBy(by).agg(F.max_by("model", F.col("r2")).alias("best_model"),
-                                   F.max("r2").alias("best_r2"))
+    """Best model per target by R^2, its RMSE and the share of variance it explains (percent)."""
+    best = F.max_by(F.struct("model", "rmse", "r2"), F.col("r2"))
+    return metrics.groupBy(by).agg(best.alias("_b")).select(
+        by, F.col("_b.model").alias("best_model"), F.col("_b.r2").alias("best_r2"), F.col("_b.rmse").alias("best_rmse"),
+        (F.col("_b.r2") * 100.0).alias("variance_pct"))
+
+
+def coefficient_table(df: DataFrame, features: Sequence[str], targets: Sequence[str]) -> DataFrame:
+    """``target, term, coef, std_err, t_value, p_value`` of every target's OLS, sorted by (target, term)."""
+    out = None
+    for t in targets:
+        o = ols(df, features, t).where("term <> 'const'").select("target", "term", "coef", "std_err", "t_value", "p_value")
+        out = o if out is None else out.unionByName(o)
+    return out.orderBy("target", "term")
+
+
+def _long(df: DataFrame, model: str, names: Sequence[str], term: str | None = None) -> DataFrame:
+    """``target, model, metric, term, value`` from one column a metric."""
+    parts = ", ".join(f"'{n}', CAST(`{n}` AS DOUBLE)" for n in names)
+    return df.selectExpr("target", f"'{model}' AS model", f"{term or 'CAST(NULL AS STRING)'} AS term",
+                         f"stack({len(names)}, {parts}) AS (metric, value)").select("target", "model", "metric", "term", "value")
 
 
 def run_models(df: DataFrame, key: str, features: Sequence[str] = DEFAULT_MODEL_FEATURES,
                targets: Sequence[str] = DEFAULT_MODEL_TARGETS, test_size: float = 0.2,
                seed: int = 42, rf_params: Mapping | None = None, forest: bool = True) -> DataFrame:
     """Per target: available features, complete rows, linear + forest
-    hold-out and OLS; long result ``target, model, metric, term, value``."""
+    hold-out and OLS with its inference; long result ``target, model, metric,
+    term, value`` (no target or no feature: no rows)."""
     feats = [f for f in features if f in df.columns]
-    spark = df.sparkSession
     out = []
-    for t in targets:
-        if t not in df.columns or not feats:
-            continue
+    for t in [t for t in targets if t in df.columns and feats]:
         lm, lc = holdout_linear(df, feats, t, key, seed, test_size)
-        out.append(lm.select("target", "model", F.stack(F.lit(5), F.lit("rmse"), "rmse", F.lit("mae"), "mae",
-                                                     F.lit("r2"), "r2", F.lit("n_test"), F.col("n_test").cast("double"),
-                                                     F.lit("intercept"), "intercept").alias("metric", "value"))
-                   .withColumn("term", F.lit(None).cast("string")))
-        out.append(lc.select("target", F.lit("linear_regression").alias("model"), F.lit("coef").alias("metric"),
-                             F.col("coef").alias("value"), F.col("feature").alias("term")))
+        out += [_long(lm, "linear_regression", ["rmse", "mae", "r2", "n_train", "n_test", "intercept"]),
+                _long(lc, "linear_regression", ["coef"], "feature")]
         if forest:
             fm, fi = holdout_forest(df, feats, t, key, seed, test_size, rf_params)
-            out.append(fm.select("target", "model", F.stack(F.lit(3), F.lit("rmse"), "rmse", F.lit("mae"), "mae",
-                                                         F.lit("r2"), "r2").alias("metric", "value"))
-                       .withColumn("term", F.lit(None).cast("string")))
-            out.append(fi.select("target", F.lit("random_forest").alias("model"),
-                                 F.lit("importance").alias("metric"), F.col("importance").alias("value"),
-                                 F.col("feature").alias("term")))
-        o = ols(df, feats, t)
-        out.append(o.select("target", F.lit("ols").alias("model"), F.lit("coef").alias("metric"),
-                            F.col("coef").alias("value"), "term"))
-        out.append(o.limit(1).select("target", F.lit("ols").alias("model"),
-                                     F.stack(F.lit(3), F.lit("r2"), "r2", F.lit("adj_r2"), "adj_r2",
-                                             F.lit("nobs"), F.col("n").cast("double")).alias("metric", "value"))
-                   .withColumn("term", F.lit(None).cast("string")))
+            out += [_long(fm, "random_forest", ["rmse", "mae", "r2", "n_train", "n_test"]),
+                    _long(fi, "random_forest", ["importance"], "feature")]
+        o = ols(df, feats, t).withColumn("nobs", F.col("n"))
+        out += [_long(o, "ols", ["coef", "std_err", "t_value", "p_value"], "term"),
+                _long(o.limit(1), "ols", ["r2", "adj_r2", "nobs", "f_stat", "f_p_value"])]
     if not out:
-        return spark.createDataFrame([], "target string, model string, metric string, value double, term string")
-    res = out[0].select("target", "model", "metric", "term", "value")
+        return df.sparkSession.createDataFrame([], "target string, model string, metric string, term string, value double")
+    res = out[0]
     for o in out[1:]:
-        res = res.unionByName(o.select("target", "model", "metric", "term", "value"))
+        res = res.unionByName(o)
     return res

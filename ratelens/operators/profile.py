@@ -259,10 +259,10 @@ def kde(df: DataFrame, c: str, grid: int = 200, bw: float | None = None) -> Data
                     / F.lit(float(max(grid - 1, 1)))).alias("x"),
                    h.alias("_h"), F.col("_n")))
     j = vc.crossJoin(F.broadcast(pts))
-    z = (F.col("x") - F.col("_v")) / F.col("_h")
+    z = F.try_divide(F.col("x") - F.col("_v"), F.col("_h"))  # a constant column has no bandwidth: NULL density
     dens = F.sum(F.col("_k") * F.exp(F.lit(-0.5) * z * z))
     norm = F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))
-    return j.groupBy("point", "x").agg((dens / F.first(norm)).alias("density"))
+    return j.groupBy("point", "x").agg(F.try_divide(dens, F.first(norm)).alias("density"))
 
 
 def kde2d_grid(df: DataFrame, x: str, y: str, bins: int = 20, hue: str | None = None) -> DataFrame:

@@ -111,7 +111,7 @@ def value_offsets(df: DataFrame, x: str, by: Sequence[str] = (), buckets: int |
 
 
 def quantiles(df: DataFrame, x: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None, method: str = "auto") -> DataFrame:
+              names: Sequence[str] | None = None, method: str = "auto", buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles of ``x`` per group (NULLs skipped).
 
     Returns ``by..., names...``; a group with no value gives NULLs.
@@ -123,7 +123,7 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], by: Sequence[str] =
         arr = F.percentile(F.col(x).cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
         agg = df.groupBy(*by).agg(arr.alias("_q"))
         return agg.select(*by, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
-    vo = value_offsets(df, x, by)
+    vo = value_offsets(df, x, by, buckets)
     n1 = F.col("total") - 1
     lo_hi = []
     for i, p in enumerate(probs):

@@ -213,8 +213,9 @@ def anova(df: DataFrame, group_col: str, metrics: Sequence[str], na: str = "list
         s = g.crossJoin(tot).groupBy("_N", "_k").agg(
             F.sum(F.col("_ni") * (F.col("_mi") - F.col("_gm")) * (F.col("_mi") - F.col("_gm"))).alias("_ssb"),
             F.sum((F.col("_ni") - 1) * F.coalesce(F.col("_vi"), F.lit(0.0))).alias("_ssw"))
+        # no spread inside the groups, one group, or one row a group: NULL
         r = s.select(F.lit(m).alias("metric"), F.lit("anova").alias("method"),
-                     ((F.col("_ssb") / (F.col("_k") - 1)) / (F.col("_ssw") / (F.col("_N") - F.col("_k"))))
+                     F.try_divide(F.try_divide("_ssb", F.col("_k") - 1), F.try_divide("_ssw", F.col("_N") - F.col("_k")))
                      .alias("statistic"),
                      F.col("_k").cast("long").alias("n_groups"), F.col("_N").cast("long").alias("n_total"),
                      F.col("_k").alias("_d1"))
@@ -226,7 +227,7 @@ def anova(df: DataFrame, group_col: str, metrics: Sequence[str], na: str = "list
 
 
 def kruskal(df: DataFrame, group_col: str, metrics: Sequence[str], na: str = "listwise",
-            with_p: bool = True) -> DataFrame:
+            with_p: bool = True, buckets: int | None = None) -> DataFrame:
     """T5: Kruskal–Wallis H with tie correction; chi-square p with k-1 df.
 
     Rows collapse to (group, value, count); pooled average ranks come from
@@ -238,7 +239,7 @@ def kruskal(df: DataFrame, group_col: str, metrics: Sequence[str], na: str = "li
         x = F.col(m).cast("double")
         gv = clean.where(x.isNotNull()).groupBy(group_col, x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
         vt = gv.groupBy("_v").agg(F.sum("_c").alias("_c"))
-        vo = value_offsets(vt, "_v", weight="_c").select(
+        vo = value_offsets(vt, "_v", weight="_c", buckets=buckets).select(
             F.col("_v").alias("_rv"), (F.col("before") + (F.col("n") + 1) / 2.0).alias("_rank"),
             F.col("n").alias("_t"), F.col("total").alias("_N"))
         j = gv.join(vo, gv._v == vo._rv)
@@ -249,10 +250,10 @@ def kruskal(df: DataFrame, group_col: str, metrics: Sequence[str], na: str = "li
                               F.count(F.lit(1)).alias("_k"), F.first("_N").alias("_N"))
         s = s.crossJoin(ties)
         n = F.col("_N").cast("double")
-        h = (F.lit(12.0) / (n * (n + 1)) * F.col("_sr") - F.lit(3.0) * (n + 1))
-        corr = F.lit(1.0) - F.col("_tt") / (n * n * n - n)
+        h = (F.try_divide(F.lit(12.0), n * (n + 1)) * F.col("_sr") - F.lit(3.0) * (n + 1))
+        corr = F.lit(1.0) - F.try_divide(F.col("_tt"), n * n * n - n)
         r = s.select(F.lit(m).alias("metric"), F.lit("kruskal").alias("method"),
-                     (h / corr).alias("statistic"), F.col("_k").cast("long").alias("n_groups"),
+                     F.try_divide(h, corr).alias("statistic"), F.col("_k").cast("long").alias("n_groups"),
                      F.col("_N").cast("long").alias("n_total"))
         out = r if out is None else out.unionByName(r)
     if with_p:
@@ -262,8 +263,8 @@ def kruskal(df: DataFrame, group_col: str, metrics: Sequence[str], na: str = "li
 
 def group_tests(df: DataFrame, group_col: str, metrics: Sequence[str],
                 methods: Sequence[str] = ("anova", "kruskal"), na: str = "listwise") -> DataFrame:
-    """T4 + T5 as the library's ``run_group_tests``: one row per metric and method,
-    plus group sizes as a JSON text; fewer than 2 groups -> the job fails."""
+    """T4 + T5 as the library's ``run_group_tests``: one row per metric and method;
+    fewer than 2 groups -> the job fails.  Sizes: :func:`group_test_sizes`."""
     for mth in methods:
         if mth not in ("anova", "kruskal"):
             raise ValueError(f"test '{mth}' not supported")
@@ -275,10 +276,15 @@ def group_tests(df: DataFrame, group_col: str, metrics: Sequence[str],
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    clean = _group_frame(df, group_col, metrics, na)
-    sizes = clean.groupBy(group_col).count().agg(
-        F.to_json(F.map_from_entries(F.sort_array(F.collect_list(
-            F.struct(F.col(group_col).cast("string"), F.col("count")))))).alias("group_sizes"))
-    out = out.crossJoin(F.broadcast(sizes))
     return out.withColumn("statistic", F.when(F.col("n_groups") >= 2, F.col("statistic"))
                           .otherwise(F.raise_error(F.lit("at least two groups are required")).cast("double")))
+
+
+def group_test_sizes(df: DataFrame, group_col: str, metrics: Sequence[str], na: str = "listwise") -> DataFrame:
+    """``metric, group, size``: the rows that each group brings to each test, one row each."""
+    clean = _group_frame(df, group_col, metrics, na)
+    present = [m for m in metrics if m in df.columns]
+    counts = clean.groupBy(F.col(group_col).cast("string").alias("group")).agg(
+        *[F.count(F.col(m).cast("double")).alias(f"_n{i}") for i, m in enumerate(present)])
+    parts = ", ".join(f"'{m}', _n{i}" for i, m in enumerate(present))
+    return counts.selectExpr("group", f"stack({len(present)}, {parts}) as (metric, size)").select("metric", "group", "size")

@@ -22,7 +22,8 @@ from ratelens.operators import profile as P
 from ratelens.operators import stattests as T
 from ratelens.operators.quantiles import average_rank
 from ratelens.plans import oracle as O
-from ratelens.plans.pipelines import build_analysis
+from ratelens.plans.pipelines import (MODEL_STUDY_FEATURES, build_analysis, complete_profile, dashboard, kept_interactions,
+                                      nonlinearity_study, popularity_study)
 from ratelens.sources import fixtures as FX
 from ratelens.sources import readers as R
 
@@ -53,18 +54,44 @@ def stages(spark, sf):
     return build_analysis(raw_recipes(spark, sf), raw_interactions(spark, sf), as_of=AS_OF)
 
 
-_STORED: dict[tuple[str, str], str] = {}
+def clean_recipes(spark, sf):
+    """C13 alone: one lazy plan over the recipe adapter."""
+    return C.prepare_recipes(raw_recipes(spark, sf))
+
+
+def kept(spark, sf):
+    """J2 alone: the interactions whose recipe C13 keeps; no statistics, no metrics."""
+    return kept_interactions(raw_recipes(spark, sf), raw_interactions(spark, sf))
+
+
+_STORED: dict[tuple, str] = {}
+
+
+def _inputs(spark, sf) -> tuple:
+    """Name, size and change time of the files under ``sf``, by Spark's own file system."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(sf)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for s in fs.listStatus(root):
+        for f in (fs.listStatus(s.getPath()) if s.isDirectory() else [s]):
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def analysis(spark, sf):
-    """The analysis table as the statistics read it: E1's output, written once
-    per session to the shared checkpoint folder (S5) and scanned back (S3),
-    as the study's notebooks read the pipeline's table."""
-    import os
+    """The analysis table as the statistics read it: E1's output, written to the
+    shared checkpoint folder (S5) and scanned back (S3), as the study's
+    notebooks read the pipeline's table.  A table is taken again only in the
+    same application, while no input file changed and the table is there."""
     from ratelens.session import checkpoint_dir
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, _inputs(spark, sf))
     path = _STORED.get(key)
-    if path is None or (path.startswith("/") and not os.path.exists(path)):
+    if path is not None:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            path = None
+    if path is None:
         path = checkpoint_dir(spark, "analysis")
         stages(spark, sf)[2].write.mode("overwrite").parquet(path)
         _STORED[key] = path
@@ -105,8 +132,7 @@ def q_top_wilson(spark, sf):
 
 @register("g1_recipe_metrics", METRIC_SPEC, f"SELECT {_cols(METRIC_SPEC)} FROM met", ("met",))
 def q_recipe_metrics(spark, sf):
-    _, ic, _ = stages(spark, sf)
-    return G.recipe_metrics(ic)
+    return G.recipe_metrics(kept(spark, sf))
 
 
 @register("e1_analysis", ANALYSIS_SPEC, f"SELECT {_cols(ANALYSIS_SPEC)} FROM analysis", ("analysis",))
@@ -116,7 +142,7 @@ def q_analysis(spark, sf):
 
 @register("c13_prepare_recipes", RC_SPEC, f"SELECT {_cols(RC_SPEC)} FROM rc", ("rc",))
 def q_prepare_recipes(spark, sf):
-    return stages(spark, sf)[0]
+    return clean_recipes(spark, sf)
 
 
 IC_SPEC = "user_id:i, recipe_id:i, date:s, rating:i, review:s, review_length:i"
@@ -154,7 +180,7 @@ def q_load_analysis(spark, sf):
           "SELECT id, effort_score, effort_category FROM rc", ("rc",))
 def q_stage(spark, sf):
     from ratelens.sources.sinks import stage
-    rc = stage(stages(spark, sf)[0].select("id", "effort_score", "effort_category"), "stage")
+    rc = stage(clean_recipes(spark, sf).select("id", "effort_score", "effort_category"), "stage")
     return rc
 
 
@@ -242,8 +268,7 @@ def q_nonempty(spark, sf):
           "SELECT id, minutes FROM rc JOIN met ON id = recipe_id WHERE minutes IS NOT NULL AND minutes > 0",
           ("rc", "met"))
 def q_positive_join(spark, sf):
-    rc, ic, _ = stages(spark, sf)
-    met = G.recipe_metrics(ic).withColumnRenamed("recipe_id", "_k")
+    rc, met = clean_recipes(spark, sf), G.recipe_metrics(kept(spark, sf)).withColumnRenamed("recipe_id", "_k")
     j = rc.join(met, rc.id == met._k, "inner")
     return C.positive_filter(j, "minutes", null_as_zero=False).select("id", "minutes")
 
@@ -270,15 +295,14 @@ J1_SPEC = "id:i, effort_score:d, n_interactions:i, bayes_mean:d, wilson_lb:d"
 @register("j1_inner_join", J1_SPEC, f"SELECT {_cols(J1_SPEC)} FROM rc JOIN met ON rc.id = met.recipe_id",
           ("rc", "met"))
 def q_inner_join(spark, sf):
-    rc, ic, _ = stages(spark, sf)
-    met = G.recipe_metrics(ic).withColumnRenamed("recipe_id", "_k")
+    rc, met = clean_recipes(spark, sf), G.recipe_metrics(kept(spark, sf)).withColumnRenamed("recipe_id", "_k")
     return rc.join(met, rc.id == met._k, "inner").select(*[n for n, _ in O.parse_spec(J1_SPEC)])
 
 
 @register("j2_semi_join", "user_id:i, recipe_id:i, rating:i",
           "SELECT user_id, recipe_id, rating FROM ic", ("ic",))
 def q_semi_join(spark, sf):
-    return stages(spark, sf)[1].select("user_id", "recipe_id", "rating")
+    return kept(spark, sf).select("user_id", "recipe_id", "rating")
 
 
 # --- aggregation ---------------------------------------------------------------
@@ -363,7 +387,7 @@ def q_bin_profile(spark, sf):
           "SELECT effort_category, count(*) AS n, count(*) * 100.0 / (SELECT count(*) FROM rc) AS pct "
           "FROM rc WHERE effort_category IS NOT NULL GROUP BY 1", ("rc",))
 def q_frequency(spark, sf):
-    return G.frequency(stages(spark, sf)[0], "effort_category")
+    return G.frequency(clean_recipes(spark, sf), "effort_category")
 
 
 @register("g8_frequency_events", "event_type:s, n:i, pct:d",
@@ -441,13 +465,13 @@ def q_tags(spark, sf):
 @register("g14_group_sizes", "complexity:s, size:i",
           "SELECT complexity, count(*) AS size FROM rc WHERE complexity IS NOT NULL GROUP BY 1", ("rc",))
 def q_group_sizes(spark, sf):
-    return G.group_sizes(stages(spark, sf)[0], "complexity")
+    return G.group_sizes(clean_recipes(spark, sf), "complexity")
 
 
 @register("g15_value_multiset", "recipe_id:i, rating:i, count:i",
           "SELECT recipe_id, rating, count(*) AS count FROM ic WHERE recipe_id IS NOT NULL GROUP BY 1, 2", ("ic",))
 def q_multiset(spark, sf):
-    return G.value_multiset(stages(spark, sf)[1], "recipe_id", "rating")
+    return G.value_multiset(kept(spark, sf), "recipe_id", "rating")
 
 
 # --- profiling -----------------------------------------------------------------
@@ -470,14 +494,14 @@ P2_COLS = ("bayes_mean", "wilson_lb", "avg_rating", "std_rating", "submitted")
 
 
 @register("p2_missing", P1_SPEC,
-          'SELECT c."column", c.n_missing, t.n_rows, 56 AS n_columns, t.total_missing FROM (UNPIVOT (SELECT '
+          'SELECT c."column", c.n_missing, t.n_rows, w.n_columns, t.total_missing FROM (UNPIVOT (SELECT '
           + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in P2_COLS)
           + " FROM analysis) ON COLUMNS(*) INTO NAME \"column\" VALUE n_missing) c, (SELECT count(*) AS n_rows, "
           + " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in P2_COLS)
-          + " AS total_missing FROM analysis) t", ("analysis",))
+          + " AS total_missing FROM analysis) t, (SELECT count(*) AS n_columns FROM "
+          "(SELECT CAST(COLUMNS(*) AS VARCHAR) FROM analysis LIMIT 1) UNPIVOT INCLUDE NULLS (v FOR k IN (*))) w", ("analysis",))
 def q_missing(spark, sf):
-    a = analysis(spark, sf)
-    return P.profile(a, list(P2_COLS)).withColumn("n_columns", F.lit(56).cast("long"))
+    return P.profile(analysis(spark, sf), list(P2_COLS))
 
 
 P3_SPEC = "mean:d, median:d, min:d, max:d, q1:d, q3:d, std:d"
@@ -713,11 +737,9 @@ SCATTER_SPEC = "id:i, effort_score:d, n_interactions:i, bayes_mean:d, effort_cat
 
 
 @register("p17_scatter_sample", SCATTER_SPEC,
-          f"SELECT {_cols(SCATTER_SPEC)} FROM analysis ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id LIMIT 500",
-          ("analysis",))
+          f"SELECT {_cols(SCATTER_SPEC)} FROM analysis", ("analysis",))
 def q_scatter(spark, sf):
-    a = analysis(spark, sf).select(*[n for n, _ in O.parse_spec(SCATTER_SPEC)])
-    return M.seeded_sample(a, 500, "id", 42)
+    return analysis(spark, sf).select(*[n for n, _ in O.parse_spec(SCATTER_SPEC)])
 
 
 # --- list and scalar functions -------------------------------------------------
@@ -774,7 +796,7 @@ D_SPEC = ("id:i, category_minutes:s, complexity:s, step_length_category:s, categ
 
 @register("d4_categories_and_logs", D_SPEC, f"SELECT {_cols(D_SPEC)} FROM rc", ("rc",))
 def q_categories(spark, sf):
-    return stages(spark, sf)[0]
+    return clean_recipes(spark, sf)
 
 
 D5_SPEC = "id:i, log_minutes_scaled:d, n_steps_scaled:d, avg_words_per_step_scaled:d, log_n_ingredients_scaled:d, effort_score:d"
@@ -782,7 +804,7 @@ D5_SPEC = "id:i, log_minutes_scaled:d, n_steps_scaled:d, avg_words_per_step_scal
 
 @register("d5_d6_minmax_score", D5_SPEC, f"SELECT {_cols(D5_SPEC)} FROM rc", ("rc",))
 def q_minmax(spark, sf):
-    return stages(spark, sf)[0]
+    return clean_recipes(spark, sf)
 
 
 D7_SPEC = "id:i, log_minutes_w:d, log1p_n_interactions_w:d, log1p_interactions_per_month_w:d, log1p_n_unique_users_w:d"
@@ -790,7 +812,8 @@ D7_SPEC = "id:i, log_minutes_w:d, log1p_n_interactions_w:d, log1p_interactions_p
 
 @register("d7_winsorize", D7_SPEC, f"SELECT {_cols(D7_SPEC)} FROM analysis", ("analysis",))
 def q_winsor(spark, sf):
-    return analysis(spark, sf)
+    cols = [c.removesuffix("_w") for c, _ in O.parse_spec(D7_SPEC)[1:]]
+    return D.winsorize(analysis(spark, sf).select("id", *cols), cols, 0.05, 0.99)
 
 
 TERC = ("Simple", "Moyennement complexe", "Complexe")
@@ -801,7 +824,7 @@ TERC = ("Simple", "Moyennement complexe", "Complexe")
           f"'{TERC[1]}' ELSE '{TERC[2]}' END AS steps_complexity FROM rc, (SELECT quantile_cont(avg_words_per_step, "
           f"0.33) AS q33, quantile_cont(avg_words_per_step, 0.67) AS q67 FROM rc)", ("rc",))
 def q_terciles(spark, sf):
-    return D.tercile_category(stages(spark, sf)[0], "avg_words_per_step", TERC, "steps_complexity")
+    return D.tercile_category(clean_recipes(spark, sf), "avg_words_per_step", TERC, "steps_complexity")
 
 
 @register("d9_qcut", "id:i, stratum:i",
@@ -817,6 +840,25 @@ def q_qcut_li(spark, sf):
     return b.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("d9_qcut_lineitem_rank", "bin:i, n:i",
+          f"SELECT bin, count(*) AS n FROM ({_qcut_sql('lineitem', 'l_extendedprice', 10, 'bin')}) GROUP BY bin")
+def q_qcut_li_rank(spark, sf):
+    """The rank selection that many distinct values take, cut into buckets."""
+    b = D.qcut(FX.table(spark, sf, "lineitem"), "l_extendedprice", 10, out="bin", method="rank")
+    return b.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+_Q_PROBS = (0.0, 0.1, 0.25, 0.333, 0.5, 0.75, 0.99, 1.0)
+
+
+@register("d9_quantiles_by_group", "l_returnflag:s, " + ", ".join(f"q{i}:d" for i in range(len(_Q_PROBS))),
+          "SELECT l_returnflag, " + ", ".join(f"quantile_cont(CAST(l_extendedprice AS DOUBLE), {p!r}) AS q{i}"
+                                              for i, p in enumerate(_Q_PROBS)) + " FROM lineitem GROUP BY 1")
+def q_quantiles_by(spark, sf):
+    from ratelens.operators.quantiles import quantiles
+    return quantiles(FX.table(spark, sf, "lineitem"), "l_extendedprice", _Q_PROBS, by=["l_returnflag"], method="rank", buckets=16)
+
+
 @register("d9_qcut_labels", "id:i, stratum:i, stratum_label:s",
           f"SELECT id, stratum, ['Q1', 'Q2', 'Q3', 'Q4'][stratum + 1] AS stratum_label FROM "
           f"({_qcut_sql('analysis', 'effort_score', 4)})", ("analysis",))
@@ -833,13 +875,15 @@ def q_cut(spark, sf):
 @register("d11_gaps", "id:i, rating_gap:d, bayes_gap:d, wilson_gap:d",
           "SELECT id, rating_gap, bayes_gap, wilson_gap FROM analysis", ("analysis",))
 def q_gaps(spark, sf):
-    return analysis(spark, sf)
+    return D.gap_columns(analysis(spark, sf).select("id", "avg_rating", "bayes_mean", "wilson_lb"))
 
 
 @register("d12_d13_age_rate", "id:i, age_months:d, interactions_per_month:d",
           "SELECT id, age_months, interactions_per_month FROM analysis", ("analysis",))
 def q_age(spark, sf):
-    return analysis(spark, sf)
+    df = analysis(spark, sf).select("id", "submitted", "n_interactions")
+    df = df.withColumn("age_months", D.age_months("submitted", AS_OF))
+    return df.withColumn("interactions_per_month", D.rate_per_month(F.col("n_interactions"), "age_months"))
 
 
 Z_COLS = ("log_minutes", "n_steps", "n_ingredients", "avg_words_per_step", "age_months", "effort_score",
@@ -1011,7 +1055,21 @@ def q_kruskal_li(spark, sf):
                      with_p=False)
 
 
-@register("t45_group_tests", TEST_SPEC + ", p_value:d, group_sizes:s")
+@register("t5_kruskal_lineitem_buckets", TEST_SPEC,
+          " UNION ALL ".join(_kruskal_sql("lineitem", "l_returnflag", m) for m in ("l_quantity", "l_extendedprice")))
+def q_kruskal_li_buckets(spark, sf):
+    return T.kruskal(FX.table(spark, sf, "lineitem"), "l_returnflag", ["l_quantity", "l_extendedprice"],
+                     with_p=False, buckets=16)
+
+
+@register("t45_group_sizes", "metric:s, group:s, size:i",
+          " UNION ALL ".join(f"SELECT '{m}' AS metric, stratum AS \"group\", count({m}) AS size FROM {_STRATA_SRC} "
+                             "WHERE stratum IS NOT NULL GROUP BY stratum" for m in STRATA_T), ("analysis",))
+def q_group_test_sizes(spark, sf):
+    return T.group_test_sizes(_strata(spark, sf), "stratum", list(STRATA_T), na="per_metric")
+
+
+@register("t45_group_tests", TEST_SPEC + ", p_value:d")
 def q_group_tests(spark, sf):
     return T.group_tests(_strata(spark, sf), "stratum", list(STRATA_T), na="per_metric")
 
@@ -1063,21 +1121,31 @@ def q_lowess(spark, sf):
     return lowess(analysis(spark, sf), "effort_score", "bayes_mean", key="id", frac=0.3, sample_size=20000)
 
 
-def _quad_sql(src: str, x: str, y: str) -> str:
-    from ratelens.operators.models import QUAD_SQL_SELECT
-    d = f"(SELECT CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM {src} WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"
-    return (f"SELECT {', '.join(QUAD_SQL_SELECT)} FROM (SELECT any_value(mx) AS mx, CAST(count(*) AS DOUBLE) AS s0, "
-            f"sum(u) AS s1, sum(u * u) AS s2, sum(u * u * u) AS s3, sum(u * u * u * u) AS s4, sum(y) AS t0, "
-            f"sum(u * y) AS t1, sum(u * u * y) AS t2 FROM (SELECT x - mx AS u, y, mx FROM {d} d, "
-            f"(SELECT avg(x) AS mx FROM {d} e)))")
+def _quad_sql(src: str, x: str, y: str, prefix: str) -> tuple[str, str]:
+    """CTEs and select of ``a2, a1, a0, n``: a regression on x and its square by elimination."""
+    from ratelens.plans.linsolve_sql import ols_sql
+    d = f"(SELECT CAST({x} AS DOUBLE) AS x1, CAST({x} AS DOUBLE) * {x} AS x2, CAST({y} AS DOUBLE) AS yy FROM {src})"
+    ctes, sel = ols_sql(d, ["x1", "x2"], "yy", prefix)
+    return ctes, ("SELECT max(CASE WHEN term = 'x2' THEN coef END) AS a2, max(CASE WHEN term = 'x1' THEN coef END) AS a1, "
+                  f"max(CASE WHEN term = 'intercept' THEN coef END) AS a0, max(n) AS n FROM ({sel})")
 
 
-@register("t9_quadratic_fit", "a2:d, a1:d, a0:d, n:i", _quad_sql("analysis", "effort_score", "bayes_mean"),
-          ("analysis",))
+_T9 = _quad_sql("analysis", "effort_score", "bayes_mean", "t9")
+
+
+@register("t9_quadratic_fit", "a2:d, a1:d, a0:d, n:i", _T9[1], ("analysis", _T9[0]))
 def q_quad(spark, sf):
     return M.quadratic_fit(analysis(spark, sf), "effort_score", "bayes_mean")
 
 
+@register("t9_quadratic_grid", "point:i, x:d, y_fit:d",
+          "SELECT i AS point, mn + i * (mx - mn) / 199.0 AS x, a2 * (mn + i * (mx - mn) / 199.0) * (mn + i * (mx - mn) / 199.0) "
+          f"+ a1 * (mn + i * (mx - mn) / 199.0) + a0 AS y_fit FROM range(200) g(i), ({_T9[1]}) q, "
+          "(SELECT min(effort_score) AS mn, max(effort_score) AS mx FROM analysis)", ("analysis", _T9[0]))
+def q_quad_grid(spark, sf):
+    return M.quadratic_curve(analysis(spark, sf), "effort_score", "bayes_mean", 200)
+
+
 @register("t10_simple_regression", "slope:d, intercept:d, r2:d, n:i",
           "SELECT regr_slope(bayes_mean, effort_score) AS slope, regr_intercept(bayes_mean, effort_score) AS "
           "intercept, regr_r2(bayes_mean, effort_score) AS r2, regr_count(bayes_mean, effort_score) AS n "
@@ -1129,12 +1197,43 @@ def q_ols(spark, sf):
     return M.ols(z, T14_F, "bayes_mean")
 
 
+def _ols_inference_sql() -> tuple[str, str]:
+    """Standard errors of the slopes: each feature's variance that the other features leave (a regression each)."""
+    from ratelens.plans.linsolve_sql import ols_sql
+    whole = f"(SELECT * FROM {_Z_SRC} zz WHERE bayes_mean IS NOT NULL AND " + " AND ".join(f"{f} IS NOT NULL" for f in T14_F) + ")"
+    ctes, parts = [_T14[0]], []
+    for j, f in enumerate(T14_F):
+        c, sel = ols_sql(whole, [g for g in T14_F if g != f], f, f"v{j}")
+        ctes.append(c)
+        parts.append(f"SELECT '{f}' AS term, (SELECT max(r2) FROM ({sel})) AS r2x, "
+                     f"(SELECT var_pop({f}) * count({f}) FROM {whole} w{j}) AS ssx")
+    k = len(T14_F)
+    return ",\n".join(ctes), (
+        f"SELECT 'bayes_mean' AS target, c.term, coef, se AS std_err, coef / se AS t_value, f_stat FROM (SELECT b.term, b.coef, "
+        f"sqrt((1 - b.r2) * syy / (b.n - {k} - 1) / (v.ssx * (1 - v.r2x))) AS se, (b.r2 / {k}) / ((1 - b.r2) / (b.n - {k} - 1)) AS f_stat "
+        f"FROM ({_T14[1]}) b JOIN ({' UNION ALL '.join(parts)}) v ON v.term = b.term, "
+        f"(SELECT var_pop(bayes_mean) * count(bayes_mean) AS syy FROM {whole} y)) c")
+
+
+_T14SE = _ols_inference_sql()
+
+
+@register("t14_ols_slopes", "target:s, term:s, coef:d, std_err:d, t_value:d, f_stat:d", _T14SE[1], ("analysis", _T14SE[0]))
+def q_ols_slopes(spark, sf):
+    return M.ols(D.add_feature_columns(analysis(spark, sf))[0], T14_F, "bayes_mean").where("term <> 'const'")
+
+
 @register("t14_ols_inference", "target:s, term:s, coef:d, std_err:d, t_value:d, p_value:d, f_stat:d, f_p_value:d")
 def q_ols_inf(spark, sf):
     z = D.add_feature_columns(analysis(spark, sf))[0]
     return M.ols(z, T14_F, "bayes_mean")
 
 
+@register("u5_coefficient_table", "target:s, term:s, coef:d, std_err:d, t_value:d, p_value:d")
+def q_coefficient_table(spark, sf):
+    return M.coefficient_table(D.add_feature_columns(analysis(spark, sf))[0], T14_F, list(M.DEFAULT_MODEL_TARGETS))
+
+
 @register("t12_seeded_sample", "id:i, effort_score:d",
           "SELECT id, effort_score FROM analysis ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id LIMIT 200",
           ("analysis",))
@@ -1213,19 +1312,62 @@ def q_res_hist(spark, sf):
     return P.histogram(M.with_residuals(analysis(spark, sf), "effort_score", "bayes_mean"), "residual", 30)
 
 
-@register("t19_compare_models", "target:s, best_model:s, best_r2:d")
+def _holdout_rows_sql(src: str, feat: str, target: str) -> str:
+    """The test rows of :func:`_holdout_sql` with the linear model's prediction."""
+    flag = f"CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) < {int(0.2 * (1 << 32))}"
+    d = (f"(SELECT id, {feat}, CAST({feat} AS DOUBLE) AS x, CAST({target} AS DOUBLE) AS y, {flag} AS t FROM {src} "
+         f"WHERE {feat} IS NOT NULL AND {target} IS NOT NULL)")
+    return (f"SELECT id, y AS actual, b + a * x AS pred_linear, {feat} FROM {d} d, (SELECT regr_slope(y, x) AS a, "
+            f"regr_intercept(y, x) AS b FROM {d} e WHERE NOT t) f WHERE t")
+
+
+_HOLDOUT_ROWS = _holdout_rows_sql("analysis", "effort_score", "bayes_mean")
+
+
+@register("t22_holdout_predictions", "id:i, actual:d, pred_linear:d, effort_score:d", _HOLDOUT_ROWS, ("analysis",))
+def q_holdout_predictions(spark, sf):
+    return M.holdout_predictions(analysis(spark, sf), ["effort_score"], "bayes_mean", "id", forest=False)
+
+
+@register("t18_residual_vs_prediction", "id:i, model:s, x:d, actual:d, prediction:d, residual:d",
+          "SELECT id, 'linear_regression' AS model, effort_score AS x, actual, pred_linear AS prediction, "
+          f"actual - pred_linear AS residual FROM ({_HOLDOUT_ROWS})", ("analysis",))
+def q_residual_vs_prediction(spark, sf):
+    preds = M.holdout_predictions(analysis(spark, sf), ["effort_score"], "bayes_mean", "id", forest=False)
+    return M.prediction_residuals(preds, "id", "effort_score")
+
+
+@register("t18_residual_vs_x", "id:i, effort_score:d, prediction:d, residual:d",
+          f"SELECT id, effort_score, prediction, residual FROM ({RES_SQL})", ("analysis",))
+def q_residual_vs_x(spark, sf):
+    return M.with_residuals(analysis(spark, sf), "effort_score", "bayes_mean")
+
+
+def _study_predictions(spark, sf, trees=20):
+    """E6's table: both models on the study's four features."""
+    return M.holdout_predictions(analysis(spark, sf), list(MODEL_STUDY_FEATURES), "bayes_mean", "id", rf_params={"numTrees": trees})
+
+
+@register("e6_model_study_predictions", "id:i, actual:d, pred_linear:d, pred_forest:d")
+def q_study_predictions(spark, sf):
+    return _study_predictions(spark, sf)
+
+
+@register("t19_compare_models", "target:s, best_model:s, best_r2:d, best_rmse:d, variance_pct:d")
 def q_compare(spark, sf):
-    z = D.add_feature_columns(analysis(spark, sf))[0]
-    lm = M.holdout_linear(z, list(T14_F), "bayes_mean", key="id")[0].select("target", "model", "r2")
-    fm = M.holdout_forest(z, list(T14_F), "bayes_mean", key="id", rf_params={"numTrees": 20})[0] \
-          .select("target", "model", "r2")
-    return M.compare_models(lm.unionByName(fm))
+    return M.compare_models(M.prediction_metrics(_study_predictions(spark, sf), "bayes_mean"))
 
 
-@register("t20_prediction_examples", "id:i, bayes_mean:d, prediction:d")
+@register("t20_prediction_examples", "id:i, actual:d, pred_linear:d, effort_score:d",
+          f"SELECT * FROM ({_HOLDOUT_ROWS}) ORDER BY md5(CAST(id AS VARCHAR) || ':7'), id LIMIT 5", ("analysis",))
 def q_examples(spark, sf):
-    r = M.with_residuals(analysis(spark, sf), "effort_score", "bayes_mean").select("id", "bayes_mean", "prediction")
-    return M.seeded_sample(r, 5, "id", 7)
+    preds = M.holdout_predictions(analysis(spark, sf), ["effort_score"], "bayes_mean", "id", forest=False)
+    return M.prediction_examples(preds, "id", 5, 7)
+
+
+@register("t20_study_examples", "id:i, actual:d, pred_linear:d, pred_forest:d, log_minutes:d, n_ingredients:d, avg_words_per_step:d, effort_score:d")
+def q_study_examples(spark, sf):
+    return M.prediction_examples(_study_predictions(spark, sf), "id", 5, 7)
 
 
 @register("t21_run_models", "target:s, model:s, metric:s, term:s, value:d")
@@ -1235,11 +1377,9 @@ def q_run_models(spark, sf):
 
 
 @register("t22_actual_vs_predicted", "id:i, bayes_mean:d, prediction:d",
-          f"SELECT id, bayes_mean, prediction FROM ({RES_SQL}) ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id LIMIT 500",
-          ("analysis",))
+          f"SELECT id, bayes_mean, prediction FROM ({RES_SQL})", ("analysis",))
 def q_actual_pred(spark, sf):
-    r = M.with_residuals(analysis(spark, sf), "effort_score", "bayes_mean").select("id", "bayes_mean", "prediction")
-    return M.seeded_sample(r, 500, "id", 42)
+    return M.with_residuals(analysis(spark, sf), "effort_score", "bayes_mean").select("id", "bayes_mean", "prediction")
 
 
 @register("w2_average_rank", "id:i, n_interactions_rank:d",
@@ -1304,16 +1444,144 @@ def q_effort_freq(spark, sf):
     return G.frequency(effort_study(raw_recipes(spark, sf)), "effort_category")
 
 
-@register("e4_group_study_summary", STRATA_SPEC)
+@register("e4_group_study_summary", STRATA_SPEC, REGISTRY["g5_strata"][2], ("analysis",))
 def q_group_study(spark, sf):
     from ratelens.plans.pipelines import group_study
     return group_study(analysis(spark, sf))["summary"]
 
 
-@register("e2_complete_profile_counts", "column:s, mean:d, median:d, min:d, max:d, mode:d")
-def q_complete_profile(spark, sf):
-    from ratelens.plans.pipelines import complete_profile
-    return complete_profile(raw_recipes(spark, sf))["counts"]
+NL_ALL = ("effort_score", "n_interactions", "log1p_n_interactions", "bayes_mean", "wilson_lb")
+NL_ROWS = f"(SELECT * FROM analysis WHERE {' AND '.join(f'{c} IS NOT NULL' for c in NL_ALL)})"
+_E5Q = _quad_sql(NL_ROWS, "effort_score", "log1p_n_interactions", "e5")
+
+
+@register("e5_quadratic_curve", "point:i, x:d, y_fit:d",
+          "SELECT i AS point, mn + i * (mx - mn) / 199.0 AS x, a2 * (mn + i * (mx - mn) / 199.0) * (mn + i * (mx - mn) / 199.0) "
+          f"+ a1 * (mn + i * (mx - mn) / 199.0) + a0 AS y_fit FROM range(200) g(i), ({_E5Q[1]}) q, "
+          f"(SELECT min(effort_score) AS mn, max(effort_score) AS mx FROM {NL_ROWS})", ("analysis", _E5Q[0]))
+def q_e5_curve(spark, sf):
+    return nonlinearity_study(analysis(spark, sf))["curve_log1p_n_interactions"]
+
+
+@register("e5_bins", G7_SPEC,
+          "SELECT bin, " + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS mean_{c}" for c in G7_COLS)
+          + f" FROM ({_cut_sql(NL_ROWS, 'effort_score', 10)}) b WHERE bin IS NOT NULL GROUP BY bin", ("analysis",))
+def q_e5_bins(spark, sf):
+    return nonlinearity_study(analysis(spark, sf))["bins"]
+
+
+@register("e5_nonlinearity", "x:s, y:s, pearson:d, spearman:d, nonlinear:b", REGISTRY["t6_nonlinearity"][2], ("analysis", "__NL__"))
+def q_e5_nonlinear(spark, sf):
+    return nonlinearity_study(analysis(spark, sf))["tests"]
+
+
+@register("e5_residuals", "id:i, effort_score:d, residual:d",
+          f"SELECT id, effort_score, n_interactions - (b + a * effort_score) AS residual FROM {NL_ROWS} s, (SELECT "
+          f"regr_slope(n_interactions, effort_score) AS a, regr_intercept(n_interactions, effort_score) AS b FROM {NL_ROWS} r)",
+          ("analysis",))
+def q_e5_residuals(spark, sf):
+    return nonlinearity_study(analysis(spark, sf))["residuals_n_interactions"]
+
+
+def _study(spark, sf):
+    return popularity_study(raw_recipes(spark, sf), raw_interactions(spark, sf))
+
+
+@register("e8_rating_frequency", "rating:i, n:i, pct:d",
+          "SELECT rating, count(*) AS n, count(*) * 100.0 / (SELECT count(*) FROM ic0) AS pct FROM ic0 "
+          "WHERE rating IS NOT NULL GROUP BY 1", ("ic0",))
+def q_e8_frequency(spark, sf):
+    return _study(spark, sf)["rating_frequency"]
+
+
+_E8_MIN = ("(SELECT CASE WHEN minutes <> 0 THEN minutes END AS minutes FROM (SELECT * FROM raw_r WHERE minutes IS NULL OR minutes <> "
+           "(SELECT max(minutes) FROM raw_r)) a WHERE minutes IS NULL OR minutes <> (SELECT max(minutes) FROM "
+           "raw_r WHERE minutes <> (SELECT max(minutes) FROM raw_r)))")
+
+
+@register("e8_minutes_describe", P5_SPEC, _describe_sql(_E8_MIN, ("minutes",), True), ("raw_r",))
+def q_e8_describe(spark, sf):
+    return _study(spark, sf)["describe"]
+
+
+@register("e8_gaps", "recipe_id:i, rating_gap:d, bayes_gap:d, wilson_gap:d",
+          "SELECT recipe_id, 5 - avg_rating AS rating_gap, 5 - bayes_mean AS bayes_gap, 1 - wilson_lb AS wilson_gap "
+          "FROM rmet WHERE recipe_id IN (SELECT id FROM raw_r)", ("raw_r", "rmet"))
+def q_e8_gaps(spark, sf):
+    return _study(spark, sf)["gaps"]
+
+
+@register("e8_rating_histogram", HIST_SPEC,
+          _hist_sql("(SELECT avg_rating FROM rmet WHERE recipe_id IN (SELECT id FROM raw_r))", "avg_rating", 50), ("raw_r", "rmet"))
+def q_e8_histogram(spark, sf):
+    return _study(spark, sf)["rating_histogram"]
+
+
+E9_CORR = ("n_ingredients", "n_steps", "log_minutes", "avg_rating", "n_interactions", "interactions_per_month")
+
+
+@register("e9_kpi", "n_rows:i, mean_avg_rating:d, mean_minutes:d, mean_n_ingredients:d",
+          "SELECT count(*) AS n_rows, avg(avg_rating) AS mean_avg_rating, avg(minutes) AS mean_minutes, "
+          "avg(n_ingredients) AS mean_n_ingredients FROM analysis", ("analysis",))
+def q_e9_kpi(spark, sf):
+    return dashboard(analysis(spark, sf))["kpi"]
+
+
+@register("e9_scatter", "id:i, x:d, y:d, size:i, color:d, minutes:i, n_ingredients:i, n_steps:i",
+          "SELECT id, effort_score AS x, avg_rating AS y, n_interactions AS size, avg_rating AS color, minutes, n_ingredients, n_steps "
+          "FROM analysis", ("analysis",))
+def q_e9_scatter(spark, sf):
+    return dashboard(analysis(spark, sf))["scatter"]
+
+
+@register("e9_histogram", HIST_SPEC, _hist_sql("analysis", "effort_score", 30), ("analysis",))
+def q_e9_histogram(spark, sf):
+    return dashboard(analysis(spark, sf))["histogram"]
+
+
+@register("e9_box", "effort_quartile:i, q1:d, median:d, q3:d, whisker_low:d, whisker_high:d, n_outliers:i, n:i",
+          _box_sql(f"({_qcut_sql('analysis', 'effort_score', 4, 'effort_quartile')})", "avg_rating", "effort_quartile"), ("analysis",))
+def q_e9_box(spark, sf):
+    return dashboard(analysis(spark, sf))["box"]
+
+
+@register("e9_correlation", "x:s, y:s, coef:d, n:i", _corr_sql("analysis", E9_CORR), ("analysis",))
+def q_e9_corr(spark, sf):
+    return dashboard(analysis(spark, sf))["correlation"]
+
+
+@register("e9_preview", "id:i, minutes:i, effort_score:d, avg_rating:d",
+          "SELECT id, minutes, effort_score, avg_rating FROM analysis ORDER BY id LIMIT 100", ("analysis",))
+def q_e9_preview(spark, sf):
+    return dashboard(analysis(spark, sf))["preview"]
+
+
+@register("s2_load_raw", "table:s, n_rows:i, n_null:i",
+          "SELECT 'recipes' AS \"table\", count(*) AS n_rows, count(*) FILTER (WHERE description IS NULL) AS n_null FROM raw_r UNION ALL "
+          "SELECT 'interactions', count(*), count(*) FILTER (WHERE review IS NULL) FROM raw_i", ("raw_r", "raw_i"))
+def q_load_raw(spark, sf):
+    """S5 + S2: both raw tables written to the shared folder and loaded back."""
+    from ratelens.session import checkpoint_dir
+    from ratelens.sources.sinks import write_table
+    paths = [checkpoint_dir(spark, n) for n in ("raw-recipes", "raw-interactions")]
+    for path, df in zip(paths, (raw_recipes(spark, sf), raw_interactions(spark, sf))):
+        write_table(df, path)
+    r, i = R.load_raw(spark, *paths, fmt="parquet")
+    return (r.agg(F.count("*").alias("n_rows"), F.count_if(F.col("description").isNull()).alias("n_null")).withColumn("table", F.lit("recipes"))
+            .unionByName(i.agg(F.count("*").alias("n_rows"), F.count_if(F.col("review").isNull()).alias("n_null")).withColumn("table", F.lit("interactions"))))
+
+
+def _register_profiles():
+    """Each of the seven tables of the profile, against the SQL of its operator's query."""
+    for section, like in (("basic_info", "p1_profile"), ("minutes", "p3_minutes"), ("contributors", "g12_contributors"),
+                          ("ingredients", "g13_ingredients"), ("tags", "g13_tags"), ("counts", "p7_count_summary"),
+                          ("nutrition", "p8_nutrition_stats")):
+        _, spec, sql, ctes = REGISTRY[like]
+        register(f"e2_complete_profile_{section}", spec, sql, ctes)(
+            lambda spark, sf, section=section: complete_profile(raw_recipes(spark, sf))[section])
+
+
+_register_profiles()
 
 
 # --- registry access -------------------------------------------------------------
@@ -1332,7 +1600,10 @@ def oracle_sql() -> dict[str, str]:
             continue
         extra = [c for c in ctes if c.startswith("__")]
         base = [c for c in ctes if not c.startswith("__")]
-        text = O.ctes(*base) if base else ""
+        text = O.ctes(*[c for c in base if " AS (" not in c]) if base else ""
+        for c in base:
+            if " AS (" in c:
+                text += ",\n" + c
         if "__T11__" in extra:
             text += ",\n" + _T11[0]
         if "__NL__" in extra:

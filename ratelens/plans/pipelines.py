@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.operators import aggregate as G
@@ -12,7 +12,6 @@ from ratelens.operators import clean as C
 from ratelens.operators import derive as D
 from ratelens.operators import profile as P
 from ratelens.operators import stattests as T
-from ratelens.sources import fixtures
 
 DEFAULT_AS_OF = "2000-01-01"
 
@@ -26,17 +25,23 @@ def build_analysis(recipes: DataFrame, interactions: DataFrame, *, as_of: str =
     of recipes with their metrics; the rest are one-row aggregates.
     """
     rc = C.prepare_recipes(recipes, max_minutes=max_minutes)
-    ic = C.prepare_interactions(interactions)
-    ic = ic.join(rc.select(F.col("id").alias("recipe_id")), "recipe_id", "left_semi")
-    met = G.recipe_metrics(ic)
-    analysis = D.enrich_analysis(rc, met, as_of=as_of)
+    ic = kept_interactions(recipes, interactions, max_minutes=max_minutes)
+    analysis = D.enrich_analysis(rc, G.recipe_metrics(ic), as_of=as_of)
     return rc, ic, analysis
 
 
-def analysis_from_tables(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> DataFrame:
-    _, _, a = build_analysis(fixtures.recipes(spark, sf_dir), fixtures.interactions(spark, sf_dir),
-                             as_of=as_of)
-    return a
+def kept_interactions(recipes: DataFrame, interactions: DataFrame, *, max_minutes: float = 360) -> DataFrame:
+    """The cleaned interactions of the recipes that C13 keeps; reads the recipes' filter columns only."""
+    ids = C.filter_recipes(recipes, max_minutes=max_minutes).select(F.col("id").alias("recipe_id"))
+    return C.prepare_interactions(interactions).join(ids, "recipe_id", "left_semi")
+
+
+def save_tables(recipes: DataFrame, interactions: DataFrame, path: str, *, as_of: str = DEFAULT_AS_OF) -> None:
+    """E1's save: the three tables under ``path``."""
+    from ratelens.sources.sinks import write_table
+    for name, df in zip(("recipes_clean", "interactions_clean", "analysis"),
+                        build_analysis(recipes, interactions, as_of=as_of)):
+        write_table(df, f"{path.rstrip('/')}/{name}")
 
 
 def complete_profile(recipes: DataFrame) -> dict[str, DataFrame]:
@@ -103,3 +108,64 @@ def effort_study(recipes: DataFrame) -> DataFrame:
     df = D.minmax_scale(df, list(C.EFFORT_WEIGHTS))
     df = D.weighted_score(df, C.EFFORT_WEIGHTS, 100.0, "effort_score")
     return df.withColumn("effort_category", bucketize("effort_score", C.EFFORT_BOUNDS, C.EFFORT_LABELS))
+
+
+#: fixed values: features of the model study, columns of the dashboard's correlation matrix
+MODEL_STUDY_FEATURES = ("log_minutes", "n_ingredients", "avg_words_per_step", "effort_score")
+DASHBOARD_CORRELATION = ("n_ingredients", "n_steps", "log_minutes", "avg_rating", "n_interactions", "interactions_per_month")
+
+
+def nonlinearity_study(analysis: DataFrame, x: str = "effort_score", key: str = "id") -> dict[str, DataFrame]:
+    """E5 on the rows that are complete in all its columns: T9 curves (200
+    points) and T10 residuals per outcome, G7 bins, T6 rank test."""
+    from ratelens.operators import models as M
+    outcomes = ("n_interactions", "log1p_n_interactions", "bayes_mean", "wilson_lb")
+    rows = analysis.select(key, x, *outcomes).na.drop(subset=[x, *outcomes])
+    out = {"bins": G.bin_profile(rows, x, (x, "n_interactions", "bayes_mean", "wilson_lb"), 10),
+           "tests": T.nonlinearity(rows, x, ("n_interactions", "bayes_mean", "wilson_lb"))}
+    for y in ("log1p_n_interactions", "bayes_mean", "wilson_lb"):
+        out[f"curve_{y}"] = M.quadratic_curve(rows, x, y, 200)
+    for y in ("n_interactions", "bayes_mean", "wilson_lb"):
+        out[f"residuals_{y}"] = M.with_residuals(rows, x, y).select(key, x, "residual")
+    return out
+
+
+def model_study(analysis: DataFrame, target: str = "bayes_mean", key: str = "id", *,
+                rf_params: dict | None = None) -> dict[str, DataFrame]:
+    """Hold-out predictions of both models, their metrics, residuals, examples and the better one."""
+    from ratelens.operators import models as M
+    preds = M.holdout_predictions(analysis, list(MODEL_STUDY_FEATURES), target, key, rf_params=rf_params)
+    metrics = M.prediction_metrics(preds, target)
+    return {"predictions": preds, "metrics": metrics, "best": M.compare_models(metrics),
+            "residuals": M.prediction_residuals(preds, key, "effort_score"), "examples": M.prediction_examples(preds, key)}
+
+
+def popularity_study(recipes: DataFrame, interactions: DataFrame) -> dict[str, DataFrame]:
+    """C3 and C4 on minutes -> P4-P6; C14 -> G8-G10; G1-G3 -> J1 -> P12, P13, D2, D7, D11."""
+    minutes = C.sentinel_to_null(C.drop_max(C.drop_max(recipes, "minutes"), "minutes"), "minutes")
+    ic = C.prepare_interactions(interactions)
+    metrics = G.recipe_metrics(ic)
+    joined = metrics.join(recipes.select(F.col("id").alias("recipe_id")), "recipe_id")
+    logged = joined.withColumn("log1p_n_interactions", F.ln(F.lit(1.0) + F.col("n_interactions")))
+    return {"describe": P.describe(minutes, ["minutes"], extended=True),
+            "shape": P.shape_moments(minutes, ["minutes"]),
+            "rating_frequency": G.frequency(ic, "rating"),
+            "missing_rating_share": G.conditional_share(ic, "rating IS NULL"),
+            "mean_rating_without_review": G.conditional_mean(ic, "rating", "review IS NULL"),
+            "metrics": metrics, "joined": joined,
+            "rating_histogram": P.histogram(joined, "avg_rating", 50),
+            "winsorized": D.winsorize(logged, ["log1p_n_interactions"], 0.05, 0.99),
+            "gaps": D.gap_columns(joined).select("recipe_id", "rating_gap", "bayes_gap", "wilson_gap")}
+
+
+def dashboard(analysis: DataFrame, effort: str = "effort_score", popularity: str = "avg_rating") -> dict[str, DataFrame]:
+    """The extracts behind the dashboard's figures, for one chosen pair of columns."""
+    quartiles = D.qcut(analysis, effort, 4, out="effort_quartile")
+    return {"kpi": analysis.agg(F.count(F.lit(1)).alias("n_rows"),
+                                *[F.avg(F.col(c).cast("double")).alias(f"mean_{c}") for c in ("avg_rating", "minutes", "n_ingredients")]),
+            "scatter": analysis.select("id", F.col(effort).alias("x"), F.col(popularity).alias("y"), F.col("n_interactions").alias("size"),
+                                       F.col("avg_rating").alias("color"), "minutes", "n_ingredients", "n_steps"),
+            "histogram": P.histogram(analysis, effort, 30),
+            "box": P.box_stats(quartiles, popularity, by=["effort_quartile"]),
+            "correlation": T.corr_matrix(analysis, list(DASHBOARD_CORRELATION)),
+            "preview": analysis.orderBy("id").limit(100)}

@@ -51,12 +51,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
 
     On a cluster the setting names a shared folder that survives executor
-    loss.  Only local runs (tests, bench) fall back to a fresh temp folder.
+    loss, and must be set.  Only local runs (tests, bench) fall back to a
+    fresh temp folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="ratelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
