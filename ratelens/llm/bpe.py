@@ -34,8 +34,8 @@ _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _SPLIT = regex.compile(f"[{_SPACE}]+")
 #: Fixed by the vocabulary file (its pre-tokenizer's pattern, white space written out).
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+")
-#: Entries of a look-up table before it is emptied, and characters encoded at a time.
-TABLE, SLICE = 500_000, 1 << 21
+#: Chunks and words in the look-up tables before they are emptied, and characters encoded at a time.
+CHUNKS, WORDS, SLICE = 700_000, 1_000_000, 1 << 21
 
 
 def byte_letters() -> list[str]:
@@ -222,7 +222,7 @@ class Encoder:
         return text.split()
 
     def _learn(self, chunks: set[str]) -> None:
-        if len(self.words) > TABLE:
+        if len(self.words) > WORDS:
             self.words.clear()
         words, parts = self.words, self.parts
         cut = [parts(c) for c in chunks]
@@ -242,7 +242,7 @@ class Encoder:
             # a text is chunks; where special tokens stand in it, chunks and marks in turn
             cut = [[self._cut(s) for s in self.marks.split(t)] if self.marks is not None and "<|" in t else [self._cut(t)]
                    for t in texts[i:j]]
-            if len(self.chunks) > TABLE:
+            if len(self.chunks) > CHUNKS:
                 self.chunks.clear()
             unknown = set().union(*chain.from_iterable(cut)) - self.chunks.keys()
             if unknown:

@@ -11,6 +11,7 @@ written once, beside the texts they came from; only keys and lengths move.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,17 +39,22 @@ def library_encoder(path: str) -> Encoder:
     tokenizer.no_truncation()
     tokenizer.no_padding()
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+    suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix")
+    last = np.zeros(tokenizer.get_vocab_size(), bool)  # ids that end a word
+    for token, i in tokenizer.get_vocab().items():
+        last[i] = bool(suffix) and token.endswith(suffix)
 
     def words(new: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        for i in range(0, len(new), 256):
-            part = new[i:i + 256]
-            found = tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, of = np.array(found.ids, "<u4"), np.array(found.word_ids)
-            cut = np.split(ids, np.flatnonzero(np.diff(of)) + 1) if len(ids) else []
-            if len(cut) != len(part):  # a word that the library cuts further
-                cut = [np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4") for w in part]
-            out += [x.tobytes() for x in cut]
+        for i in range(0, len(new), 2048):
+            part = new[i:i + 2048]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(last[ids]) + 1 if len(ids) else ids
+            if len(ends) == len(part):
+                raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+                out += [raw[s:e] for s, e in zip(at, at[1:])]
+            else:  # a vocabulary without word ends, or a word that the library cuts further
+                out += [np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in part]
         return out
     return Encoder(special, words)
 

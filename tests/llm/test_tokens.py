@@ -53,7 +53,8 @@ def test_tree_equals_merge_loop():
 
 
 def test_small_tables_forget(monkeypatch, library):
-    monkeypatch.setattr(bpe, "TABLE", 3)
+    monkeypatch.setattr(bpe, "CHUNKS", 3)
+    monkeypatch.setattr(bpe, "WORDS", 3)
     merges = bpe.Merges(V)
     encoder = bpe.Encoder(merges.special, merges.encode_words)
     texts = ["a few words of text", "a few other words", "text of words"]
