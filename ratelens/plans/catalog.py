@@ -1115,10 +1115,49 @@ def q_spearman_matrix(spark, sf):
     return T.pivot_matrix(sp, order=list(T.DEFAULT_POPULARITY_VARS))
 
 
-@register("t8_lowess", "x:d, y:d, fit:d")
+def _lowess_sql(x: str, y: str, iterations: int, anchors: int = 300, frac: float = 0.3) -> tuple[str, str]:
+    """CTEs (one set a round) and select of ``x, y, fit``, with every distance written out."""
+    a = anchors - 1
+    parts = [
+        f"lw AS (SELECT id, CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y, row_number() OVER (ORDER BY {x}) - 1 AS r FROM analysis "
+        f"WHERE {x} IS NOT NULL AND {y} IS NOT NULL)",
+        f"lk AS (SELECT count(*) AS n, greatest(1, CAST(floor({frac!r} * count(*) + 1e-10) AS BIGINT)) AS k FROM lw)",
+        f"la AS (SELECT DISTINCT x AS a FROM lw, lk, range({anchors}) g(i) WHERE r = i * (n - 1) // {a})",
+        "lh AS (SELECT a, d AS h FROM (SELECT a, abs(x - a) AS d, row_number() OVER (PARTITION BY a ORDER BY abs(x - a)) AS o "
+        "FROM la, lw), lk WHERE o = k)",
+        "l0w AS (SELECT id, x, y, 1.0::DOUBLE AS rw FROM lw)"]
+    for i in range(iterations + 1):
+        t = f"l{i}"
+        parts += [
+            f"{t}s AS (SELECT a, h, w * rw AS w, x - a AS u, y FROM (SELECT a, h, x, y, rw, CASE WHEN h > 0 THEN "
+            f"power(1 - power(abs(x - a) / h, 3), 3) ELSE 1.0 END AS w FROM lh, {t}w WHERE abs(x - a) < h OR x = a))",
+            f"{t}m AS (SELECT a, any_value(h) AS h, sum(w) AS p0, sum(w * u) AS p1, sum(w * u * u) AS p2, sum(w * y) AS q0, "
+            f"sum(w * u * y) AS q1 FROM {t}s GROUP BY a)",
+            f"{t}f AS (SELECT a, fit, lead(a) OVER (ORDER BY a) AS a2, lead(fit) OVER (ORDER BY a) AS fit2 FROM (SELECT a, CASE WHEN "
+            f"p0 * p2 - p1 * p1 > 1e-12 * p0 * p0 * h * h THEN (p2 * q0 - p1 * q1) / (p0 * p2 - p1 * p1) WHEN p0 <> 0 THEN q0 / p0 END AS fit "
+            f"FROM {t}m) WHERE fit IS NOT NULL)",
+            f"{t}p AS (SELECT id, x, y, CASE WHEN a2 IS NULL OR x = a THEN fit ELSE fit + (x - a) / (a2 - a) * (fit2 - fit) END AS fit "
+            f"FROM {t}w JOIN {t}f ON x >= a AND (a2 IS NULL OR x < a2))"]
+        if i < iterations:
+            parts += [f"{t}q AS (SELECT quantile_cont(abs(y - fit), 0.5) AS s FROM {t}p)",
+                      f"l{i + 1}w AS (SELECT id, x, y, CASE WHEN s <= 0 THEN 1.0 WHEN abs(y - fit) < 6 * s THEN "
+                      f"power(1 - power(abs(y - fit) / (6 * s), 2), 2) ELSE 0.0 END AS rw FROM {t}p, {t}q)"]
+    return ",\n".join(parts), f"SELECT x, y, fit FROM l{iterations}p"
+
+
+_LOWESS, _LOWESS0 = _lowess_sql("effort_score", "bayes_mean", 3), _lowess_sql("effort_score", "bayes_mean", 0)
+
+
+@register("t8_lowess", "x:d, y:d, fit:d", _LOWESS[1], ("analysis", _LOWESS[0]))
 def q_lowess(spark, sf):
     from ratelens.operators.smooth import lowess
-    return lowess(analysis(spark, sf), "effort_score", "bayes_mean", key="id", frac=0.3, sample_size=20000)
+    return lowess(analysis(spark, sf), "effort_score", "bayes_mean", frac=0.3)
+
+
+@register("t8_lowess_plain", "x:d, y:d, fit:d", _LOWESS0[1], ("analysis", _LOWESS0[0]))
+def q_lowess_plain(spark, sf):
+    from ratelens.operators.smooth import lowess
+    return lowess(analysis(spark, sf), "effort_score", "bayes_mean", frac=0.3, iterations=0)
 
 
 def _quad_sql(src: str, x: str, y: str, prefix: str) -> tuple[str, str]:

@@ -92,6 +92,6 @@ def test_lowess_on_a_line(spark):
     from ratelens.operators.smooth import lowess
     df = spark.createDataFrame([(i, float(i % 50), 2.0 * (i % 50) + 1.0) for i in range(300)],
                                "id long, x double, y double")
-    out = lowess(df, "x", "y", key="id", frac=0.3)
+    out = lowess(df, "x", "y", frac=0.3)
     assert out.count() == 300
     assert out.agg(F.max(F.abs(F.col("fit") - F.col("y")))).first()[0] < 1e-9
