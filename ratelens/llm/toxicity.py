@@ -26,8 +26,10 @@ from ratelens.llm.common import id_text, staged, text_hash
 
 #: Labelled rows that make the index, at most; chosen by a hash of their id.
 MAX_EXAMPLES = 20_000
-#: Neighbours that vote, examples in a block, and the chi-square from which a term goes with the label.
-NEIGHBOURS, BLOCK, LEAST_CHI2 = 10, 64, 30.0
+#: Neighbours that vote and examples in a block.
+NEIGHBOURS, BLOCK = 10, 64
+#: A term goes with the label from this chi-square, share of toxic examples and number of examples on.
+LEAST_CHI2, LEAST_RATE, LEAST_COUNT = 30.0, 0.5, 6
 #: Exponent of the similarity in a vote, and examples' worth of the base rate mixed in.
 SHARPNESS, PRIOR = 4, 2.0
 THRESHOLD = 0.3
@@ -53,35 +55,50 @@ class BlockMaxIndex:
         for i, (ix, w) in enumerate(vectors):
             for t, x in zip(ix.tolist(), w.tolist()):
                 lists.setdefault(t, []).append((i, x))
-        self.postings, self.tops = {}, {}
+        self.postings: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.tops: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for t, rows in lists.items():
             at, w = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
             block = at // BLOCK
             first = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
-            self.postings[t] = (at, w, dict(zip(block[first].tolist(), zip(first.tolist(), [*first[1:].tolist(), len(at)]))))
+            self.postings[t] = (at, w)
             self.tops[t] = (block[first], np.maximum.reduceat(w, first))
 
     def nearest(self, ix: np.ndarray, w: np.ndarray, k: int, but: int = -1) -> list[tuple[float, int]]:
-        """The ``k`` vectors of largest cosine (above 0), ties to the smaller number, ``but`` left out."""
+        """The ``k`` vectors of largest cosine (above 0), ties to the smaller number, ``but`` left out.
+
+        Blocks are visited from the best bound down, a few more each time;
+        the rest is skipped once its best bound is below the k-th best score.
+        """
+        terms_ = [(t, x) for t, x in zip(ix.tolist(), w.tolist()) if t in self.tops]
         bound = np.zeros(self.blocks)
-        for t, x in zip(ix.tolist(), w.tolist()):
-            if t in self.tops:
-                block, most = self.tops[t]
-                bound[block] += x * most
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            # the sums of bounds and scores are rounded: skip only what is clearly below
-            if bound[b] <= 0 or len(best) >= k and bound[b] < best[-1][0] - 1e-9:
+        for t, x in terms_:
+            block, most = self.tops[t]
+            bound[block] += x * most
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        best_at, best = np.empty(0, np.int64), np.empty(0)
+        start, width = 0, 4
+        while start < len(order):
+            # bounds and scores are rounded sums: skip only what is clearly below
+            if len(best) >= k and bound[order[start]] < best[-1] - 1e-9:
                 break
-            score = np.zeros(BLOCK)
-            for t, x in zip(ix.tolist(), w.tolist()):
-                at, weight, span = self.postings.get(t, (None, None, {}))
-                if b in span:
-                    lo, hi = span[b]
-                    score[at[lo:hi] - b * BLOCK] += x * weight[lo:hi]
-            here = [(round(float(score[j]), 12), b * BLOCK + int(j)) for j in np.flatnonzero(score > 0)]
-            best = sorted([*best, *(x for x in here if x[1] != but)], key=lambda x: (-x[0], x[1]))[:k]
-        return best
+            lo_hi = np.sort(order[start:start + width])
+            score = np.zeros((len(lo_hi), BLOCK))
+            for t, x in terms_:
+                at, weight = self.postings[t]
+                # the postings of the visited blocks alone
+                a, b = np.searchsorted(at, lo_hi * BLOCK), np.searchsorted(at, (lo_hi + 1) * BLOCK)
+                for row in np.flatnonzero(b > a).tolist():
+                    score[row, at[a[row]:b[row]] - lo_hi[row] * BLOCK] += x * weight[a[row]:b[row]]
+            row, col = np.nonzero(score > 0)
+            found = lo_hi[row] * BLOCK + col
+            best_at = np.concatenate([best_at, found[found != but]])
+            best = np.concatenate([best, np.round(score[row, col], 12)[found != but]])
+            top = np.lexsort((best_at, -best))[:k]
+            best_at, best = best_at[top], best[top]
+            start, width = start + width, width * 2
+        return list(zip(best.tolist(), best_at.tolist()))
 
 
 @dataclass
@@ -184,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> tuple[
     if 0 < pos < n:
         expected = F.col("df") * base
         chi2 = F.pow(F.col("a") - expected, 2) * n / (expected * (1 - base) * (n - F.col("df") + 1e-9))
-        telling = sorted(r[0] for r in counts.where((F.col("a") > expected) & (chi2 >= LEAST_CHI2) & (F.col("df") >= 3)).select("term").collect())
+        telling = sorted(r[0] for r in counts.where((F.col("a") > expected) & (chi2 >= LEAST_CHI2) & (F.col("a") >= LEAST_RATE * F.col("df")) & (F.col("df") >= LEAST_COUNT)).select("term").collect())
     vocabulary = {t: i for i, t in enumerate(telling)}
     counted = staged(term_counts(docs, vocabulary), "term-counts")
     total = counted.count()
@@ -196,7 +213,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> tuple[
     for r in counted.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", "ix", "tf").collect():
         distinct.setdefault((tuple(r.ix), tuple(r.tf)), []).append((r.doc_id, r.toxic))
     none = distinct.pop(((), ()), [])
-    keys = sorted(distinct, key=lambda k: min(distinct[k]))
+    # examples with the same telling terms share blocks, so a block's largest weights say much about it
+    keys = sorted(distinct, key=lambda k: (sorted(k[0], key=lambda i: (-idf[i], i)), k[1]))
     model = Model(vocabulary, idf, None, np.array([len(distinct[k]) for k in keys]), np.array([sum(y for _, y in distinct[k]) for k in keys]),
                   [min(distinct[k])[0] for k in keys], (sum(y for _, y in none) + PRIOR * base) / (len(none) + PRIOR) if n else 0.0,
                   base, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
