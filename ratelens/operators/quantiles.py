@@ -180,4 +180,6 @@ def average_rank(df: DataFrame, x: str, by: Sequence[str] = (), out: str | None
                   (F.col("before") + (F.col("n") + 1) / 2.0).alias(out))
     cond = [F.col(c).eqNullSafe(F.col(f"_rk_{c}")) for c in by]
     cond.append(F.col(x).cast("double") == F.col("_rv"))
-    return df.join(r, cond, "left").drop("_rv", *[f"_rk_{c}" for c in by])
+    ranked = df.where(F.col(x).isNotNull()).join(r, cond, "left").drop("_rv", *[f"_rk_{c}" for c in by])
+    # rows without a value never meet in one partition of the join
+    return ranked.unionByName(df.where(F.col(x).isNull()).withColumn(out, F.lit(None).cast("double")))

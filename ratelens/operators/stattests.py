@@ -203,24 +203,24 @@ def anova(df: DataFrame, group_col: str, metrics: Sequence[str], na: str = "list
     ``SSB = sum n_i (m_i - m)^2``, ``SSW = sum (n_i - 1) v_i``.
     """
     clean = _group_frame(df, group_col, metrics, na)
-    out = None
-    for m in [m for m in metrics if m in df.columns]:
+    present = [m for m in metrics if m in df.columns]
+    # one grouping of the rows for all metrics, then one small row a group and metric
+    aggs = []
+    for i, m in enumerate(present):
         x = F.col(m).cast("double")
-        g = clean.where(x.isNotNull()).groupBy(group_col).agg(
-            F.count(x).alias("_ni"), F.avg(x).alias("_mi"), F.var_samp(x).alias("_vi"))
-        tot = g.agg(F.sum("_ni").alias("_N"), (F.sum(F.col("_ni") * F.col("_mi")) / F.sum("_ni")).alias("_gm"),
-                    F.count(F.lit(1)).alias("_k"))
-        s = g.crossJoin(tot).groupBy("_N", "_k").agg(
-            F.sum(F.col("_ni") * (F.col("_mi") - F.col("_gm")) * (F.col("_mi") - F.col("_gm"))).alias("_ssb"),
-            F.sum((F.col("_ni") - 1) * F.coalesce(F.col("_vi"), F.lit(0.0))).alias("_ssw"))
-        # no spread inside the groups, one group, or one row a group: NULL
-        r = s.select(F.lit(m).alias("metric"), F.lit("anova").alias("method"),
-                     F.try_divide(F.try_divide("_ssb", F.col("_k") - 1), F.try_divide("_ssw", F.col("_N") - F.col("_k")))
-                     .alias("statistic"),
-                     F.col("_k").cast("long").alias("n_groups"), F.col("_N").cast("long").alias("n_total"),
-                     F.col("_k").alias("_d1"))
-        r = r.withColumn("_d1", F.col("n_groups") - 1).withColumn("_d2", F.col("n_total") - F.col("n_groups"))
-        out = r if out is None else out.unionByName(r)
+        aggs += [F.count(x).alias(f"_n{i}"), F.avg(x).alias(f"_m{i}"), F.var_samp(x).alias(f"_v{i}")]
+    parts = ", ".join(f"'{m}', _n{i}, _m{i}, _v{i}" for i, m in enumerate(present))
+    g = clean.groupBy(group_col).agg(*aggs).selectExpr(f"stack({len(present)}, {parts}) as (metric, _ni, _mi, _vi)").where("_ni > 0")
+    tot = g.groupBy("metric").agg(F.sum("_ni").alias("_N"), (F.sum(F.col("_ni") * F.col("_mi")) / F.sum("_ni")).alias("_gm"),
+                                  F.count(F.lit(1)).alias("_k"))  # one row a metric
+    s = g.join(F.broadcast(tot), "metric").groupBy("metric", "_N", "_k").agg(
+        F.sum(F.col("_ni") * (F.col("_mi") - F.col("_gm")) * (F.col("_mi") - F.col("_gm"))).alias("_ssb"),
+        F.sum((F.col("_ni") - 1) * F.coalesce(F.col("_vi"), F.lit(0.0))).alias("_ssw"))
+    # no spread inside the groups, one group, or one row a group: NULL
+    out = s.select("metric", F.lit("anova").alias("method"),
+                   F.try_divide(F.try_divide("_ssb", F.col("_k") - 1), F.try_divide("_ssw", F.col("_N") - F.col("_k"))).alias("statistic"),
+                   F.col("_k").cast("long").alias("n_groups"), F.col("_N").cast("long").alias("n_total"),
+                   (F.col("_k") - 1).alias("_d1"), (F.col("_N") - F.col("_k")).alias("_d2"))
     if with_p:
         out = out.withColumn("p_value", f_sf_col(F.col("statistic"), F.col("_d1"), F.col("_d2")))
     return out.drop("_d1", "_d2")
