@@ -8,7 +8,7 @@ so rows that share an id are told apart, and null ids are rows like others.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelens.llm import packing, pii, queries, simhash, substring, toxicity
@@ -17,52 +17,58 @@ from ratelens.llm.common import staged, table, text_hash
 # No stage but PII can be told in SQL.
 ORACLE_SQL = None
 
-_ID = "coalesce(doc_id, -9223372036854775808)"
 
+def _id(c: Column) -> Column:
+    return F.coalesce(c, F.lit(-(1 << 63)))
 
-def _with_text(docs: DataFrame, columns: list[str], text) -> DataFrame:
-    """The given columns with a new text, and n_chars after it."""
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns, whatever their names), ``id`` and ``hash``."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       _id(F.col("doc_id")).alias("id"), text_hash(F.col("text")).alias("hash"))
+
+
+def _with_text(rows: DataFrame, columns: list[str], text: Column) -> DataFrame:
+    """The columns of ``row`` with a new text; where it differs, n_chars is counted again."""
+    old = F.col("row").getField
     new = {"text": text, "n_chars": F.length(text).cast("bigint")}
-    return docs.select(*[F.when(F.col("text").eqNullSafe(text), F.col(c)).otherwise(new[c]).alias(c) if c in new else F.col(f"`{c}`")
+    return rows.select(*[F.when(old("text").eqNullSafe(text), old(c)).otherwise(new[c]).alias(c) if c in new else old(c).alias(c)
                          for c in columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below the threshold; equal texts share a verdict."""
     scored = toxicity.score(docs, table(spark, sf_dir, "labels"))
-    rejected = scored.where("predicted = 1").select("text_hash").distinct()
-    return (docs.withColumn("text_hash", text_hash(F.col("text")))
-            .join(rejected, "text_hash", "left_anti").select(*docs.columns))
+    rejected = scored.where("predicted = 1").select(F.col("text_hash").alias("hash")).distinct()
+    return _keyed(docs).join(rejected, "hash", "left_anti").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: the smallest id (none: the smallest text hash), once."""
     found = simhash.near_duplicates(docs, width=3, radius=2)
     first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("m"))
-    kept = first.select(F.expr(_ID.replace("doc_id", "m.doc_id")).alias("__id"), F.col("m.text_hash").alias("__hash"))
-    keyed = docs.withColumn("__id", F.expr(_ID)).withColumn("__hash", text_hash(F.col("text")))
+    kept = first.select(_id(F.col("m.doc_id")).alias("id"), F.col("m.text_hash").alias("hash"))
     # repeated rows share both keys, which the join has already brought together
-    return keyed.join(kept, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+    return _keyed(docs).join(kept, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"]).select("row.*")
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the windows of 20 words that occur earlier; texts that lose none stay as they are.
 
-    A row that repeats an id and a text goes with all its words, so one of them stays.
+    Of rows that repeat an id and a text one stays.
     """
     found = substring.remove_repeats(docs, min_words=20)
-    changed = (found.select(F.expr(_ID).alias("__id"), F.col("text_hash").alias("__hash"), "n_removed",
+    changed = (found.select(_id(F.col("doc_id")).alias("id"), F.col("text_hash").alias("hash"), "n_removed",
                             F.when(F.col("n_removed") > 0, F.col("kept_text")).alias("kept_text"))
-               .groupBy("__id", "__hash").agg(F.min_by("kept_text", "n_removed").alias("__kept")))
-    keyed = docs.withColumn("__id", F.expr(_ID)).withColumn("__hash", text_hash(F.col("text")))
-    rows = keyed.join(changed, ["__id", "__hash"]).dropDuplicates(["__id", "__hash"])
-    return _with_text(rows, docs.columns, F.coalesce("__kept", "text"))
+               .groupBy("id", "hash").agg(F.min_by("kept_text", "n_removed").alias("kept")))
+    rows = _keyed(docs).join(changed, ["id", "hash"]).dropDuplicates(["id", "hash"])
+    return _with_text(rows, docs.columns, F.coalesce(F.col("kept"), F.col("row").getField("text")))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data replaced by their kind in brackets."""
-    out = pii.redact(docs.withColumn("__text", F.col("text")), text_col="__text")
-    return _with_text(out, docs.columns, F.col("__text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    return _with_text(pii.redact(rows), docs.columns, F.col("text"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -122,5 +122,18 @@ def test_stages_on_nothing(spark, tmp_path):
     assert corpus_pipeline.run(spark, path).count() == 0
 
 
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    docs, labels = _corpus(spark, 60)
+    more = {c: f"coalesce(length(text), 0) AS `{c}`" for c in ("text_hash", "hash", "id", "row", "spans", "key", "kept", "component", "chunk", "fp", "ids")}
+    docs = docs.selectExpr("*", *more.values())
+    path = _write(spark, tmp_path, docs, labels)
+    now = spark.read.parquet(f"{path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = staged(stage(spark, now, path), name)
+        assert now.columns == docs.columns
+        assert now.where("hash <> length(text) OR text_hash <> hash OR id <> row").count() == 0 and now.count() > 0
+    assert corpus_pipeline.pack_sequences(spark, now, path).count() == now.count()
+
+
 def test_query_runs(spark):
     assert queries.op3_toxicity(spark, "/root/testdata/sf0.001").count() == 200
