@@ -51,11 +51,6 @@ def bucketize(c: str | Column, bounds: Sequence[float], labels: Sequence[str],
     return out.otherwise(F.lit(labels[-1])) if out is not None else F.lit(labels[-1])
 
 
-def ln_guarded(c: str | Column) -> Column:
-    """Natural log; NULL for NULL and for x <= 0 (Spark ``ln`` already does)."""
-    return F.ln(col(c))
-
-
 def log_floor(c: str | Column, floor: float = 1.0) -> Column:
     """``ln(max(x, floor))`` keeping NULL (``greatest`` would skip a NULL)."""
     x = col(c)
@@ -87,10 +82,6 @@ def clip(c: str | Column, lo: Column | float | None, hi: Column | float | None)
     return F.when(x.isNotNull(), out)
 
 
-def safe_div(a: Column, b: Column) -> Column:
-    return F.try_divide(a, b)
-
-
 def unbiased_skew(g1: Column, n: Column) -> Column:
     """Bias-corrected sample skewness from Spark's population ``skewness``."""
     return F.when(n >= 3, g1 * F.sqrt(n * (n - 1)) / (n - 2))

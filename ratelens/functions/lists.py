@@ -108,11 +108,6 @@ NUTRITION_COLUMNS = (
 )
 
 
-def numeric_coerce(c: str | Column) -> Column:
-    """``to_numeric(errors='coerce')``: trimmed text -> double or NULL."""
-    return _try_double(col(c))
-
-
 def _try_double(c: Column) -> Column:
     return nan_to_null(F.trim(c).try_cast("double"))
 

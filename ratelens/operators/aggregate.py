@@ -55,7 +55,7 @@ def rating_metrics(interactions: DataFrame, *, key: str = "recipe_id", rating: s
 
 def wilson_lower_bound(positives: Column, total: Column, confidence: float = 0.95) -> Column:
     """G3 closed form: ``max(0, centre - margin)``; ``total == 0`` gives 0.0."""
-    z = 1.96 if confidence == 0.95 else 1.64
+    z = 1.96 if confidence == 0.95 else 1.64  # fixed values: the study's two-decimal normal quantiles
     z2 = z * z
     n = total.cast("double")
     p = positives.cast("double") / n

@@ -175,6 +175,7 @@ def rate_per_month(n: str | Column, age: str | Column) -> Column:
     return F.when(a.isNotNull(), nn / F.greatest(F.lit(1.0), a))
 
 
+# fixed values: the columns that the study standardises
 DEFAULT_STANDARDIZE = ("log_minutes", "n_steps", "n_ingredients", "avg_words_per_step",
                        "age_months", "effort_score", "steps_x_ingredients")
 

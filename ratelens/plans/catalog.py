@@ -166,6 +166,36 @@ def q_csv_roundtrip(spark, sf):
     return R.read_csv(spark, path, R.RECIPES_SCHEMA)
 
 
+@register("s1_csv_null_tokens", "id:i, v:s, x:d",
+          "SELECT p_partkey AS id, CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE p_type END AS v, "
+          "CASE WHEN p_partkey % 5 = 3 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS x FROM part")
+def q_csv_null_tokens(spark, sf):
+    """S1 on single-line fields, files split: NA, n/a and empty text, NaN numbers."""
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+    from ratelens.session import checkpoint_dir
+    path = checkpoint_dir(spark, "csv-tokens")
+    part = FX.table(spark, sf, "part")
+    k = F.col("p_partkey") % 5
+    part.select(F.col("p_partkey").alias("id"), F.when(k == 0, "NA").when(k == 1, "n/a").when(k == 2, "").otherwise(F.col("p_type")).alias("v"),
+                F.when(k == 3, "NaN").otherwise(F.col("p_size").cast("string")).alias("x")).write.option("header", "true").csv(path)
+    schema = StructType([StructField("id", LongType()), StructField("v", StringType()), StructField("x", DoubleType())])
+    return R.read_csv(spark, path, schema, multi_line=False)
+
+
+@register("a1_parse_awkward", "id:i, pos:i, item:s",
+          "SELECT id, pos, item FROM (SELECT p_partkey AS id, unnest([0, 1]) AS pos, unnest(CASE p_partkey % 5 "
+          "WHEN 0 THEN [p_type, p_brand] WHEN 1 THEN [p_type, NULL] WHEN 2 THEN [p_type || p_brand, 'z'] "
+          "WHEN 3 THEN ['A' || p_type, 'q'] END) AS item FROM part WHERE p_partkey % 5 < 4)")
+def q_parse_awkward(spark, sf):
+    """A1 on texts that JSON cannot read: trailing comma, None, adjacent strings, escapes, tuples."""
+    from ratelens.functions.lists import parse_list_exact
+    p, k = FX.table(spark, sf, "part"), F.col("p_partkey") % 5
+    text = (F.when(k == 0, F.format_string("['%s', '%s',]", "p_type", "p_brand")).when(k == 1, F.format_string("['%s', None]", "p_type"))
+            .when(k == 2, F.format_string("['%s' '%s', 'z']", "p_type", "p_brand"))
+            .when(k == 3, F.concat(F.lit("['\\x41"), F.col("p_type"), F.lit("', 'q']"))).otherwise(F.format_string("('%s',)", "p_type")))
+    return p.select(F.col("p_partkey").alias("id"), F.posexplode(parse_list_exact(text)).alias("pos", "item"))
+
+
 S3_SPEC = "id:i, effort_score:d, bayes_mean:d, wilson_lb:d, rating_gap:d, bayes_gap:d"
 
 
