@@ -90,3 +90,22 @@ def unbiased_skew(g1: Column, n: Column) -> Column:
 def unbiased_kurt(g2: Column, n: Column) -> Column:
     """Bias-corrected excess kurtosis from Spark's population ``kurtosis``."""
     return F.when(n >= 4, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
+
+
+def general_format(c: str | Column, digits: int = 3) -> Column:
+    """U4: the text of C's ``%.<digits>g``: that many significant digits, no
+    trailing zeros, an exponent below 1e-4 and from ten to the digits on."""
+    v = col(c).cast("double")
+    size = F.floor(F.log10(F.abs(v))).cast("int")
+    # rounding may carry into the next power of ten
+    exp = F.when(v == 0, 0).otherwise(F.floor(F.log10(F.abs(F.format_string(f"%.{digits - 1}e", v).try_cast("double")))).cast("int"))
+    exp = F.when(v == 0, 0).otherwise(F.greatest(exp, size))
+
+    def bare(s: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(s, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    fixed = F.lit(None).cast("string")
+    for e in range(-4, digits):
+        fixed = F.when(exp == e, bare(F.format_string(f"%.{digits - 1 - e}f", v))).otherwise(fixed)
+    mantissa = bare(F.regexp_extract(F.format_string(f"%.{digits - 1}e", v), r"^(.*)e", 1))
+    power = F.concat(F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")), F.format_string("%02d", F.abs(exp)))
+    return F.when(v.isNull(), F.lit(None)).when(F.isnan(v), F.lit("nan")).when(exp.between(-4, digits - 1), fixed).otherwise(F.concat(mantissa, power))

@@ -8,6 +8,7 @@ the few aggregated rows (``functions.pvalues``).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -170,10 +171,11 @@ def pivot_matrix(long: DataFrame, index: str = "effort", columns: str = "popular
                  fmt: str | None = None, digits: int | None = 3) -> DataFrame:
     """Long -> matrix (rows = index, columns = known values), rounded or
     formatted (``fmt='%.3g'`` for p-values)."""
-    from ratelens.functions.expr import round_half_even
+    from ratelens.functions.expr import general_format, round_half_even
     v = F.col(values)
     if fmt:
-        v = F.format_string(fmt, v)
+        general = re.fullmatch(r"%\.(\d+)g", fmt)
+        v = general_format(v, int(general[1])) if general else F.format_string(fmt, v)
     elif digits is not None:
         v = round_half_even(v, digits)
     src = long.select(index, columns, v.alias("_v"))

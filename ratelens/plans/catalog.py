@@ -1134,6 +1134,21 @@ def q_pivot(spark, sf):
                           order=list(T.DEFAULT_POPULARITY_VARS))
 
 
+@register("t7_pivot_formatted", "effort:s, bayes_mean:s, wilson_lb:s, interactions_per_month:s",
+          "SELECT effort, " + ", ".join(f"max(CASE WHEN popularity = '{p}' THEN format('{{:.3g}}', coef * coef) END) AS {p}"
+                                        for p in T.DEFAULT_POPULARITY_VARS)
+          + f" FROM ({_pearson_sql()}) GROUP BY effort", ("analysis",))
+def q_pivot_formatted(spark, sf):
+    grid = T.pearson_grid(analysis(spark, sf), with_p=False).withColumn("share", F.col("coef") * F.col("coef"))
+    return T.pivot_matrix(grid, values="share", order=list(T.DEFAULT_POPULARITY_VARS), fmt="%.3g")
+
+
+@register("t7_p_matrix", "effort:s, bayes_mean:s, wilson_lb:s, interactions_per_month:s")
+def q_p_matrix(spark, sf):
+    grid = T.pearson_grid(analysis(spark, sf))
+    return T.pivot_matrix(grid, values="p_value", order=list(T.DEFAULT_POPULARITY_VARS), fmt="%.3g")
+
+
 @register("e3_spearman_matrix", PIV_SPEC,
           "SELECT effort, " + ", ".join(f"max(CASE WHEN popularity = '{p}' THEN round_even(coef, 3) END) AS {p}"
                                         for p in T.DEFAULT_POPULARITY_VARS)

@@ -74,3 +74,11 @@ def test_lists_that_json_cannot_read(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
     got = {r.i: r.v for r in df.select("i", parse_list_exact("t").alias("v")).collect()}
     assert [got[i] for i in range(len(cases))] == [v for _, v in cases]
+
+
+def test_general_format(spark):
+    from ratelens.functions.expr import general_format
+    values = [0.0, 1.0, -1.5, 0.05, 0.000123456, 0.0000999951, 0.00001234, 123.456, 999.6, 1234.5, 9.996, 0.1, 1e-300, 2.5e20, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = {r.i: r.t for r in df.select("i", general_format("v").alias("t")).collect()}
+    assert [got[i] for i in range(len(values))] == [None if v is None else "%.3g" % v for v in values]
