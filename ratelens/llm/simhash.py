@@ -95,6 +95,11 @@ def forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.nd
     Rows of ``a`` are compared in slices; a pair is a link only if it joins two
     trees, so at most ``len(a) + len(b) - 1`` links come back whatever the pairs.
     """
+    none = np.empty(0, np.uint64)
+    if len(a) * len(b) <= 1 << 16:  # most pairs of small tiles hold no link
+        x = a[:, None] ^ b[None, :]
+        if not ((np.bitwise_count(x) <= radius) & (x != 0)).any():
+            return none, none
     both, index = np.unique(np.concatenate([a, b]), return_inverse=True)
     ia, ib = index[:len(a)], index[len(a):]
     root = np.arange(len(both))
