@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from ratelens.llm.common import id_text
+from ratelens.llm.common import cut_text, id_text
 
 INF = np.iinfo(np.int64).max
 #: White space of the vocabulary's patterns (Unicode, without the separators 28-31).
@@ -231,7 +231,13 @@ class Encoder:
         self.chunks.update(zip(chunks, [words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for ws in cut]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text (little-endian unsigned 32-bit), a few texts at a time."""
+        """The ids of each text (little-endian unsigned 32-bit), a few texts at a time, a long text in parts."""
+        parts = [list(cut_text(t, SLICE)) for t in texts]
+        ids = self._few([p for ps in parts for p in ps])
+        ends = np.cumsum([len(ps) for ps in parts]).tolist()
+        return [ids[e - 1] if len(ps) == 1 else b"".join(ids[e - len(ps):e]) for ps, e in zip(parts, ends)]
+
+    def _few(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         i = 0
         while i < len(texts):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,21 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
+def cut_text(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """The text in parts of about ``size`` characters, cut before a space or line feed: words stay whole."""
+    at = 0
+    while len(text) - at > size:
+        end = max(text.rfind(" ", at + 1, at + size), text.rfind("\n", at + 1, at + size))
+        if end < 0:  # one long run: to its end
+            ends = [x for x in (text.find(" ", at + size), text.find("\n", at + size)) if x >= 0]
+            if not ends:
+                break
+            end = min(ends)
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
 def once(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row.
 

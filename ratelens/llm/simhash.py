@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.llm.common import id_text, staged, text_hash
+from ratelens.llm.common import cut_text, id_text, staged, text_hash
 
 SEED = 42
 BITS = 64
@@ -36,19 +36,26 @@ def fingerprint(text: str, width: int = 3) -> int:
 
     A text with fewer words is one shingle, a text without words has fingerprint zero.
     """
-    words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII letters, ASCII spaces
-    if not words:
-        return 0
-    shingles = [b" ".join(s) for s in zip(*(words[i:] for i in range(width)))] if len(words) >= width else [b" ".join(words)]
-    return majority(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64, len(shingles)))
-
-
-def majority(hashes: np.ndarray) -> int:
-    """The bits that are set in over half of the hashes; counted in slices, so memory stays small."""
+    counts, total, words = np.zeros(BITS, np.int64), 0, []
+    for part in cut_text(text):  # a long text in parts, the last words carried on
+        words += part.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII letters, ASCII spaces
+        shingles = [b" ".join(s) for s in zip(*(words[i:] for i in range(width)))]
+        counts += set_bits(shingles)
+        total += len(shingles)
+        words = words[len(words) - width + 1:] if len(words) >= width else words
+    if not total and words:
+        counts, total = set_bits([b" ".join(words)]), 1
+    return int.from_bytes(np.packbits(2 * counts > total).tobytes(), "big")
+
+
+def set_bits(shingles: list[bytes]) -> np.ndarray:
+    """How many of the shingles' hashes have each bit set, highest bit first; in slices, so memory stays small."""
     counts = np.zeros(BITS, np.int64)
-    for i in range(0, len(hashes), 1 << 14):
-        counts += np.unpackbits(hashes[i:i + (1 << 14)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+    for i in range(0, len(shingles), 1 << 14):
+        part = shingles[i:i + (1 << 14)]
+        hashes = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in part), np.uint64, len(part))
+        counts += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return counts
 
 
 def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.llm.common import id_text, staged, text_hash
+from ratelens.llm.common import cut_text, id_text, staged, text_hash
 
 #: Labelled rows that make the index, at most; chosen by a hash of their id.
 MAX_EXAMPLES = 20_000
@@ -167,10 +167,10 @@ def term_counts(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
             ixs, tfs = [], []
             for t in b["text"]:
                 count: dict[int, int] = {}
-                for w in _WORD.findall((t.as_py() or "").lower()):
-                    i = look(w)
-                    if i is not None:
-                        count[i] = count.get(i, 0) + 1
+                for part in cut_text(t.as_py() or ""):
+                    for i in map(look, terms(part)):
+                        if i is not None:
+                            count[i] = count.get(i, 0) + 1
                 ix = sorted(count)
                 ixs.append(ix)
                 tfs.append([count[i] for i in ix])
@@ -189,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> tuple[
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for d, y, t in zip(b["doc_id"], b["toxic"], b["text"]):
-                w = list(set(terms(t.as_py())))
+                w = list(set().union(*(terms(part) for part in cut_text(t.as_py()))))
                 for k in range(0, len(w), 50_000):
                     part = w[k:k + 50_000]
                     yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([y.as_py()] * len(part), pa.int32())], names=["term", "toxic"])

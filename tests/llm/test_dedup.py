@@ -152,3 +152,11 @@ def test_queries_run(spark):
     n = spark.read.parquet(f"{SMALL}/documents.parquet").count()
     rows = queries.op10_simhash(spark, SMALL).collect()
     assert len(rows) == n and all(len(r.fingerprint) == 16 for r in rows)
+
+
+def test_fingerprint_of_parts(monkeypatch):
+    from ratelens.llm.common import cut_text
+    text = " ".join(RNG.choice("abc") + RNG.choice("xyz") for _ in range(500))
+    monkeypatch.setattr(simhash, "cut_text", lambda t: cut_text(t, 20))
+    for t in (text, "a b", "a", "", "  ", "ab " * 7):
+        assert simhash.fingerprint(t) == _fingerprint(t)

@@ -158,3 +158,15 @@ def test_queries_run(spark):
     n = spark.read.parquet(f"{SMALL}/documents.parquet").count()
     assert queries.op7_bpe(spark, SMALL).count() == n
     assert queries.op2_best_fit_packing(spark, SMALL).select("doc_id").distinct().count() == n
+
+
+def test_long_texts_in_parts(monkeypatch, library):
+    from ratelens.llm.common import cut_text
+    text = "some words\nof a text " * 40 + "x" * 300 + " end  of\n\nit" + "y" * 500
+    for size in (1, 7, 50, 10_000):
+        parts = list(cut_text(text, size))
+        assert "".join(parts) == text and [w for p in parts for w in p.split()] == text.split()
+    monkeypatch.setattr(bpe, "SLICE", 64)
+    _, encoder = bpe.tree_encoder(V)
+    for t, ids in zip([text, "", "short", text * 2], encoder.encode([text, "", "short", text * 2])):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
