@@ -71,4 +71,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_dir(spark: SparkSession, name: str = "work") -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/ratelens-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/ratelens-{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
+
+
+_MADE: list[str] = []
+
+
+def remove_staged(spark: SparkSession) -> int:
+    """Delete the written tables that this process has made so far; how many there were.
+
+    For the end of a job: frames that still read such a table are lost with it.
+    """
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _MADE:
+        at = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        n += bool(at.getFileSystem(conf).delete(at, True))
+    return n

@@ -21,6 +21,8 @@ def spark():
     from ratelens.session import get_session
     get_session()
     yield s
+    from ratelens.session import remove_staged
+    remove_staged(s)
     s.stop()
 
 

@@ -82,3 +82,27 @@ def test_general_format(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
     got = {r.i: r.t for r in df.select("i", general_format("v").alias("t")).collect()}
     assert [got[i] for i in range(len(values))] == [None if v is None else "%.3g" % v for v in values]
+
+
+def test_staged_tables_are_removed(spark, tmp_path):
+    import os
+    from ratelens import session
+    before = list(session._MADE)
+    path = session.checkpoint_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    session._MADE[:] = [path]
+    assert os.path.exists(path) and session.remove_staged(spark) == 1 and not os.path.exists(path)
+    session._MADE[:] = before
+
+
+def test_changed_input_is_seen(spark, tmp_path):
+    import shutil
+    from tests.conftest import SMALL_DIR
+    from ratelens.plans import catalog
+    here = str(tmp_path / "in")
+    shutil.copytree(SMALL_DIR, here)
+    first = catalog._inputs(spark, here)
+    assert first == catalog._inputs(spark, here)
+    import os
+    os.utime(f"{here}/part.parquet", (1, 1))
+    assert first != catalog._inputs(spark, here)
