@@ -123,7 +123,7 @@ def quantiles(df: DataFrame, x: str, probs: Sequence[float], by: Sequence[str] =
         arr = F.percentile(F.col(x).cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
         agg = df.groupBy(*by).agg(arr.alias("_q"))
         return agg.select(*by, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
-    vo = value_offsets(df, x, by, buckets)
+    vo = value_offsets(df, x, by) if buckets is None else value_offsets(df, x, by, buckets)
     n1 = F.col("total") - 1
     lo_hi = []
     for i, p in enumerate(probs):
