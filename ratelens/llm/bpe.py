@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from ratelens.llm.common import cut_text, id_text
+from ratelens.llm.common import cut_text, id_text, released
 
 INF = np.iinfo(np.int64).max
 #: White space of the vocabulary's patterns (Unicode, without the separators 28-31).
@@ -35,7 +35,7 @@ _SPLIT = regex.compile(f"[{_SPACE}]+")
 #: Fixed by the vocabulary file (its pre-tokenizer's pattern, white space written out).
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+")
 #: Chunks and words in the look-up tables before they are emptied, and characters encoded at a time.
-CHUNKS, WORDS, SLICE = 700_000, 1_000_000, 1 << 21
+CHUNKS, WORDS, SLICE = 150_000, 250_000, 1 << 21
 
 
 def byte_letters() -> list[str]:
@@ -206,6 +206,11 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Empty the tables, at the end of a task."""
+        self.chunks.clear()
+        self.words.clear()
+
     @staticmethod
     def parts(chunk: str) -> list[str]:
         """Normalised and cut: composed, lower-cased letter by letter (no final sigma), the pattern's pieces."""
@@ -295,5 +300,6 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                 if decoded:
                     cols.append(pa.array([merges.decode(np.frombuffer(x, "<u4")) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids", *["decoded"] * decoded])
+        encoder.forget()
     return id_text(docs, id_col, text_col).mapInArrow(
-        each, "doc_id bigint, n_tokens bigint, ids binary" + ", decoded string" * decoded)
+        released(each), "doc_id bigint, n_tokens bigint, ids binary" + ", decoded string" * decoded)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +44,24 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
+def released(each):
+    """An Arrow function that hands its memory back when its task ends.
+
+    Python workers wait for the next stage in a pool, of which any may get
+    the next task; what they kept would add up over the stages of a pipeline.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from each(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim is not None:
+                trim(0)
+    return run
+
+
 def cut_text(text: str, size: int = 1 << 20) -> Iterator[str]:
     """The text in parts of about ``size`` characters, cut before a space or line feed: words stay whole."""
     at = 0

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.llm.bpe import Encoder, small_batches
-from ratelens.llm.common import id_text, staged
+from ratelens.llm.common import id_text, released, staged
 
 #: Pieces in a group, rounds at most, and the gap (as a part of the capacity) from which a sequence is packed again.
 GROUP, ROUNDS, SPARE = 2048, 5, 1 / 200
@@ -79,8 +79,9 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_col:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
                     names=["key", "doc_id", "piece", "start", "length", "ids"])
+        encoder.forget()
     return id_text(docs, id_col, text_col).mapInArrow(
-        each, "key bigint, doc_id bigint, piece int, start bigint, length bigint, ids binary")
+        released(each), "key bigint, doc_id bigint, piece int, start bigint, length bigint, ids binary")
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

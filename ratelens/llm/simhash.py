@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.llm.common import cut_text, id_text, staged, text_hash
+from ratelens.llm.common import cut_text, id_text, released, staged, text_hash
 
 SEED = 42
 BITS = 64
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_c
             fps = np.fromiter((fingerprint(t.as_py() or "", width) for t in b["text"]), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_hash"], pa.array(fps.view(np.int64))], names=["doc_id", "text_hash", "fp"])
     return id_text(docs, id_col, text_col).withColumn("text_hash", text_hash(F.col("text"))).mapInArrow(
-        each, "doc_id bigint, text_hash bigint, fp bigint")
+        released(each), "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def _edges() -> np.ndarray:
@@ -166,7 +166,7 @@ def links(fps: DataFrame, radius: int = 2) -> DataFrame:
                 left.append(found[0])
                 right.append(found[1])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(s).view(np.int64)) for s in (left, right)], names=["a", "b"])
-    return pairs.mapInArrow(compared, "a bigint, b bigint")
+    return pairs.mapInArrow(released(compared), "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:

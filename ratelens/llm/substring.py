@@ -33,11 +33,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratelens.llm.common import id_text, staged, text_hash
+from ratelens.llm.common import id_text, released, staged, text_hash
 from ratelens.session import checkpoint_dir
 
 #: Text bytes in a chunk (a longer document is a chunk of its own).
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Chunks with the same anchor from which its prefix is lengthened.
 SHARED = 64
 
@@ -182,7 +182,7 @@ def _chunks(docs: DataFrame, min_words: int, size: int) -> DataFrame:
         if held:
             yield pack()
     return id_text(docs, "doc_id", "text").withColumn("text_hash", text_hash(F.col("text"))).mapInArrow(
-        each, "chunk bigint, doc_ids array<bigint>, text_hashes array<bigint>, blob binary, grams array<bigint>")
+        released(each), "chunk bigint, doc_ids array<bigint>, text_hashes array<bigint>, blob binary, grams array<bigint>")
 
 
 def _unpack(blob: bytes, min_words: int) -> Words:
@@ -233,7 +233,7 @@ def _slices(chunks: DataFrame, min_words: int, shared_from: int) -> DataFrame:
                          pa.array([ids[i] for i in doc[z].tolist()], pa.int64()), pa.array((lead[z] - words.first[doc[z]]).astype(np.int64)),
                          pa.array(masks[z]), pa.array(cuts[k:k + 20_000], pa.binary())],
                         names=["h", "part", "chunk", "lead", "doc_id", "pos", "mask", "slice"])
-    return chunks.mapInArrow(each, "h bigint, part int, chunk bigint, lead bigint, doc_id bigint, pos bigint, mask bigint, slice binary")
+    return chunks.mapInArrow(released(each), "h bigint, part int, chunk bigint, lead bigint, doc_id bigint, pos bigint, mask bigint, slice binary")
 
 
 def _repeats(slices: DataFrame, min_words: int) -> DataFrame:
@@ -269,7 +269,7 @@ def _repeats(slices: DataFrame, min_words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["chunk", "lead", "mask"])
     ordered = slices.repartition("h", "part").sortWithinPartitions(
         "h", "part", F.col("doc_id").asc_nulls_last(), "chunk", "pos")
-    return ordered.mapInArrow(each, "chunk bigint, lead bigint, mask bigint")
+    return ordered.mapInArrow(released(each), "chunk bigint, lead bigint, mask bigint")
 
 
 def _result(chunks: DataFrame, min_words: int) -> DataFrame:
@@ -308,7 +308,7 @@ def _result(chunks: DataFrame, min_words: int) -> DataFrame:
                      pa.array(texts, pa.string()), pa.array(spans, kind), pa.array(hashes.as_py(), pa.int64())],
                     names=["doc_id", "n_words", "n_removed", "kept_text", "removed", "text_hash"])
                 yield from (rows.slice(k, 1000) for k in range(0, rows.num_rows, 1000))
-    return chunks.mapInArrow(each, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, removed array<struct<start:bigint,end:bigint>>, text_hash bigint")
+    return chunks.mapInArrow(released(each), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, removed array<struct<start:bigint,end:bigint>>, text_hash bigint")
 
 
 def remove_repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK,

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.llm.common import cut_text, id_text, staged, text_hash
+from ratelens.llm.common import cut_text, id_text, released, staged, text_hash
 
 #: Labelled rows that make the index, at most; chosen by a hash of their id.
 MAX_EXAMPLES = 20_000
@@ -177,7 +177,7 @@ def term_counts(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_hash"], pa.array(ixs, pa.list_(pa.int32())), pa.array(tfs, pa.list_(pa.int32()))],
                                              names=["doc_id", "text_hash", "ix", "tf"])
     return docs.select("doc_id", "text", text_hash(F.col("text")).alias("text_hash")).mapInArrow(
-        each, "doc_id bigint, text_hash bigint, ix array<int>, tf array<int>")
+        released(each), "doc_id bigint, text_hash bigint, ix array<int>, tf array<int>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> tuple[Model, DataFrame]:
@@ -195,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> tuple[
                     yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([y.as_py()] * len(part), pa.int32())], names=["term", "toxic"])
     # at most ``limit`` ids, so the broadcast side is bounded by the parameter
     sample = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    counts = sample.select("doc_id", "toxic", "text").mapInArrow(words, "term string, toxic int").groupBy("term").agg(
+    counts = sample.select("doc_id", "toxic", "text").mapInArrow(released(words), "term string, toxic int").groupBy("term").agg(
         F.sum("toxic").alias("a"), F.count("*").alias("df"))
     telling = []
     if 0 < pos < n:
@@ -263,6 +263,6 @@ def score(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, id_col:
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], b["text_hash"], pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.string())],
                 names=["doc_id", "text_hash", "score", "evidence"])
-    scored = counted.mapInArrow(each, "doc_id bigint, text_hash bigint, score double, evidence string")
+    scored = counted.mapInArrow(released(each), "doc_id bigint, text_hash bigint, score double, evidence string")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence", "text_hash")
