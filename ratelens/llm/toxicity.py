@@ -28,8 +28,8 @@ from ratelens.llm.common import cut_text, id_text, released, staged, text_hash
 MAX_EXAMPLES = 20_000
 #: Neighbours that vote and examples in a block.
 NEIGHBOURS, BLOCK = 10, 64
-#: A term goes with the label from this chi-square, share of toxic examples and number of examples on.
-LEAST_CHI2, LEAST_RATE, LEAST_COUNT = 30.0, 0.5, 6
+#: A term goes with the label from this chi-square and number of examples on.
+LEAST_CHI2, LEAST_COUNT = 30.0, 3
 #: Exponent of the similarity in a vote, and examples' worth of the base rate mixed in.
 SHARPNESS, PRIOR = 4, 2.0
 THRESHOLD = 0.3
@@ -201,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> tuple[
     if 0 < pos < n:
         expected = F.col("df") * base
         chi2 = F.pow(F.col("a") - expected, 2) * n / (expected * (1 - base) * (n - F.col("df") + 1e-9))
-        telling = sorted(r[0] for r in counts.where((F.col("a") > expected) & (chi2 >= LEAST_CHI2) & (F.col("a") >= LEAST_RATE * F.col("df")) & (F.col("df") >= LEAST_COUNT)).select("term").collect())
+        telling = sorted(r[0] for r in counts.where((F.col("a") > expected) & (chi2 >= LEAST_CHI2) & (F.col("df") >= LEAST_COUNT)).select("term").collect())
     vocabulary = {t: i for i, t in enumerate(telling)}
     counted = staged(term_counts(docs, vocabulary), "term-counts")
     total = counted.count()

@@ -60,6 +60,23 @@ def test_held_out_accuracy_and_fold(spark):
     assert {(r.doc_id, r.score) for r in toxicity.score(docs, turned).collect()} == {(r.doc_id, r.score) for r in rows}
 
 
+def _rows(spark, texts):
+    """Documents and labels of (text, label), with ids of their own that aren't held out; no label: not labelled."""
+    ids = [i for i in range(20 * len(texts)) if zlib.crc32(str(i).encode()) % 4 != 2][:len(texts)]
+    return (spark.createDataFrame([(i, t) for i, (t, _) in zip(ids, texts)], "doc_id bigint, text string"),
+            spark.createDataFrame([(i, y) for i, (_, y) in zip(ids, texts) if y is not None], "doc_id bigint, toxic int"))
+
+
+def test_words_of_few_examples_and_of_a_minority_count(spark):
+    plain = [(" ".join(f"w{RNG.randint(0, 400)}" for _ in range(8)), 0) for _ in range(600)]
+    few = [(f"zounds zounds w{i}", 1) for i in range(4)]
+    part = [(f"blighter blighter w{i}", int(i % 5 < 2)) for i in range(40)]
+    docs, labels = _rows(spark, plain + few + part + [("zounds zounds w7", None), ("blighter blighter w9", None)])
+    by = {r.text: r for r in docs.join(toxicity.score(docs, labels), "doc_id").collect()}
+    assert by["zounds zounds w7"].predicted == 1
+    assert by["blighter blighter w9"].score >= 0.3
+
+
 def test_toxicity_awkward(spark):
     docs, labels = _corpus(spark, 300)
     odd = awkward(spark, [None, "", "  ", "vermin " * 5000, "é"])
