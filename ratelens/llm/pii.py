@@ -27,7 +27,7 @@ CONTEXT_POINTS, REPORT_POINTS = 20, 60
 class Kind:
     name: str
     pattern: str                      # Java: leftmost non-overlapping, each run once
-    plain: str                        # the same matches, without look-behind (RE2)
+    plain: str                        # the same matches, without look-behind (RE2); iban: of runs that nothing follows
     needs: str | None                 # a text without this holds no match
     valid: Callable[[Column], Column]
     valid_sql: str                    # DuckDB, of a match m
@@ -78,6 +78,17 @@ _SQL_IBAN = """length(replace(m, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(lis
   lambda c: CASE WHEN c <= '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)),
   lambda a, v: CASE WHEN v > 9 THEN a * 100 + v ELSE a * 10 + v END % 97) = 1"""
 
+#: Characters of an IBAN by country (the registry's); other codes are read up to the end of their run.
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+                22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+                26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+                30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_COUNTRY = "(?:" + "|".join(c for cs in IBAN_LENGTHS.values() for c in cs.split()) + ")"
+#: A listed country's length ends the match, so what follows after a space stays out; a run of another code stops before a listed one.
+_IBAN = "(?=[A-Z][A-Z][0-9][0-9])(?:" + "|".join(
+    rf"(?:{cs.replace(' ', '|')})[0-9][0-9](?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Z0-9])" for n, cs in IBAN_LENGTHS.items()
+) + rf"|(?!{_COUNTRY})[A-Z][A-Z][0-9][0-9](?:(?!\x20{_COUNTRY}[0-9][0-9])\x20?[A-Z0-9])++)"
+
 KINDS = (
     Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
          r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "@",
@@ -90,7 +101,7 @@ KINDS = (
          lambda m: F.length(_digits(m)).between(8, 15), f"length({_SQL_DIGITS}) BETWEEN 8 AND 15", 70,
          "phone|tel|call|fax|mobil|handy"),
     # beside the base: reported only from REPORT_POINTS on
-    Kind("iban", r"[A-Z][A-Z][0-9][0-9](?:\x20?[A-Z0-9])++", r"[A-Z][A-Z][0-9][0-9](\x20?[A-Z0-9])+", None,
+    Kind("iban", _IBAN, r"[A-Z][A-Z][0-9][0-9](\x20?[A-Z0-9])+", None,
          _iban, _SQL_IBAN, 90, "iban|bank|account|konto|compte|cuenta", base=False),
     Kind("ssn", r"(?<![0-9])[0-9]++-[0-9]++-[0-9]++", r"[0-9]+-[0-9]+-[0-9]+", "-",
          lambda m: m.rlike(SSN_PARTS), f"regexp_matches(m, '{SSN_PARTS}')", 40, "ssn|social", base=False),

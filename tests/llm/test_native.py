@@ -97,3 +97,14 @@ def test_shards_are_balanced_and_contiguous(spark):
     assert sharding.shard_by_bytes(rows.where("false"), 8, ["id"], "bytes").count() == 0
     with pytest.raises(ValueError):
         sharding.shard_by_bytes(rows.withColumnRenamed("bytes", "slot"), 8, ["id"], "slot")
+
+
+def test_iban_ends_with_its_country_s_length(spark):
+    de, gb, no = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO93 8601 1117 947"
+    texts = [f"IBAN {de} BIC COBADEFF", f"Konto {de} Bank", f"iban {de} 12 Euro", f"iban {gb} 500", f"iban {de} {gb} {no} X",
+             f"IBAN {de} und", f"AB12 {de} Bank", f"{de}", f"iban {de[:-1]}1 Bank", f"iban {de}7 x"]
+    want = [[de], [de], [de], [gb], [de, gb, no], [de], [de], [de], [], []]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: [r.text[x.start:x.end] for x in r.spans if x.kind == "iban"] for r in pii.find(docs).collect()}
+    assert got == dict(enumerate(want))
+    assert pii.redact(docs.where("doc_id = 1")).first().text == "Konto [IBAN] Bank"
