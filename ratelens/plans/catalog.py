@@ -1427,9 +1427,9 @@ def q_residual_vs_x(spark, sf):
     return M.with_residuals(analysis(spark, sf), "effort_score", "bayes_mean")
 
 
-def _study_predictions(spark, sf, trees=20):
+def _study_predictions(spark, sf):
     """E6's table: both models on the study's four features."""
-    return M.holdout_predictions(analysis(spark, sf), list(MODEL_STUDY_FEATURES), "bayes_mean", "id", rf_params={"numTrees": trees})
+    return M.holdout_predictions(analysis(spark, sf), list(MODEL_STUDY_FEATURES), "bayes_mean", "id")
 
 
 @register("e6_model_study_predictions", "id:i, actual:d, pred_linear:d, pred_forest:d")
@@ -1457,7 +1457,7 @@ def q_study_examples(spark, sf):
 @register("t21_run_models", "target:s, model:s, metric:s, term:s, value:d")
 def q_run_models(spark, sf):
     z = D.add_feature_columns(analysis(spark, sf))[0]
-    return M.run_models(z, "id", rf_params={"numTrees": 20})
+    return M.run_models(z, "id")
 
 
 @register("t22_actual_vs_predicted", "id:i, bayes_mean:d, prediction:d",

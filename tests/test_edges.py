@@ -106,3 +106,27 @@ def test_changed_input_is_seen(spark, tmp_path):
     import os
     os.utime(f"{here}/part.parquet", (1, 1))
     assert first != catalog._inputs(spark, here)
+
+
+def test_study_queries_grow_the_study_s_forest(monkeypatch):
+    from ratelens.plans import catalog
+    grown = []
+
+    class Forest:
+        def __init__(self, numTrees, **_):
+            grown.append(numTrees)
+
+        def fit(self, _):
+            return self
+
+    def study(*_, rf_params=None, **__):
+        M._fit_forest(None, [], "y", 1, rf_params)
+    monkeypatch.setattr(M, "RandomForestRegressor", Forest)
+    monkeypatch.setattr(M, "_assemble", lambda *_: None)
+    monkeypatch.setattr(M, "holdout_predictions", study)
+    monkeypatch.setattr(M, "run_models", study)
+    monkeypatch.setattr(catalog, "analysis", lambda *_: None)
+    monkeypatch.setattr(D, "add_feature_columns", lambda *_: (None, None))
+    catalog.q_study_predictions(None, None)
+    catalog.q_run_models(None, None)
+    assert grown == [100, 100]
