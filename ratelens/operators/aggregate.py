@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelens.functions.expr import py_round, round_half_even
-from ratelens.functions.lists import parse_list
+from ratelens.functions.lists import parse_list_exact
 from ratelens.operators.derive import qcut
 from ratelens.operators.derive import cut as cut_bins
 
@@ -238,7 +238,7 @@ def list_items(df: DataFrame, c: str) -> DataFrame:
     """Exploded items of a list-literal column (A1); malformed rows give none."""
     if c not in df.columns:
         raise ValueError(f"column '{c}' not found")
-    return df.select(F.explode(parse_list(F.col(c))).alias("item"))
+    return df.select(F.explode(parse_list_exact(F.col(c))).alias("item"))
 
 
 def item_frequency(df: DataFrame, c: str) -> DataFrame:

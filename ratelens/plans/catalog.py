@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelens.functions.lists import (NUTRITION_COLUMNS, avg_words_per_step, list_or_empty,
-                                      parse_list, split_fixed_list, text_length)
+                                      parse_list_exact, split_fixed_list, text_length)
 from ratelens.operators import aggregate as G
 from ratelens.operators import clean as C
 from ratelens.operators import derive as D
@@ -188,7 +188,6 @@ def q_csv_null_tokens(spark, sf):
           "WHEN 3 THEN ['A' || p_type, 'q'] END) AS item FROM part WHERE p_partkey % 5 < 4)")
 def q_parse_awkward(spark, sf):
     """A1 on texts that JSON cannot read: trailing comma, None, adjacent strings, escapes, tuples."""
-    from ratelens.functions.lists import parse_list_exact
     p, k = FX.table(spark, sf, "part"), F.col("p_partkey") % 5
     text = (F.when(k == 0, F.format_string("['%s', '%s',]", "p_type", "p_brand")).when(k == 1, F.format_string("['%s', None]", "p_type"))
             .when(k == 2, F.format_string("['%s' '%s', 'z']", "p_type", "p_brand"))
@@ -778,7 +777,7 @@ def q_scatter(spark, sf):
           f"SELECT id, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS pos, unnest(l) AS item FROM "
           f"(SELECT id, {O.list_sql('tags')} AS l FROM raw_r WHERE tags IS NOT NULL)", ("raw_r",))
 def q_parse_tags(spark, sf):
-    return raw_recipes(spark, sf).select("id", F.posexplode(parse_list("tags")).alias("pos", "item"))
+    return raw_recipes(spark, sf).select("id", F.posexplode(parse_list_exact("tags")).alias("pos", "item"))
 
 
 @register("a2_parse_steps", "id:i, n_items:i",

@@ -130,3 +130,15 @@ def test_study_queries_grow_the_study_s_forest(monkeypatch):
     catalog.q_study_predictions(None, None)
     catalog.q_run_models(None, None)
     assert grown == [100, 100]
+
+
+def test_list_items_reads_what_json_does_not(spark):
+    df = spark.createDataFrame([("['a', 'b',]",), ("['a' 'b']",), ("['c']",), ("broken",), (None,)], "tags string")
+    assert sorted(r.item for r in G.list_items(df, "tags").collect()) == ["a", "ab", "b", "c"]
+
+
+def test_tags_query_reads_what_json_does_not(spark, monkeypatch):
+    from ratelens.plans import catalog
+    df = spark.createDataFrame([(1, "['a', 'b',]"), (2, "['c']"), (3, None)], "id int, tags string")
+    monkeypatch.setattr(catalog, "raw_recipes", lambda *_: df)
+    assert sorted((r.id, r.pos, r.item) for r in catalog.q_parse_tags(spark, None).collect()) == [(1, 0, "a"), (1, 1, "b"), (2, 0, "c")]
