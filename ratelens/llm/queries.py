@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import bpe, packing, pii, quality, sharding, simhash, substring, topk, toxicity, urlfilter
+from ratelens.llm import bpe, collocations, packing, pii, quality, sharding, simhash, substring, topk, toxicity, urlfilter, veccodes
 from ratelens.llm.common import table
 
 
@@ -151,6 +151,52 @@ s AS (SELECT *, least(39, ((2 * upto - size) * 40) // (2 * total))::INT AS shard
 SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, place - min(place) OVER (PARTITION BY shard) AS slot, NULL::INT AS grown_shard FROM s"""
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), order=5, least=100, top=2000)
+
+
+_OP12_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+t AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) s(k) WHERE len(w) >= k),
+f AS (SELECT lang, w[i:i + k - 1] AS p, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY 1, 2 HAVING count(*) >= 100),
+c AS (SELECT lang, p, f AS a, len(p) AS m FROM f WHERE len(p) >= 2),
+x AS (SELECT c.lang, c.p, c.a, k, l.f AS l, r.f AS r, t.n, (1000 * c.a * t.n) // (l.f * r.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c JOIN f l ON l.lang = c.lang AND l.p = c.p[1:k] JOIN f r ON r.lang = c.lang AND r.p = c.p[k + 1:] JOIN t ON t.lang = c.lang),
+s AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inn AS (SELECT lang, q[i:i + z - 1] AS p, max(a) AS outer_a FROM (SELECT *, unnest(range(1, m - z + 2)) AS i FROM (SELECT lang, p AS q, a, m, unnest(range(2, m)) AS z FROM c WHERE m > 2)) GROUP BY 1, 2),
+o AS (SELECT s.*, array_to_string(s.p, ' ') AS phrase FROM s LEFT JOIN inn ON inn.lang = s.lang AND inn.p = s.p WHERE outer_a IS NULL OR 100 * outer_a < 100 * a),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, CAST(rank AS INT) AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM z WHERE rank <= 2000"""
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = veccodes.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(veccodes.digest(books)).alias("codebooks_sha256"))
+
+
+def _op13_sql() -> str:
+    near = "list_sum(list_transform(list_zip(p.x, c.x), lambda q: (q[1] - q[2]) * (q[1] - q[2])))"
+    rounds = ""
+    for i in (1, 2):
+        rounds += f"""
+a{i} AS (SELECT r, part, any_value(p.x) AS x, arg_min(e, ({near}, e)) AS e FROM p JOIN c{i - 1} c USING (part) GROUP BY r, part),
+m{i} AS (SELECT part, e, j, sum(y) AS s, count(*) AS n FROM (SELECT part, e, unnest(x) AS y, generate_subscripts(x, 1) AS j FROM a{i}) GROUP BY ALL),
+u{i} AS (SELECT part, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS x FROM m{i} GROUP BY part, e),
+c{i} AS (SELECT c.part, c.e, coalesce(u.x, c.x) AS x FROM c{i - 1} c LEFT JOIN u{i} u ON u.part = c.part AND u.e = c.e),"""
+    return f"""
+WITH k AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT r, vec_id, part, v[part * len(v) // 16 + 1:(part + 1) * len(v) // 16] AS x FROM k, range(16) s(part)),
+s AS (SELECT vec_id, min(v) AS v FROM k GROUP BY vec_id ORDER BY vec_id NULLS LAST LIMIT 64),
+c0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id NULLS LAST) - 1 AS e, v[part * len(v) // 16 + 1:(part + 1) * len(v) // 16] AS x FROM s, range(16) s(part)),{rounds}
+b AS (SELECT r, part, min(({near}, e)) AS m FROM p JOIN c2 c USING (part) GROUP BY r, part),
+q AS (SELECT r, string_agg(printf('%02x', m[2]), '' ORDER BY part) AS code, CAST(sum(m[1]) AS BIGINT) AS error FROM b GROUP BY r),
+h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM k JOIN q USING (r), h"""
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -162,6 +208,8 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_sharding": op9_sharding,
     "op10_simhash": op10_simhash,
+    "op12_collocations": op12_collocations,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE_SQL = {
@@ -171,4 +219,6 @@ ORACLE_SQL = {
     "op6_substring_dedup": _OP6_SQL,
     "op8_url_filters": _OP8_SQL,
     "op9_sharding": _OP9_SQL,
+    "op12_collocations": _OP12_SQL,
+    "op13_vector_codes": _op13_sql(),
 }
