@@ -86,17 +86,18 @@ def once(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def join_hot(many: DataFrame, one: DataFrame, on: list[str], how: str = "inner", share: int = 4096) -> DataFrame:
+def join_hot(many: DataFrame, one: DataFrame, on: list[str], how: str = "inner", sizes: DataFrame | None = None, share: int = 4096) -> DataFrame:
     """``many`` with the row of ``one`` (unique by ``on``, no null keys) of its key; hot keys never meet in one task.
 
     Keys that hold more than one in ``share`` of the rows of ``many`` are at
     most ``share`` in number: their rows of ``one`` are broadcast, and only
-    the other keys are shuffled.  ``many`` is read three times, so it should
-    be a written table.
+    the other keys are shuffled.  ``sizes`` (``on`` and ``n``) says how many
+    rows a key has, where that is known.  ``many`` is read several times, so
+    it should be a written table.
     """
-    sizes = many.groupBy(*on).agg(F.count("*").alias("__n"))
-    total = many.count()
-    hot = staged(sizes.where(F.col("__n") * share > total).drop("__n"), "hot-keys")
-    few = F.broadcast(hot)
+    if sizes is None:
+        sizes = many.groupBy(*on).agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    few = F.broadcast(staged(sizes.where(F.col("n") * share > total).select(*on), "hot-keys"))
     left = many.join(few, on, "left_semi").join(F.broadcast(one.join(few, on, "left_semi")), on, how)
     return left.unionByName(many.join(few, on, "left_anti").join(one, on, how))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import bpe, collocations, packing, pii, quality, sharding, simhash, substring, topk, toxicity, urlfilter, veccodes
+from ratelens.llm import bpe, collocations, minhash, packing, pii, quality, sharding, simhash, substring, topk, toxicity, urlfilter, veccodes
 from ratelens.llm.common import table
 
 
@@ -151,6 +151,22 @@ s AS (SELECT *, least(39, ((2 * upto - size) * 40) // (2 * total))::INT AS shard
 SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, place - min(place) OVER (PARTITION BY shard) AS slot, NULL::INT AS grown_shard FROM s"""
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80).drop("text_hash")
+
+
+_OP11_SQL = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+e AS (SELECT r, len(s) AS n, unnest(s) AS t FROM s),
+k AS (SELECT a.r AS x, b.r AS y FROM e a JOIN e b ON a.t = b.t AND a.r < b.r GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+l AS (SELECT x, y FROM k UNION ALL SELECT y, x FROM k),
+c(r, z) AS (SELECT r, r FROM s UNION SELECT c.r, l.y FROM c JOIN l ON l.x = c.z),
+m AS (SELECT c.r, min(s.doc_id) AS component_id FROM c JOIN s ON s.r = c.z GROUP BY c.r)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM s JOIN m USING (r)"""
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"), order=5, least=100, top=2000)
 
@@ -208,6 +224,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_sharding": op9_sharding,
     "op10_simhash": op10_simhash,
+    "op11_minhash": op11_minhash,
     "op12_collocations": op12_collocations,
     "op13_vector_codes": op13_vector_codes,
 }
@@ -219,6 +236,7 @@ ORACLE_SQL = {
     "op6_substring_dedup": _OP6_SQL,
     "op8_url_filters": _OP8_SQL,
     "op9_sharding": _OP9_SQL,
+    "op11_minhash": _OP11_SQL,
     "op12_collocations": _OP12_SQL,
     "op13_vector_codes": _op13_sql(),
 }
