@@ -6,11 +6,11 @@ piece.  Equal windows are summed, and a Spark ROLLUP over the columns sums ever
 shorter prefixes, so the counts of all shorter phrases (and the number of words
 per group) come from one table instead of one n-gram explosion a length.
 
-A phrase is frequent only if each pair of neighbours in it is.  Pairs are
-therefore counted first, as hashes, and a bitmap of fixed greatest size says
-which may be frequent; a window is padded from its first infrequent pair on.
-That drops no phrase that can reach the least count: a collision in the bitmap
-only leaves a window longer than need be.
+A phrase is frequent only if each word and each pair of neighbours in it is.
+Words and pairs are therefore counted first, as hashes, and a bitmap of fixed
+greatest size says which may be frequent; a window is padded from its first
+infrequent word or pair on.  That drops no phrase that can reach the least
+count: a collision in the bitmap only leaves a window longer than need be.
 """
 
 from __future__ import annotations
@@ -31,7 +31,9 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _TO_LINES = bytes.maketrans(PIECE_ENDS, b"\n" * len(PIECE_ENDS))
 #: Words a task remembers the numbers of before it starts anew.
 VOCABULARY = 1 << 18
-#: The bitmap of frequent pairs has 64 bits a pair, but never more than 2**27 (16 MB).
+#: Words in one slice of a batch.
+SLICE = 1 << 18
+#: The bitmap of frequent words and pairs has 64 bits each, but never more than 2**27 (16 MB).
 MAX_BITS = 27
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -102,7 +104,7 @@ class _Pieces:
 
 
 def _read(batch: pa.RecordBatch, words: _Words, groups: list[str], order: int):
-    """Slices of a batch of about a million words as arrays, and the hashes of words and groups."""
+    """Slices of a batch as arrays; names of groups are added to ``groups``."""
     number = {}
     pieces = _Pieces(words, order)
     for g, t in zip(batch["grp"], batch["text"]):
@@ -111,7 +113,7 @@ def _read(batch: pa.RecordBatch, words: _Words, groups: list[str], order: int):
             number[name] = len(number)
             groups.append(name)
         pieces.add(t.as_py(), number[name])
-        if len(pieces.ids) > 1 << 20:
+        if len(pieces.ids) > SLICE:
             yield pieces.arrays()
             pieces = _Pieces(words, order)
     yield pieces.arrays()
@@ -121,22 +123,22 @@ def _group_hashes(groups: list[str]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(g.encode("utf-8", "surrogatepass"), 7) for g in groups], np.uint64)
 
 
-def _pairs(ids: np.ndarray, left: np.ndarray, group: np.ndarray, words: _Words, groups: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Places that lead a pair, and its hash."""
+def _hashed(ids: np.ndarray, left: np.ndarray, group: np.ndarray, words: _Words, groups: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hash of the word at each place, the places that lead a pair, and the pairs' hashes."""
     at = np.flatnonzero(left >= 2)
-    h = np.array(words.hashes, np.uint64)
-    return at, pair_hashes(h[ids[at]], h[ids[at + 1]], _group_hashes(groups)[group[at]])
+    h, g = np.array(words.hashes, np.uint64), _group_hashes(groups)[group]
+    return pair_hashes(h[ids], np.uint64(1), g), at, pair_hashes(h[ids[at]], h[ids[at + 1]], g[at])
 
 
 def pair_counts(docs: DataFrame) -> DataFrame:
-    """``pair`` (a hash as bigint) and ``n`` of neighbours in a piece, summed by batch; ``docs`` holds grp and text."""
+    """``pair`` (a hash as bigint) and ``n`` of words and of neighbours in a piece, summed by slice; ``docs`` holds grp and text."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for b in batches:
             groups: list[str] = []
             for ids, left, leads, group in _read(b, words, groups, 2):
-                at, h = _pairs(ids, left, group, words, groups)
-                h, n = np.unique(h[leads[at]], return_counts=True)
+                word, at, pair = _hashed(ids, left, group, words, groups)
+                h, n = np.unique(np.concatenate([word[leads], pair[leads[at]]]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["pair", "n"])
             if len(words) > VOCABULARY:
                 words = _Words()
@@ -144,7 +146,7 @@ def pair_counts(docs: DataFrame) -> DataFrame:
 
 
 def frequent_pairs(docs: DataFrame, least: int) -> np.ndarray:
-    """The bitmap of the pairs with ``least`` occurrences or more: at most 2**MAX_BITS bits, whatever their number."""
+    """The bitmap of the words and pairs with ``least`` occurrences or more: at most 2**MAX_BITS bits, whatever their number."""
     often = staged(pair_counts(docs).groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("pair"), "pairs")
     bits = min(MAX_BITS, max(16, (64 * often.count()).bit_length()))
     place = F.shiftrightunsigned("pair", 64 - bits)
@@ -172,29 +174,27 @@ def windows(docs: DataFrame, order: int, bitmap: np.ndarray) -> DataFrame:
         for b in batches:
             groups: list[str] = []
             for ids, left, leads, group in _read(b, words, groups, order):
-                at, h = _pairs(ids, left, group, words, groups)
-                joined = np.zeros(len(ids) + order, np.int64)
-                joined[at] = _held(bitmap, h)
-                size = leads.astype(np.int64)  # words of the window: grows while the pairs follow on each other
-                run = size.copy()
+                word, at, pair = _hashed(ids, left, group, words, groups)
+                joined = np.zeros(len(ids) + order, bool)
+                joined[at] = _held(bitmap, pair)
+                run = _held(bitmap, word)
+                size = run.astype(np.int32)  # words of the window: grows while frequent pairs follow on each other
                 for i in range(order - 1):
-                    run &= joined[i:i + len(ids)]
+                    run = run & joined[i:i + len(ids)]
                     size += run
-                lead = np.flatnonzero(size)
-                key = np.zeros((len(lead), order + 1), np.int64)
+                lead = np.flatnonzero(leads)
+                key = np.zeros((len(lead), order + 1), np.int32)  # group, then words (0: padding)
                 key[:, 0] = group[lead]
-                padded = np.concatenate([ids, np.zeros(order, np.int64)])
                 for i in range(order):
-                    key[:, i + 1] = np.where(size[lead] > i, padded[lead + i] + 1, 0)
+                    held = np.flatnonzero(size[lead] > i)
+                    key[held, i + 1] = ids[lead[held] + i] + 1
                 mixed = key[:, 0].astype(np.uint64)
                 for i in range(order):
                     mixed = _mixed(mixed * _MIX + key[:, i + 1].astype(np.uint64))
-                by = np.argsort(mixed, kind="stable")
-                new = np.ones(len(by), bool)
-                new[1:] = (key[by[1:]] != key[by[:-1]]).any(1)
-                start = np.flatnonzero(new)
-                n = np.diff(np.append(start, len(by)))
-                key = key[by[start]]
+                key = key[np.argsort(mixed)]
+                start = np.flatnonzero(np.append(np.ones(min(1, len(key)), bool), (key[1:] != key[:-1]).any(1)))
+                n = np.diff(np.append(start, len(key)))
+                key = key[start]
                 text = pa.array([b"", *words.names], pa.binary())
                 for s in range(0, len(key), 1 << 16):
                     k = key[s:s + (1 << 16)]
