@@ -34,8 +34,9 @@ _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _SPLIT = regex.compile(f"[{_SPACE}]+")
 #: Fixed by the vocabulary file (its pre-tokenizer's pattern, white space written out).
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+")
-#: Chunks and words in the look-up tables before they are emptied, and characters encoded at a time.
-CHUNKS, WORDS, SLICE = 150_000, 250_000, 1 << 21
+#: Chunks and words that a look-up table takes before it becomes the old one, the greatest bytes of
+#: a chunk that is kept, and characters encoded at a time.
+CHUNKS, WORDS, KEPT, SLICE = 100_000, 100_000, 64, 1 << 21
 
 
 def byte_letters() -> list[str]:
@@ -196,20 +197,42 @@ class Merges:
         return " ".join(t for t in out if t is not None) if None in out else " ".join(out)
 
 
+class Recent:
+    """A bounded look-up table in two generations: what is used again outlives a change of generation.
+
+    ``now`` holds all keys of the slice at work; beyond ``limit`` keys it
+    becomes the old generation, whose keys come back when they are asked for.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Keys in neither generation; those of the old one are brought over."""
+        if len(self.now) > self.limit:
+            # long keys are rare and would make the bound in bytes void
+            self.old = {k: v for k, v in self.now.items() if len(k) <= KEPT}
+            self.now = {}
+        keys = keys - self.now.keys()
+        back = keys & self.old.keys()
+        self.now.update(zip(back, map(self.old.__getitem__, back)))
+        return keys - back
+
+
 class Encoder:
-    """Texts to ids, with bounded look-up tables of chunks and words seen before."""
+    """Texts to ids, with bounded look-up tables of chunks and words seen before.
+
+    A worker process keeps the tables from task to task: at most four tables
+    of ``CHUNKS`` or ``WORDS`` short keys (about 80 MB) and what one slice of text adds.
+    """
 
     def __init__(self, special: dict[str, int], encode_words: Callable[[list[str]], list[bytes]]):
         self.encode_words = encode_words
         self.special = {t: np.array([i], "<u4").tobytes() for t, i in special.items()}
         self.marks = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(special, key=len, reverse=True)) + ")") if special else None
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-
-    def forget(self) -> None:
-        """Empty the tables, at the end of a task."""
-        self.chunks.clear()
-        self.words.clear()
+        self.words, self.chunks = Recent(WORDS), Recent(CHUNKS)
 
     @staticmethod
     def parts(chunk: str) -> list[str]:
@@ -227,13 +250,12 @@ class Encoder:
         return text.split()
 
     def _learn(self, chunks: set[str]) -> None:
-        if len(self.words) > WORDS:
-            self.words.clear()
-        words, parts = self.words, self.parts
+        parts = self.parts
         cut = [parts(c) for c in chunks]
-        new = list(set().union(*cut) - words.keys())
+        new = list(self.words.missing(set().union(*cut)))
+        words = self.words.now
         words.update(zip(new, self.encode_words(new)))
-        self.chunks.update(zip(chunks, [words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for ws in cut]))
+        self.chunks.now.update(zip(chunks, [words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for ws in cut]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text (little-endian unsigned 32-bit), a few texts at a time, a long text in parts."""
@@ -253,12 +275,10 @@ class Encoder:
             # a text is chunks; where special tokens stand in it, chunks and marks in turn
             cut = [[self._cut(s) for s in self.marks.split(t)] if self.marks is not None and "<|" in t else [self._cut(t)]
                    for t in texts[i:j]]
-            if len(self.chunks) > CHUNKS:
-                self.chunks.clear()
-            unknown = set().union(*chain.from_iterable(cut)) - self.chunks.keys()
+            unknown = self.chunks.missing(set().union(*chain.from_iterable(cut)))
             if unknown:
                 self._learn(unknown)
-            look = self.chunks.__getitem__
+            look = self.chunks.now.__getitem__
             for segments in cut:  # every second segment is a mark
                 out.append(b"".join([self.special[s[0]] if k % 2 else b"".join(map(look, s)) for k, s in enumerate(segments)]))
             i = j
@@ -300,6 +320,5 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                 if decoded:
                     cols.append(pa.array([merges.decode(np.frombuffer(x, "<u4")) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids", *["decoded"] * decoded])
-        encoder.forget()
     return id_text(docs, id_col, text_col).mapInArrow(
         released(each), "doc_id bigint, n_tokens bigint, ids binary" + ", decoded string" * decoded)

@@ -5,7 +5,8 @@ become smallest; a new sequence is opened only where no open one has room.
 Groups of ``GROUP`` random pieces are packed apart from each other, long
 pieces first.  What such a group leaves half empty is taken apart and packed
 again together with what the other groups left, until one group holds the
-rest, so the loss does not grow with the number of groups.  Token ids are
+rest (or a round no longer makes the groups fewer), so the loss does not grow
+with the number of groups.  Token ids are
 written once, beside the texts they came from; only keys and lengths move.
 """
 
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 from ratelens.llm.bpe import Encoder, small_batches
 from ratelens.llm.common import id_text, released, staged
 
-#: Pieces in a group, rounds at most, and the gap (as a part of the capacity) from which a sequence is packed again.
-GROUP, ROUNDS, SPARE = 2048, 5, 1 / 200
+#: Pieces in a group, so many groups at most are put together as the last one, and the gap
+#: (as a part of the capacity) from which a sequence is packed again.
+GROUP, LAST, SPARE = 2048, 8, 1 / 200
 
 
 @lru_cache(maxsize=2)
@@ -79,7 +81,6 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_col:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
                     names=["key", "doc_id", "piece", "start", "length", "ids"])
-        encoder.forget()
     return id_text(docs, id_col, text_col).mapInArrow(
         released(each), "key bigint, doc_id bigint, piece int, start bigint, length bigint, ids binary")
 
@@ -128,17 +129,18 @@ def assign(items: DataFrame, capacity: int) -> DataFrame:
 
     whole = items.where(F.col("length") == capacity).select("key", F.col("key").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     out, rest = whole, items.where(F.col("length") < capacity).select("key", "length")
-    for n in range(ROUNDS):
-        groups = max(1, -(-rest.count() // GROUP))
+    groups, n = None, 0
+    while True:
+        before, groups, n = groups, -(-rest.count() // GROUP), n + 1
+        groups = groups if groups > LAST else 1
         packed = staged(rest.withColumn("group", F.pmod(F.xxhash64("key", F.lit(n)), F.lit(groups)))
                         .groupBy("group").applyInPandas(pack, "key bigint, length bigint, sequence_id bigint, offset bigint, gap bigint"), "packing")
-        last = groups == 1 or n == ROUNDS - 1
+        last = groups == 1 or (before is not None and groups >= before)
         done = packed if last else packed.where(F.col("gap") < capacity * SPARE)
         out = out.unionByName(done.select("key", "sequence_id", "offset"))
         if last:
             return out
         rest = packed.where(F.col("gap") >= capacity * SPARE).select("key", "length")
-    return out
 
 
 def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
