@@ -1,30 +1,21 @@
 """List-literal columns (A1–A6): Python list text -> ``array<string>``.
 
-Parsing is ``from_json`` with single quotes allowed, so it stays inside
-whole-stage codegen and never leaves the JVM.  Anything that is not a
-list (malformed text, a bare string, a tuple, NULL) becomes NULL, which
-the callers turn into "no items" — never an error.
+Parsing (:mod:`ratelens.functions.literals`) uses built-in expressions and
+never leaves the JVM.  Anything that is not a list (malformed text, a bare
+string, a tuple, NULL) becomes NULL, which the callers turn into "no items" —
+never an error.
 """
 
 from __future__ import annotations
 
-import ast
 from collections.abc import Sequence
 
-import pandas as pd
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType
 
 from ratelens.functions.expr import col, nan_to_null
-
-_JSON_OPTS = {
-    "allowSingleQuotes": "true",
-    "allowBackslashEscapingAnyCharacter": "true",
-    "allowUnquotedControlChars": "true",
-    "mode": "PERMISSIVE",
-}
+from ratelens.functions.literals import python_list
 
 # Python's ``str.split()`` splits on every character for which
 # ``str.isspace()`` is true.  The class is built from that rule so the word
@@ -34,46 +25,18 @@ WHITESPACE_CLASS = "[" + "".join(
 
 
 def parse_list(c: str | Column) -> Column:
-    """Python list literal (as text) -> ``array<string>``; NULL if not a list."""
-    return F.from_json(col(c), "array<string>", _JSON_OPTS)
-
-
-#: Texts that JSON reads otherwise than Python, or not at all: escapes by number or name, None, a trailing comma,
-#: adjacent strings, tuples and sets are told apart by the exact path.
-NOT_JSON = r"""\\[xuUN0-7aAvV]|\bNone\b|,\s*[\])]\s*$|['"]\s+['"]|^\s*[^\[\s]"""
-
-
-@F.pandas_udf(ArrayType(StringType()))
-def _python_list(texts: pd.Series) -> pd.Series:
-    def read(t):
-        try:
-            v = ast.literal_eval(t.strip())
-        except (ValueError, SyntaxError, MemoryError, RecursionError):
-            return None
-        return [None if x is None else str(x) for x in v] if isinstance(v, list) else None
-    return texts.map(lambda t: None if t is None else read(t))
-
-
-def parse_list_exact(c: str | Column) -> Column:
-    """:func:`parse_list`, and Python's own reading for the texts that JSON reads otherwise.
-
-    Only texts that match ``NOT_JSON`` or that JSON refuses reach the Arrow
-    function; all others go there as NULL, which costs no parse.
-    """
-    x = col(c)
-    quick = parse_list(x)
-    odd = x.rlike(NOT_JSON) | (quick.isNull() & x.isNotNull())
-    return F.when(odd, _python_list(F.when(odd, x))).otherwise(quick)
+    """A1: Python list literal (as text) -> ``array<string>`` of its items; NULL if not a list, NULL items for None."""
+    return python_list(c)
 
 
 def list_or_empty(df: DataFrame, c: str) -> Column:
-    """A2: parsed list, or ``[]`` for NULL/malformed; array input passes through."""
+    """A2: the items' ``str()`` (so None is ``'None'``), or ``[]`` for NULL/malformed; array input passes through."""
     if c not in df.columns:
         raise ValueError(f"column '{c}' not found")
     if isinstance(df.schema[c].dataType, ArrayType):
         arr = F.col(c).cast("array<string>")
     else:
-        arr = parse_list(c)
+        arr = python_list(c, none="None")
     return F.coalesce(arr, F.array().cast("array<string>"))
 
 

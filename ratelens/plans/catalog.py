@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelens.functions.lists import (NUTRITION_COLUMNS, avg_words_per_step, list_or_empty,
-                                      parse_list_exact, split_fixed_list, text_length)
+                                      parse_list, split_fixed_list, text_length)
 from ratelens.operators import aggregate as G
 from ratelens.operators import clean as C
 from ratelens.operators import derive as D
@@ -192,7 +192,7 @@ def q_parse_awkward(spark, sf):
     text = (F.when(k == 0, F.format_string("['%s', '%s',]", "p_type", "p_brand")).when(k == 1, F.format_string("['%s', None]", "p_type"))
             .when(k == 2, F.format_string("['%s' '%s', 'z']", "p_type", "p_brand"))
             .when(k == 3, F.concat(F.lit("['\\x41"), F.col("p_type"), F.lit("', 'q']"))).otherwise(F.format_string("('%s',)", "p_type")))
-    return p.select(F.col("p_partkey").alias("id"), F.posexplode(parse_list_exact(text)).alias("pos", "item"))
+    return p.select(F.col("p_partkey").alias("id"), F.posexplode(parse_list(text)).alias("pos", "item"))
 
 
 S3_SPEC = "id:i, effort_score:d, bayes_mean:d, wilson_lb:d, rating_gap:d, bayes_gap:d"
@@ -777,7 +777,7 @@ def q_scatter(spark, sf):
           f"SELECT id, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS pos, unnest(l) AS item FROM "
           f"(SELECT id, {O.list_sql('tags')} AS l FROM raw_r WHERE tags IS NOT NULL)", ("raw_r",))
 def q_parse_tags(spark, sf):
-    return raw_recipes(spark, sf).select("id", F.posexplode(parse_list_exact("tags")).alias("pos", "item"))
+    return raw_recipes(spark, sf).select("id", F.posexplode(parse_list("tags")).alias("pos", "item"))
 
 
 @register("a2_parse_steps", "id:i, n_items:i",
@@ -1669,6 +1669,8 @@ _register_profiles()
 
 # --- registry access -------------------------------------------------------------
 
+from ratelens.plans import catalog_lists  # noqa: E402, F401  further queries register themselves
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
     for name, (fn, spec, _, _) in REGISTRY.items():

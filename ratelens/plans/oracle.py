@@ -94,6 +94,15 @@ raw_r AS (
 )"""
 
 
+def awkward_raw_sql() -> str:
+    """``raw_r`` with the step lists of the awkward adapter, each written plainly (NULL: no list)."""
+    cut = "substr(steps, 1, length(steps) - 1)"
+    plain = (f"CASE id % 7 WHEN 1 THEN regexp_replace(steps, ''', ''', '') WHEN 2 THEN {cut} || ', ''None'']' "
+             f"WHEN 3 THEN '[''A\u00e9B' || substr(steps, 3) WHEN 4 THEN NULL "
+             f"WHEN 6 THEN '[''' || chr(10) || chr(1) || substr(steps, 3) ELSE steps END")
+    return RAW_RECIPES.replace("raw_r AS", "raw_0 AS", 1) + f", raw_r AS (SELECT * REPLACE ({plain} AS steps) FROM raw_0)"
+
+
 def list_sql(col: str) -> str:
     """Oracle parse of an adapter list literal: strip the brackets, split on ', '."""
     return f"string_split(substr({col}, 3, length({col}) - 4), ''', ''')"

@@ -78,3 +78,19 @@ def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
         _quote_list(F.replace(F.col("p_name"), F.lit(" "), F.lit("', '"))).alias("ingredients"),
         (F.lit(1) + k % 20).cast("int").alias("n_ingredients"),
     )
+
+
+def awkward_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`recipes` with step lists as Python also allows them, by id modulo 7: trailing comma, adjacent strings,
+    None, escapes by number, a tuple (no list), double quotes, an escaped line feed and quote."""
+    r = recipes(spark, sf_dir)
+    s, k = F.col("steps"), F.col("id") % 7
+    cut = F.instr(s, "', '")
+    opened, body = F.substring(s, F.lit(1), F.length(s) - 1), F.substring(s, F.lit(3), F.length(s) - 2)
+    return r.withColumn("steps", (
+        F.when(k == 0, F.concat(opened, F.lit(" , ]")))
+        .when((k == 1) & (cut > 0), F.concat(F.substring(s, F.lit(1), cut), F.lit("\n '"), F.substring(s, cut + 4, F.length(s))))
+        .when(k == 2, F.concat(opened, F.lit(",None]"))).when(k == 3, F.concat(F.lit("['\\x41\\u00e9\\102"), body))
+        .when(k == 4, F.concat(F.lit("("), F.substring(s, F.lit(2), F.length(s) - 2), F.lit(",)")))
+        .when((k == 5) & ~s.contains('"'), F.replace(s, F.lit("'"), F.lit('"')))
+        .when(k == 6, F.concat(F.lit("['\\n\\'"), body)).otherwise(s)))
