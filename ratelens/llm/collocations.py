@@ -6,11 +6,12 @@ piece.  Equal windows are summed, and a Spark ROLLUP over the columns sums ever
 shorter prefixes, so the counts of all shorter phrases (and the number of words
 per group) come from one table instead of one n-gram explosion a length.
 
-A phrase is frequent only if each word and each pair of neighbours in it is.
-Words and pairs are therefore counted first, as hashes, and a bitmap of fixed
-greatest size says which may be frequent; a window is padded from its first
-infrequent word or pair on.  That drops no phrase that can reach the least
-count: a collision in the bitmap only leaves a window longer than need be.
+A phrase is frequent only if each word, pair and triple of neighbours in it is.
+Those are therefore counted first, as hashes (triples only between frequent
+pairs), and bitmaps of fixed greatest size say which may be frequent; a window
+is padded from its first infrequent word, pair or triple on.  That drops no
+phrase that can reach the least count: a collision in a bitmap only leaves a
+window longer than need be.
 """
 
 from __future__ import annotations
@@ -33,7 +34,9 @@ _TO_LINES = bytes.maketrans(PIECE_ENDS, b"\n" * len(PIECE_ENDS))
 VOCABULARY = 1 << 18
 #: Words in one slice of a batch.
 SLICE = 1 << 18
-#: The bitmap of frequent words and pairs has 64 bits each, but never more than 2**27 (16 MB).
+#: Neighbours counted beforehand: words and pairs at once, then triples.
+DEPTH = 3
+#: A bitmap has 64 bits for each frequent hash, but never more than 2**27 (16 MB).
 MAX_BITS = 27
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -58,11 +61,6 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def pair_hashes(first: np.ndarray, second: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """64 bits for each pair of neighbours in its group (the group's hash enters)."""
-    return _mixed(_mixed(first * _MIX + group) + second)
-
-
 class _Pieces:
     """Word numbers of texts, laid end to end, with the number of words from each place to its piece's end.
 
@@ -123,49 +121,68 @@ def _group_hashes(groups: list[str]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(g.encode("utf-8", "surrogatepass"), 7) for g in groups], np.uint64)
 
 
-def _hashed(ids: np.ndarray, left: np.ndarray, group: np.ndarray, words: _Words, groups: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The hash of the word at each place, the places that lead a pair, and the pairs' hashes."""
-    at = np.flatnonzero(left >= 2)
-    h, g = np.array(words.hashes, np.uint64), _group_hashes(groups)[group]
-    return pair_hashes(h[ids], np.uint64(1), g), at, pair_hashes(h[ids[at]], h[ids[at + 1]], g[at])
+def _runs(ids: np.ndarray, left: np.ndarray, group: np.ndarray, words: _Words, groups: list[str], size: int) -> list[np.ndarray]:
+    """For 1 to ``size`` words the 64-bit hash (the group's enters) of the run that starts at each place; 0 where the piece ends before."""
+    word = np.array(words.hashes, np.uint64)[ids]
+    out = [_mixed(word * _MIX + _group_hashes(groups)[group])]
+    for k in range(2, size + 1):
+        at = np.flatnonzero(left >= k)
+        longer = np.zeros(len(ids), np.uint64)
+        longer[at] = _mixed(out[-1][at] * _MIX + word[at + k - 1])
+        out.append(longer)
+    return out
+
+
+def _held(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+    place = h >> np.uint64(64 - (len(bitmap).bit_length() + 5))
+    return (h != 0) & ((bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0)
+
 
+def run_counts(docs: DataFrame, bitmaps: list[np.ndarray]) -> DataFrame:
+    """``run`` (a hash as bigint) and ``n``, summed by slice; ``docs`` holds grp and text.
+
+    Without bitmaps words and pairs of neighbours are counted; with those of
+    all shorter runs the next longer ones whose two parts are held.
+    """
+    size = len(bitmaps) + 1 if bitmaps else 2
 
-def pair_counts(docs: DataFrame) -> DataFrame:
-    """``pair`` (a hash as bigint) and ``n`` of words and of neighbours in a piece, summed by slice; ``docs`` holds grp and text."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for b in batches:
             groups: list[str] = []
-            for ids, left, leads, group in _read(b, words, groups, 2):
-                word, at, pair = _hashed(ids, left, group, words, groups)
-                h, n = np.unique(np.concatenate([word[leads], pair[leads[at]]]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["pair", "n"])
+            for ids, left, leads, group in _read(b, words, groups, size):
+                runs = _runs(ids, left, group, words, groups, size)
+                if bitmaps:
+                    part = np.append(_held(bitmaps[-1], runs[-2]), False)
+                    found = runs[-1][leads & (runs[-1] != 0) & part[:-1] & part[1:]]
+                else:
+                    found = np.concatenate([r[leads & (r != 0)] for r in runs])
+                h, n = np.unique(found, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["run", "n"])
             if len(words) > VOCABULARY:
                 words = _Words()
-    return docs.mapInArrow(released(each), "pair bigint, n bigint")
-
+    return docs.mapInArrow(released(each), "run bigint, n bigint")
 
-def frequent_pairs(docs: DataFrame, least: int) -> np.ndarray:
-    """The bitmap of the words and pairs with ``least`` occurrences or more: at most 2**MAX_BITS bits, whatever their number."""
-    often = staged(pair_counts(docs).groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("pair"), "pairs")
-    bits = min(MAX_BITS, max(16, (64 * often.count()).bit_length()))
-    place = F.shiftrightunsigned("pair", 64 - bits)
-    words = (often.select(F.shiftright(place, 6).alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(pair, {64 - bits}) & 63 as int))").alias("bit"))
-             .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())
-    bitmap = np.zeros(1 << (bits - 6), np.uint64)
-    bitmap[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-    return bitmap
 
-
-def _held(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    place = h >> np.uint64(64 - (len(bitmap).bit_length() + 5))
-    return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
+def frequent_runs(docs: DataFrame, least: int, depth: int = DEPTH) -> list[np.ndarray]:
+    """For 1 to ``depth`` words the bitmap of runs with ``least`` occurrences or more: at most 2**MAX_BITS bits each, whatever their number."""
+    bitmaps: list[np.ndarray] = []
+    while len(bitmaps) < depth:
+        often = staged(run_counts(docs, bitmaps).groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("run"), "runs")
+        bits = min(MAX_BITS, max(16, (64 * often.count()).bit_length()))
+        place = F.shiftrightunsigned("run", 64 - bits)
+        words = (often.select(F.shiftright(place, 6).alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(run, {64 - bits}) & 63 as int))").alias("bit"))
+                 .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())
+        bitmap = np.zeros(1 << (bits - 6), np.uint64)
+        bitmap[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+        bitmaps += [bitmap] if bitmaps else [bitmap, bitmap]  # words and pairs share the first one
+    return bitmaps
 
 
-def windows(docs: DataFrame, order: int, bitmap: np.ndarray) -> DataFrame:
-    """grp, ``w1`` to ``w<order>`` (padding: empty) and ``n``: the windows that the words of a piece lead, summed by batch.
+def windows(docs: DataFrame, order: int, bitmaps: list[np.ndarray]) -> DataFrame:
+    """grp, ``w1`` to ``w<order>`` (padding: empty) and ``n``: the windows that the words of a piece lead, summed by slice.
 
-    A window is padded from its first pair outside the bitmap on.
+    A window is padded from its first run outside the bitmaps on.
     """
     names = [f"w{i + 1}" for i in range(order)]
 
@@ -174,13 +191,13 @@ def windows(docs: DataFrame, order: int, bitmap: np.ndarray) -> DataFrame:
         for b in batches:
             groups: list[str] = []
             for ids, left, leads, group in _read(b, words, groups, order):
-                word, at, pair = _hashed(ids, left, group, words, groups)
-                joined = np.zeros(len(ids) + order, bool)
-                joined[at] = _held(bitmap, pair)
-                run = _held(bitmap, word)
-                size = run.astype(np.int32)  # words of the window: grows while frequent pairs follow on each other
-                for i in range(order - 1):
-                    run = run & joined[i:i + len(ids)]
+                runs = _runs(ids, left, group, words, groups, len(bitmaps))
+                held = [np.append(_held(m, r), np.zeros(order, bool)) for m, r in zip(bitmaps, runs)]
+                run = np.ones(len(ids), bool)
+                size = np.zeros(len(ids), np.int32)  # words of the window: grows while the run that ends there is held
+                for k in range(1, order + 1):
+                    last = min(k, len(held))
+                    run = run & held[last - 1][k - last:k - last + len(ids)] & (left >= k)
                     size += run
                 lead = np.flatnonzero(leads)
                 key = np.zeros((len(lead), order + 1), np.int32)  # group, then words (0: padding)
@@ -212,7 +229,7 @@ def phrase_counts(docs: DataFrame, order: int, least: int) -> DataFrame:
     ``docs`` holds grp and text.  One ROLLUP over the counted windows gives all rows.
     """
     names = [f"w{i + 1}" for i in range(order)]
-    counted = windows(docs, order, frequent_pairs(docs, least)).groupBy("grp", *names).agg(F.sum("n").alias("n"))
+    counted = windows(docs, order, frequent_runs(docs, least, min(order, DEPTH))).groupBy("grp", *names).agg(F.sum("n").alias("n"))
     rolled = counted.rollup("grp", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     size = F.lit(None)
     for k in range(order + 1):  # the level's bits say which columns are summed away

@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from ratelens.llm import collocations, common, queries
 from tests.llm.helpers import SMALL, awkward, same
 
@@ -86,13 +88,15 @@ def test_long_texts_in_parts(spark, monkeypatch):
         assert total == want
 
 
-def test_bitmap_keeps_every_frequent_pair(spark):
+def test_bitmaps_keep_every_frequent_run(spark):
     rows = [("en", t) for t in _texts(40)]
     docs = spark.createDataFrame(rows, "grp string, text string")
-    bitmap = collocations.frequent_pairs(docs, 5)
-    for r in collocations.pair_counts(docs).groupBy("pair").sum("n").collect():
-        held = collocations._held(bitmap, collocations.np.array([r.pair], collocations.np.int64).view(collocations.np.uint64))[0]
-        assert held or r["sum(n)"] < 5
+    bitmaps = collocations.frequent_runs(docs, 5)
+    assert len(bitmaps) == 3
+    for known, bitmap in (([], bitmaps[0]), (bitmaps[:2], bitmaps[2])):
+        for r in collocations.run_counts(docs, known).groupBy("run").sum("n").collect():
+            held = collocations._held(bitmap, np.array([r.run], np.int64).view(np.uint64))[0]
+            assert held or r["sum(n)"] < 5
 
 
 def test_query_against_sql(spark):
