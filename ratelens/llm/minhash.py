@@ -9,10 +9,11 @@ two sets miss each other in all 32 bands with probability 5e-8.
 A bucket proposes a star, not all pairs: each member with one centre, and the
 full sets confirm or refuse the pair.  Where a bucket then still holds several
 components, the members outside its largest one meet all members of other
-components in tiles of signatures; pairs whose signatures agree in half of the
-bins (0.8 of them expected) are confirmed on full sets as well.  So no link
-between two members of a bucket is lost: pairs never compared are in one
-component already.  Equal sets are one node throughout.
+components in tiles of signatures.  Pairs that may be similar by their
+signatures hang together in clusters (a tile hands on a spanning forest of
+them, never all pairs), and within a cluster the full sets are compared in
+tiles.  So no link between two members of a bucket is lost: pairs never
+compared are in one component already.  Equal sets are one node throughout.
 """
 
 from __future__ import annotations
@@ -35,8 +36,11 @@ ROWS = 4
 BLOCK = 256
 #: Pairs of a star that go to one task of the confirming join.
 STAR = 1024
-#: Sets smaller than this vary too much in few filled bins to be told apart by signatures.
-SMALL = 64
+#: Bins in which the signatures of similar sets agree at least, by the size of the smaller set: some five standard
+#: deviations below 0.8 of them.  Smaller sets fill too few bins to be told apart by signatures.
+AGREE = ((64, BINS // 2), (256, 80 * BINS // 128))
+#: Shingles in one block of a cluster, and shared ones compared at a time.
+BLOCK_SHINGLES, COLUMNS = 1 << 17, 2048
 _WORDS = 1 << 18
 
 
@@ -145,27 +149,33 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(released(each), "doc_id bigint, text_hash bigint, n_shingles bigint, node bigint, keys array<bigint>, sig binary")
 
 
-def buckets(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Buckets of several nodes (key, ``centre``, ``n`` rows), and their members (key, node, centre)."""
+def buckets(rows: DataFrame) -> DataFrame:
+    """Members (key, node, centre) of the buckets with several nodes; the centre is one of them."""
     dealt = rows.where("node IS NOT NULL").select("node", F.explode("keys").alias("key"))
     several = staged(dealt.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("high"), F.count("*").alias("n"))
                      .where("centre <> high").select("key", "centre", "n"), "buckets")
-    members = join_hot(dealt, several.select("key", "centre"), ["key"], sizes=several).distinct()
-    return several, staged(members, "members")
+    return staged(join_hot(dealt, several.select("key", "centre"), ["key"], sizes=several.select("key", "n")).distinct(), "members")
 
 
-def confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` (nodes) whose full sets are similar enough.
+def texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, text`` of the wanted nodes, one row each.
 
     ``docs`` holds doc_id, text and text_hash; ``nodes`` the document that
-    stands for a node (node, doc_id, text_hash).  The pairs of a frequent b
-    are dealt to several tasks.
+    stands for a node (node, doc_id, text_hash).
     """
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     none = F.lit(-(1 << 63))
     carriers = nodes.join(wanted, "node").select("node", F.coalesce("doc_id", none).alias("__id"), "text_hash")
-    texts = staged(docs.select(F.coalesce("doc_id", none).alias("__id"), "text_hash", "text").join(carriers, ["__id", "text_hash"])
-                   .dropDuplicates(["node"]).select("node", "text"), "texts")
+    return (docs.select(F.coalesce("doc_id", none).alias("__id"), "text_hash", "text").join(carriers, ["__id", "text_hash"])
+            .dropDuplicates(["node"]).select("node", "text"))
+
+
+def confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` (nodes) whose full sets are similar enough.
+
+    The pairs of a frequent b are dealt to several tasks.
+    """
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = staged(texts_of(docs, nodes, wanted), "texts")
     stars = staged(pairs.groupBy("b").agg(F.ceil(F.count("*") / STAR).alias("parts")), "stars")
     spread = join_hot(pairs, stars, ["b"], sizes=stars.select("b", (F.col("parts") * STAR).alias("n")))
     left = spread.select("a", "b", F.pmod(F.xxhash64("a"), "parts").alias("part")).join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -188,23 +198,77 @@ def confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, per
     return left.join(right, ["b", "part"]).select("a", "b", "text_a", "text_b").mapInArrow(released(compared), "a bigint, b bigint")
 
 
-def remaining(members: DataFrame, several: DataFrame, nodes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a < b`` of a bucket in different components that may still be similar.
+def forest(a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a spanning forest over the pairs ``a[rows[i]], b[cols[i]]``: at most one fewer than there are nodes."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := root.setdefault(x, x)) != x:
+            root[x] = root[y]
+            x = y
+        return x
+    left, right = [], []
+    for x, y in zip(a[rows].tolist(), b[cols].tolist()):
+        p, q = find(x), find(y)
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            left.append(x)
+            right.append(y)
+    return np.array(left, np.int64), np.array(right, np.int64)
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The intersection sizes of all pairs of two lists of sets, by products of slices of the incidence matrices."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    sides = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s])) for s in (left, right)]
+    shared = np.intersect1d(np.unique(sides[0][0]), np.unique(sides[1][0]), assume_unique=True)
+    held = []
+    for value, row in sides:
+        col = np.minimum(np.searchsorted(shared, value), max(0, len(shared) - 1))
+        here = np.flatnonzero(shared[col] == value) if len(shared) else np.empty(0, np.int64)
+        here = here[np.argsort(col[here], kind="stable")]
+        held.append((col[here], row[here]))
+    for start in range(0, len(shared), COLUMNS):
+        slices = []
+        for (col, row), n in zip(held, out.shape):
+            a, b = np.searchsorted(col, [start, start + COLUMNS])
+            m = np.zeros((n, COLUMNS), np.float32)
+            m[row[a:b], col[a:b] - start] = 1
+            slices.append(m)
+        out += (slices[0] @ slices[1].T).astype(np.int64)
+    return out
+
+
+def _blocks(members: DataFrame, key: str, row, block) -> DataFrame:
+    """Rows of a key in blocks, those outside the key's main component (``outside``) apart; ``blocks`` says how many there are."""
+    return (members.withColumn("block", F.pmod(F.xxhash64("node"), block)).withColumn("row", row)
+            .groupBy(key, "blocks", "block", (F.col("root") != F.col("main")).alias("outside")).agg(F.collect_list("row").alias("rows")))
+
+
+def _met(blocks: DataFrame, key: str) -> DataFrame:
+    """``left, right``: each block outside a main component with every block of its key, each pair in its own row."""
+    lead = blocks.where("outside").select(key, F.col("rows").alias("left"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    return lead.join(blocks.select(key, "block", F.col("rows").alias("right")), [key, "block"]).select("left", "right")
+
+
+def _mixed_groups(members: DataFrame, key: str, size, limit: int) -> DataFrame:
+    """Members (key, node, root, ...) of the keys with several roots, with ``main`` (their most frequent root) and ``blocks``."""
+    by_root = staged(members.groupBy(key, "root").agg(F.count("*").alias("n"), F.sum(size).alias("size")), "group-roots")
+    mixed = staged(by_root.groupBy(key).agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"),
+                                            F.sum("n").alias("n"), F.sum("size").alias("size")).where("roots > 1")
+                   .select(key, "main", F.ceil(F.col("size") / limit).alias("blocks"), "n"), "mixed")
+    return staged(join_hot(members, mixed.select(key, "main", "blocks"), [key], sizes=mixed.select(key, "n")), "mixed-members")
 
-    Only members outside a bucket's largest component lead comparisons; blocks
-    of them meet every block of the bucket, each in its own row.
+
+def clusters(members: DataFrame, nodes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: a forest over the pairs of a bucket in different components that may be similar by sizes and signatures.
+
+    Only members outside a bucket's largest component lead comparisons.
     """
     labelled = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    by_root = staged(labelled.groupBy("key", "root").agg(F.count("*").alias("n")), "bucket-roots")
-    mixed = staged(by_root.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("n"))
-                   .where("roots > 1").select("key", "main", F.ceil(F.col("n") / BLOCK).alias("blocks"), "n"), "mixed")
-    dealt = staged(join_hot(labelled, mixed.select("key", "main", "blocks"), ["key"], sizes=mixed.select("key", "n")), "mixed-members")
+    dealt = _mixed_groups(labelled, "key", F.lit(1), BLOCK)
     row = F.struct("node", "root", F.col("n_shingles").alias("size"), "sig")
-    blocks = staged(dealt.join(nodes.select("node", "n_shingles", "sig"), "node")
-                    .groupBy("key", "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("block"), (F.col("root") != F.col("main")).alias("outside"))
-                    .agg(F.collect_list(row).alias("rows")), "mixed-blocks")
-    lead = blocks.where("outside").select("key", F.col("rows").alias("left"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    met = lead.join(blocks.select("key", "block", F.col("rows").alias("right")), ["key", "block"]).select("left", "right")
+    blocks = staged(_blocks(dealt.join(nodes.select("node", "n_shingles", "sig"), "node"), "key", row, F.col("blocks")), "bucket-blocks")
 
     def arrays(rows) -> tuple[np.ndarray, ...]:
         v = rows.values
@@ -213,19 +277,54 @@ def remaining(members: DataFrame, several: DataFrame, nodes: DataFrame, found: D
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            out = [[np.empty(0, np.int64)], [np.empty(0, np.int64)]]
             for p, q in zip(x["left"], x["right"]):
                 (n1, r1, s1, g1), (n2, r2, s2, g2) = arrays(p), arrays(q)
                 low, high = np.minimum(s1[:, None], s2[None, :]), np.maximum(s1[:, None], s2[None, :])
-                open_ = (r1[:, None] != r2[None, :]) & (100 * low >= percent * high)
-                i, j = np.nonzero(open_)
+                i, j = np.nonzero((r1[:, None] != r2[None, :]) & (100 * low >= percent * high))
+                like = np.zeros(len(i), bool)
                 for s in range(0, len(i), 1 << 15):
                     k, m = i[s:s + (1 << 15)], j[s:s + (1 << 15)]
-                    like = ((g1[k] == g2[m]).sum(1) >= BINS // 2) | (low[k, m] < SMALL)
-                    left.append(np.minimum(n1[k[like]], n2[m[like]]))
-                    right.append(np.maximum(n1[k[like]], n2[m[like]]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(s)) for s in (left, right)], names=["a", "b"])
-    return met.mapInArrow(released(compared), "a bigint, b bigint").distinct()
+                    need = np.zeros(len(k), np.int64)
+                    for size, bins in AGREE:
+                        need[low[k, m] >= size] = bins
+                    like[s:s + (1 << 15)] = (g1[k] == g2[m]).sum(1) >= need
+                for side, found_ in zip(out, forest(n1, n2, i[like], j[like])):
+                    side.append(found_)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(s)) for s in out], names=["a", "b"])
+    return _met(blocks, "key").mapInArrow(released(compared), "a bigint, b bigint").distinct()
+
+
+def settle(docs: DataFrame, nodes: DataFrame, found: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links ``a, b`` that connect the nodes of each cluster of candidates as all similar pairs of them would, on full sets.
+
+    ``found`` says which nodes hang together already.
+    """
+    named = components(candidates).select("node", F.col("root").alias("cluster"))
+    labelled = staged(named.join(found, "node", "left").select("cluster", "node", F.coalesce("root", "node").alias("root"))
+                      .join(nodes.select("node", "n_shingles"), "node"), "clusters")
+    dealt = _mixed_groups(labelled, "cluster", F.col("n_shingles"), BLOCK_SHINGLES)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(width)
+        for x in batches:
+            yield pa.RecordBatch.from_arrays([x["node"], pa.array([shingles.of(t.as_py()).tobytes() for t in x["text"]], pa.large_binary())], names=["node", "set"])
+    sets = texts_of(docs, nodes, dealt.select("node")).mapInArrow(released(each), "node bigint, set binary")
+    blocks = staged(_blocks(dealt.join(sets, "node"), "cluster", F.struct("node", "root", "set"), F.col("blocks")), "cluster-blocks")
+
+    def arrays(rows) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        v = rows.values
+        return v.field("node").to_numpy(), v.field("root").to_numpy(), [np.frombuffer(s.as_py(), np.uint64) for s in v.field("set")]
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for p, q in zip(x["left"], x["right"]):
+                (n1, r1, s1), (n2, r2, s2) = arrays(p), arrays(q)
+                both = overlaps(s1, s2)
+                union = np.array([len(s) for s in s1])[:, None] + np.array([len(s) for s in s2])[None, :] - both
+                left, right = forest(n1, n2, *np.nonzero((r1[:, None] != r2[None, :]) & (100 * both >= percent * union)))
+                yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], names=["a", "b"])
+    return _met(blocks, "cluster").mapInArrow(released(compared), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -248,13 +347,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     nodes = staged(full.groupBy("node").agg(first.alias("m"), F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
                    .select("node", "m.doc_id", "m.text_hash", "n", "n_shingles", "sig"), "nodes")
-    several, members = buckets(rows)
+    members = buckets(rows)
     star = staged(members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
     links = staged(confirm(texts, nodes, star, width, percent), "star-links")
     found = staged(components(links), "components")
-    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = staged(remaining(members, several, nodes, found, percent).join(tried, ["a", "b"], "left_anti"), "remaining")
-    more = confirm(texts, nodes, rest, width, percent)
+    more = settle(texts, nodes, found, staged(clusters(members, nodes, found, percent), "candidates"), width, percent)
     roots = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
     found = components(roots.unionByName(more))
     named = staged(nodes.select("node", F.col("doc_id").alias("least"), "n").join(found, "node", "left")

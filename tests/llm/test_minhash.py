@@ -5,8 +5,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ratelens.llm import minhash, queries
+from ratelens.llm.common import id_text, staged, text_hash
 from tests.llm.helpers import SMALL, awkward, same
 
 RNG = random.Random(7)
@@ -65,6 +67,8 @@ def test_chains_within_buckets(spark, monkeypatch):
     """Families that drift apart step by step: buckets hold several components, and blocks are small."""
     monkeypatch.setattr(minhash, "BLOCK", 4)
     monkeypatch.setattr(minhash, "STAR", 3)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 300)
+    monkeypatch.setattr(minhash, "COLUMNS", 64)
     rows = []
     for _ in range(6):
         words = _words(70)
@@ -79,23 +83,33 @@ def test_chains_within_buckets(spark, monkeypatch):
     assert _got(minhash.near_duplicates(docs, 4, 80)) == want
 
 
-def test_remaining_pairs_lose_no_link(spark, monkeypatch):
-    """With one bucket for all, every pair in different components that may be similar is proposed, each once."""
+def test_clusters_lose_no_link(spark, monkeypatch):
+    """With one bucket for all and nothing linked yet, similar pairs share a cluster, and settling links just those."""
     monkeypatch.setattr(minhash, "BLOCK", 3)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 100)
     rows = [(i + 1, " ".join(_words(40))) for i in range(5)]
     rows += [(10 + i, rows[0][1] + f" tail{i}") for i in range(9)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    from ratelens.llm.common import id_text, staged, text_hash
-    from pyspark.sql import functions as F
-    sets = staged(minhash.signatures(id_text(docs, "doc_id", "text").withColumn("text_hash", text_hash(F.col("text"))), 4), "sets")
+    docs = id_text(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text").withColumn("text_hash", text_hash(F.col("text")))
+    sets = staged(minhash.signatures(docs, 4), "sets")
     members = sets.select(F.lit(1).cast("bigint").alias("key"), "node", F.lit(0).cast("bigint").alias("centre"))
     none = spark.createDataFrame([], "node bigint, root bigint")
-    got = sorted((r.a, r.b) for r in minhash.remaining(members, None, sets.select("node", "n_shingles", "sig"), none, 80).collect())
-    ids = {r.node: r for r in sets.collect()}
-    alike = {i: _set(t, 4) for i, t in rows}
-    want = {(a, b) for a in ids for b in ids if a < b
-            and 100 * len(alike[ids[a].doc_id] & alike[ids[b].doc_id]) >= 80 * len(alike[ids[a].doc_id] | alike[ids[b].doc_id])}
-    assert want and want <= set(got) and len(got) == len(set(got))
+    near = staged(minhash.clusters(members, sets, none, 80), "near")
+    links = minhash.settle(docs, sets, none, near, 4, 80).collect()
+    doc = {r.node: r.doc_id for r in sets.collect()}
+    root = {d: d for d, _ in rows}
+    for r in links:
+        a, b = root[doc[r.a]], root[doc[r.b]]
+        root = {d: (a if x == b else x) for d, x in root.items()}
+    assert len({root[d] for d in [1, *range(10, 19)]}) == 1 and len(set(root.values())) == 5
+
+
+def test_overlaps_of_sets(monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 5)
+    gen = np.random.default_rng(8)
+    left, right = ([np.unique(gen.integers(0, 60, n, dtype=np.uint64)) for n in gen.integers(0, 50, 12)] for _ in range(2))
+    want = [[len(np.intersect1d(a, b)) for b in right] for a in left]
+    assert minhash.overlaps(left, right).tolist() == want
+    assert not minhash.overlaps(left, [np.empty(0, np.uint64)]).any()
 
 
 def test_signatures_estimate_similarity():
