@@ -1,4 +1,4 @@
-"""Queries on step lists that are Python literals but no JSON."""
+"""Queries on awkward raw texts: step lists that are Python literals but no JSON (A2, C8, C13, J2, E7), multi-line CSV."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from ratelens.plans import catalog as Q
 from ratelens.plans import oracle as O
 from ratelens.plans.pipelines import effort_study, kept_interactions
 from ratelens.sources import fixtures as FX
+from ratelens.sources import readers as R
 
 _RAW = O.awkward_raw_sql()
 _RC = f"WITH {_RAW}, {O.RECIPES_CLEAN}"
@@ -45,3 +46,20 @@ def q_awkward_kept(spark, sf):
 @Q.register("e7_awkward_steps", Q.E7_SPEC, f"WITH {_RAW} {Q._e7_sql()}")
 def q_awkward_effort(spark, sf):
     return effort_study(FX.awkward_recipes(spark, sf))
+
+
+@Q.register("s1_csv_multiline", "doc_id:i, lang:s, n_chars:i, digest:s, tail:s",
+            "SELECT doc_id, lang, length(text) AS n_chars, md5(text) AS digest, 'a \"b\",' || chr(10) || doc_id || chr(10) || chr(10) AS tail FROM documents "
+            "WHERE doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
+def q_csv_multiline(spark, sf):
+    """S1 on whole documents: line feeds, commas and doubled quotes in most records, one file that many tasks read."""
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    from ratelens.session import checkpoint_dir
+    path = checkpoint_dir(spark, "csv-documents")
+    docs = FX.table(spark, sf, "documents").where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
+    # an asterisk in front keeps empty and NA-like texts apart from missing ones
+    docs.select("doc_id", F.concat(F.lit("*"), "text").alias("text"), F.concat(F.lit('a "b",\n'), F.col("doc_id").cast("string"), F.lit("\n\n")).alias("tail"), "lang").coalesce(1).write.option(
+        "header", "true").option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("tail", StringType()), StructField("lang", StringType())])
+    text = F.expr("substring(text, 2)")
+    return R.read_csv(spark, path, schema).select("doc_id", "lang", F.length(text).alias("n_chars"), F.md5(text).alias("digest"), "tail")

@@ -10,6 +10,7 @@ from pyspark.sql.types import (DoubleType, FloatType, IntegerType, LongType, Str
                                StructField, StructType)
 
 from ratelens.functions.expr import nan_to_null
+from ratelens.sources import csv_split
 
 # fixed values: the text tokens pandas.read_csv reads as missing by default
 PANDAS_NULL_TOKENS = (
@@ -52,13 +53,17 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
              null_tokens: Sequence[str] = PANDAS_NULL_TOKENS, multi_line: bool = True) -> DataFrame:
     """Header CSV with quoted multi-line text and doubled quotes.
 
-    Fields with line feeds need ``multi_line``, which reads each file in one
-    task: hand large tables over as many files, or, where no field holds a line
-    feed, switch it off and Spark splits the files.
+    With a ``schema``, files whose fields hold line feeds are read by as many
+    tasks as any text file (:mod:`ratelens.sources.csv_split`): a first pass,
+    which runs when the frame is built, finds which byte ranges start inside
+    quotes, a second one cuts the records.  Line breaks inside quotes stay as they are in the
+    file.  Where no field holds one, ``multi_line=False`` saves the first pass.
 
-    Declare ``schema`` for known tables; without one the types are inferred
-    (an extra pass over the file — avoid on large inputs).
+    Without a schema the types are inferred, each multi-line file in one task;
+    declare one for large inputs.
     """
+    if schema is not None and multi_line:
+        return normalize_missing(csv_split.read(spark, path, schema), null_tokens)
     r = (spark.read.option("header", "true").option("multiLine", str(multi_line).lower())
          .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
     if schema is not None:
