@@ -4,8 +4,11 @@ Incomplete beta and gamma functions by their continued fractions, evaluated
 from the tail with a number of terms that is doubled until the value stands
 still; for very many degrees of freedom, where logarithms of gamma functions
 lose their digits against each other, by the limit distributions with their
-first corrections.  Applied to already aggregated rows through Arrow UDFs, so
-the operators stay lazy and only a handful of statistics meets Python.
+first corrections.
+
+The same formulas twice: as functions of numbers, for statistics that a model
+fit has on the driver, and as column expressions (``*_col``) whose fractions
+are folds over a sequence of terms, so grids and group tests stay in the JVM.
 """
 
 from __future__ import annotations
@@ -13,10 +16,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 #: Degrees of freedom from which the limit forms are used.
 MANY = 1e6
@@ -132,37 +133,105 @@ def pearson_p(r: float, n: float) -> float:
     return t_two_sided(r * math.sqrt(df / (1.0 - r * r)), df)
 
 
-def _vec(fn, *series: pd.Series) -> pd.Series:
-    out = [fn(*map(float, vals)) if not any(pd.isna(v) for v in vals) else float("nan") for vals in zip(*series)]
-    return pd.Series(out, dtype="float64")
+# --- the same as column expressions -------------------------------------------
 
+def _let(body: Callable[[Column], Column], **values: Column) -> Column:
+    """``body`` of a struct of doubles that are computed once per row."""
+    return F.transform(F.array(F.struct(*[v.cast("double").alias(k) for k, v in values.items()])), body)[0]
 
-@F.pandas_udf(DoubleType())
-def _pearson_p_udf(r: pd.Series, n: pd.Series) -> pd.Series:
-    return _vec(pearson_p, r, n)
 
+def _terms(least: float, per_root: float, size: Column) -> Column:
+    """The terms from ``least + per_root * sqrt(size)`` down to 1; the fractions settle within some square root of their parameter."""
+    return F.sequence((least + per_root * F.sqrt(size)).cast("int"), F.lit(1), F.lit(-1))
 
-@F.pandas_udf(DoubleType())
-def _f_sf_udf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    return _vec(f_sf, f, d1, d2)
 
+def _log_gamma(z: Column) -> Column:
+    """Stirling's series eight steps further on, where four terms give some 11 digits."""
+    def at(v: Column) -> Column:
+        w, far = v["z"], v["z"] + 8
+        steps = w
+        for i in range(1, 8):
+            steps = steps * (w + i)
+        series = 1 / (12 * far) - 1 / (360 * F.pow(far, 3)) + 1 / (1260 * F.pow(far, 5)) - 1 / (1680 * F.pow(far, 7))
+        return (far - 0.5) * F.ln(far) - far + 0.5 * math.log(2 * math.pi) + series - F.ln(steps)
+    return _let(at, z=z)
 
-@F.pandas_udf(DoubleType())
-def _chi2_sf_udf(x: pd.Series, k: pd.Series) -> pd.Series:
-    return _vec(chi2_sf, x, k)
 
+def _beta_part(a: Column, b: Column, x: Column, y: Column) -> Column:
+    """I_x(a, b) for x below the mean, ``y = 1 - x``."""
+    def term(j: Column) -> Column:
+        m = F.floor(j / 2)
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        return F.when(j % 2 == 1, odd).otherwise(m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)))
+    fraction = F.aggregate(_terms(64, 8, F.greatest(a, b)), F.lit(1.0), lambda tail, j: 1 + term(j) / tail)
+    return F.exp(_log_gamma(a + b) - _log_gamma(a) - _log_gamma(b) + a * F.ln(x) + b * F.ln(y)) / a / fraction
 
-def _nan_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
 
+def betainc_col(a: Column, b: Column, x: Column, y: Column) -> Column:
+    """Regularised incomplete beta I_x(a, b); ``y`` is 1 - x, given apart to keep its digits."""
+    def at(v: Column) -> Column:
+        part = _let(lambda w: _beta_part(w["a"], w["b"], w["x"], w["y"]), a=F.when(v["up"] > 0, v["b"]).otherwise(v["a"]),
+                    b=F.when(v["up"] > 0, v["a"]).otherwise(v["b"]), x=F.when(v["up"] > 0, v["y"]).otherwise(v["x"]),
+                    y=F.when(v["up"] > 0, v["x"]).otherwise(v["y"]))
+        return F.when(v["x"] <= 0, F.lit(0.0)).when(v["y"] <= 0, F.lit(1.0)).when(v["up"] > 0, 1 - part).otherwise(part)
+    return _let(at, a=a, b=b, x=x, y=y, up=(x > (a + 1) / (a + b + 2)).cast("int"))
 
-def pearson_p_col(r: Column, n: Column) -> Column:
-    return _nan_null(_pearson_p_udf(r.cast("double"), n.cast("double")))
 
+def gammaincc_col(a: Column, x: Column) -> Column:
+    """Regularised upper incomplete gamma Q(a, x), for a below ``MANY / 2``."""
+    def at(v: Column) -> Column:
+        a_, x_ = v["a"], v["x"]
+        front = a_ * F.ln(x_) - x_ - _log_gamma(a_)
+        start = F.struct((1 / a_).alias("term"), (1 / a_).alias("sum"))
 
-def f_sf_col(f: Column, d1: Column, d2: Column) -> Column:
-    return _nan_null(_f_sf_udf(f.cast("double"), d1.cast("double"), d2.cast("double")))
+        def add(acc: Column, n: Column) -> Column:
+            term = acc["term"] * x_ / (a_ + n)
+            return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+        below = F.aggregate(F.reverse(_terms(100, 12, a_)), start, add)["sum"]
+        terms = (64 + 8 * F.sqrt(a_)).cast("int")
+        above = F.aggregate(F.sequence(terms, F.lit(1), F.lit(-1)), x_ + 2 * terms + 1 - a_,
+                            lambda tail, j: x_ + 2 * j - 1 - a_ - j * (j - a_) / tail)
+        return (F.when(x_ <= 0, F.lit(1.0)).when(x_ < a_ + 1, 1 - F.exp(front) * below).otherwise(F.exp(front) / above))
+    return _let(at, a=a, x=x)
+
+
+def _erfc(y: Column) -> Column:
+    tail = gammaincc_col(F.lit(0.5), y * y)
+    return F.when(y >= 0, tail).otherwise(2 - tail)
+
+
+def t_two_sided_col(t: Column, df: Column) -> Column:
+    """Two-sided tail of Student's t; NULL without a value or degrees of freedom."""
+    def at(v: Column) -> Column:
+        t2, n = v["t"] * v["t"], v["n"]
+        far = _erfc(F.abs(v["t"]) * (1 - 1 / (4 * n)) / F.sqrt(1 + t2 / (2 * n)) / math.sqrt(2))
+        return F.when(n >= MANY, far).otherwise(betainc_col(n / 2, F.lit(0.5), n / (n + t2), t2 / (n + t2)))
+    return F.when((df > 0) & ~F.isnan(t), F.when(F.abs(t) == float("inf"), F.lit(0.0)).otherwise(_let(at, t=t, n=df)))
+
+
+def pearson_p_col(r: Column, n: Column) -> Column:
+    """Two-sided p of a correlation coefficient; |r| = 1 -> 0, n < 3 -> NULL."""
+    df = n - F.lit(2.0)
+    return F.when((n >= 3) & ~F.isnan(r), F.when(F.abs(r) >= 1, F.lit(0.0)).otherwise(t_two_sided_col(r * F.sqrt(F.try_divide(df, 1 - r * r)), df)))
 
 
 def chi2_sf_col(x: Column, k: Column) -> Column:
-    return _nan_null(_chi2_sf_udf(x.cast("double"), k.cast("double")))
+    """Upper tail of chi-square; from ``MANY`` degrees of freedom on the normal tail with its first correction."""
+    def at(v: Column) -> Column:
+        a, ratio = v["a"], v["x"] / v["a"]
+        d = ratio - 1
+        half = F.when(F.abs(d) < 1e-4, d * d / 2 - F.pow(d, 3) / 3 + F.pow(d, 4) / 4).otherwise(d - F.ln(ratio))
+        eta = F.signum(d) * F.sqrt(2 * F.greatest(half, F.lit(0.0)))
+        first = F.when(F.abs(eta) > 1e-3, 1 / d - 1 / eta).otherwise(eta / 12 - 1 / 3)
+        far = 0.5 * _erfc(eta * F.sqrt(a / 2)) + F.exp(-a * half) * first / F.sqrt(2 * math.pi * a)
+        return F.when(v["x"] <= 0, F.lit(1.0)).when(a >= MANY / 2, far).otherwise(gammaincc_col(a, v["x"]))
+    return F.when((k > 0) & ~F.isnan(x), _let(at, a=k / 2, x=x / 2))
+
+
+def f_sf_col(f: Column, d1: Column, d2: Column) -> Column:
+    """Upper tail of F; NULL without a value or degrees of freedom."""
+    def at(v: Column) -> Column:
+        x = v["p"] * v["f"]
+        far = chi2_sf_col(x - x * (x - v["p"] + 2) / (2 * v["q"]), v["p"])
+        return F.when(v["q"] >= 10 * MANY, far).otherwise(betainc_col(v["q"] / 2, v["p"] / 2, v["q"] / (v["q"] + x), x / (v["q"] + x)))
+    return F.when((d1 > 0) & (d2 > 0) & ~F.isnan(f), F.when(f <= 0, F.lit(1.0)).when(f == float("inf"), F.lit(0.0)).otherwise(_let(at, f=f, p=d1, q=d2)))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from statistics import NormalDist
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -140,34 +141,93 @@ def multiple_regression(df: DataFrame, features: Sequence[str], target: str) ->
                                  "term string, coef double, r2 double, n long")
 
 
+def _moments(df: DataFrame, features: Sequence[str], target: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, means and population covariances of the features and the target (last), over complete rows.
+
+    One aggregate of built-in covariances, which are centred as they go, so
+    large means cost no digits; (p + 1)(p + 2) / 2 numbers reach the driver.
+    """
+    names = [*features, target]
+    d = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(names)]).na.drop()
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1)]
+    row = d.agg(F.count(F.lit(1)), *[F.avg(f"v{i}") for i in range(len(names))], *[F.covar_pop(f"v{i}", f"v{j}") for i, j in pairs]).first()
+    n = int(row[0])
+    cov = np.zeros((len(names), len(names)))
+    for (i, j), v in zip(pairs, row[1 + len(names):]):
+        cov[i, j] = cov[j, i] = v if v is not None else 0.0
+    return n, np.array([0.0 if v is None else v for v in row[1:1 + len(names)]]), cov
+
+
+#: Share of the largest eigenvalue of the scaled cross-products below which a direction counts as none.
+RANK_SHARE = 1e-10
+
+
+def least_squares(n: int, means: np.ndarray, cov: np.ndarray) -> dict:
+    """Minimum-norm least squares with a constant, and its inference, from the moments of :func:`_moments`.
+
+    The scaled cross-products are decomposed into eigenvectors.  Directions
+    without variance leave the coefficients open; of all solutions the
+    shortest vector (constant included) is taken, as the pseudo-inverse of the
+    design matrix gives it, and its covariance is that inverse's as well.
+    """
+    p = len(means) - 1
+    m, c, xy, yy = means[:p], cov[:p, :p], cov[:p, p], cov[p, p]
+    scale = np.sqrt(np.diag(c))
+    flat = scale <= 1e-12 * np.maximum(np.abs(m), 1e-300)  # constant columns
+    scale = np.where(flat, 1.0, scale)
+    values, vectors = np.linalg.eigh(np.where(flat[:, None] | flat[None, :], 0.0, c) / np.outer(scale, scale))
+    held = values > RANK_SHARE * max(values.max(initial=0.0), 1e-300)
+    inverse = (vectors[:, held] / values[held]) @ vectors[:, held].T / np.outer(scale, scale)
+    slopes = inverse @ xy
+    rank = 1 + int(held.sum())
+    # back from centred columns: the constant takes what the means of the others say
+    back = np.eye(p + 1)
+    back[0, 1:] = -m
+    coef = back @ np.concatenate([[means[p]], slopes])
+    centred = np.zeros((p + 1, p + 1))
+    centred[0, 0], centred[1:, 1:] = 1.0, inverse
+    unit = back @ centred @ back.T / n
+    if rank <= p:
+        open_ = back @ np.concatenate([np.zeros((1, p + 1 - rank)), vectors[:, ~held] / scale[:, None]])
+        base = np.linalg.qr(open_)[0]
+        onto = np.eye(p + 1) - base @ base.T
+        coef, unit = onto @ coef, onto @ unit @ onto
+        coef[np.abs(coef) < 1e-15 * np.abs(coef).max(initial=0.0)] = 0.0
+    rest = n - rank
+    sse = max(0.0, n * (yy - xy @ slopes))
+    r2 = 1 - sse / (n * yy) if yy > 0 else None
+    s2 = sse / rest if rest > 0 else None
+    se = np.sqrt(np.maximum(np.diag(unit) * s2, 0.0)) if s2 is not None else None
+    fstat = (n * (xy @ slopes) / (rank - 1)) / s2 if s2 and rank > 1 else None
+    return {"coef": coef, "se": se, "r2": r2, "adj_r2": 1 - (1 - r2) * (n - 1) / rest if r2 is not None and rest > 0 else None,
+            "f": fstat, "rank": rank, "rest": rest}
+
+
 def ols(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """OLS with inference — coefficient, std error, t, p per term (constant
-    first), plus R^2, adjusted R^2, n, F and its p on every row.  Collinear
-    predictors have no inference: NULLs and ``singular = true``."""
-    from ratelens.functions.pvalues import f_sf
-    model, _ = fit_linear(df, features, target)
-    s = model.summary
-    n, p = int(s.numInstances), len(features)
-    coefs = [float(model.intercept)] + [float(c) for c in model.coefficients.toArray()]
-    try:
-        se, tv, pv = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)
-        # MLlib puts the intercept last
-        se, tv, pv = [se[-1]] + se[:-1], [tv[-1]] + tv[:-1], [pv[-1]] + pv[:-1]
-        singular = False
-    except Exception:  # singular normal equations: no inference available
-        se = tv = pv = [None] * (p + 1)
-        singular = True
-    r2 = float(s.r2)
-    r2adj = float(s.r2adj) if n - p - 1 > 0 else None
-    fstat = (r2 / p) / ((1 - r2) / (n - p - 1)) if p > 0 and n - p - 1 > 0 and r2 < 1 else None
-    fp = f_sf(fstat, p, n - p - 1) if fstat is not None else None
+    first), plus R^2, adjusted R^2, n, F and its p and the rank on every row.
+
+    Collinear predictors share what they explain (the shortest coefficient
+    vector); ``singular`` says that there are such.  A term whose standard error is 0 has no t and p;
+    without complete rows every number is NULL.
+    """
+    from ratelens.functions.pvalues import f_sf, t_two_sided
+    schema = ("target string, term string, coef double, std_err double, t_value double, p_value double, r2 double, adj_r2 double, "
+              "n long, f_stat double, f_p_value double, singular boolean, rank int")
     terms = ["const", *features]
-    rows = [(target, t, coefs[i], se[i], tv[i], pv[i], r2, r2adj, n, fstat, fp, singular)
-            for i, t in enumerate(terms)]
-    return df.sparkSession.createDataFrame(
-        rows, "target string, term string, coef double, std_err double, t_value double, "
-              "p_value double, r2 double, adj_r2 double, n long, f_stat double, f_p_value double, "
-              "singular boolean")
+    n, means, cov = _moments(df, features, target)
+    if n == 0:
+        return df.sparkSession.createDataFrame([(target, t, *[None] * 6, 0, None, None, None, None) for t in terms], schema)
+    fit = least_squares(n, means, cov)
+    fp = f_sf(fit["f"], fit["rank"] - 1, fit["rest"]) if fit["f"] is not None else None
+    rows = []
+    for i, t in enumerate(terms):
+        c, se = float(fit["coef"][i]), None if fit["se"] is None else float(fit["se"][i])
+        tv = c / se if se else None
+        rows.append((target, t, c, se, tv, t_two_sided(tv, fit["rest"]) if tv is not None else None,
+                     *[None if v is None else float(v) for v in (fit["r2"], fit["adj_r2"])], n,
+                     *[None if v is None else float(v) for v in (fit["f"], fp)], fit["rank"] <= len(features), fit["rank"]))
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:

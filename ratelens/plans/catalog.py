@@ -22,6 +22,7 @@ from ratelens.operators import profile as P
 from ratelens.operators import stattests as T
 from ratelens.operators.quantiles import average_rank
 from ratelens.plans import oracle as O
+from ratelens.plans.linsolve_sql import chi2_sf_sql, f_sf_sql, inference_sql, pearson_p_sql, t_two_sided_sql
 from ratelens.plans.pipelines import (MODEL_STUDY_FEATURES, build_analysis, complete_profile, dashboard, kept_interactions,
                                       nonlinearity_study, popularity_study)
 from ratelens.sources import fixtures as FX
@@ -1005,7 +1006,8 @@ def q_pearson(spark, sf):
     return T.pearson_grid(analysis(spark, sf), with_p=False)
 
 
-@register("t2_pearson_p", "effort:s, popularity:s, coef:d, n:i, p_value:d")
+@register("t2_pearson_p", "effort:s, popularity:s, coef:d, n:i, p_value:d",
+          f"SELECT *, {pearson_p_sql('coef', 'n')} AS p_value FROM ({_pearson_sql()})", ("analysis",))
 def q_pearson_p(spark, sf):
     return T.pearson_grid(analysis(spark, sf), with_p=True)
 
@@ -1026,7 +1028,8 @@ def q_spearman(spark, sf):
     return T.spearman_grid(analysis(spark, sf), with_p=False)
 
 
-@register("t3_spearman_p", "effort:s, popularity:s, coef:d, n:i, p_value:d")
+@register("t3_spearman_p", "effort:s, popularity:s, coef:d, n:i, p_value:d",
+          f"SELECT *, {pearson_p_sql('coef', 'n')} AS p_value FROM ({REGISTRY['t3_spearman'][2]})", ("analysis",))
 def q_spearman_p(spark, sf):
     return T.spearman_grid(analysis(spark, sf), with_p=True)
 
@@ -1098,7 +1101,9 @@ def q_group_test_sizes(spark, sf):
     return T.group_test_sizes(_strata(spark, sf), "stratum", list(STRATA_T), na="per_metric")
 
 
-@register("t45_group_tests", TEST_SPEC + ", p_value:d")
+@register("t45_group_tests", TEST_SPEC + ", p_value:d",
+          f"SELECT *, {f_sf_sql('statistic', 'n_groups - 1', 'n_total - n_groups')} AS p_value FROM ({REGISTRY['t4_anova'][2]}) UNION ALL "
+          f"SELECT *, {chi2_sf_sql('statistic', 'n_groups - 1')} AS p_value FROM ({REGISTRY['t5_kruskal'][2]})", ("analysis",))
 def q_group_tests(spark, sf):
     return T.group_tests(_strata(spark, sf), "stratum", list(STRATA_T), na="per_metric")
 
@@ -1142,7 +1147,10 @@ def q_pivot_formatted(spark, sf):
     return T.pivot_matrix(grid, values="share", order=list(T.DEFAULT_POPULARITY_VARS), fmt="%.3g")
 
 
-@register("t7_p_matrix", "effort:s, bayes_mean:s, wilson_lb:s, interactions_per_month:s")
+@register("t7_p_matrix", "effort:s, bayes_mean:s, wilson_lb:s, interactions_per_month:s",
+          "SELECT effort, " + ", ".join(f"max(CASE WHEN popularity = '{p}' THEN format('{{:.3g}}', p) END) AS {p}"
+                                        for p in T.DEFAULT_POPULARITY_VARS)
+          + f" FROM (SELECT *, {pearson_p_sql('coef', 'n')} AS p FROM ({_pearson_sql()})) GROUP BY effort", ("analysis",))
 def q_p_matrix(spark, sf):
     grid = T.pearson_grid(analysis(spark, sf))
     return T.pivot_matrix(grid, values="p_value", order=list(T.DEFAULT_POPULARITY_VARS), fmt="%.3g")
@@ -1306,13 +1314,37 @@ def q_ols_slopes(spark, sf):
     return M.ols(D.add_feature_columns(analysis(spark, sf))[0], T14_F, "bayes_mean").where("term <> 'const'")
 
 
-@register("t14_ols_inference", "target:s, term:s, coef:d, std_err:d, t_value:d, p_value:d, f_stat:d, f_p_value:d")
+_INF_SPEC = "target:s, term:s, coef:d, std_err:d, t_value:d, p_value:d"
+_ZT_SRC = f"({_z_sql().replace('SELECT id, steps_x_ingredients,', 'SELECT id, ' + ', '.join(M.DEFAULT_MODEL_TARGETS) + ', steps_x_ingredients,')})"
+_INF = {t: inference_sql(_ZT_SRC, T14_F, t, f"i{i}") for i, t in enumerate(M.DEFAULT_MODEL_TARGETS)}
+
+
+def _with_p(target: str) -> str:
+    return (f"SELECT '{target}' AS target, *, {t_two_sided_sql('t_value', 'df')} AS p_value, "
+            f"{f_sf_sql('f_stat', str(len(T14_F)), 'df')} AS f_p_value FROM ({_INF[target][1]})")
+
+
+@register("t14_ols_inference", _INF_SPEC + ", f_stat:d, f_p_value:d", _with_p("bayes_mean"), ("analysis", _INF["bayes_mean"][0]))
 def q_ols_inf(spark, sf):
     z = D.add_feature_columns(analysis(spark, sf))[0]
     return M.ols(z, T14_F, "bayes_mean")
 
 
-@register("u5_coefficient_table", "target:s, term:s, coef:d, std_err:d, t_value:d, p_value:d")
+@register("t14_ols_collinear", _INF_SPEC + ", r2:d, f_stat:d, rank:i",
+          "SELECT target, unnest(CASE term WHEN 'n_steps_std' THEN ['n_steps_std', 'n_steps_twin'] ELSE [term] END) AS term, "
+          "CASE term WHEN 'n_steps_std' THEN coef / 2 ELSE coef END AS coef, CASE term WHEN 'n_steps_std' THEN std_err / 2 ELSE std_err END AS std_err, "
+          f"t_value, p_value, r2, f_stat, {len(T14_F) + 1} AS rank FROM ({_with_p('bayes_mean')}) UNION ALL "
+          "SELECT 'bayes_mean', 'nought', 0.0, 0.0, NULL, NULL, max(r2), max(f_stat), " + f"{len(T14_F) + 1} FROM ({_with_p('bayes_mean')})",
+          ("analysis", _INF["bayes_mean"][0]))
+def q_ols_collinear(spark, sf):
+    """T14 with a predictor twice and one that is always 0: two equal shares, and nothing."""
+    z = D.add_feature_columns(analysis(spark, sf))[0].withColumn("n_steps_twin", F.col("n_steps_std")).withColumn("nought", F.lit(0.0))
+    return M.ols(z, [*T14_F, "n_steps_twin", "nought"], "bayes_mean")
+
+
+@register("u5_coefficient_table", _INF_SPEC,
+          " UNION ALL ".join(f"SELECT * FROM ({_with_p(t)}) WHERE term <> 'const'" for t in M.DEFAULT_MODEL_TARGETS),
+          ("analysis", *[c for c, _ in _INF.values()]))
 def q_coefficient_table(spark, sf):
     return M.coefficient_table(D.add_feature_columns(analysis(spark, sf))[0], T14_F, list(M.DEFAULT_MODEL_TARGETS))
 
