@@ -766,6 +766,29 @@ def q_density2d(spark, sf):
 SCATTER_SPEC = "id:i, effort_score:d, n_interactions:i, bayes_mean:d, effort_category:s"
 
 
+def _kde2d_sql(src: str, x: str, y: str, grid: int) -> str:
+    g = float(grid - 1)
+    shares = " UNION ALL ".join(
+        f"SELECT ix + {i} AS i, iy + {j} AS j, ({'fx' if i else '1 - fx'}) * ({'fy' if j else '1 - fy'}) AS w FROM pl" for i in (0, 1) for j in (0, 1))
+    return (f"WITH kd AS (SELECT CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM {src} WHERE {x} IS NOT NULL AND {y} IS NOT NULL), "
+            f"k0 AS (SELECT CAST(count(*) AS DOUBLE) AS n, pow(count(*), -1.0 / 6) AS f, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, "
+            f"var_samp(x) AS vx, var_samp(y) AS vy, covar_samp(x, y) AS cv FROM kd), "
+            f"k1 AS (SELECT *, x0 - 3 * f * sqrt(vx) AS xl, (x1 - x0 + 6 * f * sqrt(vx)) / {g} AS xs, y0 - 3 * f * sqrt(vy) AS yl, "
+            f"(y1 - y0 + 6 * f * sqrt(vy)) / {g} AS ys, vx * vy - cv * cv AS det FROM k0), "
+            f"pl AS (SELECT ix, iy, px - ix AS fx, py - iy AS fy FROM (SELECT px, py, least(floor(px), {grid - 2}) AS ix, least(floor(py), {grid - 2}) AS iy "
+            f"FROM (SELECT (x - xl) / xs AS px, (y - yl) / ys AS py FROM kd, k1))), "
+            f"ms AS (SELECT i, j, sum(w) AS w FROM ({shares}) GROUP BY i, j), "
+            f"gp AS (SELECT a AS point_x, b AS point_y FROM range({grid}) r(a), range({grid}) q(b)) "
+            f"SELECT point_x, point_y, any_value(xl + point_x * xs) AS x, any_value(yl + point_y * ys) AS y, sum(w * exp(-0.5 * "
+            f"(vy * pow((point_x - i) * xs, 2) - 2 * cv * (point_x - i) * xs * (point_y - j) * ys + vx * pow((point_y - j) * ys, 2)) / (det * f * f))) "
+            f"/ any_value(2 * pi() * sqrt(det) * f * f * n) AS density FROM gp, ms, k1 GROUP BY point_x, point_y")
+
+
+@register("p16_kde_2d", "point_x:i, point_y:i, x:d, y:d, density:d", _kde2d_sql("analysis", "n_steps", "n_ingredients", 40), ("analysis",))
+def q_kde2d(spark, sf):
+    return P.kde2d(analysis(spark, sf), "n_steps", "n_ingredients", 40)
+
+
 @register("p17_scatter_sample", SCATTER_SPEC,
           f"SELECT {_cols(SCATTER_SPEC)} FROM analysis", ("analysis",))
 def q_scatter(spark, sf):
