@@ -9,6 +9,7 @@ depend on partitioning and are identical on any engine.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from statistics import NormalDist
 
@@ -39,15 +40,43 @@ def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     return df.withColumn("_h", hash_key(key, seed)).orderBy("_h", key).limit(n).drop("_h")
 
 
-def split_flag(key: str | Column, seed: int = 42, test_size: float = 0.2) -> Column:
-    """True for the test set: first 32 bits of md5(key:seed) below the fraction."""
-    h = F.conv(F.substring(hash_key(key, seed), 1, 8), 16, 10).cast("long")
-    return h < F.lit(int(test_size * (1 << 32)))
+#: Hexadecimal digits of the hash that one selection step looks at, and the steps.
+_DIGITS, _STEPS = 3, 3
+
+
+def split_flag(df: DataFrame, key: str, seed: int = 42, test_size: float = 0.2) -> Column:
+    """True for the ``ceil(test_size * n)`` rows with the smallest md5(key:seed), ties by key.
+
+    The bound is selected without a sort: each step counts the rows by the
+    next three digits of their hash (at most 4096 counts reach the driver) and
+    keeps the one prefix that holds the wanted rank; after three steps a top-k
+    of the few rows left gives it.  Rows without a key are no test rows; keys
+    should be unique, as all rows of the last key are taken.
+    """
+    h = hash_key(key, seed)
+    rows = df.select(F.col(key).alias("k"), h.alias("h"))
+    prefix, want = "", None
+    for step in range(_STEPS):
+        at = len(prefix)
+        counts = rows.where(F.col("h").startswith(prefix)) if prefix else rows
+        found = {r[0]: r[1] for r in counts.groupBy(F.substring("h", at + 1, _DIGITS)).count().collect()}
+        if want is None:
+            want = math.ceil(test_size * sum(found.values()))
+            want = min(want, sum(v for k, v in found.items() if k is not None))
+        if want <= 0:
+            return F.lit(False)
+        for digits in sorted(k for k in found if k is not None):
+            if want <= found[digits]:
+                break
+            want -= found[digits]
+        prefix += digits
+    last = rows.where(F.col("h").startswith(prefix)).orderBy("h", "k").limit(want).agg(F.max(F.struct("h", "k")).alias("m")).first()["m"]
+    return F.coalesce((h < last["h"]) | ((h == last["h"]) & (F.col(key) <= F.lit(last["k"]))), F.lit(False))
 
 
 def train_test_split(df: DataFrame, key: str, seed: int = 42, test_size: float = 0.2
                      ) -> tuple[DataFrame, DataFrame]:
-    flag = split_flag(key, seed, test_size)
+    flag = split_flag(df, key, seed, test_size)
     return df.where(~flag), df.where(flag)
 
 
@@ -243,7 +272,8 @@ def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
 def _linear_on_train(df: DataFrame, features: Sequence[str], target: str, key: str, seed: int, test_size: float):
     """Complete rows with ``is_test`` and ``<f>_z`` (train moments, ddof 0), and the model fitted on the train rows."""
     from ratelens.operators.derive import add_feature_columns, apply_standardization
-    d = df.select(key, *features, target).na.drop().withColumn("is_test", split_flag(key, seed, test_size))
+    d = df.select(key, *features, target).na.drop()
+    d = d.withColumn("is_test", split_flag(d, key, seed, test_size))
     _, meta = add_feature_columns(d.where(~F.col("is_test")), interaction=False, columns_to_standardize=features)
     z = apply_standardization(d, meta, "_z")
     model, _ = fit_linear(z.where(~F.col("is_test")), [f"{f}_z" for f in features], target)

@@ -1379,16 +1379,31 @@ def q_sample(spark, sf):
     return M.seeded_sample(analysis(spark, sf).select("id", "effort_score"), 200, "id", 42)
 
 
+_TEST_SQL = "row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id) <= ceil(0.2::DOUBLE * count(*) OVER ())"
+
+
 @register("t13_split", "id:i, is_test:b",
-          f"SELECT id, CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) < {int(0.2 * (1 << 32))} "
-          "AS is_test FROM analysis", ("analysis",))
+          f"SELECT id, {_TEST_SQL} AS is_test FROM analysis", ("analysis",))
 def q_split(spark, sf):
-    return analysis(spark, sf).select("id", M.split_flag("id", 42, 0.2).alias("is_test"))
+    a = analysis(spark, sf)
+    return a.select("id", M.split_flag(a, "id", 42, 0.2).alias("is_test"))
+
+
+@register("t13_split_sizes", "lang:s, n:i, n_test:i",
+          "SELECT lang, count(*) AS n, CAST(ceil(0.2::DOUBLE * count(*)) AS BIGINT) AS n_test FROM documents WHERE lang IS NOT NULL GROUP BY lang")
+def q_split_sizes(spark, sf):
+    """T13's size on tables of different sizes: one split for each language."""
+    docs = FX.table(spark, sf, "documents").where("lang IS NOT NULL").select("doc_id", "lang")
+    out = None
+    for lang in [r[0] for r in docs.select("lang").distinct().orderBy("lang").collect()]:
+        d = docs.where(F.col("lang") == lang)
+        part = d.select("lang", M.split_flag(d, "doc_id", 7, 0.2).alias("t"))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("lang").agg(F.count("*").alias("n"), F.count_if("t").alias("n_test"))
 
 
 def _holdout_sql(src: str, feat: str, target: str) -> str:
-    thr = int(0.2 * (1 << 32))
-    flag = f"CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) < {thr}"
+    flag = _TEST_SQL
     d = (f"(SELECT id, CAST({feat} AS DOUBLE) AS x, CAST({target} AS DOUBLE) AS y, {flag} AS t FROM {src} "
          f"WHERE {feat} IS NOT NULL AND {target} IS NOT NULL)")
     return (f"WITH d AS {d}, st AS (SELECT avg(x) AS m, stddev_pop(x) AS s FROM d WHERE NOT t), "
@@ -1452,7 +1467,7 @@ def q_res_hist(spark, sf):
 
 def _holdout_rows_sql(src: str, feat: str, target: str) -> str:
     """The test rows of :func:`_holdout_sql` with the linear model's prediction."""
-    flag = f"CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) < {int(0.2 * (1 << 32))}"
+    flag = _TEST_SQL
     d = (f"(SELECT id, {feat}, CAST({feat} AS DOUBLE) AS x, CAST({target} AS DOUBLE) AS y, {flag} AS t FROM {src} "
          f"WHERE {feat} IS NOT NULL AND {target} IS NOT NULL)")
     return (f"SELECT id, y AS actual, b + a * x AS pred_linear, {feat} FROM {d} d, (SELECT regr_slope(y, x) AS a, "
