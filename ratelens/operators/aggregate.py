@@ -28,29 +28,36 @@ def rating_metrics(interactions: DataFrame, *, key: str = "recipe_id", rating: s
     counts distinct users over all rows.  Keys whose ratings are all NULL
     stay, with count 0 and NULL averages.  Values are rounded half-even.
 
-    Rows collapse map-side to (key, rating) counts, of which a key has as many
-    as ratings have values; mean, deviation and median come from those.  The
-    distinct users are a two-step count of their own, so no buffer ever hangs
-    on a (key, user) pair.
+    The rows are read once: dealt by (key, user), which no hot key makes
+    uneven, they collapse to (key, user, rating) counts, of which the first of
+    each (key, user) counts as one user; those collapse to (key, rating) counts, of which a key has as many as
+    ratings have values, and mean, deviation and median come from them.
     """
+    return _metrics_of(_rating_counts(interactions, key, rating, user, review).where(F.col(key).isNotNull()), key, digits, positive_threshold)
+
+
+def _rating_counts(interactions: DataFrame, key: str, rating: str, user: str, review: str) -> DataFrame:
+    """``key, _r`` (rating) with ``_w`` rows, ``_reviews`` and ``_users`` (each user of a key counted at one rating)."""
+    rows = interactions.select(F.col(key), F.col(user).alias("_u"), F.col(rating).cast("double").alias("_r"), F.col(review).isNotNull().cast("int").alias("_t"))
+    each = rows.repartition(key, "_u").groupBy(key, "_u", "_r").agg(F.count(F.lit(1)).alias("_w"), F.sum("_t").alias("_reviews"))
+    first = F.row_number().over(Window.partitionBy(key, "_u").orderBy("_r")) == 1
+    return (each.withColumn("_users", (first & F.col("_u").isNotNull()).cast("int"))
+            .groupBy(key, "_r").agg(F.sum("_w").alias("_w"), F.sum("_reviews").alias("_reviews"), F.sum("_users").alias("_users")))
+
+
+def _metrics_of(per: DataFrame, key: str, digits: int | None, positive_threshold: float) -> DataFrame:
     rnd = (lambda c: round_half_even(c, digits)) if digits is not None else (lambda c: c)
-    rows = interactions.where(F.col(key).isNotNull())
-    per = rows.groupBy(key, F.col(rating).cast("double").alias("_r")).agg(
-        F.count(F.lit(1)).alias("_w"), F.count(F.col(review)).alias("_reviews"))
     w = F.when(F.col("_r").isNotNull(), F.col("_w"))
     n, mean = F.sum(w), F.try_divide(F.sum(w * F.col("_r")), F.sum(w))
     stats = per.groupBy(key).agg(
         F.coalesce(n, F.lit(0)).alias("n_interactions"), mean.alias("_mean"), F.sum(w * F.col("_r") * F.col("_r")).alias("_ss"),
-        F.percentile("_r", 0.5, F.coalesce(w, F.lit(0))).alias("_median"), F.sum("_reviews").alias("n_reviews_text"),
+        F.percentile("_r", 0.5, F.coalesce(w, F.lit(0))).alias("_median"), F.sum("_reviews").alias("n_reviews_text"), F.sum("_users").alias("n_unique_users"),
         F.coalesce(F.sum(F.when(F.col("_r") >= F.lit(float(positive_threshold)), F.col("_w"))), F.lit(0)).alias("_pos"))
-    users = (rows.where(F.col(user).isNotNull()).select(F.col(key).alias("_uk"), user).distinct()
-             .groupBy("_uk").agg(F.count(F.lit(1)).alias("_users")))
     m = F.col("n_interactions")
     var = F.try_divide(F.greatest(F.col("_ss") - m * F.col("_mean") * F.col("_mean"), F.lit(0.0)), m - 1)
-    return stats.join(users, F.col(key) == F.col("_uk"), "left").select(
+    return stats.select(
         key, "n_interactions", rnd(F.col("_mean")).alias("avg_rating"), rnd(F.col("_median")).alias("median_rating"),
-        rnd(F.sqrt(F.when(m > 1, var))).alias("std_rating"), F.coalesce("_users", F.lit(0)).alias("n_unique_users"),
-        "n_reviews_text", "_pos")
+        rnd(F.sqrt(F.when(m > 1, var))).alias("std_rating"), "n_unique_users", "n_reviews_text", "_pos")
 
 
 def wilson_lower_bound(positives: Column, total: Column, confidence: float = 0.95) -> Column:
@@ -79,11 +86,14 @@ def recipe_metrics(interactions: DataFrame, *, key: str = "recipe_id", rating: s
 
     G2 uses the already rounded ``avg_rating`` and the mean of all non-NULL
     ratings of ``interactions`` (rows without a key included, as in the
-    reference; a scan of that one column); G3 counts ``rating >= 4`` as
-    positive.
+    reference); G3 counts ``rating >= 4`` as positive.  All comes from the
+    (key, rating) counts, whose exchange both branches share.
     """
-    g = rating_metrics(interactions, key=key, rating=rating, user=user, review=review, positive_threshold=positive_threshold)
-    gm = interactions.agg(F.avg(F.col(rating).cast("double")).alias("_gm"))
+    per = _rating_counts(interactions, key, rating, user, review)
+    # a condition on a result of the grouping, so that it stays above the exchange that both branches share
+    g = _metrics_of(per, key, 3, positive_threshold).where(F.when(F.col(key).isNotNull(), F.col("n_interactions")).isNotNull())
+    w = F.when(F.col("_r").isNotNull(), F.col("_w"))
+    gm = per.agg(F.try_divide(F.sum(w * F.col("_r")), F.sum(w)).alias("_gm"))
     bm = bayes_mean(F.col("avg_rating"), F.col("n_interactions"), F.col("_gm"), prior_count)
     if bayes_digits is not None:
         bm = round_half_even(bm, bayes_digits)

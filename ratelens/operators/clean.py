@@ -139,18 +139,11 @@ def filter_recipes(recipes: DataFrame, *, max_minutes: float = 360) -> DataFrame
     return df.where(F.size("_steps_arr") > 0)
 
 
-def prepare_recipes(recipes: DataFrame, *, max_minutes: float = 360) -> DataFrame:
-    """The pipeline's recipe cleaning and derived columns, in its order.
-
-    One lazy plan.  The min-max statistics of D5 are one aggregate over the
-    filtered rows (its scan reads the scaled columns and the step text only),
-    joined back as a one-row broadcast; no text is written anywhere.
-    """
-    from ratelens.operators.derive import minmax_scale, weighted_score
-
+def derive_recipes(recipes: DataFrame, *, max_minutes: float = 360) -> DataFrame:
+    """C13 up to the columns that need no statistics of the table: filters, dates, logs, word counts, categories."""
     df = filter_recipes(recipes, max_minutes=max_minutes)
     df = df.withColumn("submitted", coerce_date("submitted"))
-    df = (df.withColumn("log_minutes", F.ln(F.col("minutes").cast("double")))
+    return (df.withColumn("log_minutes", F.ln(F.col("minutes").cast("double")))
             .withColumn("category_minutes", category_minutes("minutes"))
             .withColumn("avg_words_per_step", avg_words_per_step(F.col("_steps_arr"), skip_empty=True))
             .withColumn("step_length_category",
@@ -160,12 +153,27 @@ def prepare_recipes(recipes: DataFrame, *, max_minutes: float = 360) -> DataFram
                         bucketize("n_ingredients", INGR_BOUNDS, INGR_LABELS, closed="right"))
             .withColumn("log_n_ingredients", log_floor("n_ingredients", 1.0))
             .drop("_steps_arr"))
-    df = minmax_scale(df, list(EFFORT_WEIGHTS))
+
+
+def score_recipes(derived: DataFrame) -> DataFrame:
+    """C13's last part: min-max scaling over all rows, effort score and its category."""
+    from ratelens.operators.derive import minmax_scale, weighted_score
+    df = minmax_scale(derived, list(EFFORT_WEIGHTS))
     df = weighted_score(df, EFFORT_WEIGHTS, scale=100.0, out="effort_score", suffix="_scaled")
     return df.withColumn("effort_category",
                          bucketize("effort_score", EFFORT_BOUNDS, EFFORT_LABELS, closed="right"))
 
 
+def prepare_recipes(recipes: DataFrame, *, max_minutes: float = 360) -> DataFrame:
+    """The pipeline's recipe cleaning and derived columns, in its order.
+
+    One lazy plan.  The min-max statistics of D5 are one aggregate over the
+    filtered rows (its scan reads the scaled columns and the step text only),
+    joined back as a one-row broadcast; no text is written anywhere.
+    """
+    return score_recipes(derive_recipes(recipes, max_minutes=max_minutes))
+
+
 def prepare_interactions(interactions: DataFrame) -> DataFrame:
     """C14: date coercion, rating 0 -> NULL, review length (NULL -> 0)."""
     df = interactions.withColumn("date", coerce_date(F.col("date").cast("string")))

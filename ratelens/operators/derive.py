@@ -251,12 +251,12 @@ def enrich_analysis(recipes_clean: DataFrame, metrics: DataFrame, *, as_of: str,
     """J1 -> D12 -> D13 -> C9 -> D1 -> D2 -> D7 -> D11.
 
     The join keeps only recipes that have interactions (inner, on purpose).
-    The four columns of D7 are written once to the shared folder, and their
-    quantiles read from there: a job when the plan is built, but the joined
-    rows and their texts are not computed again for each quantile pass.
+    The metrics are written once to the shared folder, and so are the four
+    columns of D7, from which their quantiles are read: jobs when the plan is
+    built, but the interactions are grouped once, and the joined rows are not computed again for each quantile pass.
     """
     from ratelens.sources.sinks import stage
-    m = metrics.withColumnRenamed("recipe_id", "_mid")
+    m = stage(metrics.withColumnRenamed("recipe_id", "_mid"), "metrics")
     df = recipes_clean.join(m, recipes_clean["id"] == m["_mid"], "inner").drop("_mid")
     df = df.withColumn("age_months", age_months("submitted", as_of))
     df = df.withColumn("interactions_per_month", rate_per_month(F.col("n_interactions"), "age_months"))

@@ -17,15 +17,22 @@ DEFAULT_AS_OF = "2000-01-01"
 
 
 def build_analysis(recipes: DataFrame, interactions: DataFrame, *, as_of: str = DEFAULT_AS_OF,
-                   max_minutes: float = 360) -> tuple[DataFrame, DataFrame, DataFrame]:
+                   max_minutes: float = 360, leave_out: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Raw recipes + interactions -> (clean recipes, kept interactions, analysis).
 
+    The filtered recipes are written once, with the columns that need no
+    statistics of the table, so each step text is parsed once; min and max,
+    the kept ids and the join with the metrics read narrow columns from there.
+    Columns in ``leave_out`` (texts that nobody reads) are not written.
+
     Shuffles: one for the semi-join (or a broadcast of the recipe keys when
-    AQE sees them small), one for the per-recipe grouping, one for the join
+    AQE sees them small), those of the per-recipe grouping, one for the join
     of recipes with their metrics; the rest are one-row aggregates.
     """
-    rc = C.prepare_recipes(recipes, max_minutes=max_minutes)
-    ic = kept_interactions(recipes, interactions, max_minutes=max_minutes)
+    from ratelens.sources.sinks import stage
+    derived = stage(C.derive_recipes(recipes, max_minutes=max_minutes).drop(*leave_out), "recipes-derived")
+    rc = C.score_recipes(derived)
+    ic = C.prepare_interactions(interactions).join(derived.select(F.col("id").alias("recipe_id")), "recipe_id", "left_semi")
     analysis = D.enrich_analysis(rc, G.recipe_metrics(ic), as_of=as_of)
     return rc, ic, analysis
 
