@@ -9,10 +9,10 @@ two sets miss each other in all 32 bands with probability 5e-8.
 A bucket proposes a star, not all pairs: each member with one centre, and the
 full sets confirm or refuse the pair.  Where a bucket then still holds several
 components, the members outside its largest one meet all members of other
-components in tiles of signatures.  Pairs that may be similar by their
-signatures hang together in clusters (a tile hands on a spanning forest of
-them, never all pairs), and within a cluster the full sets are compared in
-tiles.  So no link between two members of a bucket is lost: pairs never
+components in tiles of signatures.  A tile names the members that may be
+similar to one of another component (never the pairs), and their full sets are
+compared in tiles again, which hand on a spanning forest of links between
+components.  So no link between two members of a bucket is lost: pairs never
 compared are in one component already.  Equal sets are one node throughout.
 """
 
@@ -239,36 +239,30 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _blocks(members: DataFrame, key: str, row, block) -> DataFrame:
-    """Rows of a key in blocks, those outside the key's main component (``outside``) apart; ``blocks`` says how many there are."""
-    return (members.withColumn("block", F.pmod(F.xxhash64("node"), block)).withColumn("row", row)
-            .groupBy(key, "blocks", "block", (F.col("root") != F.col("main")).alias("outside")).agg(F.collect_list("row").alias("rows")))
+def _blocks(members: DataFrame, row) -> DataFrame:
+    """``rows`` of a bucket in ``blocks`` blocks, those outside its largest component (``outside``) apart."""
+    return (members.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("row", row)
+            .groupBy("key", "blocks", "block", (F.col("root") != F.col("main")).alias("outside")).agg(F.first("main").alias("main"), F.collect_list("row").alias("rows")))
 
 
-def _met(blocks: DataFrame, key: str) -> DataFrame:
-    """``left, right``: each block outside a main component with every block of its key, each pair in its own row."""
-    lead = blocks.where("outside").select(key, F.col("rows").alias("left"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    return lead.join(blocks.select(key, "block", F.col("rows").alias("right")), [key, "block"]).select("left", "right")
+def _met(blocks: DataFrame) -> DataFrame:
+    """``key, main, left, right``: each block outside the largest component with every block of its bucket, each pair in its own row."""
+    lead = blocks.where("outside").select("key", F.col("rows").alias("left"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    return lead.join(blocks.select("key", "block", "main", F.col("rows").alias("right")), ["key", "block"]).select("key", "main", "left", "right")
 
 
-def _mixed_groups(members: DataFrame, key: str, size, limit: int) -> DataFrame:
-    """Members (key, node, root, ...) of the keys with several roots, with ``main`` (their most frequent root) and ``blocks``."""
-    by_root = staged(members.groupBy(key, "root").agg(F.count("*").alias("n"), F.sum(size).alias("size")), "group-roots")
-    mixed = staged(by_root.groupBy(key).agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"),
-                                            F.sum("n").alias("n"), F.sum("size").alias("size")).where("roots > 1")
-                   .select(key, "main", F.ceil(F.col("size") / limit).alias("blocks"), "n"), "mixed")
-    return staged(join_hot(members, mixed.select(key, "main", "blocks"), [key], sizes=mixed.select(key, "n")), "mixed-members")
+def open_members(members: DataFrame, nodes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Members of a bucket that by sizes and signatures may be similar to one in another component: key, main, node, root, size.
 
-
-def clusters(members: DataFrame, nodes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: a forest over the pairs of a bucket in different components that may be similar by sizes and signatures.
-
-    Only members outside a bucket's largest component lead comparisons.
+    ``main`` is the bucket's largest component; only members outside it lead comparisons.
     """
-    labelled = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    dealt = _mixed_groups(labelled, "key", F.lit(1), BLOCK)
+    labelled = staged(members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled")
+    mixed = staged(labelled.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("n")).where("roots > 1")
+        .select("key", "main", F.ceil(F.col("n") / BLOCK).alias("blocks"), "n"), "mixed")
+    dealt = join_hot(labelled, mixed.select("key", "main", "blocks"), ["key"], sizes=mixed.select("key", "n"))
     row = F.struct("node", "root", F.col("n_shingles").alias("size"), "sig")
-    blocks = staged(_blocks(dealt.join(nodes.select("node", "n_shingles", "sig"), "node"), "key", row, F.col("blocks")), "bucket-blocks")
+    blocks = staged(_blocks(dealt.join(nodes.select("node", "n_shingles", "sig"), "node"), row), "bucket-blocks")
 
     def arrays(rows) -> tuple[np.ndarray, ...]:
         v = rows.values
@@ -277,8 +271,7 @@ def clusters(members: DataFrame, nodes: DataFrame, found: DataFrame, percent: in
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            out = [[np.empty(0, np.int64)], [np.empty(0, np.int64)]]
-            for p, q in zip(x["left"], x["right"]):
+            for key, main, p, q in zip(x["key"].to_pylist(), x["main"].to_pylist(), x["left"], x["right"]):
                 (n1, r1, s1, g1), (n2, r2, s2, g2) = arrays(p), arrays(q)
                 low, high = np.minimum(s1[:, None], s2[None, :]), np.maximum(s1[:, None], s2[None, :])
                 i, j = np.nonzero((r1[:, None] != r2[None, :]) & (100 * low >= percent * high))
@@ -289,42 +282,34 @@ def clusters(members: DataFrame, nodes: DataFrame, found: DataFrame, percent: in
                     for size, bins in AGREE:
                         need[low[k, m] >= size] = bins
                     like[s:s + (1 << 15)] = (g1[k] == g2[m]).sum(1) >= need
-                for side, found_ in zip(out, forest(n1, n2, i[like], j[like])):
-                    side.append(found_)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(s)) for s in out], names=["a", "b"])
-    return _met(blocks, "key").mapInArrow(released(compared), "a bigint, b bigint").distinct()
+                i, j = np.unique(i[like]), np.unique(j[like])
+                cols = [np.concatenate([a[i], b[j]]) for a, b in ((n1, n2), (r1, r2), (s1, s2))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), v, np.int64)) for v in (key, main)] + [pa.array(c) for c in cols],
+                                                 names=["key", "main", "node", "root", "size"])
+    return _met(blocks).mapInArrow(released(compared), "key bigint, main bigint, node bigint, root bigint, size bigint").distinct()
 
 
-def settle(docs: DataFrame, nodes: DataFrame, found: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links ``a, b`` that connect the nodes of each cluster of candidates as all similar pairs of them would, on full sets.
-
-    ``found`` says which nodes hang together already.
-    """
-    named = components(candidates).select("node", F.col("root").alias("cluster"))
-    labelled = staged(named.join(found, "node", "left").select("cluster", "node", F.coalesce("root", "node").alias("root"))
-                      .join(nodes.select("node", "n_shingles"), "node"), "clusters")
-    dealt = _mixed_groups(labelled, "cluster", F.col("n_shingles"), BLOCK_SHINGLES)
+def settle(docs: DataFrame, nodes: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links ``a, b`` between the roots of open members, that connect them as all similar pairs within the buckets would, on full sets."""
+    sizes = staged(members.groupBy("key").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("blocks"), F.count("*").alias("n")), "open-buckets")
+    dealt = join_hot(members, sizes.select("key", "blocks"), ["key"], sizes=sizes.select("key", "n"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(width)
         for x in batches:
-            yield pa.RecordBatch.from_arrays([x["node"], pa.array([shingles.of(t.as_py()).tobytes() for t in x["text"]], pa.large_binary())], names=["node", "set"])
-    sets = texts_of(docs, nodes, dealt.select("node")).mapInArrow(released(each), "node bigint, set binary")
-    blocks = staged(_blocks(dealt.join(sets, "node"), "cluster", F.struct("node", "root", "set"), F.col("blocks")), "cluster-blocks")
-
-    def arrays(rows) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        v = rows.values
-        return v.field("node").to_numpy(), v.field("root").to_numpy(), [np.frombuffer(s.as_py(), np.uint64) for s in v.field("set")]
+            yield pa.RecordBatch.from_arrays([x["node"], pa.array([shingles.of(t.as_py()).tobytes() for t in x["text"]], pa.binary())], names=["node", "set"])
+    sets = texts_of(docs, nodes, members.select("node").distinct()).mapInArrow(released(each), "node bigint, set binary")
+    blocks = staged(_blocks(dealt.join(sets, "node"), F.struct("root", "set")), "open-blocks")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             for p, q in zip(x["left"], x["right"]):
-                (n1, r1, s1), (n2, r2, s2) = arrays(p), arrays(q)
+                (r1, s1), (r2, s2) = ((rows.values.field("root").to_numpy(), [np.frombuffer(s.as_py(), np.uint64) for s in rows.values.field("set")]) for rows in (p, q))
                 both = overlaps(s1, s2)
                 union = np.array([len(s) for s in s1])[:, None] + np.array([len(s) for s in s2])[None, :] - both
-                left, right = forest(n1, n2, *np.nonzero((r1[:, None] != r2[None, :]) & (100 * both >= percent * union)))
+                left, right = forest(r1, r2, *np.nonzero((r1[:, None] != r2[None, :]) & (100 * both >= percent * union)))
                 yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], names=["a", "b"])
-    return _met(blocks, "cluster").mapInArrow(released(compared), "a bigint, b bigint")
+    return _met(blocks).select("left", "right").mapInArrow(released(compared), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -351,11 +336,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     star = staged(members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
     links = staged(confirm(texts, nodes, star, width, percent), "star-links")
     found = staged(components(links), "components")
-    more = settle(texts, nodes, found, staged(clusters(members, nodes, found, percent), "candidates"), width, percent)
-    roots = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    found = components(roots.unionByName(more))
+    rest = staged(open_members(members, nodes, found, percent), "open-members")
+    merged = components(staged(settle(texts, nodes, rest, width, percent), "more-links")).select(F.col("node").alias("root"), F.col("root").alias("top"))
     named = staged(nodes.select("node", F.col("doc_id").alias("least"), "n").join(found, "node", "left")
-                   .select("node", "least", "n", F.coalesce("root", "node").alias("root")), "named")
+                   .withColumn("root", F.coalesce("root", "node")).join(merged, "root", "left")
+                   .select("node", "least", "n", F.coalesce("top", "root").alias("root")), "named")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     known = staged(join_hot(named, least, ["root"]).select("node", "component_id", "n"), "known")
     out = join_hot(full.select("doc_id", "n_shingles", "text_hash", "node"), known.select("node", "component_id"), ["node"], sizes=known.select("node", "n"))

@@ -83,21 +83,21 @@ def test_chains_within_buckets(spark, monkeypatch):
     assert _got(minhash.near_duplicates(docs, 4, 80)) == want
 
 
-def test_clusters_lose_no_link(spark, monkeypatch):
-    """With one bucket for all and nothing linked yet, similar pairs share a cluster, and settling links just those."""
+def test_open_members_lose_no_link(spark, monkeypatch):
+    """With one bucket for all and nothing linked yet, members of similar pairs are open, and settling links just those."""
     monkeypatch.setattr(minhash, "BLOCK", 3)
     monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 100)
-    rows = [(i + 1, " ".join(_words(40))) for i in range(5)]
+    rows = [(i + 1, " ".join(_words(40 if i < 3 else 200))) for i in range(5)]
     rows += [(10 + i, rows[0][1] + f" tail{i}") for i in range(9)]
     docs = id_text(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text").withColumn("text_hash", text_hash(F.col("text")))
     sets = staged(minhash.signatures(docs, 4), "sets")
     members = sets.select(F.lit(1).cast("bigint").alias("key"), "node", F.lit(0).cast("bigint").alias("centre"))
     none = spark.createDataFrame([], "node bigint, root bigint")
-    near = staged(minhash.clusters(members, sets, none, 80), "near")
-    links = minhash.settle(docs, sets, none, near, 4, 80).collect()
+    near = staged(minhash.open_members(members, sets, none, 80), "near")
     doc = {r.node: r.doc_id for r in sets.collect()}
+    assert {1, *range(10, 19)} <= {doc[r.node] for r in near.collect()} <= {1, 2, 3, *range(10, 19)}
     root = {d: d for d, _ in rows}
-    for r in links:
+    for r in minhash.settle(docs, sets, near, 4, 80).collect():
         a, b = root[doc[r.a]], root[doc[r.b]]
         root = {d: (a if x == b else x) for d, x in root.items()}
     assert len({root[d] for d in [1, *range(10, 19)]}) == 1 and len(set(root.values())) == 5
