@@ -36,7 +36,7 @@ _SPLIT = regex.compile(f"[{_SPACE}]+")
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+")
 #: Chunks and words that a look-up table takes before it becomes the old one, the greatest bytes of
 #: a chunk that is kept, and characters encoded at a time.
-CHUNKS, WORDS, KEPT, SLICE = 100_000, 100_000, 64, 1 << 21
+CHUNKS, WORDS, KEPT, SLICE = 120_000, 100_000, 64, 1 << 22
 
 
 def byte_letters() -> list[str]:
@@ -257,8 +257,51 @@ class Encoder:
         words.update(zip(new, self.encode_words(new)))
         self.chunks.now.update(zip(chunks, [words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for ws in cut]))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text (little-endian unsigned 32-bit), a few texts at a time, a long text in parts."""
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        texts = texts.fill_null("")
+        # marks, and controls that Arrow and the vocabulary tell apart as white space, go the longer way
+        plain = pc.and_(pc.invert(pc.match_substring_regex(texts, "<\\||[\x1c-\x1f]")), pc.less_equal(pc.binary_length(texts), SLICE))
+        if pc.all(plain).as_py() is not False:
+            return self._columns(texts)
+        out: list[bytes] = [b""] * len(texts)
+        for held, way in ((plain, self._columns), (pc.invert(plain), lambda t: self._parts(t.to_pylist()))):
+            at = np.flatnonzero(held.to_numpy(zero_copy_only=False))
+            for i, ids in zip(at.tolist(), way(texts.filter(held))):
+                out[i] = ids
+        return out
+
+    def _columns(self, texts: pa.Array) -> list[bytes]:
+        """Texts cut, and their chunks told apart, by Arrow; only distinct chunks meet the look-up tables."""
+        out: list[bytes] = []
+        sizes = np.cumsum(np.asarray(pc.binary_length(texts), np.int64)) // SLICE
+        cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(texts)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b == a:
+                continue
+            lists = pc.utf8_split_whitespace(texts.slice(a, b - a))
+            coded = lists.flatten().dictionary_encode()
+            distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            unknown = self.chunks.missing(set(distinct))
+            unknown.discard("")
+            if unknown:
+                self._learn(unknown)
+            self.chunks.now[""] = b""
+            ids = list(map(self.chunks.now.__getitem__, distinct))
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            start = np.cumsum(size) - size
+            which = coded.indices.to_numpy()
+            count = size[which]
+            ends = np.concatenate([[0], np.cumsum(count)])
+            take = np.repeat(start[which] - ends[:-1], count) + np.arange(ends[-1])
+            raw = np.frombuffer(b"".join(ids), "<u4")[take].tobytes()
+            bound = (4 * ends[np.asarray(lists.offsets) - lists.offsets[0].as_py()]).tolist()
+            out += [raw[s:e] for s, e in zip(bound, bound[1:])]
+        return out
+
+    def _parts(self, texts: list[str]) -> list[bytes]:
         parts = [list(cut_text(t, SLICE)) for t in texts]
         ids = self._few([p for ps in parts for p in ps])
         ends = np.cumsum([len(ps) for ps in parts]).tolist()
@@ -315,7 +358,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
         merges, encoder = tree_encoder(vocabulary)
         for batch in batches:
             for b in small_batches(batch):
-                ids = encoder.encode(b["text"].to_pylist())
+                ids = encoder.encode(b["text"])
                 cols = [b["doc_id"], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
                 if decoded:
                     cols.append(pa.array([merges.decode(np.frombuffer(x, "<u4")) for x in ids], pa.string()))

@@ -12,8 +12,6 @@ written once, beside the texts they came from; only keys and lengths move.
 
 from __future__ import annotations
 
-import json
-import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.llm.bpe import Encoder, small_batches
+from ratelens.llm.bpe import Encoder, Merges, small_batches
 from ratelens.llm.common import id_text, released, staged
 
 #: Pieces in a group, so many groups at most are put together as the last one, and the gap
@@ -32,33 +30,99 @@ from ratelens.llm.common import id_text, released, staged
 GROUP, LAST, SPARE = 2048, 8, 1 / 200
 
 
+#: No rank: the pair does not merge.
+_NONE = np.iinfo(np.int32).max
+
+
+class PairRanks:
+    """Ranks of pairs of symbols in hash tables of fixed size; what collides in one goes to the next."""
+
+    def __init__(self, merges: Merges, bits: int = 18):
+        self.base, self.shift = merges.base, np.uint64(64 - bits)
+        self.tables: list[tuple[np.uint64, np.ndarray, np.ndarray]] = []
+        keys, ranks, factor = merges.keys, merges.ranks.astype(np.int32), 0x9E3779B97F4A7C15
+        while len(keys):
+            slot = self._slot(keys, np.uint64(factor))
+            first = np.unique(slot, return_index=True)[1]
+            key, rank = np.full(1 << bits, -1, np.int64), np.full(1 << bits, _NONE, np.int32)
+            key[slot[first]], rank[slot[first]] = keys[first], ranks[first]
+            self.tables.append((np.uint64(factor), key, rank))
+            left = np.ones(len(keys), bool)
+            left[first] = False
+            keys, ranks, factor = keys[left], ranks[left], (factor * 6364136223846793005 + 1442695040888963407) % (1 << 64) | 1
+
+    def _slot(self, keys: np.ndarray, factor: np.uint64) -> np.ndarray:
+        return ((keys.astype(np.uint64) * factor) >> self.shift).astype(np.int64)
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of (a, b), ``_NONE`` where they don't merge or one is missing (-1)."""
+        want = np.where((a >= 0) & (b >= 0), a * self.base + b, -2)
+        out = np.full(want.shape, _NONE, np.int32)
+        for factor, key, rank in self.tables:
+            slot = self._slot(want, factor)
+            hit = key[slot] == want
+            out[hit] = rank[slot[hit]]
+        return out
+
+
+def merge_rounds(merges: Merges, ranks: PairRanks, raw: list[bytes], width: int) -> list[bytes]:
+    """The ids of words of at most ``width`` bytes, all words at a time: each round merges the lowest pair of every word that has one."""
+    n = len(raw)
+    size, rows = np.fromiter(map(len, raw), np.int64, n), np.arange(n)
+    text, start = np.frombuffer(b"".join(raw), np.uint8), np.cumsum(size) - size
+    sym = np.full((n, width + 1), -1, np.int64)                  # a column of blanks ends every word
+    sym[np.repeat(rows, size), np.arange(len(text)) - np.repeat(start, size)] = merges.inner[text]
+    sym[rows, size - 1] = merges.last[text[start + size - 1]]
+    rank = ranks.of(sym[:, :-1], sym[:, 1:])
+    after, before = np.tile(np.arange(1, width + 2), (n, 1)), np.tile(np.arange(-1, width), (n, 1))
+    live = rows
+    while True:
+        part = rank[live]
+        p = part.argmin(1)                                        # the leftmost of the lowest
+        low = part[np.arange(len(live)), p]
+        on = low < _NONE
+        live, p, low = live[on], p[on], low[on]
+        if not len(live):
+            break
+        new, r, q = merges.merged[low], after[live, p], before[live, p]
+        s = np.minimum(after[live, r], width)
+        sym[live, p], sym[live, r] = new, -1
+        after[live, p], before[live, s] = s, p
+        right, left = np.split(ranks.of(np.concatenate([new, np.where(q >= 0, sym[live, q], -1)]), np.concatenate([sym[live, s], new])), 2)
+        gone = r < width
+        rank[live[gone], r[gone]] = _NONE
+        rank[live, p] = right
+        held = q >= 0
+        rank[live[held], q[held]] = left[held]
+    keep = sym >= 0
+    ids, ends = sym[keep].astype("<u4").tobytes(), (4 * np.cumsum(keep.sum(1))).tolist()
+    return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+
 @lru_cache(maxsize=2)
-def library_encoder(path: str) -> Encoder:
-    """The tokenizers library for words not seen before, behind bounded look-up tables; one a worker process."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-    suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix")
-    last = np.zeros(tokenizer.get_vocab_size(), bool)  # ids that end a word
-    for token, i in tokenizer.get_vocab().items():
-        last[i] = bool(suffix) and token.endswith(suffix)
+def round_encoder(path: str) -> Encoder:
+    """Words not seen before are merged many at a time, behind bounded look-up tables; one a worker process."""
+    merges = Merges(path)
+    ranks = PairRanks(merges)
 
     def words(new: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for i in range(0, len(new), 2048):
-            part = new[i:i + 2048]
-            ids = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(last[ids]) + 1 if len(ids) else ids
-            if len(ends) == len(part):
-                raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
-                out += [raw[s:e] for s, e in zip(at, at[1:])]
-            else:  # a vocabulary without word ends, or a word that the library cuts further
-                out += [np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in part]
+        raw = [w.encode("utf-8", "surrogatepass") for w in new]
+        out: list[bytes] = [b""] * len(raw)
+        groups: dict[int, list[int]] = {}
+        for i, w in enumerate(raw):
+            n = len(w)
+            if n > 2048:  # one tree beats rounds over a long word
+                out[i] = merges.encode_words([new[i]])[0]
+            elif n:
+                groups.setdefault(n if n <= 16 else -(-n // 8) * 8 if n <= 64 else 1 << (n - 1).bit_length(), []).append(i)
+        for width, members in groups.items():
+            step = max(1, (1 << 18) // width)
+            for k in range(0, len(members), step):
+                part = members[k:k + step]
+                for i, ids in zip(part, merge_rounds(merges, ranks, [raw[i] for i in part], width)):
+                    out[i] = ids
         return out
-    return Encoder(special, words)
+    return Encoder(merges.special, words)
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,12 +131,12 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_col:
     ``key`` tells rows apart in one run of the job; write the rows down before using it twice.
     """
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(vocabulary)
+        encoder = round_encoder(vocabulary)
         key, end = TaskContext.get().partitionId() << 40, np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for b in small_batches(batch):
                 rows = []
-                for doc, ids in zip(b["doc_id"].to_pylist(), encoder.encode(b["text"].to_pylist())):
+                for doc, ids in zip(b["doc_id"].to_pylist(), encoder.encode(b["text"])):
                     ids += end
                     for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at:at + 4 * capacity]
