@@ -10,10 +10,12 @@ A bucket proposes a star, not all pairs: each member with one centre, and the
 full sets confirm or refuse the pair.  Where a bucket then still holds several
 components, the members outside its largest one meet all members of other
 components in tiles of signatures.  A tile names the members that may be
-similar to one of another component (never the pairs), and their full sets are
-compared in tiles again, which hand on a spanning forest of links between
-components.  So no link between two members of a bucket is lost: pairs never
-compared are in one component already.  Equal sets are one node throughout.
+similar to one of another component (never the pairs), and a spanning forest
+over the components that they would join.  What would hang together then is a
+cluster; in each cluster the members' full sets are compared, in tiles again
+that hand on a forest of links between components.  So no link between two
+members of a bucket is lost: pairs never compared are in one component
+already.  Equal sets are one node throughout.
 """
 
 from __future__ import annotations
@@ -242,19 +244,20 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 def _blocks(members: DataFrame, row) -> DataFrame:
     """``rows`` of a bucket in ``blocks`` blocks, those outside its largest component (``outside``) apart."""
     return (members.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("row", row)
-            .groupBy("key", "blocks", "block", (F.col("root") != F.col("main")).alias("outside")).agg(F.first("main").alias("main"), F.collect_list("row").alias("rows")))
+            .groupBy("key", "blocks", "block", (F.col("root") != F.col("main")).alias("outside")).agg(F.collect_list("row").alias("rows")))
 
 
 def _met(blocks: DataFrame) -> DataFrame:
-    """``key, main, left, right``: each block outside the largest component with every block of its bucket, each pair in its own row."""
+    """``left, right``: each block outside the largest component with every block of its bucket, each pair in its own row."""
     lead = blocks.where("outside").select("key", F.col("rows").alias("left"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    return lead.join(blocks.select("key", "block", "main", F.col("rows").alias("right")), ["key", "block"]).select("key", "main", "left", "right")
+    return lead.join(blocks.select("key", "block", F.col("rows").alias("right")), ["key", "block"]).select("left", "right")
 
 
 def open_members(members: DataFrame, nodes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Members of a bucket that by sizes and signatures may be similar to one in another component: key, main, node, root, size.
+    """``a, b`` twice: nodes (and their roots) that by sizes and signatures may be similar to one in another component of a bucket,
+    and, where ``joins``, a forest over the roots that they would join.
 
-    ``main`` is the bucket's largest component; only members outside it lead comparisons.
+    Only members outside a bucket's largest component lead comparisons.
     """
     labelled = staged(members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled")
     mixed = staged(labelled.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(
@@ -271,7 +274,8 @@ def open_members(members: DataFrame, nodes: DataFrame, found: DataFrame, percent
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            for key, main, p, q in zip(x["key"].to_pylist(), x["main"].to_pylist(), x["left"], x["right"]):
+            out: list[list[np.ndarray]] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]]
+            for p, q in zip(x["left"], x["right"]):
                 (n1, r1, s1, g1), (n2, r2, s2, g2) = arrays(p), arrays(q)
                 low, high = np.minimum(s1[:, None], s2[None, :]), np.maximum(s1[:, None], s2[None, :])
                 i, j = np.nonzero((r1[:, None] != r2[None, :]) & (100 * low >= percent * high))
@@ -282,23 +286,31 @@ def open_members(members: DataFrame, nodes: DataFrame, found: DataFrame, percent
                     for size, bins in AGREE:
                         need[low[k, m] >= size] = bins
                     like[s:s + (1 << 15)] = (g1[k] == g2[m]).sum(1) >= need
-                i, j = np.unique(i[like]), np.unique(j[like])
-                cols = [np.concatenate([a[i], b[j]]) for a, b in ((n1, n2), (r1, r2), (s1, s2))]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), v, np.int64)) for v in (key, main)] + [pa.array(c) for c in cols],
-                                                 names=["key", "main", "node", "root", "size"])
-    return _met(blocks).mapInArrow(released(compared), "key bigint, main bigint, node bigint, root bigint, size bigint").distinct()
+                i, j = i[like], j[like]
+                left, right = forest(r1, r2, i, j)
+                i, j = np.unique(i), np.unique(j)
+                for side, part in zip(out, ((n1[i], n2[j], np.minimum(left, right)), (r1[i], r2[j], np.maximum(left, right)),
+                                            (np.zeros(len(i) + len(j), bool), np.ones(len(left), bool)))):
+                    side += part
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["a", "b", "joins"])
+    return _met(blocks).mapInArrow(released(compared), "a bigint, b bigint, joins boolean").distinct()
 
 
 def settle(docs: DataFrame, nodes: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links ``a, b`` between the roots of open members, that connect them as all similar pairs within the buckets would, on full sets."""
-    sizes = staged(members.groupBy("key").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("blocks"), F.count("*").alias("n")), "open-buckets")
-    dealt = join_hot(members, sizes.select("key", "blocks"), ["key"], sizes=sizes.select("key", "n"))
+    """Links ``a, b`` between the roots of open members (:func:`open_members`), that connect them as all similar pairs
+    within a cluster would, on full sets."""
+    key = components(members.where("joins").select("a", "b")).select(F.col("node").alias("root"), F.col("root").alias("key"))
+    labelled = staged(members.where("NOT joins").select(F.col("a").alias("node"), F.col("b").alias("root")).join(key, "root")
+                      .join(nodes.select("node", "n_shingles"), "node"), "clustered")
+    groups = staged(labelled.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size")).groupBy("key").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("blocks"), F.sum("n").alias("n")), "clusters")
+    dealt = join_hot(labelled, groups.select("key", "main", "blocks"), ["key"], sizes=groups.select("key", "n"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(width)
         for x in batches:
             yield pa.RecordBatch.from_arrays([x["node"], pa.array([shingles.of(t.as_py()).tobytes() for t in x["text"]], pa.binary())], names=["node", "set"])
-    sets = texts_of(docs, nodes, members.select("node").distinct()).mapInArrow(released(each), "node bigint, set binary")
+    sets = texts_of(docs, nodes, labelled.select("node")).mapInArrow(released(each), "node bigint, set binary")
     blocks = staged(_blocks(dealt.join(sets, "node"), F.struct("root", "set")), "open-blocks")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +321,7 @@ def settle(docs: DataFrame, nodes: DataFrame, members: DataFrame, width: int, pe
                 union = np.array([len(s) for s in s1])[:, None] + np.array([len(s) for s in s2])[None, :] - both
                 left, right = forest(r1, r2, *np.nonzero((r1[:, None] != r2[None, :]) & (100 * both >= percent * union)))
                 yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], names=["a", "b"])
-    return _met(blocks).select("left", "right").mapInArrow(released(compared), "a bigint, b bigint")
+    return _met(blocks).mapInArrow(released(compared), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
