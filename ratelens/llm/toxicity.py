@@ -1,19 +1,22 @@
 """Toxicity from the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-The examples are a bounded sample of labelled rows.  Their vocabulary is the
-terms that go with the label beyond chance; document counts of those terms
-come from all documents.  A document's neighbours are found exactly: blocks of
-examples carry the largest weight of each term, so the blocks are visited from
-the best bound down and the rest is skipped once it cannot reach the k-th
-best.  Neighbours vote with weights that fall with their distance, and an
-increasing map fitted on the examples, each without itself, turns votes into
-probabilities.
+The examples are a bounded sample of labelled rows.  Cosines are taken over
+whole texts: every word counts in a text's norm, those of the examples of
+either label also in the products.  A word's weight is its TF-IDF, with
+document counts from all documents, times how much it tells of the label (its
+chi-square among the examples, for or against, never below ``FLOOR``).
+A document's neighbours are found exactly: blocks of examples carry the
+largest weight of each term, so the blocks are visited from the best bound
+down and the rest is skipped once it cannot reach the k-th best.  Neighbours
+vote with weights that fall with their distance, and an increasing map fitted
+on the examples, each without itself, turns votes into probabilities.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,13 +28,13 @@ from pyspark.sql import functions as F
 from ratelens.llm.common import cut_text, id_text, released, staged, text_hash
 
 #: Labelled rows that make the index, at most; chosen by a hash of their id.
-MAX_EXAMPLES = 20_000
+MAX_EXAMPLES = 4_000
 #: Neighbours that vote and examples in a block.
 NEIGHBOURS, BLOCK = 10, 64
-#: A term goes with the label from this chi-square and number of examples on.
-LEAST_CHI2, LEAST_COUNT = 30.0, 3
-#: Exponent of the similarity in a vote, and examples' worth of the base rate mixed in.
-SHARPNESS, PRIOR = 4, 2.0
+#: Least weight of a term that tells nothing, and the chi-squares at which one begins to tell and is halfway there.
+FLOOR, BEGIN, HALF = 0.02, 4.0, 24.0
+#: Exponent of the similarity in a vote, and the base rate's weight in it.
+SHARPNESS, PRIOR = 2, 0.04
 THRESHOLD = 0.3
 _WORD = re.compile(r"\w+")
 
@@ -45,36 +48,40 @@ def terms(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges, one after the other, and how many each has."""
+    n = end - start
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
+
+
 class BlockMaxIndex:
-    """Unit vectors in blocks; for each term its postings and its largest weight in each block."""
+    """Vectors of at most unit length in blocks; a term's postings lie by block, each run with its largest weight."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms_: int | None = None):
         self.size = len(vectors)
         self.blocks = -(-self.size // BLOCK)
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for i, (ix, w) in enumerate(vectors):
-            for t, x in zip(ix.tolist(), w.tolist()):
-                lists.setdefault(t, []).append((i, x))
-        self.postings: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.tops: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for t, rows in lists.items():
-            at, w = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-            block = at // BLOCK
-            first = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
-            self.postings[t] = (at, w)
-            self.tops[t] = (block[first], np.maximum.reduceat(w, first))
+        term = np.concatenate([v[0] for v in vectors]).astype(np.int64)
+        self.at = np.repeat(np.arange(self.size, dtype=np.int32), [len(v[0]) for v in vectors])
+        self.weight = np.concatenate([v[1] for v in vectors])
+        by = np.argsort(term, kind="stable")  # by term, then example
+        term, self.at, self.weight = term[by], self.at[by], self.weight[by]
+        run = term * self.blocks + self.at // BLOCK
+        first = np.flatnonzero(np.append(np.ones(min(1, len(run)), bool), run[1:] != run[:-1]))
+        self.first = np.append(first, len(run))                      # postings of each run
+        self.block = (self.at[first] // BLOCK).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
+        n = terms_ if terms_ is not None else int(term.max(initial=-1)) + 1
+        self.runs = np.searchsorted(term[first], np.arange(n + 1))   # runs of each term
 
     def nearest(self, ix: np.ndarray, w: np.ndarray, k: int, but: int = -1) -> list[tuple[float, int]]:
-        """The ``k`` vectors of largest cosine (above 0), ties to the smaller number, ``but`` left out.
+        """The ``k`` vectors of largest product (above 0), ties to the smaller number, ``but`` left out.
 
         Blocks are visited from the best bound down, a few more each time;
         the rest is skipped once its best bound is below the k-th best score.
         """
-        terms_ = [(t, x) for t, x in zip(ix.tolist(), w.tolist()) if t in self.tops]
-        bound = np.zeros(self.blocks)
-        for t, x in terms_:
-            block, most = self.tops[t]
-            bound[block] += x * most
+        runs, n = _ranges(self.runs[ix], self.runs[ix + 1])
+        x, block = np.repeat(w, n), self.block[runs]
+        bound = np.bincount(block, x * self.most[runs], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best_at, best = np.empty(0, np.int64), np.empty(0)
@@ -83,18 +90,15 @@ class BlockMaxIndex:
             # bounds and scores are rounded sums: skip only what is clearly below
             if len(best) >= k and bound[order[start]] < best[-1] - 1e-9:
                 break
-            lo_hi = np.sort(order[start:start + width])
-            score = np.zeros((len(lo_hi), BLOCK))
-            for t, x in terms_:
-                at, weight = self.postings[t]
-                # the postings of the visited blocks alone
-                a, b = np.searchsorted(at, lo_hi * BLOCK), np.searchsorted(at, (lo_hi + 1) * BLOCK)
-                for row in np.flatnonzero(b > a).tolist():
-                    score[row, at[a[row]:b[row]] - lo_hi[row] * BLOCK] += x * weight[a[row]:b[row]]
-            row, col = np.nonzero(score > 0)
-            found = lo_hi[row] * BLOCK + col
-            best_at = np.concatenate([best_at, found[found != but]])
-            best = np.concatenate([best, np.round(score[row, col], 12)[found != but]])
+            visited = np.zeros(self.blocks, bool)
+            visited[order[start:start + width]] = True
+            held = np.flatnonzero(visited[block])
+            posts, n = _ranges(self.first[runs[held]], self.first[runs[held] + 1])
+            score = np.bincount(self.at[posts], np.repeat(x[held], n) * self.weight[posts], self.size)
+            found = np.flatnonzero(score)
+            found = found[found != but]
+            best_at = np.concatenate([best_at, found])
+            best = np.concatenate([best, np.round(score[found], 12)])
             top = np.lexsort((best_at, -best))[:k]
             best_at, best = best_at[top], best[top]
             start, width = start + width, width * 2
@@ -103,21 +107,22 @@ class BlockMaxIndex:
 
 @dataclass
 class Model:
-    """Everything a score needs; its size is bounded by the number of examples."""
+    """Everything a score needs; its size is bounded by the examples."""
     vocabulary: dict[str, int]
-    idf: np.ndarray
+    weight: np.ndarray          # idf times what the term tells
+    unknown: float              # the same for a term of no example
     index: BlockMaxIndex | None
     count: np.ndarray           # examples with each distinct vector
     toxic: np.ndarray           # toxic ones among them
     named: list[int]            # the smallest doc_id of each
-    empty: float                # rate among examples without a term
     rate: float                 # rate among all examples
     raw: np.ndarray             # knots of the increasing map
     fitted: np.ndarray
 
-    def vector(self, ix: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(tf)) * self.idf[ix]
-        return w / np.sqrt((w * w).sum())
+    def vector(self, ix: np.ndarray, tf: np.ndarray, other: float) -> np.ndarray:
+        """Weights of the known terms over the norm of the whole text; ``other`` sums the squares of the other words' counts."""
+        w = (1 + np.log(tf)) * self.weight[ix]
+        return w / np.sqrt((w * w).sum() + other * self.unknown ** 2)
 
     def vote(self, found: list[tuple[float, int]], minus: tuple[int, int] | None = None) -> float:
         """Share of toxic among the neighbours, each weighing its similarity to the power of ``SHARPNESS``."""
@@ -130,10 +135,8 @@ class Model:
             top, bottom = top + w * t, bottom + w * n
         return top / bottom
 
-    def score(self, ix: np.ndarray, tf: np.ndarray) -> tuple[float, list[tuple[float, int]]]:
-        if not len(ix) or self.index is None:
-            return self.empty, []
-        found = self.index.nearest(ix, self.vector(ix, tf), NEIGHBOURS)
+    def score(self, ix: np.ndarray, tf: np.ndarray, other: float) -> tuple[float, list[tuple[float, int]]]:
+        found = self.index.nearest(ix, self.vector(ix, tf, other), NEIGHBOURS) if len(ix) and self.index is not None else []
         return float(np.interp(self.vote(found), self.raw, self.fitted)), found
 
 
@@ -159,71 +162,80 @@ def examples(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
     return staged(present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit), "examples")
 
 
+def telling(a: np.ndarray, df: np.ndarray, pos: int, n: int) -> np.ndarray:
+    """What a term that ``a`` of ``pos`` toxic examples and ``df`` of all ``n`` hold tells of the label, either way: ``FLOOR`` to 1."""
+    if not 0 < pos < n:
+        return np.full(len(df), FLOOR)
+    base = pos / n
+    chi2 = (a - df * base) ** 2 / (df * base * (1 - base))
+    return np.clip((chi2 - BEGIN) / (chi2 - BEGIN + HALF), FLOOR, 1.0)
+
+
 def term_counts(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
-    """doc_id, text_hash, ``ix`` (terms of the vocabulary in the text, rising) and ``tf``."""
+    """doc_id, text_hash, ``ix`` (terms of the vocabulary in the text, rising), ``tf`` and ``other`` (``(1 + ln tf)**2`` summed over all other words)."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = vocabulary.get
         for b in batches:
-            ixs, tfs = [], []
+            ixs, tfs, others = [], [], []
             for t in b["text"]:
-                count: dict[int, int] = {}
+                count: Counter[str] = Counter()
                 for part in cut_text(t.as_py() or ""):
-                    for i in map(look, terms(part)):
-                        if i is not None:
-                            count[i] = count.get(i, 0) + 1
-                ix = sorted(count)
-                ixs.append(ix)
-                tfs.append([count[i] for i in ix])
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_hash"], pa.array(ixs, pa.list_(pa.int32())), pa.array(tfs, pa.list_(pa.int32()))],
-                                             names=["doc_id", "text_hash", "ix", "tf"])
+                    count.update(terms(part))
+                known = sorted((i, n) for i, n in zip(map(look, count), count.values()) if i is not None)
+                ixs.append([i for i, _ in known])
+                tfs.append([n for _, n in known])
+                others.append(sum((1 + math.log(n)) ** 2 for w, n in count.items() if w not in vocabulary))
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_hash"], pa.array(ixs, pa.list_(pa.int32())), pa.array(tfs, pa.list_(pa.int32())),
+                                              pa.array(others, pa.float64())], names=["doc_id", "text_hash", "ix", "tf", "other"])
     return docs.select("doc_id", "text", text_hash(F.col("text")).alias("text_hash")).mapInArrow(
-        released(each), "doc_id bigint, text_hash bigint, ix array<int>, tf array<int>")
+        released(each), "doc_id bigint, text_hash bigint, ix array<int>, tf array<int>, other double")
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> tuple[Model, DataFrame]:
-    """The model and the term counts of all ``docs`` (doc_id, text) that it was made from."""
+    """The model and the term counts of all ``docs`` (doc_id, text) that it was made from.
+
+    Of documents that share an id the one with the least text hash is the example.
+    """
     chosen = examples(docs, labels, limit)
     n, pos = chosen.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     base = pos / n if n else 0.0
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for d, y, t in zip(b["doc_id"], b["toxic"], b["text"]):
+            for y, t in zip(b["toxic"], b["text"]):
                 w = list(set().union(*(terms(part) for part in cut_text(t.as_py()))))
                 for k in range(0, len(w), 50_000):
                     part = w[k:k + 50_000]
                     yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([y.as_py()] * len(part), pa.int32())], names=["term", "toxic"])
     # at most ``limit`` ids, so the broadcast side is bounded by the parameter
-    sample = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    counts = sample.select("doc_id", "toxic", "text").mapInArrow(released(words), "term string, toxic int").groupBy("term").agg(
-        F.sum("toxic").alias("a"), F.count("*").alias("df"))
-    telling = []
-    if 0 < pos < n:
-        expected = F.col("df") * base
-        chi2 = F.pow(F.col("a") - expected, 2) * n / (expected * (1 - base) * (n - F.col("df") + 1e-9))
-        telling = sorted(r[0] for r in counts.where((F.col("a") > expected) & (chi2 >= LEAST_CHI2) & (F.col("df") >= LEAST_COUNT)).select("term").collect())
-    vocabulary = {t: i for i, t in enumerate(telling)}
+    sample = (docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic")
+              .agg(F.min_by("text", text_hash(F.col("text"))).alias("text")))
+    known = sample.select("toxic", "text").mapInArrow(released(words), "term string, toxic int").groupBy("term").agg(
+        F.sum("toxic").alias("a"), F.count("*").alias("df")).orderBy("term").toArrow()  # the words of ``limit`` texts at most
+    names = known["term"].to_pylist()
+    vocabulary = {t: i for i, t in enumerate(names)}
     counted = staged(term_counts(docs, vocabulary), "term-counts")
     total = counted.count()
-    df = np.zeros(max(1, len(vocabulary)))
-    for i, c in counted.select(F.explode("ix").alias("i")).groupBy("i").agg(F.count("*")).collect():  # one row a term
-        df[i] = c
-    idf = np.log((1 + total) / (1 + df)) + 1
+    df = np.zeros(len(names))
+    seen = counted.select(F.explode("ix").alias("i")).groupBy("i").agg(F.count("*").alias("n")).toArrow()  # one row a term
+    df[seen["i"].to_numpy()] = seen["n"].to_numpy()
+    tells = telling(known["a"].to_numpy().astype(float), known["df"].to_numpy().astype(float), pos, n)
+    weight = (np.log((1 + total) / (1 + df)) + 1) * tells
     distinct: dict[tuple, list] = {}
-    for r in counted.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", "ix", "tf").collect():
-        distinct.setdefault((tuple(r.ix), tuple(r.tf)), []).append((r.doc_id, r.toxic))
-    none = distinct.pop(((), ()), [])
+    own = counted.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by(F.struct("ix", "tf", "other"), "text_hash").alias("v"))
+    for r in own.select("doc_id", "toxic", "v.*").collect():
+        distinct.setdefault((tuple(r.ix), tuple(r.tf), r.other), []).append((r.doc_id, r.toxic))
     # examples with the same telling terms share blocks, so a block's largest weights say much about it
-    keys = sorted(distinct, key=lambda k: (sorted(k[0], key=lambda i: (-idf[i], i)), k[1]))
-    model = Model(vocabulary, idf, None, np.array([len(distinct[k]) for k in keys]), np.array([sum(y for _, y in distinct[k]) for k in keys]),
-                  [min(distinct[k])[0] for k in keys], (sum(y for _, y in none) + PRIOR * base) / (len(none) + PRIOR) if n else 0.0,
-                  base, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+    keys = sorted(distinct, key=lambda k: (sorted(k[0], key=lambda i: (-weight[i], i))[:8], k))
+    model = Model(vocabulary, weight, (math.log(1 + total) + 1) * FLOOR, None, np.array([len(distinct[k]) for k in keys]),
+                  np.array([sum(y for _, y in distinct[k]) for k in keys]), [min(distinct[k])[0] for k in keys], base, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
     if keys:
-        arrays = [(np.array(ix), np.array(tf)) for ix, tf in keys]
-        model.index = BlockMaxIndex([(ix, model.vector(ix, tf)) for ix, tf in arrays])
+        arrays = [(np.array(ix, np.int64), model.vector(np.array(ix, np.int64), np.array(tf, float), other)) if ix else (np.empty(0, np.int64), np.empty(0))
+                  for ix, tf, other in keys]
+        model.index = BlockMaxIndex(arrays, len(names))
         x, y = [], []
-        for i, (k, (ix, tf)) in enumerate(zip(keys, arrays)):
-            found = model.index.nearest(ix, model.vector(ix, tf), NEIGHBOURS + 1)
+        for i, (k, (ix, w)) in enumerate(zip(keys, arrays)):
+            found = model.index.nearest(ix, w, NEIGHBOURS + 1) if len(ix) else []
             for label in (0, 1):  # each example without itself
                 same = sum(t == label for _, t in distinct[k])
                 if same:
@@ -242,24 +254,23 @@ def score(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, id_col:
     examples with its vector:cosine``.  Labels (doc_id, toxic) come from rows
     whose fold is not held out; ids without a document, and labels that are
     null or neither 0 nor 1, teach nothing.  ``limit`` bounds the labelled rows that the
-    index is made of.  A text that holds no telling term - null and empty ones
-    among them - gets the rate of such examples; without labels all scores are
+    index is made of.  A text without a word of any example - null and empty ones
+    among them - has no neighbours, and its vote is the base rate; without labels all scores are
     0.  Repeated rows score alike; null ids stay null and are not held out.
     """
     model, counted = fit(id_text(docs, id_col, text_col), labels.select("doc_id", "toxic"), limit)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple, tuple[float, str]] = {}
+        known: dict[int, tuple[float, str]] = {}  # equal texts score alike
         for b in batches:
             rows = []
-            for key in zip(b["ix"].to_pylist(), b["tf"].to_pylist()):
-                key = (tuple(key[0]), tuple(key[1]))
-                if key not in known:
-                    if len(known) > 100_000:
+            for text, ix, tf, other in zip(b["text_hash"].to_pylist(), b["ix"], b["tf"], b["other"].to_pylist()):
+                if text not in known:
+                    if len(known) > 20_000:
                         known.clear()
-                    s, found = model.score(np.array(key[0], int), np.array(key[1], int))
-                    known[key] = (s, ",".join(f"{model.named[i]}:{model.toxic[i]}/{model.count[i]}:{c:.4f}" for c, i in found[:3]))
-                rows.append(known[key])
+                    s, found = model.score(ix.values.to_numpy().astype(np.int64), tf.values.to_numpy().astype(float), other)
+                    known[text] = (s, ",".join(f"{model.named[i]}:{model.toxic[i]}/{model.count[i]}:{c:.4f}" for c, i in found[:3]))
+                rows.append(known[text])
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], b["text_hash"], pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.string())],
                 names=["doc_id", "text_hash", "score", "evidence"])

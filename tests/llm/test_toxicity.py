@@ -1,7 +1,10 @@
 """The block-max index against all cosines, the fold, held-out accuracy, and the pipeline's stages."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -45,6 +48,67 @@ def test_index_is_exact():
         assert [round(s, 9) for s, _ in got] == [round(s, 9) for s, _ in want]
 
 
+def _brute(docs, labels):
+    """Scores of (id, text) by definition: every weight, every cosine, all votes; the increasing map is the module's own."""
+    label = {i: y for i, y in labels if i is not None and zlib.crc32(str(i).encode()) % 4 != 2}
+    counts = [Counter(re.findall(r"\w+", t.lower())) for _, t in docs]
+    train = [k for k, (i, _) in enumerate(docs) if i in label]
+    y = {k: label[docs[k][0]] for k in train}
+    n, pos = len(train), sum(y.values())
+    base = pos / n
+    df = Counter(w for c in counts for w in c)
+    of, toxic = Counter(w for k in train for w in counts[k]), Counter(w for k in train if y[k] for w in counts[k])
+
+    def weight(w):
+        if w not in of:
+            return (math.log(1 + len(docs)) + 1) * 0.02
+        chi2 = (toxic[w] - of[w] * base) ** 2 / (of[w] * base * (1 - base))
+        return (math.log((1 + len(docs)) / (1 + df[w])) + 1) * min(1.0, max(0.02, (chi2 - 4) / (chi2 + 20)))
+    vectors = []
+    for c in counts:
+        v = {w: (1 + math.log(k)) * weight(w) for w, k in c.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        vectors.append({w: x / norm for w, x in v.items()})
+
+    def vote(k, but=None):
+        near = sorted(((sum(x * vectors[e].get(w, 0.0) for w, x in vectors[k].items()), e) for e in train if e != but), reverse=True)[:10]
+        near = [(s, e) for s, e in near if s > 0]
+        return (0.04 * base + sum(s * s * y[e] for s, e in near)) / (0.04 + sum(s * s for s, _ in near))
+    raw, fitted = toxicity.increasing(np.array([vote(e, e) for e in train]), np.array([float(y[e]) for e in train]))
+    return {docs[k][0]: float(np.interp(vote(k), raw, fitted)) for k in range(len(docs))}
+
+
+def test_scores_by_brute_force(spark):
+    docs, labels = _corpus(spark, 200)
+    want = _brute([(r.doc_id, r.text) for r in docs.collect()], [(r.doc_id, r.toxic) for r in labels.collect()])
+    got = {r.doc_id: r.score for r in toxicity.score(docs, labels).collect()}
+    # votes lie close together where the map is steep
+    assert got.keys() == want.keys() and sum(abs(got[i] - want[i]) < 1e-6 for i in want) >= 0.98 * len(want)
+
+
+def test_one_bad_word_in_a_long_clean_text(spark):
+    """The norm covers the whole text, and clean words have a say: the long text is not the short insult."""
+    docs, labels = _corpus(spark, 400)
+    held = [i for i in range(1000, 1040) if zlib.crc32(str(i).encode()) % 4 != 2]
+    long = " ".join(f"w{RNG.randint(0, 400)}" for _ in range(5000)) + " vermin"
+    more = spark.createDataFrame([(held[0], "what a vermin", "en", "s", 0), (held[1], long, "en", "s", 0)], docs.schema)
+    by = {r.doc_id: r for r in toxicity.score(docs.unionByName(more), labels).collect()}
+    assert by[held[0]].predicted == 1 and by[held[1]].score < by[held[0]].score
+    cosine = [float(by[i].evidence.split(",")[0].rsplit(":", 1)[1]) for i in held[:2]]
+    assert cosine[1] < cosine[0]
+
+
+def test_rows_that_share_an_id(spark):
+    """The text of least hash teaches; both are scored, alike in every order of the rows."""
+    docs, labels = _corpus(spark, 100)
+    twin = docs.where("doc_id < 40").selectExpr("doc_id", "concat(text, ' twin') AS text", "lang", "source", "n_chars")
+    both = docs.unionByName(twin)
+    one = sorted((r.doc_id, r.text_hash, r.score) for r in toxicity.score(both, labels).collect())
+    two = sorted((r.doc_id, r.text_hash, r.score) for r in toxicity.score(both.repartition(7).orderBy("text"), labels).collect())
+    assert len(one) == 140 and [r[:2] for r in one] == [r[:2] for r in two]
+    assert np.allclose([r[2] for r in one], [r[2] for r in two])
+
+
 def test_held_out_accuracy_and_fold(spark):
     docs, labels = _corpus(spark)
     truth = {r.doc_id: r.toxic for r in labels.collect()}
