@@ -1,17 +1,16 @@
-"""Substring dedup with prefix-partitioned suffix trees over words.
-
-Every window start is a suffix, cut at ``min_words`` words.  Its prefix is of
-variable length: it reaches up to and with the anchor, the smallest-hashed run
-of ``ANCHOR`` words in the window, so equal windows have equal prefixes, and
-neighbouring suffixes share one anchor and travel as one slice of text.  The
-prefixes deal the suffixes to groups of bounded size; prefixes that very many
-chunks share are lengthened by the rest of the window.  In a group the suffixes
-are inserted in text order (document, place) into a tree that is kept down to
-depth ``min_words``: a suffix that ends in a node already there repeats an
-earlier one.  Such deep nodes that follow on each other are a maximal repeat,
-whose later occurrences are removed.
-
-Before that, two steps keep suffixes at home that need no tree: anchors seen
+"""Substring dedup by exact windows of words, dealt to groups by their smallest-hashed run.
+
+Every start of a window of ``min_words`` words is looked at.  Its group is its
+anchor, the smallest-hashed run of ``ANCHOR`` words in the window, so equal
+windows meet, and neighbouring windows share one anchor and travel as one
+slice of text.  Groups that very many chunks share are split by a hash of the
+whole window.  In a group the windows are taken in text order (document,
+place) into a set of exact word sequences: one that is there already repeats
+an earlier one.  This set stands in for a suffix tree cut at depth
+``min_words``, of which no deeper nodes would be asked for; maximal repeats
+are not listed, what is removed is the union of the covered words.
+
+Before that, two steps keep windows at home that need no group: anchors seen
 in one chunk of documents only, and windows that repeat inside their chunk,
 of which only the first is sent.  Hashes choose anchors and propose; equality
 is always that of the words.

@@ -1,12 +1,15 @@
-"""Exact top-k by inner product, with sorted lists read in step and no random access.
-
-Each block of candidates keeps one sorted list a dimension; a query reads them
-from the end that its sign prefers, all to the same depth.  What has been read
-gives each candidate a lower bound (unread parts at the list's worst value)
-and an upper bound (unread parts at the value last read).  Reading stops for a
-candidate whose upper bound is below the k-th best lower bound; those that are
-left get their final scores.  Bounds of all queries of a block come from
-matrix products, so a step of reading is a few products, not a loop.
+"""Exact top-k by inner product, with bounds from the sorted values of each dimension.
+
+Each block of candidates keeps the sorted values of a dimension; at three
+depths (50, 75 and 90 percent) the value there, from the end that a query's
+sign prefers, stands for what lies beyond.  That gives each candidate a lower
+bound (parts beyond the depth at the worst value) and an upper bound (at the
+depth's value).  A candidate whose upper bound is below the k-th best lower
+bound is out; those that are left get their final scores.  Bounds of all
+queries of a block come from matrix products over the whole candidate matrix,
+so a depth reads every component, in order of rows: the lists hold values
+without ids, are looked up and not read in step, and only the final scoring is
+saved.
 """
 
 from __future__ import annotations
