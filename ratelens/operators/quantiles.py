@@ -74,40 +74,42 @@ def _bucket_of(x: Column, bounds: Sequence[float]) -> Column:
 
 
 def value_offsets(df: DataFrame, x: str, by: Sequence[str] = (), buckets: int | None = None,
-                  weight: str | None = None) -> DataFrame:
+                  weight: str | None = None, more: Sequence[str] = ()) -> DataFrame:
     """Distinct non-NULL values with their multiplicity and position.
 
     Returns ``by..., x, n, before, total``: ``before`` = rows of the group with
     a smaller value, ``total`` = non-NULL rows of the group.  With ``weight``
-    each input row stands for that many rows (pre-aggregated input).
+    each input row stands for that many rows (pre-aggregated input); every
+    column in ``more`` is a further such weight ``w``, placed along the same
+    order as ``n_w, before_w, total_w``.
     """
     by = list(by)
     cnt = F.sum(F.col(weight)).cast("long") if weight else F.count(F.lit(1))
-    src = df.select(*by, F.col(x).cast("double").alias(x), *([weight] if weight else []))
-    dc = src.where(F.col(x).isNotNull()).groupBy(*by, x).agg(cnt.alias("n"))
+    src = df.select(*by, F.col(x).cast("double").alias(x), *([weight] if weight else []), *more)
+    dc = src.where(F.col(x).isNotNull()).groupBy(*by, x).agg(cnt.alias("n"), *[F.sum(w).cast("long").alias(f"n_{w}") for w in more])
+    ends = ["", *[f"_{w}" for w in more]]
     if buckets is None:
         est = _estimate_distinct(df, x)
         buckets = 1 if est <= ROWS_PER_BUCKET else min(MAX_BUCKETS, math.ceil(est / ROWS_PER_BUCKET))
     if buckets <= 1:
-        w_local = Window.partitionBy(*by).orderBy(x)
-        out = dc.withColumn("before", F.coalesce(
-            F.sum("n").over(w_local.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        return out.withColumn("total", F.sum("n").over(Window.partitionBy(*by)))
+        w_local = Window.partitionBy(*by).orderBy(x).rowsBetween(Window.unboundedPreceding, -1)
+        return dc.select("*", *[F.coalesce(F.sum(f"n{e}").over(w_local), F.lit(0)).alias(f"before{e}") for e in ends],
+                         *[F.sum(f"n{e}").over(Window.partitionBy(*by)).alias(f"total{e}") for e in ends])
     probs = [i / buckets for i in range(1, buckets)]
     # bucket bounds: a bounded array (< MAX_BUCKETS values) fixed once as a literal
     bounds = dc.agg(F.percentile_approx(x, probs, 10 * buckets)).first()[0] or []
     b = dc.withColumn("_b", _bucket_of(F.col(x), sorted(bounds)))
     w_local = Window.partitionBy(*by, "_b").orderBy(x).rowsBetween(Window.unboundedPreceding, -1)
-    b = b.withColumn("_before", F.coalesce(F.sum("n").over(w_local), F.lit(0)))
-    totals = b.groupBy(*by, "_b").agg(F.sum("n").alias("_bt"))
+    b = b.select("*", *[F.coalesce(F.sum(f"n{e}").over(w_local), F.lit(0)).alias(f"_before{e}") for e in ends])
+    totals = b.groupBy(*by, "_b").agg(*[F.sum(f"n{e}").alias(f"_bt{e}") for e in ends])
     w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (totals.withColumn("_off", F.coalesce(F.sum("_bt").over(w_off), F.lit(0)))
-                  .withColumn("total", F.sum("_bt").over(Window.partitionBy(*by)))
-                  .select(*by, "_b", "_off", "total"))
+    offs = totals.select(*by, "_b", *[F.coalesce(F.sum(f"_bt{e}").over(w_off), F.lit(0)).alias(f"_off{e}") for e in ends],
+                         *[F.sum(f"_bt{e}").over(Window.partitionBy(*by)).alias(f"total{e}") for e in ends])
     if not by:
         offs = F.broadcast(offs)  # at most MAX_BUCKETS rows
     out = b.join(offs, [*by, "_b"], "inner")
-    return out.select(*by, x, "n", (F.col("_off") + F.col("_before")).alias("before"), "total")
+    return out.select(*by, x, *[f"n{e}" for e in ends], *[(F.col(f"_off{e}") + F.col(f"_before{e}")).alias(f"before{e}") for e in ends],
+                      *[f"total{e}" for e in ends])
 
 
 def quantiles(df: DataFrame, x: str, probs: Sequence[float], by: Sequence[str] = (),

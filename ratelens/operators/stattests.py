@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratelens.functions.expr import nan_to_null
 from ratelens.functions.pvalues import chi2_sf_col, f_sf_col, pearson_p_col
 from ratelens.operators.quantiles import value_offsets
 
@@ -85,28 +86,29 @@ def pearson_grid(df: DataFrame, effort_vars: Sequence[str] = DEFAULT_EFFORT_VARS
     return out
 
 
-def _pairs_long(df: DataFrame, pairs: Sequence[tuple[str, str, str, str]]) -> DataFrame:
-    """Complete (x, y) rows of every pair, collapsed to (pair, x, y, w)."""
-    parts = []
-    for k, (_, _, xc, yc) in enumerate(pairs):
-        if xc in df.columns and yc in df.columns:
-            parts.append(f"{k}, CAST(`{xc}` AS DOUBLE), CAST(`{yc}` AS DOUBLE)")
-    if not parts:
-        return None
-    long = df.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) as (pair, x, y)")
-    long = long.where(F.col("x").isNotNull() & F.col("y").isNotNull() &
-                      ~F.isnan("x") & ~F.isnan("y"))
-    return long.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("w"))
-
-
-def _weighted_offsets(w: DataFrame, v: str) -> DataFrame:
-    """Average rank of ``v`` within each pair, from weighted (pair, v) rows."""
-    per = w.groupBy("pair", v).agg(F.sum("w").alias("_c"))
-    # expand weights into the rank table: ranks count rows, not distinct tuples
-    vo = value_offsets(per.select("pair", v, "_c"), v, by=["pair"], weight="_c")
-    return vo.select("pair", F.col(v).alias(f"_{v}v"),
-                     (F.col("before") + (F.col("n") + 1) / 2.0).alias(f"r{v}"),
-                     F.col("total").alias(f"_N{v}"))
+def _partner_ranks(rows: DataFrame, xs: Sequence[str], ys: Sequence[str]) -> DataFrame:
+    """``col, value, ranks, means``: for each value of a column its average rank, and the mean rank, among the rows in which
+    each partner column is there (the others of the grid, in their order).
+
+    Each row brings one value a column, and those collapse map-side to counts
+    of (column, value, which columns the row holds).
+    """
+    names = [*xs, *ys]
+    held = sum((F.when(F.col(f"`{c}`").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(names)), F.lit(0))
+    parts = ", ".join(f"{i}, `{c}`" for i, c in enumerate(names))
+    per = rows.withColumn("_held", held).selectExpr("_held", f"stack({len(names)}, {parts}) as (col, value)") \
+        .where("value IS NOT NULL").groupBy("col", "value", "_held").agg(F.count(F.lit(1)).alias("c"))
+    # partner p of an effort column is popularity column p, and the other way round
+    partners = max(len(xs), len(ys))
+
+    def there(p: int):
+        mine = F.col("col") < len(xs)
+        bit = F.when(mine & F.lit(p < len(ys)), F.lit(1 << (len(xs) + min(p, len(ys) - 1)))).when(~mine & F.lit(p < len(xs)), F.lit(1 << min(p, len(xs) - 1)))
+        return F.when(F.col("_held").bitwiseAND(bit) > 0, F.col("c")).otherwise(F.lit(0))
+    weights = [f"w{p}" for p in range(partners)]
+    vo = value_offsets(per.select("col", "value", "c", *[there(p).alias(w) for p, w in enumerate(weights)]), "value", by=["col"], weight="c", more=weights)
+    return vo.select("col", "value", F.array(*[F.col(f"before_{w}") + (F.col(f"n_{w}") + 1) / 2.0 for w in weights]).alias("ranks"),
+                     F.array(*[(F.col(f"total_{w}") + 1) / 2.0 for w in weights]).alias("means"))
 
 
 def spearman_grid(df: DataFrame, effort_vars: Sequence[str] = DEFAULT_EFFORT_VARS,
@@ -114,40 +116,39 @@ def spearman_grid(df: DataFrame, effort_vars: Sequence[str] = DEFAULT_EFFORT_VAR
                   with_p: bool = True) -> DataFrame:
     """Spearman rho (average ranks within each pair's complete rows), p, n.
 
-    Rows collapse to (pair, x, y, count); ranks come from per-pair value
-    tables; rho is the weighted Pearson of centred ranks from five sums.
+    Values are ranked once a column, with one rank for each partner column (a
+    row without the partner's value counts for the others only); each row
+    looks its ranks up, and one aggregate holds all pairs.
     """
-    spark = df.sparkSession
-    rows = [(e, p, e, p) for e in effort_vars for p in popularity_vars]
-    frame = spark.createDataFrame([(k, e, p) for k, (e, p, _, _) in enumerate(rows)],
-                                  "pair int, effort string, popularity string")
-    w = _pairs_long(df, rows)
-    if w is None:
-        res = frame.select("effort", "popularity", F.lit(None).cast("double").alias("coef"),
-                           F.lit(None).cast("long").alias("n"))
+    xs = [c for c in effort_vars if c in df.columns]
+    ys = [c for c in popularity_vars if c in df.columns]
+    parts = []
+    if not xs or not ys:
+        row = df.sparkSession.range(1)
     else:
-        rx, ry = _weighted_offsets(w, "x"), _weighted_offsets(w, "y")
-        rx = rx.withColumnRenamed("pair", "_px")
-        ry = ry.withColumnRenamed("pair", "_py")
-        j = (w.join(rx, (F.col("pair") == F.col("_px")) & (F.col("x") == F.col("_xv")))
-              .join(ry, (F.col("pair") == F.col("_py")) & (F.col("y") == F.col("_yv"))))
-        c = (F.col("_Nx") + 1) / 2.0
-        dx, dy = F.col("rx") - c, F.col("ry") - c
-        s = j.groupBy("pair").agg(
-            F.sum(F.col("w") * dx * dy).alias("_sxy"), F.sum(F.col("w") * dx * dx).alias("_sxx"),
-            F.sum(F.col("w") * dy * dy).alias("_syy"), F.sum("w").alias("n"))
-        s = s.select("pair", "n", F.when((F.col("n") >= 3) & (F.col("_sxx") > 0) & (F.col("_syy") > 0),
-                                         F.col("_sxy") / F.sqrt(F.col("_sxx") * F.col("_syy")))
-                     .alias("coef"))
-        res = frame.join(s, "pair", "left").select(
-            "effort", "popularity", "coef",
-            F.coalesce(F.col("n"), F.lit(0).cast("long")).alias("n"), "pair")
-        # absent columns: NULL n, as in the reference (the whole cell stays empty)
-        missing = [k for k, (_, _, xc, yc) in enumerate(rows)
-                   if xc not in df.columns or yc not in df.columns]
-        if missing:
-            res = res.withColumn("n", F.when(F.col("pair").isin(missing), F.lit(None)).otherwise(F.col("n")))
-        res = res.drop("pair")
+        names = list(dict.fromkeys([*xs, *ys]))
+        rows = df.select(*[nan_to_null(F.col(f"`{c}`").cast("double")).alias(c) for c in names])
+        ranks = _partner_ranks(rows, xs, ys)
+        for i, c in enumerate([*xs, *ys]):
+            own = ranks.where(F.col("col") == i).select(F.col("value").alias(f"_v{i}"), F.col("ranks").alias(f"_r{i}"), F.col("means").alias(f"_m{i}"))
+            rows = rows.join(own, F.col(f"`{c}`") == F.col(f"_v{i}"), "left")
+        aggs = []
+        for i in range(len(xs)):
+            for j in range(len(ys)):
+                y = len(xs) + j
+                dx, dy = F.get(f"_r{i}", F.lit(j)) - F.get(f"_m{i}", F.lit(j)), F.get(f"_r{y}", F.lit(i)) - F.get(f"_m{y}", F.lit(i))
+                both = F.col(f"_v{i}").isNotNull() & F.col(f"_v{y}").isNotNull()
+                aggs += [F.sum(F.when(both, v)).alias(f"_{n}{i}_{j}") for n, v in (("xy", dx * dy), ("xx", dx * dx), ("yy", dy * dy))] + [
+                    F.count_if(both).alias(f"_n{i}_{j}")]
+        row = rows.agg(*aggs)
+    for e in effort_vars:
+        for p in popularity_vars:
+            if e in xs and p in ys:
+                k = f"{xs.index(e)}_{ys.index(p)}"
+                parts.append(f"'{e}', '{p}', CASE WHEN _n{k} >= 3 AND _xx{k} > 0 AND _yy{k} > 0 THEN _xy{k} / sqrt(_xx{k} * _yy{k}) END, _n{k}")
+            else:  # absent columns: NULL n, as in the reference (the whole cell stays empty)
+                parts.append(f"'{e}', '{p}', CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT)")
+    res = row.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) as (effort, popularity, coef, n)")
     if with_p:
         res = res.withColumn("p_value", pearson_p_col(F.col("coef"), F.col("n")))
     return res
