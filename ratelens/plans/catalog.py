@@ -1558,14 +1558,14 @@ E7_SPEC = ("id:i, category_minutes_balanced:s, steps_complexity:s, n_ingredients
 
 
 def _e7_sql() -> str:
-    from ratelens.operators.clean import EFFORT_BOUNDS, EFFORT_LABELS
-    from ratelens.plans.pipelines import INGR_TERCILES, MINUTES_TERCILES, WORDS_TERCILES
+    # fixed values, not taken from the operators that they check
+    minutes, words, ingredients = ("Rapide", "Moyenne", "Longue"), ("Simple", "Moyennement complexe", "Complexe"), ("Petit", "Moyen", "Grand")
 
     def terc(x, labels, src):
         return (f"CASE WHEN {x} < (SELECT quantile_cont({x}, 0.33) FROM {src}) THEN '{labels[0]}' "
                 f"WHEN {x} < (SELECT quantile_cont({x}, 0.67) FROM {src}) THEN '{labels[1]}' ELSE '{labels[2]}' END")
     s1 = ("(SELECT * FROM raw_r WHERE minutes > 0 AND minutes <= 1440 AND minutes <= 360)")
-    s2 = (f"(SELECT *, {terc('minutes', MINUTES_TERCILES, s1)} AS category_minutes_balanced FROM {s1} a "
+    s2 = (f"(SELECT *, {terc('minutes', minutes, s1)} AS category_minutes_balanced FROM {s1} a "
           f"WHERE n_steps IS NULL OR n_steps <> 0)")
     s3 = (f"(SELECT *, {O.avg_words_sql(O.list_sql('steps'), False)} AS avg_words_per_step, "
           f"ln(CAST(minutes AS DOUBLE)) AS log_minutes, CASE WHEN n_ingredients IS NOT NULL THEN "
@@ -1577,11 +1577,11 @@ def _e7_sql() -> str:
           for c in ("log_minutes", "n_steps", "avg_words_per_step", "log_n_ingredients")}
     score = (f"(0.3::DOUBLE * {sc['log_minutes']} + 0.25::DOUBLE * {sc['n_steps']} + 0.2::DOUBLE * "
              f"{sc['avg_words_per_step']} + 0.25::DOUBLE * {sc['log_n_ingredients']}) * 100.0::DOUBLE")
-    s4 = (f"(SELECT *, {terc('avg_words_per_step', WORDS_TERCILES, s3)} AS steps_complexity, "
-          f"{terc('n_ingredients', INGR_TERCILES, s3)} AS n_ingredients_category, {score} AS effort_score "
+    s4 = (f"(SELECT *, {terc('avg_words_per_step', words, s3)} AS steps_complexity, "
+          f"{terc('n_ingredients', ingredients, s3)} AS n_ingredients_category, {score} AS effort_score "
           f"FROM {s3} c, (SELECT {mm} FROM {s3} d) m)")
     return (f"SELECT {_cols(E7_SPEC).replace(chr(34) + 'effort_category' + chr(34), '')}"
-            f"{O.bucket_sql_esc('effort_score', EFFORT_BOUNDS, EFFORT_LABELS)} AS effort_category FROM {s4} e")
+            f"{O.bucket_sql_esc('effort_score', O.EFFORT_BOUNDS, O.EFFORT_LABELS)} AS effort_category FROM {s4} e")
 
 
 @register("e7_effort_study", E7_SPEC, _e7_sql(), ("raw_r",))

@@ -130,9 +130,14 @@ def bucket_sql_esc(x: str, bounds, labels, closed: str = "right") -> str:
     return f"CASE {' '.join(parts)} ELSE '{_esc(labels[-1])}' END"
 
 
+# fixed values, written out here so that the twins do not take them from the operators they check
+STEPS_BOUNDS, STEPS_LABELS = (5, 10, 20), ("Simple", "Modéré", "Complexe", "Très complexe")
+WORDS_BOUNDS, WORDS_LABELS = (10, 20), ("Étapes courtes", "Étapes moyennes", "Étapes longues")
+INGR_BOUNDS, INGR_LABELS = (5, 10), ("Peu d'ingrédients", "Ingrédients modérés", "Beaucoup d'ingrédients")
+EFFORT_BOUNDS, EFFORT_LABELS = (15, 20, 25, 30), ("Très Facile", "Facile", "Modéré", "Difficile", "Très Difficile")
+
+
 def _recipes_clean() -> str:
-    from ratelens.operators.clean import (EFFORT_BOUNDS, EFFORT_LABELS, INGR_BOUNDS, INGR_LABELS,
-                                          STEPS_BOUNDS, STEPS_LABELS, WORDS_BOUNDS, WORDS_LABELS)
     return f"""
 rc0 AS (
   SELECT * REPLACE (CASE WHEN minutes <> 0 THEN minutes END AS minutes) FROM raw_r
