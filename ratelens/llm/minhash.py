@@ -248,9 +248,12 @@ def _blocks(members: DataFrame, row) -> DataFrame:
 
 
 def _met(blocks: DataFrame) -> DataFrame:
-    """``left, right``: each block outside the largest component with every block of its bucket, each pair in its own row."""
+    """``left, right``: each block outside the largest component with every block of its bucket, each pair in its own row.
+
+    ``both`` says that right lies outside too, so that the pair comes the other way round as well.
+    """
     lead = blocks.where("outside").select("key", F.col("rows").alias("left"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    return lead.join(blocks.select("key", "block", F.col("rows").alias("right")), ["key", "block"]).select("left", "right")
+    return lead.join(blocks.select("key", "block", F.col("rows").alias("right"), F.col("outside").alias("both")), ["key", "block"]).select("left", "right", "both")
 
 
 def open_members(members: DataFrame, nodes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
@@ -274,8 +277,8 @@ def open_members(members: DataFrame, nodes: DataFrame, found: DataFrame, percent
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            out: list[list[np.ndarray]] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]]
-            for p, q in zip(x["left"], x["right"]):
+            named, edges = ([[np.empty(0, np.int64)], [np.empty(0, np.int64)]] for _ in range(2))
+            for p, q, both in zip(x["left"], x["right"], x["both"].to_pylist()):
                 (n1, r1, s1, g1), (n2, r2, s2, g2) = arrays(p), arrays(q)
                 low, high = np.minimum(s1[:, None], s2[None, :]), np.maximum(s1[:, None], s2[None, :])
                 i, j = np.nonzero((r1[:, None] != r2[None, :]) & (100 * low >= percent * high))
@@ -287,12 +290,18 @@ def open_members(members: DataFrame, nodes: DataFrame, found: DataFrame, percent
                         need[low[k, m] >= size] = bins
                     like[s:s + (1 << 15)] = (g1[k] == g2[m]).sum(1) >= need
                 i, j = i[like], j[like]
-                left, right = forest(r1, r2, i, j)
-                i, j = np.unique(i), np.unique(j)
-                for side, part in zip(out, ((n1[i], n2[j], np.minimum(left, right)), (r1[i], r2[j], np.maximum(left, right)),
-                                            (np.zeros(len(i) + len(j), bool), np.ones(len(left), bool)))):
-                    side += part
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["a", "b", "joins"])
+                for side, part in zip(edges, forest(r1, r2, i, j)):
+                    side.append(part)
+                # where both lie outside, left is named when the pair comes the other way round
+                i, j = np.unique(i[:0] if both else i), np.unique(j)
+                named[0] += [n1[i], n2[j]]
+                named[1] += [r1[i], r2[j]]
+            node, first = np.unique(np.concatenate(named[0]), return_index=True)
+            left, right = (np.concatenate(e) for e in edges)
+            left, right = forest(left, right, np.arange(len(left)), np.arange(len(left)))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([node, np.minimum(left, right)])), pa.array(np.concatenate([np.concatenate(named[1])[first], np.maximum(left, right)])),
+                pa.array(np.arange(len(node) + len(left)) >= len(node))], names=["a", "b", "joins"])
     return _met(blocks).mapInArrow(released(compared), "a bigint, b bigint, joins boolean").distinct()
 
 
@@ -321,7 +330,7 @@ def settle(docs: DataFrame, nodes: DataFrame, members: DataFrame, width: int, pe
                 union = np.array([len(s) for s in s1])[:, None] + np.array([len(s) for s in s2])[None, :] - both
                 left, right = forest(r1, r2, *np.nonzero((r1[:, None] != r2[None, :]) & (100 * both >= percent * union)))
                 yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], names=["a", "b"])
-    return _met(blocks).mapInArrow(released(compared), "a bigint, b bigint")
+    return _met(blocks).select("left", "right").mapInArrow(released(compared), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
