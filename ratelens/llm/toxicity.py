@@ -31,6 +31,8 @@ from ratelens.llm.common import cut_text, id_text, released, staged, text_hash
 MAX_EXAMPLES = 4_000
 #: Neighbours that vote and examples in a block.
 NEIGHBOURS, BLOCK = 10, 64
+#: Terms of more than one example in so many are kept as rows.
+COMMON = 40
 #: Least weight of a term that tells nothing, and the chi-squares at which one begins to tell and is halfway there.
 FLOOR, BEGIN, HALF = 0.02, 4.0, 24.0
 #: Exponent of the similarity in a vote, and the base rate's weight in it.
@@ -55,22 +57,33 @@ def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class BlockMaxIndex:
-    """Vectors of at most unit length in blocks; a term's postings lie by block, each run with its largest weight."""
+    """Vectors of at most unit length in blocks; a term's postings lie by block, each run with its largest weight.
+
+    Terms of more than one vector in ``COMMON`` are rows of a matrix instead (fewer than ``COMMON`` times the
+    terms of a vector): their part of all products is a few rows added up, and it enters the bounds as it is.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms_: int | None = None):
         self.size = len(vectors)
         self.blocks = -(-self.size // BLOCK)
         term = np.concatenate([v[0] for v in vectors]).astype(np.int64)
-        self.at = np.repeat(np.arange(self.size, dtype=np.int32), [len(v[0]) for v in vectors])
-        self.weight = np.concatenate([v[1] for v in vectors])
+        at = np.repeat(np.arange(self.size, dtype=np.int32), [len(v[0]) for v in vectors])
+        weight = np.concatenate([v[1] for v in vectors])
+        n = terms_ if terms_ is not None else int(term.max(initial=-1)) + 1
+        often = np.flatnonzero(np.bincount(term, minlength=n) * COMMON > self.size)
+        self.row = np.full(n, -1, np.int64)
+        self.row[often] = np.arange(len(often))
+        self.rows = np.zeros((len(often), self.blocks * BLOCK))
+        held = self.row[term] >= 0
+        self.rows[self.row[term[held]], at[held]] = weight[held]
+        term, at, weight = term[~held], at[~held], weight[~held]
         by = np.argsort(term, kind="stable")  # by term, then example
-        term, self.at, self.weight = term[by], self.at[by], self.weight[by]
+        term, self.at, self.weight = term[by], at[by], weight[by]
         run = term * self.blocks + self.at // BLOCK
         first = np.flatnonzero(np.append(np.ones(min(1, len(run)), bool), run[1:] != run[:-1]))
         self.first = np.append(first, len(run))                      # postings of each run
         self.block = (self.at[first] // BLOCK).astype(np.int32)
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
-        n = terms_ if terms_ is not None else int(term.max(initial=-1)) + 1
         self.runs = np.searchsorted(term[first], np.arange(n + 1))   # runs of each term
 
     def nearest(self, ix: np.ndarray, w: np.ndarray, k: int, but: int = -1) -> list[tuple[float, int]]:
@@ -79,9 +92,12 @@ class BlockMaxIndex:
         Blocks are visited from the best bound down, a few more each time;
         the rest is skipped once its best bound is below the k-th best score.
         """
+        row = self.row[ix]
+        common = w[row >= 0] @ self.rows[row[row >= 0]]
+        ix, w = ix[row < 0], w[row < 0]
         runs, n = _ranges(self.runs[ix], self.runs[ix + 1])
         x, block = np.repeat(w, n), self.block[runs]
-        bound = np.bincount(block, x * self.most[runs], self.blocks)
+        bound = np.bincount(block, x * self.most[runs], self.blocks) + common.reshape(-1, BLOCK).max(1)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best_at, best = np.empty(0, np.int64), np.empty(0)
@@ -94,8 +110,8 @@ class BlockMaxIndex:
             visited[order[start:start + width]] = True
             held = np.flatnonzero(visited[block])
             posts, n = _ranges(self.first[runs[held]], self.first[runs[held] + 1])
-            score = np.bincount(self.at[posts], np.repeat(x[held], n) * self.weight[posts], self.size)
-            found = np.flatnonzero(score)
+            score = np.bincount(self.at[posts], np.repeat(x[held], n) * self.weight[posts], self.size) + common[:self.size]
+            found = np.flatnonzero((score > 0) & np.repeat(visited, BLOCK)[:self.size])
             found = found[found != but]
             best_at = np.concatenate([best_at, found])
             best = np.concatenate([best, np.round(score[found], 12)])
