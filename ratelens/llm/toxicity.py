@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ratelens.llm.common import cut_text, id_text, released, staged, text_hash
 
 #: Labelled rows that make the index, at most; chosen by a hash of their id.
-MAX_EXAMPLES = 4_000
+MAX_EXAMPLES = 3_000
 #: Neighbours that vote and examples in a block.
 NEIGHBOURS, BLOCK = 10, 64
 #: Terms of more than one example in so many are kept as rows.
