@@ -52,13 +52,13 @@ def q_awkward_effort(spark, sf):
             "SELECT doc_id, lang, length(text) AS n_chars, md5(text) AS digest, 'a \"b\",' || chr(10) || doc_id || chr(10) || chr(10) AS tail FROM documents "
             "WHERE doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
 def q_csv_multiline(spark, sf):
-    """S1 on whole documents: line feeds, commas and doubled quotes in most records, one file that many tasks read."""
+    """S1 on whole documents: line feeds, commas and doubled quotes in most records, a file a task, which many tasks read."""
     from pyspark.sql.types import LongType, StringType, StructField, StructType
     from ratelens.session import checkpoint_dir
     path = checkpoint_dir(spark, "csv-documents")
     docs = FX.table(spark, sf, "documents").where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
     # an asterisk in front keeps empty and NA-like texts apart from missing ones
-    docs.select("doc_id", F.concat(F.lit("*"), "text").alias("text"), F.concat(F.lit('a "b",\n'), F.col("doc_id").cast("string"), F.lit("\n\n")).alias("tail"), "lang").coalesce(1).write.option(
+    docs.select("doc_id", F.concat(F.lit("*"), "text").alias("text"), F.concat(F.lit('a "b",\n'), F.col("doc_id").cast("string"), F.lit("\n\n")).alias("tail"), "lang").write.option(
         "header", "true").option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
     schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("tail", StringType()), StructField("lang", StringType())])
     text = F.expr("substring(text, 2)")
