@@ -17,6 +17,7 @@ from ratelens.functions.expr import py_round, round_half_even
 from ratelens.functions.lists import parse_list
 from ratelens.operators.derive import qcut
 from ratelens.operators.derive import cut as cut_bins
+from ratelens.session import partitions_for
 
 
 def rating_metrics(interactions: DataFrame, *, key: str = "recipe_id", rating: str = "rating",
@@ -39,7 +40,9 @@ def rating_metrics(interactions: DataFrame, *, key: str = "recipe_id", rating: s
 def _rating_counts(interactions: DataFrame, key: str, rating: str, user: str, review: str) -> DataFrame:
     """``key, _r`` (rating) with ``_w`` rows, ``_reviews`` and ``_users`` (each user of a key counted at one rating)."""
     rows = interactions.select(F.col(key), F.col(user).alias("_u"), F.col(rating).cast("double").alias("_r"), F.col(review).isNotNull().cast("int").alias("_t"))
-    each = rows.repartition(key, "_u").groupBy(key, "_u", "_r").agg(F.count(F.lit(1)).alias("_w"), F.sum("_t").alias("_reviews"))
+    n = partitions_for(interactions)
+    rows = rows.repartition(n, key, "_u") if n else rows.repartition(key, "_u")
+    each = rows.groupBy(key, "_u", "_r").agg(F.count(F.lit(1)).alias("_w"), F.sum("_t").alias("_reviews"))
     first = F.row_number().over(Window.partitionBy(key, "_u").orderBy("_r")) == 1
     return (each.withColumn("_users", (first & F.col("_u").isNotNull()).cast("int"))
             .groupBy(key, "_r").agg(F.sum("_w").alias("_w"), F.sum("_reviews").alias("_reviews"), F.sum("_users").alias("_users")))
@@ -90,10 +93,11 @@ def recipe_metrics(interactions: DataFrame, *, key: str = "recipe_id", rating: s
     (key, rating) counts, whose exchange both branches share.
     """
     per = _rating_counts(interactions, key, rating, user, review)
-    # a condition on a result of the grouping, so that it stays above the exchange that both branches share
-    g = _metrics_of(per, key, 3, positive_threshold).where(F.when(F.col(key).isNotNull(), F.col("n_interactions")).isNotNull())
+    # both branches name the same columns and neither condition moves below the grouping (no count is negative), so they share the exchanges
+    g = _metrics_of(per, key, 3, positive_threshold).where(F.col(key).isNotNull() | (F.col("n_unique_users") < 0))
     w = F.when(F.col("_r").isNotNull(), F.col("_w"))
-    gm = per.agg(F.try_divide(F.sum(w * F.col("_r")), F.sum(w)).alias("_gm"))
+    gm = per.agg(F.try_divide(F.sum(w * F.col("_r")), F.sum(w)).alias("_gm"), F.sum("_reviews").alias("_gt"), F.sum("_users").alias("_gu")) \
+        .where("coalesce(_gt, 0) >= 0 AND coalesce(_gu, 0) >= 0").select("_gm")
     bm = bayes_mean(F.col("avg_rating"), F.col("n_interactions"), F.col("_gm"), prior_count)
     if bayes_digits is not None:
         bm = round_half_even(bm, bayes_digits)

@@ -7,11 +7,12 @@ settings that are unset, which is what local runs and tests need.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every query relies on for engine-independent answers.
 _REQUIRED = {
@@ -76,6 +77,30 @@ def checkpoint_dir(spark: SparkSession, name: str = "work") -> str:
     return path
 
 
+#: Bytes of input files for one partition of narrow rows, and the partitions up to which the session's settings decide.
+PART_BYTES, FEW_PARTS = 8 << 20, 16
+
+
+def partitions_for(*inputs: DataFrame) -> int:
+    """Partitions for narrow rows of large ``inputs``, in proportion to the files they read; 0 for small ones or none.
+
+    Adaptive execution joins partitions by their compressed bytes.  Columns of
+    keys and counts compress so well that the rows of one joined partition,
+    once sorted or grouped, take a hundred times that in memory, and spill.
+    """
+    files = {f for df in inputs for f in df.inputFiles()}
+    if not files:
+        return 0
+    spark = inputs[0].sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    size = 0
+    for f in files:
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        size += at.getFileSystem(conf).getFileStatus(at).getLen()
+    n = math.ceil(size / PART_BYTES)
+    return n if n > FEW_PARTS else 0
+
+
 _MADE: list[str] = []
 
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratelens.session import partitions_for
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -27,6 +29,9 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_quantity", "l_linenumber", "l_returnflag", "l_linestatus")
     od = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    n = partitions_for(li, od)
+    if n:
+        li, od = li.repartition(n, "l_orderkey"), od.repartition(n, "o_orderkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
     return j.select(
         F.col("o_custkey").alias("user_id"),

@@ -28,3 +28,33 @@ def test_multiline_csv_is_written_by_many_tasks(spark, tmp_path):
         assert sorted(r[0] for r in got.collect()) == list(range(30))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.fixture
+def rated(spark, tmp_path):
+    path = f"{tmp_path}/rated"
+    spark.createDataFrame([(i % 7 if i % 11 else None, i % 5, i % 6 or None, None if i % 4 else "x", i) for i in range(300)],
+                          "recipe_id long, user_id long, rating int, review string, other int").repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_rating_metrics_are_dealt_in_proportion_to_the_input(spark, rated, monkeypatch):
+    few = sorted(map(str, G.recipe_metrics(rated).collect()))
+    assert session.partitions_for(rated) == 0
+    monkeypatch.setattr(session, "PART_BYTES", 64)
+    n = session.partitions_for(rated)
+    assert n > session.FEW_PARTS
+    many = G.recipe_metrics(rated)
+    assert f", {n}), REPARTITION_BY_NUM" in _physical(many)
+    assert sorted(map(str, many.collect())) == few
+
+
+def test_global_mean_shares_the_counts_of_the_rating_metrics(spark, rated):
+    scans = [x.strip() for x in _physical(G.recipe_metrics(rated)).splitlines() if "FileScan" in x]
+    assert len(scans) == 2
+    # the same columns and conditions on both sides, so that one exchange serves both
+    assert len({x[x.index("ReadSchema"):] for x in scans}) == 1
+    assert len({x[x.index("PushedFilters"):x.index("ReadSchema")] for x in scans}) == 1
+    done = G.recipe_metrics(rated)
+    done.collect()
+    assert "ReusedExchange" in _physical(done)
