@@ -37,7 +37,8 @@ _STRING = rf"[uU]?(?:(?!'''|\"\"\")(?:{_string(chr(39))}|{_string(chr(34))}))"
 _DIGITS = r"[0-9](?:_?[0-9])*+"
 _FLOAT = rf"(?:(?:{_DIGITS})?\.{_DIGITS}|{_DIGITS}\.?)(?:[eE][+-]?{_DIGITS})?"
 _NUMBER = rf"[+-]?{_FLOAT}"
-_TOKEN = rf"\G{_BLANK}({_STRING}|(?:{_NUMBER}|None|True|False)(?![\w.'\"])|[\[\],]){_BLANK}"
+#: A token, or all that is left where none begins, whose first group is empty.
+_TOKEN = rf"\G(?:{_BLANK}({_STRING}|(?:{_NUMBER}|None|True|False)(?![\w.'\"])|[\[\],]){_BLANK}|[\s\S]++)"
 _INTEGER = r"^[+-]?(?:0(?:_?0)*+|[1-9](?:_?[0-9])*+)$"
 #: One escape, or a run without one.
 _RUNS = rf"{_ESCAPE}|[^\\]++"
@@ -61,8 +62,9 @@ def _character(run: Column) -> Column:
 
 def _content(token: Column) -> Column:
     """The characters of a string token."""
-    inner = F.regexp_replace(token, F.lit(r"^[uU]?['\"]|['\"]$"), F.lit(""))
-    return F.when(~inner.contains("\\"), inner).otherwise(
+    start = F.when(F.substring(token, 1, 1).isin("u", "U"), 3).otherwise(2)
+    inner = F.substring(token, start, F.length(token) - start)
+    return F.when(~token.contains("\\"), inner).otherwise(
         F.array_join(F.transform(F.regexp_extract_all(inner, F.lit(_RUNS), F.lit(0)), _character), ""))
 
 
@@ -89,28 +91,35 @@ def _number(token: Column) -> Column:
 
 
 def _shape(token: Column) -> Column:
-    """One letter a token: S a string, A any other item, I no item (an integer with leading zeros), or the sign itself."""
-    first = F.substring(token, 1, 1)
-    return (F.when(first.isin("[", "]", ","), first).when(F.substring(token, -1, 1).isin("'", '"'), F.lit("S"))
+    """One letter a token: S a string, A any other item, I no item (an integer with leading zeros, or no token), or the sign itself."""
+    return (F.when(token.isin("[", "]", ","), token).when(F.substring(token, -1, 1).isin("'", '"'), F.lit("S")).when(token == "", F.lit("I"))
             .when(token.rlike(r"^[+-]?0[0-9_]*$") & ~token.rlike(_INTEGER), F.lit("I")).otherwise(F.lit("A")))
 
 
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once a row, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _by_grammar(x: Column, none: str | None) -> Column:
     tokens = F.regexp_extract_all(x, F.lit(_TOKEN), F.lit(1))
-    covered = F.length(F.regexp_replace(x, F.lit(_TOKEN), F.lit(""))) == 0
-    shape = F.regexp_replace(F.array_join(F.transform(tokens, _shape), ""), F.lit("S+"), F.lit("A"))
+    return _once(tokens, lambda t: _once(F.regexp_replace(F.array_join(F.transform(t, _shape), ""), F.lit("S+"), F.lit("A")),
+                                         lambda shape: _items(t, shape, none)))
+
+
+def _items(tokens: Column, shape: Column, none: str | None) -> Column:
     between = F.size(tokens) - F.when(shape.endswith(",]"), 3).otherwise(2)  # without the brackets and a trailing comma
 
     def piece(t: Column) -> Column:
-        first = F.substring(t, 1, 1)
-        return (F.when(F.substring(t, -1, 1).isin("'", '"'), F.replace(_content(t), F.lit(_MARK), F.lit(_MARK + "0")))
-                .when(first == ",", _MARK + "1").when(t == "None", _MARK + "2" if none is None else none)
+        return (F.when(t == ",", _MARK + "1")
+                .when(F.substring(t, -1, 1).isin("'", '"'), F.replace(_content(t), F.lit(_MARK), F.lit(_MARK + "0")))
+                .when(t == "None", _MARK + "2" if none is None else none)
                 .when(t.isin("True", "False"), t).otherwise(_number(t)))
     listed = F.array_join(F.transform(F.slice(tokens, F.lit(2), between), piece), "")
     items = F.transform(F.split(listed, _MARK + "1"), lambda i: F.when(i == _MARK + "2", F.lit(None).cast("string")).otherwise(
         F.replace(i, F.lit(_MARK + "0"), F.lit(_MARK))))
     empty = F.array().cast("array<string>")
-    return F.when(covered & shape.rlike(r"^\[(?:A,)*+A?\]$"), F.when(shape == "[]", empty).otherwise(items))
+    return F.when(shape == "[]", empty).when(shape.rlike(r"^\[(?:A,)*+A?\]$"), items)
 
 
 def python_list(c: str | Column, none: str | None = None) -> Column:

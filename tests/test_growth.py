@@ -58,3 +58,10 @@ def test_global_mean_shares_the_counts_of_the_rating_metrics(spark, rated):
     done = G.recipe_metrics(rated)
     done.collect()
     assert "ReusedExchange" in _physical(done)
+
+
+def test_list_grammar_cuts_a_text_once(spark):
+    df = spark.createDataFrame([("['a', \"b\",None]",), ("[1, 2",), ("[]",), ("[ ]",), ("['a' 'b',]",), ("['a'] x",), ("[01]",), ("",), (" \n",), (None,), ("[,]",), ("[u'\\x41', 'b\\'c']",)], "s string")
+    out = df.select(python_list("s", none="None").alias("l"))
+    assert _optimized(out).count("\\G(?:") == 1
+    assert [r[0] for r in out.collect()] == [["a", "b", "None"], None, [], [], ["ab"], None, None, None, None, None, None, ["A", "b'c"]]
