@@ -135,7 +135,8 @@ def filter_recipes(recipes: DataFrame, *, max_minutes: float = 360) -> DataFrame
     df = range_filter(df, "minutes", 0, max_minutes)
     df = positive_filter(df, "n_steps")
     df = df.where(F.col("steps").isNotNull())
-    df = df.withColumn("_steps_arr", list_or_empty(df, "steps"))
+    # one item to explode, so that the filter is not moved below it, where the text would be parsed once more
+    df = df.select("*", F.explode(F.array(list_or_empty(df, "steps"))).alias("_steps_arr"))
     return df.where(F.size("_steps_arr") > 0)
 
 

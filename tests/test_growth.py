@@ -65,3 +65,11 @@ def test_list_grammar_cuts_a_text_once(spark):
     out = df.select(python_list("s", none="None").alias("l"))
     assert _optimized(out).count("\\G(?:") == 1
     assert [r[0] for r in out.collect()] == [["a", "b", "None"], None, [], [], ["ab"], None, None, None, None, None, None, ["A", "b'c"]]
+
+
+def test_recipe_filter_and_word_count_parse_once(spark):
+    df = spark.createDataFrame([(1, 10, 2, "['a b', \"c\",]", 3, "2001-01-01"), (2, 10, 2, "[]", 3, "2001-01-01"), (3, 10, 2, None, 3, "2001-01-01")],
+                               "id long, minutes long, n_steps int, steps string, n_ingredients int, submitted string")
+    out = C.derive_recipes(df)
+    assert _optimized(out).count("\\G(?:") == 1
+    assert [(r["id"], r["avg_words_per_step"]) for r in out.collect()] == [(1, 1.5)]
