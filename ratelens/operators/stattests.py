@@ -247,11 +247,11 @@ def kruskal(df: DataFrame, group_col: str, metrics: Sequence[str], na: str = "li
             F.col("n").alias("_t"), F.col("total").alias("_N"))
         j = gv.join(vo, gv._v == vo._rv)
         per = j.groupBy(group_col).agg(F.sum(F.col("_c") * F.col("_rank")).alias("_R"),
-                                       F.sum("_c").alias("_ni"), F.first("_N").alias("_N"))
-        ties = vo.agg(F.sum(F.pow(F.col("_t").cast("double"), 3) - F.col("_t")).alias("_tt"))
+                                       F.sum("_c").alias("_ni"), F.first("_N").alias("_N"),
+                                       # t^3 - t of each value, shared out over its t rows
+                                       F.sum(F.col("_c") * (F.pow(F.col("_t").cast("double"), 2) - 1)).alias("_tg"))
         s = per.groupBy().agg(F.sum(F.col("_R") * F.col("_R") / F.col("_ni")).alias("_sr"),
-                              F.count(F.lit(1)).alias("_k"), F.first("_N").alias("_N"))
-        s = s.crossJoin(ties)
+                              F.count(F.lit(1)).alias("_k"), F.first("_N").alias("_N"), F.sum("_tg").alias("_tt"))
         n = F.col("_N").cast("double")
         h = (F.try_divide(F.lit(12.0), n * (n + 1)) * F.col("_sr") - F.lit(3.0) * (n + 1))
         corr = F.lit(1.0) - F.try_divide(F.col("_tt"), n * n * n - n)

@@ -73,3 +73,18 @@ def test_recipe_filter_and_word_count_parse_once(spark):
     out = C.derive_recipes(df)
     assert _optimized(out).count("\\G(?:") == 1
     assert [(r["id"], r["avg_words_per_step"]) for r in out.collect()] == [(1, 1.5)]
+
+
+def test_kruskal_groups_the_rows_for_the_ranks_only(spark, tmp_path):
+    path = f"{tmp_path}/k"
+    spark.createDataFrame([("ab"[i % 2], float(i % 13 + i % 2)) for i in range(200)], "g string, v double").write.parquet(path)
+    out = T.kruskal(spark.read.parquet(path), "g", ["v"], with_p=False, buckets=4)
+    assert _optimized(out).count("Relation [") == 3
+    r = out.first()
+    rows = [("ab"[i % 2], float(i % 13 + i % 2)) for i in range(200)]
+    values = sorted(v for _, v in rows)
+    rank = {v: values.index(v) + (values.count(v) + 1) / 2 for v in values}
+    h = 12 / (200 * 201) * sum(sum(rank[v] for g, v in rows if g == k) ** 2 / 100 for k in "ab") - 3 * 201
+    ties = sum(values.count(v) ** 3 - values.count(v) for v in set(values))
+    assert r["statistic"] == pytest.approx(h / (1 - ties / (200 ** 3 - 200)), rel=1e-9)
+    assert (r["n_groups"], r["n_total"]) == (2, 200)
