@@ -40,7 +40,7 @@ def q_awkward_prepare(spark, sf):
 @Q.register("j2_awkward_steps", "user_id:i, recipe_id:i, rating:i",
             f"{_RC}, {O.RAW_INTERACTIONS}, {O.INTERACTIONS_RAW_CLEAN}, {O.INTERACTIONS_CLEAN} SELECT user_id, recipe_id, rating FROM ic")
 def q_awkward_kept(spark, sf):
-    return kept_interactions(FX.awkward_recipes(spark, sf), FX.interactions(spark, sf)).select("user_id", "recipe_id", "rating")
+    return kept_interactions(FX.awkward_recipes(spark, sf), lambda ids: FX.interactions(spark, sf, ids)).select("user_id", "recipe_id", "rating")
 
 
 @Q.register("e7_awkward_steps", Q.E7_SPEC, f"WITH {_RAW} {Q._e7_sql()}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,17 @@ from ratelens.operators import stattests as T
 DEFAULT_AS_OF = "2000-01-01"
 
 
-def build_analysis(recipes: DataFrame, interactions: DataFrame, *, as_of: str = DEFAULT_AS_OF,
+def _interactions_of(interactions: DataFrame | Callable[[DataFrame], DataFrame], ids: DataFrame) -> DataFrame:
+    """The cleaned interactions of the recipes in ``ids`` (recipe_id)."""
+    if callable(interactions):
+        rows = interactions(ids)
+        rows = rows.select("recipe_id", *[c for c in rows.columns if c != "recipe_id"])
+    else:
+        rows = interactions.join(ids, "recipe_id", "left_semi")
+    return C.prepare_interactions(rows)
+
+
+def build_analysis(recipes: DataFrame, interactions: DataFrame | Callable[[DataFrame], DataFrame], *, as_of: str = DEFAULT_AS_OF,
                    max_minutes: float = 360, leave_out: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Raw recipes + interactions -> (clean recipes, kept interactions, analysis).
 
@@ -25,6 +35,10 @@ def build_analysis(recipes: DataFrame, interactions: DataFrame, *, as_of: str =
     the kept ids and the join with the metrics read narrow columns from there.
     Columns in ``leave_out`` (texts that nobody reads) are not written.
 
+    ``interactions`` is a table, or a function that is given the kept ids
+    (recipe_id) and returns the rows of those recipes, so that it can drop the
+    others before joins of its own.
+
     Shuffles: one for the semi-join (or a broadcast of the recipe keys when
     AQE sees them small), those of the per-recipe grouping, one for the join
     of recipes with their metrics; the rest are one-row aggregates.
@@ -32,15 +46,19 @@ def build_analysis(recipes: DataFrame, interactions: DataFrame, *, as_of: str =
     from ratelens.sources.sinks import stage
     derived = stage(C.derive_recipes(recipes, max_minutes=max_minutes).drop(*leave_out), "recipes-derived")
     rc = C.score_recipes(derived)
-    ic = C.prepare_interactions(interactions).join(derived.select(F.col("id").alias("recipe_id")), "recipe_id", "left_semi")
+    ic = _interactions_of(interactions, derived.select(F.col("id").alias("recipe_id")))
     analysis = D.enrich_analysis(rc, G.recipe_metrics(ic), as_of=as_of)
     return rc, ic, analysis
 
 
-def kept_interactions(recipes: DataFrame, interactions: DataFrame, *, max_minutes: float = 360) -> DataFrame:
-    """The cleaned interactions of the recipes that C13 keeps; reads the recipes' filter columns only."""
+def kept_interactions(recipes: DataFrame, interactions: DataFrame | Callable[[DataFrame], DataFrame], *,
+                      max_minutes: float = 360) -> DataFrame:
+    """The cleaned interactions of the recipes that C13 keeps; reads the recipes' filter columns only.
+
+    ``interactions`` as in :func:`build_analysis`.
+    """
     ids = C.filter_recipes(recipes, max_minutes=max_minutes).select(F.col("id").alias("recipe_id"))
-    return C.prepare_interactions(interactions).join(ids, "recipe_id", "left_semi")
+    return _interactions_of(interactions, ids)
 
 
 def save_tables(recipes: DataFrame, interactions: DataFrame, path: str, *, as_of: str = DEFAULT_AS_OF) -> None:

@@ -23,13 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """user_id, recipe_id, date, rating (0..5, 0 = none), review (NULL allowed)."""
+def interactions(spark: SparkSession, sf_dir: str, recipe_ids: DataFrame | None = None) -> DataFrame:
+    """user_id, recipe_id, date, rating (0..5, 0 = none), review (NULL allowed).
+
+    With ``recipe_ids`` (recipe_id) only the rows of those; the others are dropped before the join with the orders.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_linenumber", "l_returnflag", "l_linestatus")
     od = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     n = partitions_for(li, od)
+    if recipe_ids is not None:
+        li = li.join(recipe_ids, li.l_partkey == recipe_ids.recipe_id, "left_semi")
     if n:
         li, od = li.repartition(n, "l_orderkey"), od.repartition(n, "o_orderkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")

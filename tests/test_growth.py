@@ -88,3 +88,32 @@ def test_kruskal_groups_the_rows_for_the_ranks_only(spark, tmp_path):
     ties = sum(values.count(v) ** 3 - values.count(v) for v in set(values))
     assert r["statistic"] == pytest.approx(h / (1 - ties / (200 ** 3 - 200)), rel=1e-9)
     assert (r["n_groups"], r["n_total"]) == (2, 200)
+
+
+def test_rows_of_other_recipes_go_before_the_join_with_the_orders(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from ratelens.plans import pipelines as E
+    from ratelens.sources import fixtures as FX
+    spark.createDataFrame([(i % 40, i % 9 if i % 13 else None, float(i % 50), i % 7 + 1, "R", "F") for i in range(300)],
+                          "l_orderkey long, l_partkey long, l_quantity double, l_linenumber int, l_returnflag string, l_linestatus string") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i % 35, i % 11, "1995-01-02", "1-URGENT") for i in range(45)],
+                          "o_orderkey long, o_custkey long, o_orderdate string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    recipes = spark.createDataFrame([(i, 10 if i % 3 else 0, 1, "['a']") for i in [*range(8), 4]], "id long, minutes long, n_steps int, steps string")
+    late = E.kept_interactions(recipes, FX.interactions(spark, str(tmp_path)))
+    early = E.kept_interactions(recipes, lambda ids: FX.interactions(spark, str(tmp_path), ids))
+    assert early.columns == late.columns
+    assert sorted(map(str, early.collect())) == sorted(map(str, late.collect())) != []
+    plan = _optimized(early.agg(F.max("user_id")))
+    assert plan.index("Join Inner") < plan.index("LeftSemi")
+
+
+def test_forest_keeps_the_nodes_of_the_rows_between_levels(spark):
+    from ratelens.operators import models as M
+    rows = spark.createDataFrame([(float(i % 17), float(i * 7 % 23), float((i % 17) * (i * 7 % 23))) for i in range(200)], "a double, b double, y double")
+    small = {"numTrees": 4, "maxDepth": 5}
+    kept = M._fit_forest(rows, ["a", "b"], "y", 3, small)
+    assert kept.getCacheNodeIds()
+    again = M._fit_forest(rows, ["a", "b"], "y", 3, {**small, "cacheNodeIds": False})
+    assert kept.toDebugString.partition("\n")[2] == again.toDebugString.partition("\n")[2]  # the first line holds a random name
