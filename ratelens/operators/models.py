@@ -288,7 +288,8 @@ def _linear_prediction(model, features: Sequence[str]) -> Column:
 
 
 def _fit_forest(df: DataFrame, features: Sequence[str], target: str, seed: int, rf_params: Mapping | None):
-    params = {"numTrees": 100, "maxDepth": 10, "featureSubsetStrategy": "all", "maxBins": 64}
+    # each row's node in every tree is kept from level to level; without that a level walks all trees from their roots
+    params = {"numTrees": 100, "maxDepth": 10, "featureSubsetStrategy": "all", "maxBins": 64, "cacheNodeIds": True}
     params.update(rf_params or {})
     return RandomForestRegressor(featuresCol="_features", labelCol=target, seed=seed, **params).fit(_assemble(df, features, target))
 
