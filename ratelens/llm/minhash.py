@@ -43,6 +43,8 @@ STAR = 1024
 AGREE = ((64, BINS // 2), (256, 80 * BINS // 128))
 #: Shingles in one block of a cluster, and shared ones compared at a time.
 BLOCK_SHINGLES, COLUMNS = 1 << 17, 2048
+#: Nodes and joins that a task of the signature tiles holds at most before it hands on what is distinct.
+TOLD = 1 << 20
 _WORDS = 1 << 18
 
 
@@ -256,6 +258,35 @@ def _met(blocks: DataFrame) -> DataFrame:
     return lead.join(blocks.select("key", "block", F.col("rows").alias("right"), F.col("outside").alias("both")), ["key", "block"]).select("left", "right", "both")
 
 
+def told_once(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    """``a, b, joins`` of all (nodes, their roots, and pairs left, right of roots) of a task: each node and each join once.
+
+    Held are the distinct nodes and a forest, which are handed on at the task's end or once they fill half of ``TOLD``.
+    """
+    none = tuple(np.empty(0, np.int64) for _ in range(4))
+
+    def merged(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        node, root, left, right = (np.concatenate(part) for part in zip(*held))
+        node, first = np.unique(node, return_index=True)
+        return node, root[first], *forest(left, right, np.arange(len(left)), np.arange(len(left)))
+
+    def rows(node, root, left, right) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate([node, np.minimum(left, right)])), pa.array(np.concatenate([root, np.maximum(left, right)])),
+            pa.array(np.arange(len(node) + len(left)) >= len(node))], names=["a", "b", "joins"])
+    held, size = [none], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0]) + len(part[2])
+        if size >= TOLD:
+            kept = merged(held)
+            held, size = [kept], len(kept[0]) + len(kept[2])
+            if 2 * size >= TOLD:
+                yield rows(*kept)
+                held, size = [none], 0
+    yield rows(*merged(held))
+
+
 def open_members(members: DataFrame, nodes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """``a, b`` twice: nodes (and their roots) that by sizes and signatures may be similar to one in another component of a bucket,
     and, where ``joins``, a forest over the roots that they would join.
@@ -276,32 +307,29 @@ def open_members(members: DataFrame, nodes: DataFrame, found: DataFrame, percent
         return v.field("node").to_numpy(), v.field("root").to_numpy(), v.field("size").to_numpy(), sig
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            named, edges = ([[np.empty(0, np.int64)], [np.empty(0, np.int64)]] for _ in range(2))
-            for p, q, both in zip(x["left"], x["right"], x["both"].to_pylist()):
-                (n1, r1, s1, g1), (n2, r2, s2, g2) = arrays(p), arrays(q)
-                low, high = np.minimum(s1[:, None], s2[None, :]), np.maximum(s1[:, None], s2[None, :])
-                i, j = np.nonzero((r1[:, None] != r2[None, :]) & (100 * low >= percent * high))
-                like = np.zeros(len(i), bool)
-                for s in range(0, len(i), 1 << 15):
-                    k, m = i[s:s + (1 << 15)], j[s:s + (1 << 15)]
-                    need = np.zeros(len(k), np.int64)
-                    for size, bins in AGREE:
-                        need[low[k, m] >= size] = bins
-                    like[s:s + (1 << 15)] = (g1[k] == g2[m]).sum(1) >= need
-                i, j = i[like], j[like]
-                for side, part in zip(edges, forest(r1, r2, i, j)):
-                    side.append(part)
-                # where both lie outside, left is named when the pair comes the other way round
-                i, j = np.unique(i[:0] if both else i), np.unique(j)
-                named[0] += [n1[i], n2[j]]
-                named[1] += [r1[i], r2[j]]
-            node, first = np.unique(np.concatenate(named[0]), return_index=True)
-            left, right = (np.concatenate(e) for e in edges)
-            left, right = forest(left, right, np.arange(len(left)), np.arange(len(left)))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([node, np.minimum(left, right)])), pa.array(np.concatenate([np.concatenate(named[1])[first], np.maximum(left, right)])),
-                pa.array(np.arange(len(node) + len(left)) >= len(node))], names=["a", "b", "joins"])
+        return told_once(map(similar, batches))
+
+    def similar(x: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        named, edges = ([[np.empty(0, np.int64)], [np.empty(0, np.int64)]] for _ in range(2))
+        for p, q, both in zip(x["left"], x["right"], x["both"].to_pylist()):
+            (n1, r1, s1, g1), (n2, r2, s2, g2) = arrays(p), arrays(q)
+            low, high = np.minimum(s1[:, None], s2[None, :]), np.maximum(s1[:, None], s2[None, :])
+            i, j = np.nonzero((r1[:, None] != r2[None, :]) & (100 * low >= percent * high))
+            like = np.zeros(len(i), bool)
+            for s in range(0, len(i), 1 << 15):
+                k, m = i[s:s + (1 << 15)], j[s:s + (1 << 15)]
+                need = np.zeros(len(k), np.int64)
+                for size, bins in AGREE:
+                    need[low[k, m] >= size] = bins
+                like[s:s + (1 << 15)] = (g1[k] == g2[m]).sum(1) >= need
+            i, j = i[like], j[like]
+            for side, part in zip(edges, forest(r1, r2, i, j)):
+                side.append(part)
+            # where both lie outside, left is named when the pair comes the other way round
+            i, j = np.unique(i[:0] if both else i), np.unique(j)
+            named[0] += [n1[i], n2[j]]
+            named[1] += [r1[i], r2[j]]
+        return tuple(np.concatenate(part) for part in (*named, *edges))
     return _met(blocks).mapInArrow(released(compared), "a bigint, b bigint, joins boolean").distinct()
 
 

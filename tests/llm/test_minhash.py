@@ -141,3 +141,20 @@ def test_long_texts_in_parts(monkeypatch):
 
 def test_query_against_sql(spark):
     same(queries.op11_minhash(spark, SMALL), queries.ORACLE_SQL["op11_minhash"])
+
+
+def test_a_task_of_tiles_names_each_member_and_join_once(monkeypatch):
+    def part(nodes, joins):
+        n, (a, b) = np.array(nodes, np.int64), np.array(joins, np.int64).reshape(-1, 2).T
+        return n, n // 10, a, b
+    parts = [part([30, 10, 11], [(1, 3)]), part([], []), *[part([10, 30, 20], [(3, 1), (2, 3)]) for _ in range(50)]]
+
+    def told(parts):
+        got = [(a, b, j) for x in minhash.told_once(iter(parts)) for a, b, j in zip(*(c.to_pylist() for c in x.columns))]
+        return sorted((a, b) for a, b, j in got if not j), sorted((a, b) for a, b, j in got if j)
+    members, joins = told(parts)
+    assert members == [(10, 1), (11, 1), (20, 2), (30, 3)]
+    assert joins == [(1, 3), (2, 3)]
+    assert told([]) == ([], [])
+    monkeypatch.setattr(minhash, "TOLD", 8)  # handed on in several parts
+    assert [sorted(set(x)) for x in told(parts)] == [members, joins]
