@@ -247,16 +247,23 @@ def standardized_product(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
 
 
 def enrich_analysis(recipes_clean: DataFrame, metrics: DataFrame, *, as_of: str,
-                    method: str = "auto") -> DataFrame:
+                    method: str = "auto", parts: int = 0) -> DataFrame:
     """J1 -> D12 -> D13 -> C9 -> D1 -> D2 -> D7 -> D11.
 
     The join keeps only recipes that have interactions (inner, on purpose).
     The metrics are written once to the shared folder, and so are the four
     columns of D7, from which their quantiles are read: jobs when the plan is
     built, but the interactions are grouped once, and the joined rows are not computed again for each quantile pass.
+    With ``parts`` the recipes lie in as many buckets of ``id``: the metrics are
+    written alike, and each bucket of theirs (one row an id) is looked up, so
+    that the recipes' texts are neither shuffled nor sorted.
     """
-    from ratelens.sources.sinks import stage
-    m = stage(metrics.withColumnRenamed("recipe_id", "_mid"), "metrics")
+    from ratelens.sources.sinks import stage, stage_by_key
+    m = metrics.withColumnRenamed("recipe_id", "_mid")
+    if parts:
+        m = stage_by_key(m.repartition(parts, "_mid"), "metrics", "_mid", parts).hint("shuffle_hash")
+    else:
+        m = stage(m, "metrics")
     df = recipes_clean.join(m, recipes_clean["id"] == m["_mid"], "inner").drop("_mid")
     df = df.withColumn("age_months", age_months("submitted", as_of))
     df = df.withColumn("interactions_per_month", rate_per_month(F.col("n_interactions"), "age_months"))

@@ -52,7 +52,8 @@ def raw_interactions(spark, sf):
 
 def stages(spark, sf, leave_out=()):
     """E1 computed from the raw tables (the pipeline itself is the query)."""
-    return build_analysis(raw_recipes(spark, sf), lambda ids: FX.interactions(spark, sf, ids), as_of=AS_OF, leave_out=leave_out)
+    return build_analysis(raw_recipes(spark, sf), lambda ids: FX.interactions(spark, sf, ids), as_of=AS_OF, leave_out=leave_out,
+                          parts=FX.recipe_parts(spark, sf))
 
 
 def clean_recipes(spark, sf):

@@ -27,7 +27,7 @@ def _interactions_of(interactions: DataFrame | Callable[[DataFrame], DataFrame],
 
 
 def build_analysis(recipes: DataFrame, interactions: DataFrame | Callable[[DataFrame], DataFrame], *, as_of: str = DEFAULT_AS_OF,
-                   max_minutes: float = 360, leave_out: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+                   max_minutes: float = 360, leave_out: Sequence[str] = (), parts: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Raw recipes + interactions -> (clean recipes, kept interactions, analysis).
 
     The filtered recipes are written once, with the columns that need no
@@ -39,15 +39,18 @@ def build_analysis(recipes: DataFrame, interactions: DataFrame | Callable[[DataF
     (recipe_id) and returns the rows of those recipes, so that it can drop the
     others before joins of its own.
 
+    ``parts`` are the partitions of large recipes that come dealt by ``id``:
+    the written recipes stay so, and only the metrics move to join them.
+
     Shuffles: one for the semi-join (or a broadcast of the recipe keys when
     AQE sees them small), those of the per-recipe grouping, one for the join
     of recipes with their metrics; the rest are one-row aggregates.
     """
-    from ratelens.sources.sinks import stage
-    derived = stage(C.derive_recipes(recipes, max_minutes=max_minutes).drop(*leave_out), "recipes-derived")
+    from ratelens.sources.sinks import stage_by_key
+    derived = stage_by_key(C.derive_recipes(recipes, max_minutes=max_minutes).drop(*leave_out), "recipes-derived", "id", parts)
     rc = C.score_recipes(derived)
     ic = _interactions_of(interactions, derived.select(F.col("id").alias("recipe_id")))
-    analysis = D.enrich_analysis(rc, G.recipe_metrics(ic), as_of=as_of)
+    analysis = D.enrich_analysis(rc, G.recipe_metrics(ic), as_of=as_of, parts=parts)
     return rc, ic, analysis
 
 

@@ -81,13 +81,8 @@ def checkpoint_dir(spark: SparkSession, name: str = "work") -> str:
 PART_BYTES, FEW_PARTS = 8 << 20, 16
 
 
-def partitions_for(*inputs: DataFrame) -> int:
-    """Partitions for narrow rows of large ``inputs``, in proportion to the files they read; 0 for small ones or none.
-
-    Adaptive execution joins partitions by their compressed bytes.  Columns of
-    keys and counts compress so well that the rows of one joined partition,
-    once sorted or grouped, take a hundred times that in memory, and spill.
-    """
+def input_bytes(*inputs: DataFrame) -> int:
+    """Bytes of the files that ``inputs`` read; 0 for none."""
     files = {f for df in inputs for f in df.inputFiles()}
     if not files:
         return 0
@@ -97,7 +92,17 @@ def partitions_for(*inputs: DataFrame) -> int:
     for f in files:
         at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
         size += at.getFileSystem(conf).getFileStatus(at).getLen()
-    n = math.ceil(size / PART_BYTES)
+    return size
+
+
+def partitions_for(*inputs: DataFrame) -> int:
+    """Partitions for narrow rows of large ``inputs``, in proportion to the files they read; 0 for small ones or none.
+
+    Adaptive execution joins partitions by their compressed bytes.  Columns of
+    keys and counts compress so well that the rows of one joined partition,
+    once sorted or grouped, take a hundred times that in memory, and spill.
+    """
+    n = math.ceil(input_bytes(*inputs) / PART_BYTES)
     return n if n > FEW_PARTS else 0
 
 

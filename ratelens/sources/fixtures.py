@@ -9,10 +9,12 @@ on DuckDB.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.session import partitions_for
+from ratelens.session import FEW_PARTS, input_bytes, partitions_for
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -54,13 +56,34 @@ def _quote_list(expr_text: F.Column) -> F.Column:
     return F.concat(F.lit("['"), expr_text, F.lit("']"))
 
 
+#: Bytes of the part table for one partition of recipes at most.
+PART_SLICE = 64 << 10
+
+
+def recipe_parts(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions of :func:`recipes`, in proportion to the documents, of which only those with a part stay; 0 for small tables.
+
+    Not fewer than the session's shuffle partitions, which a join takes where its sides have less.
+    """
+    part = table(spark, sf_dir, "part")
+    n = min(partitions_for(part, table(spark, sf_dir, "documents")), math.ceil(input_bytes(part) / PART_SLICE))
+    return max(n, int(spark.conf.get("spark.sql.shuffle.partitions"))) if n > FEW_PARTS else 0
+
+
 def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 12-column raw recipe table, derived from part + documents + lineitem."""
+    """The 12-column raw recipe table, derived from part + documents + lineitem.
+
+    Rows of large tables are dealt by the recipe's key, as :func:`recipe_parts` says.
+    """
     part = table(spark, sf_dir, "part")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     first_ship = (table(spark, sf_dir, "lineitem")
                   .groupBy("l_partkey")
                   .agg(F.min("l_shipdate").cast("date").alias("submitted_d")))
+    n = recipe_parts(spark, sf_dir)
+    if n:
+        part, docs, first_ship = part.repartition(n, "p_partkey"), docs.repartition(n, "doc_id"), first_ship.repartition(n, "l_partkey")
+        docs = docs.hint("merge")
     base = (part.join(docs, docs.doc_id == part.p_partkey, "inner")
                 .join(first_ship, first_ship.l_partkey == part.p_partkey, "left"))
     k = F.col("p_partkey")

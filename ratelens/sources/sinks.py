@@ -27,3 +27,17 @@ def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFr
     target = path or checkpoint_dir(spark, name)
     df.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
+
+
+def stage_by_key(df: DataFrame, name: str, key: str, parts: int) -> DataFrame:
+    """:func:`stage` in ``parts`` buckets of ``key``: tables of as many buckets join on it where they lie.
+
+    Rows that are dealt by the key into as many partitions give one file a
+    partition.  0 parts: a plain stage.
+    """
+    if not parts:
+        return stage(df, name)
+    spark, target = df.sparkSession, checkpoint_dir(df.sparkSession, name)
+    table = target.rpartition("/")[2].replace("-", "_")
+    df.write.bucketBy(parts, key).option("path", target).format("parquet").saveAsTable(table)
+    return spark.table(table)

@@ -117,3 +117,35 @@ def test_forest_keeps_the_nodes_of_the_rows_between_levels(spark):
     assert kept.getCacheNodeIds()
     again = M._fit_forest(rows, ["a", "b"], "y", 3, {**small, "cacheNodeIds": False})
     assert kept.toDebugString.partition("\n")[2] == again.toDebugString.partition("\n")[2]  # the first line holds a random name
+
+
+def test_texts_of_large_recipes_are_not_shuffled_for_their_metrics(spark, tmp_path, monkeypatch):
+    from ratelens.plans import catalog
+    from ratelens.sources import fixtures as FX
+    rows = [(i % 40, i % 9 if i % 13 else None, 1, i % 7 + 1, float(i % 50), "R", "F", f"1995-01-{i % 28 + 1:02d}") for i in range(300)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string, l_shipdate string") \
+        .selectExpr("* except (l_shipdate)", "cast(l_shipdate as timestamp) as l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i % 35, i % 11, "1995-01-02", "1-URGENT") for i in range(45)], "o_orderkey long, o_custkey long, o_orderdate string, o_orderpriority string") \
+        .selectExpr("o_orderkey", "o_custkey", "cast(o_orderdate as timestamp) as o_orderdate", "o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    keys = [*range(12), 4, None]
+    spark.createDataFrame([(k, "red pea", "Brand#12", "STANDARD TIN", 3 + i) for i, k in enumerate(keys)],
+                          "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(k, f"cut {i}\ncook it\n" if k != 7 else None, "en", "web", 9) for i, k in enumerate([*keys, 3])],
+                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    plain = catalog.stages(spark, str(tmp_path))
+    few = [sorted(map(str, df.collect())) for df in plain]
+    assert all(few) and FX.recipe_parts(spark, str(tmp_path)) == 0
+    monkeypatch.setattr(session, "PART_BYTES", 64)
+    monkeypatch.setattr(FX, "PART_SLICE", 64)
+    n = FX.recipe_parts(spark, str(tmp_path))
+    assert n > session.FEW_PARTS
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = catalog.stages(spark, str(tmp_path))
+        assert [sorted(map(str, df.collect())) for df in dealt] == few
+        plan = _physical(dealt[2])
+        # the join with the metrics looks their buckets up: nothing is exchanged for it, and no text sorted
+        assert "ShuffledHashJoin" in plan and "hashpartitioning(id" not in plan and "Sort [id" not in plan
+        assert len(dealt[0].inputFiles()) <= n
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
