@@ -250,12 +250,11 @@ def _blocks(members: DataFrame, row) -> DataFrame:
 
 
 def _met(blocks: DataFrame) -> DataFrame:
-    """``left, right``: each block outside the largest component with every block of its bucket, each pair in its own row.
-
-    ``both`` says that right lies outside too, so that the pair comes the other way round as well.
-    """
-    lead = blocks.where("outside").select("key", F.col("rows").alias("left"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    return lead.join(blocks.select("key", "block", F.col("rows").alias("right"), F.col("outside").alias("both")), ["key", "block"]).select("left", "right", "both")
+    """``left, right``: each block outside the largest component with every block of its bucket, each pair once, in its own row."""
+    lead = blocks.where("outside").select("key", F.col("block").alias("at"), F.col("rows").alias("left"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    # of two blocks that both lie outside either leads, so that each leads some half of its pairs
+    turn = F.expr("NOT outside OR at = block OR ((at + block) % 2 = 0) = (at < block)")
+    return lead.join(blocks.select("key", "block", F.col("rows").alias("right"), "outside"), ["key", "block"]).where(turn).select("left", "right")
 
 
 def told_once(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +290,7 @@ def open_members(members: DataFrame, nodes: DataFrame, found: DataFrame, percent
     """``a, b`` twice: nodes (and their roots) that by sizes and signatures may be similar to one in another component of a bucket,
     and, where ``joins``, a forest over the roots that they would join.
 
-    Only members outside a bucket's largest component lead comparisons.
+    Only members outside a bucket's largest component lead comparisons.  The tiles name no roots: those that are joined count as named.
     """
     labelled = staged(members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled")
     mixed = staged(labelled.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(
@@ -311,7 +310,7 @@ def open_members(members: DataFrame, nodes: DataFrame, found: DataFrame, percent
 
     def similar(x: pa.RecordBatch) -> tuple[np.ndarray, ...]:
         named, edges = ([[np.empty(0, np.int64)], [np.empty(0, np.int64)]] for _ in range(2))
-        for p, q, both in zip(x["left"], x["right"], x["both"].to_pylist()):
+        for p, q in zip(x["left"], x["right"]):
             (n1, r1, s1, g1), (n2, r2, s2, g2) = arrays(p), arrays(q)
             low, high = np.minimum(s1[:, None], s2[None, :]), np.maximum(s1[:, None], s2[None, :])
             i, j = np.nonzero((r1[:, None] != r2[None, :]) & (100 * low >= percent * high))
@@ -325,12 +324,14 @@ def open_members(members: DataFrame, nodes: DataFrame, found: DataFrame, percent
             i, j = i[like], j[like]
             for side, part in zip(edges, forest(r1, r2, i, j)):
                 side.append(part)
-            # where both lie outside, left is named when the pair comes the other way round
-            i, j = np.unique(i[:0] if both else i), np.unique(j)
-            named[0] += [n1[i], n2[j]]
-            named[1] += [r1[i], r2[j]]
+            for node, root, k in ((n1, r1, np.unique(i)), (n2, r2, np.unique(j))):
+                k = k[node[k] != root[k]]
+                named[0].append(node[k])
+                named[1].append(root[k])
         return tuple(np.concatenate(part) for part in (*named, *edges))
-    return _met(blocks).mapInArrow(released(compared), "a bigint, b bigint, joins boolean").distinct()
+    told = staged(_met(blocks).mapInArrow(released(compared), "a bigint, b bigint, joins boolean").distinct(), "told")
+    roots = told.where("joins").select("a").union(told.where("joins").select("b")).distinct()
+    return told.unionByName(roots.select("a", F.col("a").alias("b"), F.lit(False).alias("joins")))
 
 
 def settle(docs: DataFrame, nodes: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
@@ -358,7 +359,7 @@ def settle(docs: DataFrame, nodes: DataFrame, members: DataFrame, width: int, pe
                 union = np.array([len(s) for s in s1])[:, None] + np.array([len(s) for s in s2])[None, :] - both
                 left, right = forest(r1, r2, *np.nonzero((r1[:, None] != r2[None, :]) & (100 * both >= percent * union)))
                 yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], names=["a", "b"])
-    return _met(blocks).select("left", "right").mapInArrow(released(compared), "a bigint, b bigint")
+    return _met(blocks).mapInArrow(released(compared), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

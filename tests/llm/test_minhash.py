@@ -158,3 +158,13 @@ def test_a_task_of_tiles_names_each_member_and_join_once(monkeypatch):
     assert told([]) == ([], [])
     monkeypatch.setattr(minhash, "TOLD", 8)  # handed on in several parts
     assert [sorted(set(x)) for x in told(parts)] == [members, joins]
+
+
+def test_blocks_meet_once(spark):
+    """Each pair of blocks, one of them outside the largest component, in one row, whichever of the two leads."""
+    lying = [(b, True) for b in range(5)] + [(0, False), (2, False)]
+    blocks = spark.createDataFrame([(1, 5, b, out, [10 * b + out]) for b, out in lying], "key bigint, blocks bigint, block bigint, outside boolean, rows array<bigint>")
+    met = sorted(tuple(sorted((r.left[0], r.right[0]))) for r in minhash._met(blocks).collect())
+    names = [10 * b + out for b, out in lying]
+    want = {tuple(sorted((x, y))) for x in names for y in names if x % 10 or y % 10}
+    assert met == sorted(want) and len(met) == 25
