@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from ratelens.llm.common import cut_text, id_text, released
+from ratelens.llm.common import cut_text, id_text, kept, released
 
 INF = np.iinfo(np.int64).max
 #: White space of the vocabulary's patterns (Unicode, without the separators 28-31).
@@ -149,7 +149,7 @@ class Merges:
     def _one(self, raw: bytes, leaves: int) -> bytes:
         """The same for one long word, with plain lists."""
         base, merged = self.base, self.merged
-        table = self._table()
+        table = self._table
         sym = self.inner[np.frombuffer(raw, np.uint8)].tolist()
         sym[-1] = int(self.last[raw[-1]])
         n = len(sym)
@@ -186,7 +186,7 @@ class Merges:
                 put(before[p], leaf(before[p]))
         return np.array([x for x in sym if x >= 0], "<u4").tobytes()
 
-    @lru_cache(maxsize=1)  # noqa: B019  one vocabulary lives as long as the process
+    @cached_property
     def _table(self) -> dict[int, int]:
         return dict(zip(self.keys.tolist(), self.ranks.tolist()))
 
@@ -328,7 +328,7 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
+@kept
 def tree_encoder(path: str) -> tuple[Merges, Encoder]:
     """One encoder a worker process and vocabulary file."""
     merges = Merges(path)
@@ -364,4 +364,4 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                     cols.append(pa.array([merges.decode(np.frombuffer(x, "<u4")) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids", *["decoded"] * decoded])
     return id_text(docs, id_col, text_col).mapInArrow(
-        released(each), "doc_id bigint, n_tokens bigint, ids binary" + ", decoded string" * decoded)
+        released(each, tree_encoder), "doc_id bigint, n_tokens bigint, ids binary" + ", decoded string" * decoded)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,13 +45,32 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def released(each):
+_KEPT: list = []
+
+
+def kept(make):
+    """``make`` with its last results held in the worker process, from task to task of functions that keep it (:func:`released`)."""
+    held = lru_cache(maxsize=2)(make)
+    _KEPT.append(held)
+    return held
+
+
+def forget(but=None) -> None:
+    """Drop what this process holds by :func:`kept` functions other than ``but``."""
+    for held in _KEPT:
+        if held is not but:
+            held.cache_clear()
+
+
+def released(each, keeps=None):
     """An Arrow function that hands its memory back when its task ends.
 
     Python workers wait for the next stage in a pool, of which any may get
     the next task; what they kept would add up over the stages of a pipeline.
+    So a task also drops what earlier stages have kept, but for ``keeps`` (a :func:`kept` function).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(keeps)
         try:
             yield from each(batches)
         finally:

@@ -13,7 +13,6 @@ written once, beside the texts they came from; only keys and lengths move.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.llm.bpe import Encoder, Merges, small_batches
-from ratelens.llm.common import id_text, released, staged
+from ratelens.llm.common import id_text, kept, released, staged
 
 #: Pieces in a group, so many groups at most are put together as the last one, and the gap
 #: (as a part of the capacity) from which a sequence is packed again.
@@ -99,7 +98,7 @@ def merge_rounds(merges: Merges, ranks: PairRanks, raw: list[bytes], width: int)
     return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
 
-@lru_cache(maxsize=2)
+@kept
 def round_encoder(path: str) -> Encoder:
     """Words not seen before are merged many at a time, behind bounded look-up tables; one a worker process."""
     merges = Merges(path)
@@ -146,7 +145,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_col:
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
                     names=["key", "doc_id", "piece", "start", "length", "ids"])
     return id_text(docs, id_col, text_col).mapInArrow(
-        released(each), "key bigint, doc_id bigint, piece int, start bigint, length bigint, ids binary")
+        released(each, round_encoder), "key bigint, doc_id bigint, piece int, start bigint, length bigint, ids binary")
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

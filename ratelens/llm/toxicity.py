@@ -18,7 +18,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +86,16 @@ class BlockMaxIndex:
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
         self.runs = np.searchsorted(term[first], np.arange(n + 1))   # runs of each term
 
+    def __getstate__(self) -> dict:
+        """Few weights of the rows differ from 0, and only those travel to the tasks."""
+        at = np.flatnonzero(self.rows)
+        return {**self.__dict__, "rows": (self.rows.shape, at.astype(np.int32 if self.rows.size < 1 << 31 else np.int64), self.rows.ravel()[at])}
+
+    def __setstate__(self, state: dict) -> None:
+        shape, at, weight = state["rows"]
+        self.__dict__.update(state, rows=np.zeros(shape))
+        self.rows.ravel()[at] = weight
+
     def nearest(self, ix: np.ndarray, w: np.ndarray, k: int, but: int = -1) -> list[tuple[float, int]]:
         """The ``k`` vectors of largest product (above 0), ties to the smaller number, ``but`` left out.
 
@@ -275,6 +285,7 @@ def score(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, id_col:
     0.  Repeated rows score alike; null ids stay null and are not held out.
     """
     model, counted = fit(id_text(docs, id_col, text_col), labels.select("doc_id", "toxic"), limit)
+    model = replace(model, vocabulary={})  # the terms are numbers by now
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple[float, str]] = {}  # equal texts score alike

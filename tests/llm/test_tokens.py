@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from ratelens.llm import bpe, packing, queries
+from ratelens.llm import bpe, common, packing, queries
 from tests.llm.helpers import SMALL, awkward
 
 V = queries.vocabulary()
@@ -170,3 +170,19 @@ def test_long_texts_in_parts(monkeypatch, library):
     _, encoder = bpe.tree_encoder(V)
     for t, ids in zip([text, "", "short", text * 2], encoder.encode([text, "", "short", text * 2])):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_encoders_leave_the_worker_with_other_stages():
+    made = []
+
+    @common.kept
+    def first(path):
+        made.append(path)
+        return path
+    try:
+        for keeps, times in ((first, 1), (first, 1), (None, 1), (first, 2)):
+            list(common.released(lambda batches, keeps=keeps: (first("v") for _ in batches if keeps), keeps)(iter([1, 2])))
+            assert len(made) == times
+    finally:
+        common._KEPT.remove(first)
+    assert packing.round_encoder in common._KEPT and bpe.tree_encoder in common._KEPT

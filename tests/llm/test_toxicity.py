@@ -1,6 +1,7 @@
 """The block-max index against all cosines, the fold, held-out accuracy, and the pipeline's stages."""
 
 import math
+import pickle
 import random
 import re
 import zlib
@@ -218,3 +219,16 @@ def test_stages_keep_clashing_columns(spark, tmp_path):
 
 def test_query_runs(spark):
     assert queries.op3_toxicity(spark, "/root/testdata/sf0.001").count() == 200
+
+
+def test_an_index_travels_without_its_noughts():
+    gen = np.random.default_rng(3)
+    vectors = [(np.unique(np.append(gen.integers(0, 400, 20), gen.integers(400, 90000, 9))), ) for _ in range(700)]
+    vectors = [(v, np.full(len(v), 1 / np.sqrt(len(v)))) for v, in vectors]
+    index = toxicity.BlockMaxIndex(vectors, 90000)
+    sent = pickle.dumps(index)
+    back = pickle.loads(sent)
+    assert len(index.rows) > 300 and (back.rows == index.rows).all()
+    assert len(sent) < index.rows.nbytes
+    for ix, w in vectors[:20]:
+        assert back.nearest(ix, w, 10) == index.nearest(ix, w, 10)
