@@ -18,7 +18,7 @@ import json
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import cached_property
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -208,17 +208,21 @@ class Recent:
         self.limit = limit
         self.now: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.long: list[str] = []   # long keys of ``now``
 
     def missing(self, keys: set[str]) -> set[str]:
         """Keys in neither generation; those of the old one are brought over."""
         if len(self.now) > self.limit:
-            # long keys are rare and would make the bound in bytes void
-            self.old = {k: v for k, v in self.now.items() if len(k) <= KEPT}
-            self.now = {}
-        keys = keys - self.now.keys()
-        back = keys & self.old.keys()
+            for k in self.long:  # they are rare and would make the bound in bytes void
+                self.now.pop(k, None)
+            self.old, self.now, self.long = self.now, {}, []
+        # difference() with a dict walks the set alone; operators on key views walk the whole table
+        keys = keys.difference(self.now)
+        new = keys.difference(self.old)
+        back = keys - new
         self.now.update(zip(back, map(self.old.__getitem__, back)))
-        return keys - back
+        self.long += [k for k in new if len(k) > KEPT]
+        return new
 
 
 class Encoder:
@@ -235,11 +239,16 @@ class Encoder:
         self.words, self.chunks = Recent(WORDS), Recent(CHUNKS)
 
     @staticmethod
-    def parts(chunk: str) -> list[str]:
-        """Normalised and cut: composed, lower-cased letter by letter (no final sigma), the pattern's pieces."""
-        low = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        if low.isalpha():  # letters alone are one piece
-            return [low]
+    def lowered(chunks: list[str]) -> list[str]:
+        """Normalised: composed, lower-cased letter by letter (no final sigma); as one text, since no chunk holds white space."""
+        text = "\n".join(chunks)
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        return text.lower().split("\n") if chunks else []
+
+    @staticmethod
+    def pieces(low: str) -> list[str]:
+        """The pattern's pieces of a normalised chunk that is not letters alone."""
         if low[-1] in ".,;:" and low[:-1].isalpha():
             return [low[:-1], low[-1]]
         return _PIECES.findall(low)
@@ -250,12 +259,17 @@ class Encoder:
         return text.split()
 
     def _learn(self, chunks: set[str]) -> None:
-        parts = self.parts
-        cut = [parts(c) for c in chunks]
-        new = list(self.words.missing(set().union(*cut)))
+        keys, pieces = list(chunks), self.pieces
+        low = self.lowered(keys)
+        one = [w.isalpha() for w in low]  # letters alone are one piece
+        whole = list(compress(low, one))
+        cut = {c: pieces(w) for c, w, letters in zip(keys, low, one) if not letters}
+        new = list(self.words.missing(set(whole).union(*cut.values())))
         words = self.words.now
         words.update(zip(new, self.encode_words(new)))
-        self.chunks.now.update(zip(chunks, [words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for ws in cut]))
+        look = words.__getitem__
+        self.chunks.now.update(zip(compress(keys, one), map(look, whole)))
+        self.chunks.now.update(zip(cut, [look(ws[0]) if len(ws) == 1 else b"".join(map(look, ws)) for ws in cut.values()]))
 
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text (little-endian unsigned 32-bit), a few texts at a time, a long text in parts."""

@@ -105,16 +105,16 @@ def round_encoder(path: str) -> Encoder:
     ranks = PairRanks(merges)
 
     def words(new: list[str]) -> list[bytes]:
-        raw = [w.encode("utf-8", "surrogatepass") for w in new]
-        out: list[bytes] = [b""] * len(raw)
-        groups: dict[int, list[int]] = {}
-        for i, w in enumerate(raw):
-            n = len(w)
-            if n > 2048:  # one tree beats rounds over a long word
-                out[i] = merges.encode_words([new[i]])[0]
-            elif n:
-                groups.setdefault(n if n <= 16 else -(-n // 8) * 8 if n <= 64 else 1 << (n - 1).bit_length(), []).append(i)
-        for width, members in groups.items():
+        raw = "\n".join(new).encode("utf-8", "surrogatepass").split(b"\n")  # no word holds white space
+        out: list[bytes] = [b""] * len(new)
+        if not new:
+            return out
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        for i in np.flatnonzero(size > 2048).tolist():  # one tree beats rounds over a long word
+            out[i] = merges.encode_words([new[i]])[0]
+        widths = np.where(size <= 16, size, np.where(size <= 64, -(-size // 8) * 8, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64)))
+        for width in np.unique(widths[(size > 0) & (size <= 2048)]).tolist():
+            members = np.flatnonzero((widths == width) & (size <= 2048)).tolist()
             step = max(1, (1 << 18) // width)
             for k in range(0, len(members), step):
                 part = members[k:k + step]

@@ -1,6 +1,7 @@
 """BPE against the tokenizers library and a plain merge loop; packing against its rules and a brute force."""
 
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -172,6 +173,25 @@ def test_long_texts_in_parts(monkeypatch, library):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def test_chunks_are_normalised_as_one_text():
+    """Composed and lower-cased together, chunks come out as they do one by one."""
+    chunks = ["Été", "́a", "ΟΔΟΣ", "ᄀ", "ᅡᆨ", "İx", "plain", "Å", "\ud800Z", "x" * 100]
+    want = [unicodedata.normalize("NFC", c).replace("Σ", "σ").lower() for c in chunks]
+    assert bpe.Encoder.lowered(chunks) == want
+    assert bpe.Encoder.lowered([]) == []
+
+
+def test_long_keys_do_not_outlive_a_generation():
+    table = bpe.Recent(1)
+    for keys in ({"a", "b", "y" * 100}, {"a", "c"}, {"d"}):
+        new = table.missing(keys)
+        table.now.update(dict.fromkeys(new, b""))
+    assert set(table.old) == {"a", "c"} and set(table.now) == {"d"}
+    table = bpe.Recent(1)
+    table.now.update(dict.fromkeys(table.missing({"a", "b", "y" * 100}), b""))
+    assert table.missing({"a", "y" * 100}) == {"y" * 100} and table.now == {"a": b""}
+
+
 def test_encoders_leave_the_worker_with_other_stages():
     made = []
 
